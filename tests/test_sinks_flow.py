@@ -37,7 +37,7 @@ def test_json_per_key_and_landed_scan(spark, tmp_path):
                     "reporterCode=8/period=2020"]
     back = spark.read.json(p)
     assert back.count() == 3
-    landed = scan_landed_json(spark, f"{p}/*/*/*.json",
+    landed = scan_landed_json(spark, p, recursive=True, file_glob="*.json",
                               key_pattern=r"reporterCode=(\d+)/period=(\d+)/",
                               key_names=["reporterCode", "period"], key_types=["int", "int"])
     assert sorted((r.reporterCode, r.period) for r in landed.collect()) == [

@@ -42,6 +42,9 @@ def write_one_document_per_file(docs: DataFrame, path: str, keys: Sequence[str],
     each ``(keys, page)`` gets its own directory, and all documents of a
     directory are routed to one task (documents are bounded by paging)."""
     parts = [*keys, "page"]
-    (docs.repartition(*parts)
+    # an explicit partition count keeps AQE from coalescing many tiny
+    # documents into one writer task
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (docs.repartition(n, *parts)
          .select(*parts, F.col(json_col).alias("value"))
          .write.mode("overwrite").partitionBy(*parts).text(path))

@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Page sizes of derived documents (elements per landed document).
 ORDER_PAGE = 1000          # orders per document, by o_orderkey
+LANDED_PAGE = 10_000       # orders per landed file (one document per file)
 LINE_PAGE = 1000           # lines per document of one order, by l_linenumber
 CUSTOMER_PAGE = 500        # customers per reference document, by c_custkey
 PART_PAGE = 500            # parts per availability document, by p_partkey
@@ -113,7 +114,7 @@ def _orders_landing(spark, sf) -> str:
     """Orders landed as one envelope per (status, year, page) file."""
     orders = _t(spark, sf, "orders").withColumn("period", F.year("o_orderdate"))
     docs = envelope_documents(orders, ["o_orderstatus", "period"],
-                              page_of("o_orderkey", ORDER_PAGE),
+                              page_of("o_orderkey", LANDED_PAGE),
                               ["o_orderkey", "o_custkey", "o_totalprice"])
     path = scratch_path(spark, "landed")
     write_one_document_per_file(docs, path, ["o_orderstatus", "period"])
@@ -122,7 +123,7 @@ def _orders_landing(spark, sf) -> str:
 
 def q_scan_landed_json(spark, sf):
     path = _orders_landing(spark, sf)
-    raw = scan_landed_json(spark, f"{path}/*/*/*/*.txt",
+    raw = scan_landed_json(spark, path, recursive=True, file_glob="*.txt",
                            key_pattern=r"o_orderstatus=([^/]+)/period=(\d+)/",
                            key_names=["o_orderstatus", "period"],
                            key_types=["string", "int"])
