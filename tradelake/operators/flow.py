@@ -84,10 +84,13 @@ def route_documents(docs: DataFrame, json_col: str = "json_data") -> DataFrame:
 
 
 def category_outcomes(routed: DataFrame, category_col: str = "category") -> DataFrame:
-    """X3 report: per category, documents accepted and rejected."""
+    """X3 report: per category, documents accepted and rejected and rows
+    carried by the accepted ones (one aggregation pass)."""
     return routed.groupBy(category_col).agg(
         F.count(F.when(F.col("ok"), 1)).alias("ok_docs"),
-        F.count(F.when(~F.col("ok"), 1)).alias("rejected_docs"))
+        F.count(F.when(~F.col("ok"), 1)).alias("rejected_docs"),
+        F.coalesce(F.sum(F.when(F.col("ok"), F.size("rows"))), F.lit(0)).cast("bigint")
+        .alias("ok_rows"))
 
 
 EMPTY_POLICIES = ("fail", "skip", "write")
