@@ -586,6 +586,87 @@ def q_plan_fetch_extract(spark, sf):
                             "tradeValue", "qtyUnitCode"])
 
 
+# --------------------------------------------------------------------------
+# response kinds (the original jobs' typed tables)
+# --------------------------------------------------------------------------
+
+def _world_share_raw(spark, sf):
+    """World-share answers: one request per (typeCode, freqCode), paged."""
+    o = _t(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("typeCode"),
+        F.substring("o_orderpriority", 1, 1).alias("freqCode"),
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus",
+        F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
+    elements = [F.lit("X").alias("typeCode"), F.lit("Y").alias("freqCode"),
+                (F.col("y") * 100 + F.col("m")).alias("period"), F.col("y").alias("year"),
+                F.col("m").alias("month"), F.col("o_orderpriority").alias("datasetDesc"),
+                F.col("o_custkey").cast("int").alias("reporterCode"),
+                F.col("o_totalprice").alias("worldShare"),
+                (F.col("o_orderstatus") == "F").alias("isAvailable"),
+                F.col("o_orderkey").cast("int").alias("dataCount"),
+                F.col("d").alias("firstReleased")]
+    return envelope_documents(o, ["typeCode", "freqCode"], page_of("o_orderkey", ORDER_PAGE),
+                              elements)
+
+
+def q_world_share_table(spark, sf):
+    from tradelake.plans.responses import world_share_table
+    return world_share_table(_world_share_raw(spark, sf))
+
+
+def q_publication_notes_table(spark, sf):
+    from tradelake.plans.responses import notes_table
+    orders = _t(spark, sf, "orders")
+    lines = _t(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        page_of("l_linenumber", LINE_PAGE).alias("line_page"),
+        F.struct(F.col("l_orderkey").alias("datasetCode"), F.lit("N").alias("typeCode"),
+                 F.lit(-1).alias("period"), F.col("l_returnflag").alias("currency"),
+                 F.col("l_linestatus").alias("tradeSystem"),
+                 F.col("l_linenumber").cast("string").alias("publicationNote")).alias("note"))
+    notes = lines.groupBy("o_orderkey", "line_page").agg(F.collect_list("note").alias("notes"))
+    parents = orders.join(notes, "o_orderkey", "inner").select(
+        "o_orderkey", "line_page", "notes",
+        F.col("o_custkey").cast("int").alias("reporterCode"),
+        F.year("o_orderdate").alias("period"),
+        F.col("o_orderstatus").alias("typeCode"),
+        F.substring("o_orderpriority", 1, 1).alias("freqCode"),
+        F.col("o_orderkey").alias("datasetCode"))
+    docs = envelope_documents(parents, ["line_page"], page_of("o_orderkey", ORDER_PAGE),
+                              ["reporterCode", "period", "typeCode", "freqCode", "datasetCode",
+                               "notes"])
+    raw = docs.select(F.lit("HS").alias("clCode"), "json_data")
+    return notes_table(raw)
+
+
+def _availability_raw(spark, sf):
+    part = _t(spark, sf, "part")
+    elements = [F.col("p_partkey").alias("datasetCode"), F.lit("C").alias("typeCode"),
+                F.lit("A").alias("freqCode"), (F.lit(2000) + F.col("p_size")).alias("period"),
+                F.col("p_partkey").cast("int").alias("reporterCode"),
+                F.col("p_brand").alias("reporterISO"), F.col("p_name").alias("reporterDesc"),
+                F.lit("HS").alias("classificationCode"),
+                (F.col("p_size") % 2 == 0).alias("isOriginalClassification"),
+                (F.col("p_size") * 1000).alias("totalRecords"),
+                F.col("p_type").alias("firstReleased"),
+                F.col("p_size").alias("lengthCmdCode")]
+    return envelope_documents(part, [], page_of("p_partkey", PART_PAGE), elements,
+                              elapsed_time="0.5s")
+
+
+def q_availability_table(spark, sf):
+    from tradelake.plans.responses import availability_table
+    from tradelake.schemas import AVAILABILITY_SCHEMA
+    return availability_table(_availability_raw(spark, sf), AVAILABILITY_SCHEMA)
+
+
+def q_tariffline_availability_table(spark, sf):
+    from tradelake.plans.responses import availability_table
+    from tradelake.schemas import TARIFFLINE_AVAILABILITY_SCHEMA
+    return availability_table(_availability_raw(spark, sf), TARIFFLINE_AVAILABILITY_SCHEMA)
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "scan_parquet_sql": q_scan_parquet_sql,
@@ -641,6 +722,10 @@ QUERIES: dict[str, Query] = {
     "empty_input_policy": q_empty_input_policy,
     "ingest_csv_to_parquet": q_ingest_csv_to_parquet,
     "plan_fetch_extract": q_plan_fetch_extract,
+    "world_share_table": q_world_share_table,
+    "publication_notes_table": q_publication_notes_table,
+    "availability_table": q_availability_table,
+    "tariffline_availability_table": q_tariffline_availability_table,
 }
 
 
@@ -812,3 +897,54 @@ ORACLES: dict[str, str] = {
                           "'null' AS tradeValue, CAST(NULL AS VARCHAR) AS qtyUnitCode "
                           f"FROM ({_PLAN_SQL}) WHERE year >= 2012",
 }
+
+_NULL_TEXT_NOTE_FIELDS = ["reporterDescription", "importConvFactor", "exportConvFactor",
+                          "classificationCode", "importValuation", "exportValuation",
+                          "importPartnerCountry", "exportPartnerCountry",
+                          "importPartner2Country", "exportPartner2Country",
+                          "publicationDate", "publicationDateShort"]
+
+_AVAIL_FLAGS_NULL = ", ".join(f"CAST(NULL AS BOOLEAN) AS {f}" for f in [
+    "isExtendedFlowCode", "isExtendedPartnerCode", "isExtendedPartner2Code",
+    "isExtendedCmdCode", "isExtendedCustomsCode", "isExtendedMotCode"])
+
+_AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
+                 "CAST(2000 + p_size AS INTEGER) AS period, "
+                 "CAST(p_partkey AS INTEGER) AS reporterCode, p_brand AS reporterISO, "
+                 "'HS' AS classificationCode, p_size % 2 = 0 AS isOriginalClassification, "
+                 f"{_AVAIL_FLAGS_NULL}, CAST(p_size * 1000 AS INTEGER) AS totalRecords, "
+                 "CAST(NULL AS BIGINT) AS datasetChecksum, p_type AS firstReleased, "
+                 "CAST(NULL AS VARCHAR) AS lastReleased, '0.5s' AS elapsedTime, "
+                 "CAST(count(*) OVER (PARTITION BY p_partkey // 500) AS INTEGER) AS count, "
+                 "CAST(NULL AS VARCHAR) AS error")
+
+ORACLES.update({
+    "world_share_table":
+        "SELECT o_orderstatus AS typeCode, substring(o_orderpriority, 1, 1) AS freqCode, "
+        "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, "
+        "CAST(year(o_orderdate) AS INTEGER) AS year, "
+        "CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority AS datasetDesc, "
+        "CAST(o_custkey AS INTEGER) AS reporterCode, CAST(NULL AS VARCHAR) AS reporterISO, "
+        "CAST(NULL AS VARCHAR) AS reporterDesc, o_totalprice AS worldShare, "
+        "o_orderstatus = 'F' AS isAvailable, CAST(o_orderkey AS INTEGER) AS dataCount, "
+        "strftime(o_orderdate, '%Y-%m-%d') AS firstReleased, "
+        "CAST(NULL AS VARCHAR) AS lastReleased, CAST(NULL AS VARCHAR) AS created, "
+        "CAST(NULL AS VARCHAR) AS updated FROM orders",
+    "publication_notes_table":
+        "SELECT o.o_orderstatus AS typeCode, substring(o.o_orderpriority, 1, 1) AS freqCode, "
+        "'HS' AS clCode, CAST(o.o_custkey AS INTEGER) AS reporterCode, "
+        "CAST(year(o.o_orderdate) AS INTEGER) AS period, o.o_orderkey AS datasetCode, "
+        + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[:1]) + ", "
+        "l.l_returnflag AS currency, "
+        + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[1:3]) + ", "
+        "l.l_linestatus AS tradeSystem, "
+        + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[3:10]) + ", "
+        "CAST(l.l_linenumber AS VARCHAR) AS publicationNote, "
+        + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[10:]) +
+        " FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
+    "availability_table":
+        f"SELECT {_AVAIL_COMMON}, p_name AS reporterDesc, "
+        "CAST(NULL AS VARCHAR) AS classificationSearchCode FROM part",
+    "tariffline_availability_table":
+        f"SELECT {_AVAIL_COMMON}, CAST(p_size AS INTEGER) AS lengthCmdCode FROM part",
+})
