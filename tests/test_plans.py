@@ -89,3 +89,13 @@ def test_distinct_pairs(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "reporter_id int, reporter_name string")
     assert sorted(tuple(r) for r in distinct_pairs(df, ["reporter_id", "reporter_name"]).collect()) == [
         (1, "a"), (2, "b")]
+
+
+def test_block_product_with_hot_duplicates_and_nulls(spark):
+    big = spark.createDataFrame([(i % 3,) for i in range(12)], "b int")     # repeated rows
+    dim = [(7, "hot")] * 40 + [(i, f"n{i}") for i in range(25)] + [(None, None)] * 3
+    small = spark.createDataFrame(dim, "s int, name string")
+    out = attach_dimension(big, small, max_rows=8, salts=3)
+    got = sorted(out.collect(), key=repr)
+    want = sorted(((i % 3, s, n) for i in range(12) for s, n in dim), key=repr)
+    assert [tuple(r) for r in got] == [tuple(w) for w in want]

@@ -12,7 +12,8 @@ to a block product: the dimension is cut into chunks of at most
 ``max_rows`` rows (each chunk one array), every large-side row is fanned out
 to all chunk ids with a salt, and the two meet in an equi-join on
 ``(chunk, salt)`` so no task holds more than one chunk plus a slice of the
-large side.
+large side.  Chunks are content hashes of de-duplicated rows, so the
+product is the same whichever tasks are recomputed after a lost executor.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ DEFAULT_MAX_DIMENSION_ROWS = 100_000
 _DIM = "_tl_dim"
 _CHUNK = "_tl_chunk"
 _SALT = "_tl_salt"
+_MULT = "_tl_mult"
 
 
 def _dimension_array(small: DataFrame, max_rows: int):
@@ -65,18 +67,22 @@ def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,
     spark = big.sparkSession
     chunks = max(1, math.ceil(2 * n / max_rows))        # hash chunks, ~max_rows/2 each
     salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # chunk ids must be stable under recomputation: hash of the row plus its
-    # position inside the (deterministic) scan partition.
-    chunk_id = F.pmod(F.xxhash64(*small.columns, F.spark_partition_id(),
-                                 F.monotonically_increasing_id()), F.lit(chunks))
-    blocks = (small.withColumn(_CHUNK, chunk_id)
+    # Identical dimension rows collapse to one row with a multiplicity, so
+    # chunk ids can be a pure content hash: stable under recomputation and
+    # balanced even when one row value repeats a great many times.
+    counted = small.groupBy(*small.columns).agg(F.count(F.lit(1)).alias(_MULT))
+    blocks = (counted.withColumn(_CHUNK, F.pmod(F.xxhash64(*small.columns), F.lit(chunks)))
               .groupBy(_CHUNK)
-              .agg(F.collect_list(F.struct(*small.columns)).alias(_DIM))
+              .agg(F.collect_list(F.struct(*small.columns, _MULT)).alias(_DIM))
               .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    # Every salt holds every chunk, so the salt only spreads the large side;
+    # repeated large-side rows that share a salt are split by AQE skew join.
     fanned = (big.withColumn(_SALT, F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
               .withColumn(_CHUNK, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
     joined = fanned.join(blocks, [_CHUNK, _SALT], "inner")
-    return (joined.select(*big.columns, F.explode(_DIM).alias(_DIM))
+    rows = joined.select(*big.columns, F.explode(_DIM).alias(_DIM))
+    return (rows.select("*", F.explode(F.sequence(F.lit(1), F.col(f"{_DIM}.{_MULT}")))
+                        .alias("_tl_copy"))
             .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
 
 
