@@ -37,10 +37,15 @@ def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
                     partitions: int | None = None) -> DataFrame:
     """Entry B end to end: plan -> per-row fetch on executors -> one JSON
     dataset per (reporterCode, period).  Failed or empty answers are
-    skipped; the rejected rows are returned for reporting."""
+    skipped; the rejected rows are returned for reporting.
+
+    Answers are checkpointed to the shared checkpoint folder right after the
+    fetch: both outputs read them, and neither a second action nor a lost
+    executor may call the (rate-limited) service again.
+    """
     plan = detail_requests(spark, availability_path, ceiling)
     answers = enrich_partitions(plan, fetch, ["reporterCode", "period"],
-                                partitions=partitions)
+                                partitions=partitions).checkpoint(eager=True)
     ok, rejected = split_failures(answers)
     sink_json_per_key(ok.select("reporterCode", "period",
                                 F.col("json_data").alias("response")),
