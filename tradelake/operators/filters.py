@@ -53,6 +53,23 @@ def repartition_for_fetch(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guarantee a floor of parallelism for CPU-heavy work after a scan.
+
+    A file written as one Parquet row group is read by one task however it
+    is split; when the planned input has fewer partitions than the session
+    can run at once, rows are spread round-robin.  Large inputs already have
+    at least that many splits, so this is a no-op for them.
+    """
+    from tradelake.session import parallelism
+    target = min_partitions or parallelism(df.sparkSession)
+    try:
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view in a remote session
+        return df
+    return df.repartition(target) if planned < target else df
+
+
 def count_rows(df: DataFrame) -> DataFrame:
     """A3: one-row ``n bigint`` count, computed distributed (no collect)."""
     return df.agg(F.count(F.lit(1)).alias("n"))

@@ -21,7 +21,8 @@ from tradelake.functions.text import (explode_words, format_key, replace_literal
                                       word_count)
 from tradelake.operators.filters import (count_rows, drop_failed_rows, filter_column_neq,
                                          filter_equals, filter_in_list, filter_nonempty_json,
-                                         filter_threshold, limit_rows, repartition_for_fetch)
+                                         filter_threshold, limit_rows, repartition_for_fetch,
+                                         spread)
 from tradelake.operators.flow import (category_outcomes, enrich_partitions, route_documents,
                                       split_failures, write_with_empty_policy)
 from tradelake.operators.project import (drop_parent_duplicates, project_rename,
@@ -31,7 +32,7 @@ from tradelake.plans.documents import (envelope_documents, page_of,
                                        write_one_document_per_file)
 from tradelake.plans.request_plan import (bilateral_plan, dimension, distinct_pairs,
                                           reporter_year_plan, stage_tables, year_span)
-from tradelake.session import scratch_path
+from tradelake.session import parallelism, scratch_path
 from tradelake.sinks.writers import (sink_csv_quoted_single, sink_fanout_by_category,
                                      sink_json_per_key, sink_parquet_overwrite,
                                      sink_single_parquet)
@@ -49,8 +50,13 @@ CUSTOMER_PAGE = 500        # customers per reference document, by c_custkey
 PART_PAGE = 500            # parts per availability document, by p_partkey
 
 
+# Tables whose rows carry heavy per-row work (tokenising, document building).
+_SPREAD_TABLES = {"documents"}
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if name in _SPREAD_TABLES else df
 
 
 # --------------------------------------------------------------------------
@@ -347,7 +353,7 @@ def _customer_enrich(spark, sf, fail_negative: bool):
         return {"id": int(row["c_custkey"]), "name": row["c_name"]}
     customers = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
     return enrich_partitions(customers, answer, ["c_custkey", "c_name", "c_acctbal"],
-                             partitions=spark.sparkContext.defaultParallelism)
+                             partitions=parallelism(spark))
 
 
 def q_drop_failed_rows(spark, sf):
@@ -362,7 +368,7 @@ def q_limit_rows(spark, sf):
 
 def q_repartition_for_fetch(spark, sf):
     return repartition_for_fetch(_t(spark, sf, "customer").select("c_custkey", "c_name"),
-                                 spark.sparkContext.defaultParallelism)
+                                 parallelism(spark))
 
 
 # --------------------------------------------------------------------------
@@ -580,7 +586,7 @@ def q_plan_fetch_extract(spark, sf):
     plan = _request_plan(spark, sf)
     keys = ["reporter_id", "partner_id", "flow_id", "cmdCode", "year"]
     fetched, _ = split_failures(enrich_partitions(
-        plan, _preview_answer, keys, partitions=spark.sparkContext.defaultParallelism))
+        plan, _preview_answer, keys, partitions=parallelism(spark)))
     return preview_extract(fetched, keys,
                            ["typeCode", "refYear", "reporterCode", "partnerCode", "flowCode",
                             "tradeValue", "qtyUnitCode"])

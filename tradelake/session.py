@@ -43,6 +43,15 @@ def get_session(master: str | None = None, app_name: str = "tradelake",
     return spark
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (shuffle partitions where the context is
+    not reachable, e.g. a remote session)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -52,11 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no context in a remote session
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tradelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
     return root.rstrip("/")
 
 
