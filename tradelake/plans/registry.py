@@ -538,11 +538,12 @@ def q_isolate_table_failures(spark, sf):
     docs = envelope_documents(orders, ["o_orderstatus", "o_orderpriority"],
                               page_of("o_orderkey", ORDER_PAGE), ["o_orderkey"],
                               member="results")
-    # urgent answers arrived truncated
+    # urgent answers arrived wrapped in an HTML error page (not JSON)
     docs = docs.withColumn(
         "json_data",
         F.when(F.col("o_orderpriority") == "1-URGENT",
-               F.substring("json_data", 1, 20)).otherwise(F.col("json_data")))
+               F.concat(F.lit("<html><body>"), F.col("json_data"), F.lit("</body></html>")))
+        .otherwise(F.col("json_data")))
     routed = route_documents(docs.withColumnRenamed("o_orderstatus", "category"))
     return category_outcomes(routed)
 
