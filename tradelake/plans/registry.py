@@ -583,14 +583,23 @@ def _preview_answer(row) -> str:
 
 
 def q_plan_fetch_extract(spark, sf):
-    from tradelake.plans.responses import preview_extract
-    plan = _request_plan(spark, sf)
-    keys = ["reporter_id", "partner_id", "flow_id", "cmdCode", "year"]
-    fetched, _ = split_failures(enrich_partitions(
-        plan, _preview_answer, keys, partitions=parallelism(spark)))
-    return preview_extract(fetched, keys,
-                           ["typeCode", "refYear", "reporterCode", "partnerCode", "flowCode",
-                            "tradeValue", "qtyUnitCode"])
+    from tradelake.plans.fetch import plan_fetch_extract
+    return plan_fetch_extract(_request_plan(spark, sf), _preview_answer,
+                              ["typeCode", "refYear", "reporterCode", "partnerCode",
+                               "flowCode", "tradeValue", "qtyUnitCode"])
+
+
+def _reporter_share_answer(row) -> dict:
+    """Deterministic stand-in for the per-reporter world-share service."""
+    return {"reporter": int(row["reporter_id"]), "name": row["reporter_name"]}
+
+
+def q_world_share_by_reporter(spark, sf):
+    from tradelake.plans.fetch import fetch_per_reporter
+    reporters = dimension(_t(spark, sf, "customer"), "c_custkey", "reporter_id",
+                          "c_name", "reporter_name")
+    answers, _ = fetch_per_reporter(reporter_year_plan(reporters), _reporter_share_answer)
+    return answers
 
 
 # --------------------------------------------------------------------------
@@ -730,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_to_parquet": q_ingest_csv_to_parquet,
     "plan_fetch_extract": q_plan_fetch_extract,
     "world_share_table": q_world_share_table,
+    "world_share_by_reporter": q_world_share_by_reporter,
     "publication_notes_table": q_publication_notes_table,
     "availability_table": q_availability_table,
     "tariffline_availability_table": q_tariffline_availability_table,
@@ -926,6 +936,10 @@ _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(NULL AS VARCHAR) AS error")
 
 ORACLES.update({
+    "world_share_by_reporter":
+        "SELECT c_custkey AS reporter_id, c_name AS reporter_name, "
+        "'{\"reporter\": ' || c_custkey || ', \"name\": \"' || c_name || '\"}' AS json_data "
+        "FROM customer",
     "world_share_table":
         "SELECT o_orderstatus AS typeCode, substring(o_orderpriority, 1, 1) AS freqCode, "
         "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, "
