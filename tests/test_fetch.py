@@ -29,5 +29,7 @@ def test_plan_fetch_extract_skips_empty_answers(spark):
                 {"typeCode": "C", "refYear": row["year"]}]
     rows = plan_fetch_extract(plan, fetch, ["typeCode", "refYear", "tradeValue", "partnerISO"],
                               partitions=2).collect()
-    assert sorted((r.flow_id, r.typeCode, r.refYear, r.tradeValue, r.partnerISO) for r in rows) == [
-        ("M", '"C"', "2011", "12.5", "null"), ("M", '"C"', "2011", None, None)]
+    got = sorted(((r.flow_id, r.typeCode, r.refYear, r.tradeValue, r.partnerISO) for r in rows),
+                 key=repr)
+    assert got == sorted([("M", '"C"', "2011", "12.5", "null"), ("M", '"C"', "2011", None, None)],
+                         key=repr)
