@@ -55,11 +55,13 @@ def attach_dimension(big: DataFrame, small: DataFrame,
     clash = set(big.columns) & set(small.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    n = small.count() if small_rows is None else small_rows
+    # the path decision needs only "at most max_rows?": count no further
+    n = small.limit(max_rows + 1).count() if small_rows is None else small_rows
     if n <= max_rows:
         return (big.select("*", F.explode(_dimension_array(small, max_rows)).alias(_DIM))
                 .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
-    return _block_product(big, small, n, max_rows, salts)
+    return _block_product(big, small, small.count() if small_rows is None else n,
+                          max_rows, salts)
 
 
 def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,
