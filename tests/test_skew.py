@@ -41,3 +41,34 @@ def test_hot_key_is_split_over_files(spark, tmp_path):
     hot_files = glob.glob(f"{out}/k=hot/part-*")
     assert len(hot_files) > 1
     assert spark.read.json(out).count() == 20040
+
+
+def test_hot_order_nested_documents_are_paged(spark, tmp_path):
+    from tradelake.plans import registry as R
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, 10, "F", 1.0, "5-LOW"), (2, 11, "O", 2.0, "1-URGENT")],
+                          "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                          "o_totalprice double, o_orderpriority string") \
+        .withColumn("o_orderdate", F.lit("1996-01-02").cast("timestamp_ntz")) \
+        .write.parquet(f"{sf}/orders.parquet")
+    lines = spark.range(1, 2501).select(F.lit(1).cast("bigint").alias("l_orderkey"),
+                                        F.col("id").cast("int").alias("l_linenumber"))
+    lines = lines.unionByName(spark.createDataFrame([(2, 1)], "l_orderkey bigint, l_linenumber int"))
+    (lines.withColumn("l_quantity", F.lit(1.0)).withColumn("l_returnflag", F.lit("N"))
+          .write.parquet(f"{sf}/lineitem.parquet"))
+    docs = R._nested_order_docs(spark, sf, keep_empty=True)
+    per_doc = docs.select(F.expr(
+        "aggregate(from_json(json_data, 'data array<struct<notes:array<string>>>').data, 0, "
+        "(acc, p) -> acc + size(p.notes))").alias("n")).collect()
+    assert max(r.n for r in per_doc) <= 1000 and len(per_doc) >= 3
+    assert R.q_explode_nested(spark, sf).count() == 2501
+
+
+def test_dimension_guard_fails_loudly(spark):
+    import pytest
+    from tradelake.operators.product import attach_dimension
+    big = spark.range(3).withColumnRenamed("id", "b")
+    small = spark.range(5).withColumnRenamed("id", "s")
+    out = attach_dimension(big, small, max_rows=3, small_rows=1)   # stale size claim
+    with pytest.raises(Exception, match="dimension exceeds 3 rows"):
+        out.collect()
