@@ -33,14 +33,23 @@ def with_envelope_literals(df: DataFrame, elapsed_time: Column | str | None,
     })
 
 
+# FIXED VALUES: characters that become "_" in column names.  The basic rule
+# replaces spaces only; the reference-table rule also dots and colons.
+SPACE_CHARS = " "
+PUNCT_CHARS = " .:"
+
+_SPACE_TABLE = str.maketrans({c: "_" for c in SPACE_CHARS})
+_PUNCT_TABLE = str.maketrans({c: "_" for c in PUNCT_CHARS})
+
+
 def sanitize_name_spaces(name: str) -> str:
     """P4 rule: every space becomes ``_`` one-for-one (outer ones too)."""
-    return name.replace(" ", "_")
+    return name.translate(_SPACE_TABLE)
 
 
 def sanitize_name_punct(name: str) -> str:
-    """P5 rule: space, ``.`` and ``:`` each become ``_``."""
-    return name.replace(" ", "_").replace(".", "_").replace(":", "_")
+    """P5 rule: each space, ``.`` and ``:`` becomes ``_``."""
+    return name.translate(_PUNCT_TABLE)
 
 
 def sanitize_columns(columns: Sequence[str]) -> list[str]:
