@@ -36,15 +36,17 @@ def envelope_documents(df: DataFrame, keys: Sequence[str], page: Column,
     return grouped.select(*keys, "page", F.to_json(env, opts).alias(json_col))
 
 
-def write_one_document_per_file(docs: DataFrame, path: str, keys: Sequence[str],
+def write_one_document_per_file(docs: DataFrame, path: str, name: Column,
                                 json_col: str = "json_data") -> None:
-    """Land documents so that every file holds exactly one document:
-    each ``(keys, page)`` gets its own directory, and all documents of a
-    directory are routed to one task (documents are bounded by paging)."""
-    parts = [*keys, "page"]
-    # an explicit partition count keeps AQE from coalescing many tiny
-    # documents into one writer task
+    """Land documents so that every file holds exactly one document.
+
+    ``name`` (unique per document, e.g. ``format_key("reporter_%s_period_%d_page_%d",
+    ...)``) becomes the directory ``doc=<name>`` of its single file, so request
+    keys can be recovered from the path as from a file name.  Documents are
+    spread over an explicit number of writer tasks (AQE does not coalesce
+    them into one), each document whole in one task.
+    """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (docs.repartition(n, *parts)
-         .select(*parts, F.col(json_col).alias("value"))
-         .write.mode("overwrite").partitionBy(*parts).text(path))
+    (docs.select(name.alias("doc"), F.col(json_col).alias("value"))
+         .repartition(n, "doc")
+         .write.mode("overwrite").partitionBy("doc").text(path))

@@ -117,20 +117,23 @@ def q_rows_inferred_schema(spark, sf):
 
 
 def _orders_landing(spark, sf) -> str:
-    """Orders landed as one envelope per (status, year, page) file."""
+    """Orders landed as one envelope per (status, year, page) file, the
+    keys in the document name."""
     orders = _t(spark, sf, "orders").withColumn("period", F.year("o_orderdate"))
     docs = envelope_documents(orders, ["o_orderstatus", "period"],
                               page_of("o_orderkey", LANDED_PAGE),
                               ["o_orderkey", "o_custkey", "o_totalprice"])
     path = scratch_path(spark, "landed")
-    write_one_document_per_file(docs, path, ["o_orderstatus", "period"])
+    write_one_document_per_file(
+        docs, path, format_key("reporter_%s_period_%d_page_%d", "o_orderstatus", "period",
+                               "page"))
     return path
 
 
 def q_scan_landed_json(spark, sf):
     path = _orders_landing(spark, sf)
     raw = scan_landed_json(spark, path, recursive=True, file_glob="*.txt",
-                           key_pattern=r"o_orderstatus=([^/]+)/period=(\d+)/",
+                           key_pattern=r"doc=reporter_([^_/]+)_period_(\d+)_page_\d+/",
                            key_names=["o_orderstatus", "period"],
                            key_types=["string", "int"])
     rows = member_or_empty(raw, "json_data", "data",
