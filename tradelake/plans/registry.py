@@ -142,6 +142,30 @@ def q_scan_landed_json(spark, sf):
     return flatten_struct(rows, "d", keep=["o_orderstatus", "period"])
 
 
+def q_scan_landed_json_stream(spark, sf):
+    """S8 run incrementally: the landed documents are ingested by a
+    Structured Streaming query (availableNow) into Parquet, then read back."""
+    from tradelake.streaming.landed import ingest_landed_stream
+    landing = _orders_landing(spark, sf)
+    out = scratch_path(spark, "landed-stream-out")
+
+    def parse(raw):
+        rows = member_or_empty(raw, "json_data", "data",
+                               "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+                               alias="d", keep=["o_orderstatus", "period"])
+        return flatten_struct(rows, "d", keep=["o_orderstatus", "period"])
+
+    query = ingest_landed_stream(
+        spark, landing, parse, out, name=None, file_glob="*.txt", recursive=True,
+        key_pattern=r"doc=reporter_([^_/]+)_period_(\d+)_page_\d+/",
+        key_names=["o_orderstatus", "period"], key_types=["string", "int"],
+        checkpoint=scratch_path(spark, "landed-stream-ckpt"))
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.parquet(out)
+
+
 def q_year_dimension(spark, sf):
     return year_span(_t(spark, sf, "orders"), "o_orderdate")
 
@@ -695,6 +719,7 @@ QUERIES: dict[str, Query] = {
     "rows_declared_schema": q_rows_declared_schema,
     "rows_inferred_schema": q_rows_inferred_schema,
     "scan_landed_json": q_scan_landed_json,
+    "scan_landed_json_stream": q_scan_landed_json_stream,
     "year_dimension": q_year_dimension,
     "staged_tables": q_staged_tables,
     "sink_parquet_overwrite": q_sink_parquet_overwrite,
@@ -938,6 +963,8 @@ _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(count(*) OVER (PARTITION BY p_partkey // 500) AS INTEGER) AS count, "
                  "CAST(NULL AS VARCHAR) AS error")
 
+ORACLES["scan_landed_json_stream"] = ORACLES["scan_landed_json"]
+
 ORACLES.update({
     "world_share_by_reporter":
         "SELECT c_custkey AS reporter_id, c_name AS reporter_name, "

@@ -22,10 +22,13 @@ from tradelake.session import checkpoint_root
 def read_landed_stream(spark: SparkSession, landing_dir: str, file_glob: str = "*.json",
                        key_pattern: str | None = None, key_names: Sequence[str] = (),
                        key_types: Sequence[str] = (), json_col: str = "json_data",
-                       max_files_per_trigger: int | None = None) -> DataFrame:
+                       max_files_per_trigger: int | None = None,
+                       recursive: bool = False) -> DataFrame:
     """Streaming twin of ``scan_landed_json``: one row per new file."""
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("pathGlobFilter", file_glob))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(landing_dir)
@@ -42,17 +45,23 @@ def read_landed_stream(spark: SparkSession, landing_dir: str, file_glob: str = "
 
 def ingest_landed_stream(spark: SparkSession, landing_dir: str,
                          parse: Callable[[DataFrame], DataFrame], output_path: str,
-                         name: str, file_glob: str = "*.json",
+                         name: str | None, file_glob: str = "*.json",
                          key_pattern: str | None = None, key_names: Sequence[str] = (),
                          key_types: Sequence[str] = (), checkpoint: str | None = None,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, recursive: bool = False
+                         ) -> StreamingQuery:
     """Parse new landed documents with ``parse`` and append them to a
-    Parquet dataset; returns the running (or finished) query."""
+    Parquet dataset; returns the running (or finished) query.  Progress is
+    kept in ``checkpoint`` (default: a folder named after the query under the
+    shared checkpoint root), so a rerun picks up only new files."""
+    if checkpoint is None and not name:
+        raise ValueError("a named query or an explicit checkpoint is required")
     stream = read_landed_stream(spark, landing_dir, file_glob, key_pattern, key_names,
-                                key_types)
+                                key_types, recursive=recursive)
     ckpt = checkpoint or f"{checkpoint_root(spark)}/tradelake-streams/{name}"
     writer = (parse(stream).writeStream.format("parquet").outputMode("append")
-              .option("path", output_path).option("checkpointLocation", ckpt)
-              .queryName(name))
+              .option("path", output_path).option("checkpointLocation", ckpt))
+    if name:
+        writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
