@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,24 +20,23 @@ def sink_parquet_overwrite(df: DataFrame, path: str) -> None:
 
 
 def _single_file(df: DataFrame, max_rows: int) -> DataFrame:
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
+    """Materialise ``df`` in the shared checkpoint folder (in parallel),
+    check its size, and return it as one partition.  The single writer task
+    then reads checkpoint files: a lost executor never makes it recompute
+    the upstream work."""
+    materialised = df.checkpoint(eager=True)
+    n = materialised.count()
     if n > max_rows:
-        cached.unpersist()
         raise ValueError(f"{n} rows is too many for one output file (max {max_rows}); "
                          "write a partitioned dataset instead")
-    return cached.coalesce(1)
+    return materialised.coalesce(1)
 
 
 def sink_single_parquet(df: DataFrame, path: str,
                         max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS) -> None:
     """K2: one Parquet file (a directory holding one part), for bounded
     outputs such as plans and reference indexes."""
-    out = _single_file(df, max_rows)
-    try:
-        out.write.mode("overwrite").parquet(path)
-    finally:
-        df.unpersist()
+    _single_file(df, max_rows).write.mode("overwrite").parquet(path)
 
 
 def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str]) -> None:
@@ -56,14 +54,11 @@ def sink_csv_quoted_single(df: DataFrame, path: str,
                            max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS) -> None:
     """K4: a single CSV file with header and every field quoted.
 
-    Order is preserved: ``coalesce(1)`` concatenates sorted partitions.
+    Order is preserved: the checkpoint keeps the sorted partitions in order
+    and ``coalesce(1)`` concatenates them.
     """
-    out = _single_file(df, max_rows)
-    try:
-        (out.write.mode("overwrite").option("header", True).option("quoteAll", True)
-            .csv(path))
-    finally:
-        df.unpersist()
+    (_single_file(df, max_rows).write.mode("overwrite")
+        .option("header", True).option("quoteAll", True).csv(path))
 
 
 def sink_fanout_by_category(df: DataFrame, path: str, category_col: str = "category"
