@@ -1,7 +1,6 @@
 """The correctness gate as a test: every registered query vs its DuckDB
 oracle on the smallest tables."""
 
-import math
 import os
 import sys
 
