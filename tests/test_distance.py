@@ -40,3 +40,13 @@ def test_distance_null_coordinate_gives_null(spark):
                                "a double, b double, c double, d double")
     out = add_trip_distance(df, "a", "b", "c", "d").collect()[0]
     assert out.distance is None
+
+
+def test_trip_distance_job_round_trip(spark, tmp_path):
+    from tradelake.plans.jobs import run_trip_distance
+    src, out = str(tmp_path / "trips"), str(tmp_path / "with_distance")
+    _trips(spark).write.parquet(src)
+    run_trip_distance(spark, src, out)
+    back = spark.read.parquet(out)
+    assert back.columns == COLUMNS + ["distance"]
+    assert sorted(r.distance for r in back.collect()) == sorted(c[4] for c in COORDS)
