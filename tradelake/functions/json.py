@@ -59,7 +59,9 @@ def unnest_extract_json_text(df: DataFrame, json_col: ColumnLike, fields: Sequen
 
     Output is JSON text per field: strings keep their quotes, a JSON null is
     the text ``null`` and a missing member is SQL NULL.  Unreadable documents
-    and non-arrays yield zero rows.
+    and non-arrays yield zero rows.  Numbers are re-serialised from their
+    parsed value (``23.0`` prints ``23``, ``1e3`` prints ``1000.0``), so
+    compare numbers as values, not as text.
     """
     arr = F.try_variant_get(F.try_parse_json(_col(json_col)), "$", "array<variant>")
     exploded = df.select(*keep, F.explode(arr).alias("_elem"))
