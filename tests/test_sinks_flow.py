@@ -1,3 +1,4 @@
+import json
 import glob
 import os
 
@@ -96,3 +97,13 @@ def test_empty_input_policies(spark, tmp_path):
     assert write_with_empty_policy(empty, p, "write") == "written_empty"
     assert spark.read.parquet(p).count() == 0
     assert spark.read.parquet(p).columns == ["id"]
+
+
+def test_enrich_paces_calls_per_task(spark):
+    import time as _time
+    df = spark.range(8).withColumnRenamed("id", "k")
+    paced = enrich_partitions(df, lambda row: {"t": _time.monotonic()}, ["k"], partitions=1,
+                              min_interval_s=0.05)
+    stamps = sorted(json.loads(r.json_data)["t"] for r in paced.collect())
+    gaps = [b - a for a, b in zip(stamps, stamps[1:])]
+    assert len(stamps) == 8 and min(gaps) >= 0.045

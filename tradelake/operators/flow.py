@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -22,7 +23,8 @@ RowFn = Callable[[dict], object]
 
 def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
                       result_col: str = "json_data",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None,
+                      min_interval_s: float = 0.0) -> DataFrame:
     """Call ``fn(row_dict)`` for every row, emit ``keys + result + error``.
 
     ``fn`` is the per-request call (a fetch in production, a deterministic
@@ -31,6 +33,10 @@ def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
     result is null and ``error`` carries the message.  Rows stream through
     Arrow batches, so a partition is never materialised as one list.
 
+    ``min_interval_s`` paces calls inside each task, so the whole job never
+    sends more than ``partitions / min_interval_s`` requests per second to
+    the service, however many executors run it.
+
     Project and filter *before* calling this: the Python boundary is opaque
     to Catalyst pushdown.
     """
@@ -43,9 +49,15 @@ def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
         T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last_call = float("-inf")
         for pdf in batches:
             results, errors = [], []
             for row in pdf.to_dict("records"):
+                if min_interval_s > 0:
+                    wait = last_call + min_interval_s - time.monotonic()
+                    if wait > 0:
+                        time.sleep(wait)
+                    last_call = time.monotonic()
                 try:
                     answer = fn(row)
                     if answer is None:
