@@ -22,32 +22,36 @@ from tradelake.session import parallelism
 PREVIEW_KEYS = ("reporter_id", "partner_id", "flow_id", "cmdCode", "year")
 
 
-def fetch_per_reporter(plan: DataFrame, fetch: RowFn, partitions: int | None = None
-                       ) -> tuple[DataFrame, DataFrame]:
+def fetch_per_reporter(plan: DataFrame, fetch: RowFn, partitions: int | None = None,
+                       min_interval_s: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Distinct ``(reporter_id, reporter_name)`` of a plan -> one request
     each -> ``reporter_id, reporter_name, json_data`` (raw answer text).
     Returns (answers, rejected)."""
     reporters = distinct_pairs(plan, ["reporter_id", "reporter_name"])
     answers = enrich_partitions(reporters, fetch, ["reporter_id", "reporter_name"],
-                                partitions=partitions or parallelism(plan.sparkSession))
+                                partitions=partitions or parallelism(plan.sparkSession),
+                                min_interval_s=min_interval_s)
     return split_failures(answers)
 
 
 def fetch_preview(plan: DataFrame, fetch: RowFn, keys: Sequence[str] = PREVIEW_KEYS,
-                  partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  partitions: int | None = None, min_interval_s: float = 0.0
+                  ) -> tuple[DataFrame, DataFrame]:
     """X6 first half: one preview request per plan row (keys + JSON array
     answer).  Returns (answers, rejected)."""
     answers = enrich_partitions(plan, fetch, list(keys),
-                                partitions=partitions or parallelism(plan.sparkSession))
+                                partitions=partitions or parallelism(plan.sparkSession),
+                                min_interval_s=min_interval_s)
     return split_failures(answers)
 
 
 def plan_fetch_extract(plan: DataFrame, fetch: RowFn, fields: Sequence[str] = PREVIEW_FIELDS,
                        keys: Sequence[str] = PREVIEW_KEYS,
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None,
+                       min_interval_s: float = 0.0) -> DataFrame:
     """Plan -> fetch -> drop empty answers -> one row per returned
     record with each field as JSON text."""
-    answers, _ = fetch_preview(plan, fetch, keys, partitions)
+    answers, _ = fetch_preview(plan, fetch, keys, partitions, min_interval_s)
     return preview_extract(filter_nonempty_json(answers), keys, fields)
 
 

@@ -34,7 +34,8 @@ def detail_requests(spark: SparkSession, availability_path: str,
 
 def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
                     output_path: str, ceiling: int = DETAIL_RECORD_CEILING,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, min_interval_s: float = 0.0
+                    ) -> DataFrame:
     """Entry B end to end: plan -> per-row fetch on executors -> one JSON
     dataset per (reporterCode, period).  Failed or empty answers are
     skipped; the rejected rows are returned for reporting.
@@ -45,7 +46,8 @@ def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
     """
     plan = detail_requests(spark, availability_path, ceiling)
     answers = enrich_partitions(plan, fetch, ["reporterCode", "period"],
-                                partitions=partitions).checkpoint(eager=True)
+                                partitions=partitions,
+                                min_interval_s=min_interval_s).checkpoint(eager=True)
     ok, rejected = split_failures(answers)
     sink_json_per_key(ok.select("reporterCode", "period",
                                 F.col("json_data").alias("response")),
