@@ -284,9 +284,22 @@ def q_project_request_params(spark, sf):
     return project_request_params(_request_plan(spark, sf))
 
 
+def _orders_without(orders: DataFrame, child_keys: DataFrame) -> DataFrame:
+    """Orders with no child row.  The child keys are de-duplicated first
+    (map-side partial distinct), so a hot key is one row per task before
+    the anti join and never a hot partition."""
+    return orders.join(child_keys.distinct().hint("merge"), "o_orderkey", "left_anti")
+
+
 def _nested_order_docs(spark, sf, keep_empty: bool):
     """Envelopes of orders, each carrying its lines as ``notes``; lines
-    repeat the parent key (dropped again by P7)."""
+    repeat the parent key (dropped again by P7).
+
+    Lines are pre-aggregated per (order, line page), joined to their order
+    by an inner join (AQE may split a skewed partition on either side), and
+    orders without lines come from an anti join against the distinct line
+    keys, so no outer join ever pins a hot key to one task.
+    """
     orders = _t(spark, sf, "orders")
     lines = _t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity",
@@ -294,14 +307,19 @@ def _nested_order_docs(spark, sf, keep_empty: bool):
     notes = (lines.groupBy("o_orderkey", "line_page")
              .agg(F.collect_list(F.struct("o_orderkey", "l_linenumber", "l_quantity",
                                           "l_returnflag")).alias("notes")))
-    how = "left" if keep_empty else "inner"
-    parents = (orders.join(notes, "o_orderkey", how)
-               .withColumn("line_page", F.coalesce("line_page", F.lit(0).cast("bigint"))))
+    # the note side grows with the data and has no proven size bound:
+    # never broadcast it on an estimate
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "line_page", "notes"]
+    parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(*cols)
+    if keep_empty:
+        empty = _orders_without(orders, lines.select("o_orderkey")).select(
+            "o_orderkey", "o_custkey", "o_orderstatus",
+            F.lit(0).cast("bigint").alias("line_page"),
+            F.array().cast(notes.schema["notes"].dataType).alias("notes"))
+        parents = parents.unionByName(empty)
     # a hot order's line pages land in different documents (parent repeated)
     return envelope_documents(parents, ["line_page"], page_of("o_orderkey", ORDER_PAGE),
-                              ["o_orderkey", "o_custkey", "o_orderstatus",
-                               F.coalesce("notes", F.array().cast(notes.schema["notes"].dataType))
-                               .alias("notes")])
+                              ["o_orderkey", "o_custkey", "o_orderstatus", "notes"])
 
 
 _NESTED_DDL = ("data array<struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,"
@@ -354,19 +372,20 @@ def q_filter_column_neq(spark, sf):
 
 def _line_array_docs(spark, sf):
     """Per (order, line page): JSON array of its lines with quantity > 25;
-    orders without such lines answer ``[]``."""
+    orders without such lines answer ``[]``.  Non-empty answers need no
+    join (the order key is on the line); empty ones come from an anti join
+    against the distinct keys."""
     orders = _t(spark, sf, "orders").select("o_orderkey")
     lines = _t(spark, sf, "lineitem").filter(F.col("l_quantity") > 25).select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag",
         F.when(F.col("l_quantity") > 40, F.lit("big")).alias("l_note"))
-    joined = orders.join(lines, "o_orderkey", "left")
-    page = F.coalesce(page_of("l_linenumber", LINE_PAGE), F.lit(0).cast("bigint"))
-    item = F.when(F.col("l_linenumber").isNotNull(),
-                  F.struct("l_linenumber", "l_returnflag", "l_note"))
-    grouped = joined.groupBy("o_orderkey", page.alias("page")).agg(
-        F.collect_list(item).alias("items"))
-    return grouped.select("o_orderkey", "page",
-                          F.to_json("items", {"ignoreNullFields": "false"}).alias("json_data"))
+    grouped = lines.groupBy("o_orderkey", page_of("l_linenumber", LINE_PAGE).alias("page")).agg(
+        F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_note")).alias("items"))
+    answered = grouped.select("o_orderkey", "page", F.to_json(
+        "items", {"ignoreNullFields": "false"}).alias("json_data"))
+    empty = _orders_without(orders, lines.select("o_orderkey")).select(
+        "o_orderkey", F.lit(0).cast("bigint").alias("page"), F.lit("[]").alias("json_data"))
+    return answered.unionByName(empty)
 
 
 def q_filter_nonempty_json(spark, sf):
@@ -669,7 +688,7 @@ def q_publication_notes_table(spark, sf):
                  F.col("l_linestatus").alias("tradeSystem"),
                  F.col("l_linenumber").cast("string").alias("publicationNote")).alias("note"))
     notes = lines.groupBy("o_orderkey", "line_page").agg(F.collect_list("note").alias("notes"))
-    parents = orders.join(notes, "o_orderkey", "inner").select(
+    parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(
         "o_orderkey", "line_page", "notes",
         F.col("o_custkey").cast("int").alias("reporterCode"),
         F.year("o_orderdate").alias("period"),
