@@ -8,12 +8,15 @@ like a broadcast) and each row of the large side is expanded by a
 nested-loop join, work equal to the output size.
 
 When a dimension is larger than the bound, ``attach_dimension`` falls back
-to a block product: the dimension is cut into chunks of at most
-``max_rows`` rows (each chunk one array), every large-side row is fanned out
-to all chunk ids with a salt, and the two meet in an equi-join on
-``(chunk, salt)`` so no task holds more than one chunk plus a slice of the
-large side.  Chunks are content hashes of de-duplicated rows, so the
-product is the same whichever tasks are recomputed after a lost executor.
+to a block product: the dimension is cut by a content hash into chunks of
+about ``max_rows / 2`` distinct rows (each chunk one array), every
+large-side row is fanned out to all chunk ids with a salt, and the two meet
+in an equi-join on ``(chunk, salt)`` so a task holds one chunk plus a slice
+of the large side.  Salts are sized so that chunks x salts is about the
+cluster's task slots: the dimension is replicated ``salts`` times, i.e. about
+``slots * max_rows / 2`` rows in total whatever its size.  Chunks are content
+hashes of de-duplicated rows, so the product is the same whichever tasks are
+recomputed after a lost executor.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradelake.session import parallelism
+
 DEFAULT_MAX_DIMENSION_ROWS = 100_000
 _DIM = "_tl_dim"
 _CHUNK = "_tl_chunk"
@@ -68,7 +73,7 @@ def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,
                    salts: int | None) -> DataFrame:
     spark = big.sparkSession
     chunks = max(1, math.ceil(2 * n / max_rows))        # hash chunks, ~max_rows/2 each
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or max(1, math.ceil(parallelism(spark) / chunks))
     # Identical dimension rows collapse to one row with a multiplicity, so
     # chunk ids can be a pure content hash: stable under recomputation and
     # balanced even when one row value repeats a great many times.
