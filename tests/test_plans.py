@@ -99,3 +99,11 @@ def test_block_product_with_hot_duplicates_and_nulls(spark):
     got = sorted(out.collect(), key=repr)
     want = sorted(((i % 3, s, n) for i in range(12) for s, n in dim), key=repr)
     assert [tuple(r) for r in got] == [tuple(w) for w in want]
+
+
+def test_block_product_default_salts(spark):
+    big = spark.range(20).withColumnRenamed("id", "b")
+    small = spark.range(100).withColumnRenamed("id", "s")
+    out = attach_dimension(big, small, max_rows=15)
+    assert out.count() == 2000
+    assert out.distinct().count() == 2000
