@@ -107,3 +107,12 @@ def test_enrich_paces_calls_per_task(spark):
     stamps = sorted(json.loads(r.json_data)["t"] for r in paced.collect())
     gaps = [b - a for a, b in zip(stamps, stamps[1:])]
     assert len(stamps) == 8 and min(gaps) >= 0.045
+
+
+def test_enrich_sees_native_values(spark):
+    df = spark.createDataFrame([(156, "a"), (None, "b"), (842, None)], "k int, s string")
+    seen = enrich_partitions(df, lambda row: {"k": row["k"], "type": type(row["k"]).__name__},
+                             ["k", "s"], partitions=1)
+    got = sorted((json.loads(r.json_data)["type"], r.k) for r in seen.collect() if r.k)
+    assert got == [("int", 156), ("int", 842)]
+    assert seen.schema["k"].dataType.simpleString() == "int"

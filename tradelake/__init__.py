@@ -7,7 +7,7 @@ lineage; see README.md for the operator map.
 
 import sys as _sys
 
-# Functions of this package that run on executors (mapInPandas bodies,
+# Functions of this package that run on executors (mapInArrow bodies,
 # injected per-request functions) are shipped by value, so executors need
 # no installed copy of the package.
 try:

@@ -9,7 +9,7 @@ import logging
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +31,9 @@ def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
     function in tests).  Its answer is kept as text: strings as they are,
     anything else JSON-encoded.  An exception fails only that row (X2): its
     result is null and ``error`` carries the message.  Rows stream through
-    Arrow batches, so a partition is never materialised as one list.
+    Arrow batches (``mapInArrow``), so a partition is never materialised as
+    one list, and ``fn`` sees native Python values (an int key stays an int
+    even when other rows are null).
 
     ``min_interval_s`` paces calls inside each task, so the whole job never
     sends more than ``partitions / min_interval_s`` requests per second to
@@ -48,11 +50,14 @@ def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
         T.StructField(result_col, T.StringType()),
         T.StructField("error", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [*keys, result_col, "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_call = float("-inf")
-        for pdf in batches:
+        for batch in batches:
             results, errors = [], []
-            for row in pdf.to_dict("records"):
+            # native Python values: ints stay ints even beside nulls
+            for row in batch.to_pylist():
                 if min_interval_s > 0:
                     wait = last_call + min_interval_s - time.monotonic()
                     if wait > 0:
@@ -70,12 +75,12 @@ def enrich_partitions(df: DataFrame, fn: RowFn, keys: Sequence[str],
                     log.error("request failed for %s: %s", {k: row[k] for k in keys}, exc)
                     results.append(None)
                     errors.append(f"{type(exc).__name__}: {exc}")
-            out = pdf[list(keys)].copy()
-            out[result_col] = results
-            out["error"] = errors
-            yield out
+            columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+            yield pa.RecordBatch.from_arrays(
+                columns + [pa.array(results, pa.string()), pa.array(errors, pa.string())],
+                names=names)
 
-    return src.mapInPandas(run, out_schema)
+    return src.mapInArrow(run, out_schema)
 
 
 def split_failures(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
