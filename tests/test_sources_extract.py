@@ -11,7 +11,7 @@ from tradelake.plans.ingest import detail_requests, extract_details
 from tradelake.schemas import AVAILABILITY_SCHEMA
 from tradelake.sources.readers import (json_rows_declared_schema, rows_declared_schema,
                                        rows_inferred_schema, scan_csv_inferred,
-                                       scan_parquet_sql)
+                                       scan_landed_json, scan_parquet_sql)
 
 SCHEMA = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("s", T.StringType()),
                        T.StructField("m", T.StringType())])
@@ -84,8 +84,15 @@ def test_threshold_driven_detail_extract(spark, tmp_path):
     assert sorted(r.reporterCode for r in rejected.collect()) == [12, 16]
     dirs = sorted(os.path.relpath(d, out) for d in glob.glob(f"{out}/*/*"))
     assert dirs == ["reporterCode=4/period=2020", "reporterCode=4/period=2021"]
-    doc = spark.read.json(out).filter("period = 2021").collect()[0].response
-    assert json.loads(doc)["data"][0] == {"reporterCode": 4, "period": 2021}
+    docs = spark.read.json(out)
+    row = docs.filter("period = 2021").collect()[0]
+    assert row["count"] == 1 and row.data[0].reporterCode == 4 and row.reporterCode == 4
+    raw = scan_landed_json(spark, out, recursive=True, file_glob="*.txt",
+                           key_pattern=r"reporterCode=(\d+)/period=(\d+)/",
+                           key_names=["reporterCode", "period"], key_types=["int", "int"])
+    got = sorted((r.reporterCode, r.period, json.loads(r.json_data)["data"][0]["period"])
+                 for r in raw.collect())
+    assert got == [(4, 2020, 2020), (4, 2021, 2021)]
 
 
 def test_extract_fetches_each_request_once(spark, tmp_path):

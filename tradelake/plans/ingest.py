@@ -36,9 +36,10 @@ def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
                     output_path: str, ceiling: int = DETAIL_RECORD_CEILING,
                     partitions: int | None = None, min_interval_s: float = 0.0
                     ) -> DataFrame:
-    """Entry B end to end: plan -> per-row fetch on executors -> one JSON
-    dataset per (reporterCode, period).  Failed or empty answers are
-    skipped; the rejected rows are returned for reporting.
+    """Entry B end to end: plan -> per-row fetch on executors -> the answer
+    documents themselves under ``reporterCode=<r>/period=<p>/`` (read them
+    with ``spark.read.json`` or ``scan_landed_json``).  Failed or empty
+    answers are skipped; the rejected rows are returned for reporting.
 
     Answers are checkpointed to the shared checkpoint folder right after the
     fetch: both outputs read them, and neither a second action nor a lost
@@ -49,7 +50,5 @@ def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
                                 partitions=partitions,
                                 min_interval_s=min_interval_s).checkpoint(eager=True)
     ok, rejected = split_failures(answers)
-    sink_json_per_key(ok.select("reporterCode", "period",
-                                F.col("json_data").alias("response")),
-                      output_path, ["reporterCode", "period"])
+    sink_json_per_key(ok, output_path, ["reporterCode", "period"], document_col="json_data")
     return rejected

@@ -39,15 +39,24 @@ def sink_single_parquet(df: DataFrame, path: str,
     _single_file(df, max_rows).write.mode("overwrite").parquet(path)
 
 
-def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str],
+                      document_col: str | None = None) -> None:
     """K3: one JSON dataset per key, the key in the directory name
     (``reporterCode=.../period=...``), replacing earlier output.
 
+    Rows are written as JSON records, or - with ``document_col`` - that
+    column is written as is, one JSON document per line (for answers that
+    already are JSON text, so they are not encoded twice).
+
     Rows are clustered by key with a REBALANCE hint: normally one file per
     key, while AQE splits a hot key over several files instead of one task.
     """
-    (df.hint("rebalance", *keys)
-       .write.mode("overwrite").partitionBy(*keys).json(path))
+    clustered = df.hint("rebalance", *keys)
+    if document_col is None:
+        clustered.write.mode("overwrite").partitionBy(*keys).json(path)
+        return
+    (clustered.select(*keys, F.col(document_col).alias("value"))
+        .write.mode("overwrite").partitionBy(*keys).text(path))
 
 
 def sink_csv_quoted_single(df: DataFrame, path: str,
