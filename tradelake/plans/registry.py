@@ -270,16 +270,27 @@ def q_sanitize_columns_punct(spark, sf):
 
 
 def _request_plan(spark, sf) -> DataFrame:
+    """Every nation as reporter and partner, every region as a flow, and the
+    commodities of one aggregation level (``p_size = 1``, read from the whole
+    part table) for 2010-2023."""
     nation, region, part = (_t(spark, sf, n) for n in ("nation", "region", "part"))
-    reporters = dimension(nation, "n_nationkey", "reporter_id", "n_name", "reporter_name",
-                          ids=[1, 2, 3])
-    partners = dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name",
-                         ids=[1, 2, 3, 4])
-    flows = dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name", ids=[0, 1])
+    reporters = dimension(nation, "n_nationkey", "reporter_id", "n_name", "reporter_name")
+    partners = dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name")
+    flows = dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name")
     commodities = dimension(part, "p_partkey", "cmdCode", where=F.col("p_size") == 1)
     return bilateral_plan(reporters, partners, flows, commodities)
 
 
+def _preview_plan(spark, sf) -> DataFrame:
+    """Preview requests of every supplier with its own nation as partner,
+    total trade (``cmdCode = 'TOTAL'``, flow ``M``) for 2010-2023."""
+    from tradelake.operators.product import with_sequence
+    suppliers = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("reporter_id"), F.col("s_nationkey").alias("partner_id"),
+        F.lit("M").alias("flow_id"), F.lit("TOTAL").alias("cmdCode"))
+    return with_sequence(suppliers, "year", 2010, 2024)
+
+
 def q_project_request_params(spark, sf):
     return project_request_params(_request_plan(spark, sf))
 
@@ -630,7 +641,7 @@ def _preview_answer(row) -> str:
 
 def q_plan_fetch_extract(spark, sf):
     from tradelake.plans.fetch import plan_fetch_extract
-    return plan_fetch_extract(_request_plan(spark, sf), _preview_answer,
+    return plan_fetch_extract(_preview_plan(spark, sf), _preview_answer,
                               ["typeCode", "refYear", "reporterCode", "partnerCode",
                                "flowCode", "tradeValue", "qtyUnitCode"])
 
@@ -656,7 +667,7 @@ def _world_share_raw(spark, sf):
     """World-share answers: one request per (typeCode, freqCode), paged."""
     o = _t(spark, sf, "orders").select(
         F.col("o_orderstatus").alias("typeCode"),
-        F.substring("o_orderpriority", 1, 1).alias("freqCode"),
+        F.col("o_orderpriority").alias("freqCode"),
         "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus",
         F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
@@ -693,7 +704,7 @@ def q_publication_notes_table(spark, sf):
         F.col("o_custkey").cast("int").alias("reporterCode"),
         F.year("o_orderdate").alias("period"),
         F.col("o_orderstatus").alias("typeCode"),
-        F.substring("o_orderpriority", 1, 1).alias("freqCode"),
+        F.col("o_orderpriority").alias("freqCode"),
         F.col("o_orderkey").alias("datasetCode"))
     docs = envelope_documents(parents, ["line_page"], page_of("o_orderkey", ORDER_PAGE),
                               ["reporterCode", "period", "typeCode", "freqCode", "datasetCode",
@@ -709,7 +720,7 @@ def _availability_raw(spark, sf):
                 F.col("p_partkey").cast("int").alias("reporterCode"),
                 F.col("p_brand").alias("reporterISO"), F.col("p_name").alias("reporterDesc"),
                 F.lit("HS").alias("classificationCode"),
-                (F.col("p_size") % 2 == 0).alias("isOriginalClassification"),
+                (F.col("p_size") > 25).alias("isOriginalClassification"),
                 (F.col("p_size") * 1000).alias("totalRecords"),
                 F.col("p_type").alias("firstReleased"),
                 F.col("p_size").alias("lengthCmdCode")]
@@ -807,9 +818,7 @@ CROSS JOIN nation p
 CROSS JOIN region f
 CROSS JOIN part c
 CROSS JOIN range(2010, 2024) y
-WHERE r.n_nationkey IN (1, 2, 3) AND p.n_nationkey IN (1, 2, 3, 4)
-  AND f.r_regionkey IN (0, 1) AND c.p_size = 1
-  AND r.n_nationkey != p.n_nationkey
+WHERE c.p_size = 1 AND r.n_nationkey != p.n_nationkey
 """
 
 _AVAIL_SQL = """
@@ -953,13 +962,15 @@ ORACLES: dict[str, str] = {
     "empty_input_policy": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'",
     "ingest_csv_to_parquet": "SELECT CAST(c_custkey AS VARCHAR) AS _c_custkey_, "
                              "c_name AS c_name, c_mktsegment FROM customer",
-    "plan_fetch_extract": "SELECT reporter_id, partner_id, flow_id, cmdCode, year, "
-                          "'\"C\"' AS typeCode, CAST(year AS VARCHAR) AS refYear, "
-                          "CAST(reporter_id AS VARCHAR) AS reporterCode, "
-                          "CAST(partner_id AS VARCHAR) AS partnerCode, "
-                          "'\"' || CAST(flow_id AS VARCHAR) || '\"' AS flowCode, "
+    "plan_fetch_extract": "SELECT s_suppkey AS reporter_id, s_nationkey AS partner_id, "
+                          "'M' AS flow_id, 'TOTAL' AS cmdCode, "
+                          "CAST(y.range AS INTEGER) AS year, "
+                          "'\"C\"' AS typeCode, CAST(y.range AS VARCHAR) AS refYear, "
+                          "CAST(s_suppkey AS VARCHAR) AS reporterCode, "
+                          "CAST(s_nationkey AS VARCHAR) AS partnerCode, "
+                          "'\"M\"' AS flowCode, "
                           "'null' AS tradeValue, CAST(NULL AS VARCHAR) AS qtyUnitCode "
-                          f"FROM ({_PLAN_SQL}) WHERE year >= 2012",
+                          "FROM supplier CROSS JOIN range(2012, 2024) y",
 }
 
 _NULL_TEXT_NOTE_FIELDS = ["reporterDescription", "importConvFactor", "exportConvFactor",
@@ -975,7 +986,7 @@ _AVAIL_FLAGS_NULL = ", ".join(f"CAST(NULL AS BOOLEAN) AS {f}" for f in [
 _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(2000 + p_size AS INTEGER) AS period, "
                  "CAST(p_partkey AS INTEGER) AS reporterCode, p_brand AS reporterISO, "
-                 "'HS' AS classificationCode, p_size % 2 = 0 AS isOriginalClassification, "
+                 "'HS' AS classificationCode, p_size > 25 AS isOriginalClassification, "
                  f"{_AVAIL_FLAGS_NULL}, CAST(p_size * 1000 AS INTEGER) AS totalRecords, "
                  "CAST(NULL AS BIGINT) AS datasetChecksum, p_type AS firstReleased, "
                  "CAST(NULL AS VARCHAR) AS lastReleased, '0.5s' AS elapsedTime, "
@@ -990,7 +1001,7 @@ ORACLES.update({
         "'{\"reporter\": ' || c_custkey || ', \"name\": \"' || c_name || '\"}' AS json_data "
         "FROM customer",
     "world_share_table":
-        "SELECT o_orderstatus AS typeCode, substring(o_orderpriority, 1, 1) AS freqCode, "
+        "SELECT o_orderstatus AS typeCode, o_orderpriority AS freqCode, "
         "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, "
         "CAST(year(o_orderdate) AS INTEGER) AS year, "
         "CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority AS datasetDesc, "
@@ -1001,7 +1012,7 @@ ORACLES.update({
         "CAST(NULL AS VARCHAR) AS lastReleased, CAST(NULL AS VARCHAR) AS created, "
         "CAST(NULL AS VARCHAR) AS updated FROM orders",
     "publication_notes_table":
-        "SELECT o.o_orderstatus AS typeCode, substring(o.o_orderpriority, 1, 1) AS freqCode, "
+        "SELECT o.o_orderstatus AS typeCode, o.o_orderpriority AS freqCode, "
         "'HS' AS clCode, CAST(o.o_custkey AS INTEGER) AS reporterCode, "
         "CAST(year(o.o_orderdate) AS INTEGER) AS period, o.o_orderkey AS datasetCode, "
         + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[:1]) + ", "
