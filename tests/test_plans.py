@@ -107,3 +107,18 @@ def test_block_product_default_salts(spark):
     out = attach_dimension(big, small, max_rows=15)
     assert out.count() == 2000
     assert out.distinct().count() == 2000
+
+
+def test_bilateral_plan_over_bound_paths_match(spark):
+    reporters = spark.createDataFrame([(i, f"r{i}") for i in range(4)],
+                                      "reporter_id int, reporter_name string")
+    partners = spark.createDataFrame([(i, f"p{i}") for i in range(5)],
+                                     "partner_id int, partner_name string")
+    flows = spark.createDataFrame([("X", "Export"), ("M", "Import")],
+                                  "flow_id string, flow_name string")
+    cmds = spark.createDataFrame([("01",), ("02",)], "cmdCode string")
+    small = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022),
+                           max_dimension_rows=3)       # partners and combos over the bound
+    big = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022))
+    got, want = sorted(map(tuple, small.collect())), sorted(map(tuple, big.collect()))
+    assert got == want and len(got) == (4 * 5 - 4) * 2 * 2 * 2

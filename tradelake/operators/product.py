@@ -48,6 +48,18 @@ def _dimension_array(small: DataFrame, max_rows: int):
     return small.agg(guarded.alias(_DIM)).scalar()
 
 
+def capped_counts(dfs: list[DataFrame], cap: int) -> list[int]:
+    """Row counts of several small inputs in one job, each counted no
+    further than ``cap`` (enough to decide "at most cap rows?")."""
+    parts = [df.limit(cap).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    got = {r["i"]: r["n"] for r in union.collect()}
+    return [got[i] for i in range(len(dfs))]
+
+
 def attach_dimension(big: DataFrame, small: DataFrame,
                      max_rows: int = DEFAULT_MAX_DIMENSION_ROWS,
                      salts: int | None = None,
@@ -55,7 +67,8 @@ def attach_dimension(big: DataFrame, small: DataFrame,
     """Every row of ``big`` combined with every row of ``small``.
 
     Output columns: ``big.columns + small.columns`` (names must not clash).
-    ``small_rows`` may pass a known count to skip the size check job.
+    ``small_rows`` may pass a known count (or an upper bound, or a count
+    capped at ``max_rows + 1``) to skip the size check job.
     """
     clash = set(big.columns) & set(small.columns)
     if clash:
@@ -65,8 +78,9 @@ def attach_dimension(big: DataFrame, small: DataFrame,
     if n <= max_rows:
         return (big.select("*", F.explode(_dimension_array(small, max_rows)).alias(_DIM))
                 .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
-    return _block_product(big, small, small.count() if small_rows is None else n,
-                          max_rows, salts)
+    # over the bound: size the chunks from an exact count (a passed
+    # ``small_rows`` may be a capped count)
+    return _block_product(big, small, small.count(), max_rows, salts)
 
 
 def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.operators.filters import spread
 from tradelake.operators.product import (DEFAULT_MAX_DIMENSION_ROWS, attach_dimension,
-                                         with_sequence)
+                                         capped_counts, with_sequence)
 from tradelake.schemas import BILATERAL_YEARS, REPORTER_YEARS
 
 
@@ -53,8 +54,10 @@ def dimension(df: DataFrame, id_col: str, id_alias: str, name_col: str | None =
 
 def reporter_year_plan(reporters: DataFrame, years: tuple[int, int] = REPORTER_YEARS
                        ) -> DataFrame:
-    """``reporter_id, reporter_name, year`` for every reporter x year."""
-    return with_sequence(reporters.select("reporter_id", "reporter_name"), "year", *years)
+    """``reporter_id, reporter_name, year`` for every reporter x year
+    (the reporter input is spread over the task slots before expansion)."""
+    return with_sequence(spread(reporters.select("reporter_id", "reporter_name")), "year",
+                         *years)
 
 
 def bilateral_plan(reporters: DataFrame, partners: DataFrame, flows: DataFrame,
@@ -67,13 +70,23 @@ def bilateral_plan(reporters: DataFrame, partners: DataFrame, flows: DataFrame,
     surviving combinations.  Rows with a null reporter or partner id drop
     out, as in SQL.
     """
-    pairs = attach_dimension(reporters.select("reporter_id", "reporter_name"),
-                             partners.select("partner_id", "partner_name"),
-                             max_dimension_rows)
+    reporters = reporters.select("reporter_id", "reporter_name")
+    partners = partners.select("partner_id", "partner_name")
+    flows = flows.select("flow_id", "flow_name")
+    # one job sizes all three dimensions; the combination count is then
+    # bounded by their product and needs no job of its own
+    cap = max_dimension_rows + 1
+    n_rep, n_par, n_flow = capped_counts([reporters, partners, flows], cap)
+    pairs = attach_dimension(reporters, partners, max_dimension_rows, small_rows=n_par)
     pairs = pairs.filter(F.col("reporter_id") != F.col("partner_id"))
-    combos = attach_dimension(pairs, flows.select("flow_id", "flow_name"),
-                              max_dimension_rows)
-    plan = attach_dimension(commodities.select("cmdCode"), combos, max_dimension_rows)
+    combos = attach_dimension(pairs, flows, max_dimension_rows, small_rows=n_flow)
+    bound = n_rep * n_par * n_flow
+    # the output is |commodities| x |combos| x years: spread the (possibly
+    # tiny) commodity input over the task slots before it is expanded, so
+    # the expansion is parallel however few files the input came from
+    plan = attach_dimension(spread(commodities.select("cmdCode")), combos,
+                            max_dimension_rows,
+                            small_rows=bound if bound <= max_dimension_rows else None)
     plan = with_sequence(plan, "year", *years)
     return plan.select("reporter_id", "reporter_name", "partner_id", "partner_name",
                        "flow_id", "flow_name", "cmdCode", "year")
