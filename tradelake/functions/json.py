@@ -94,11 +94,13 @@ def first_nonempty_list(json_col: ColumnLike) -> Column:
     else yields null, which callers route to a reject output.
     """
     c = _col(json_col)
-    top = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    # objects (the usual envelope) are parsed once, in member order; only
+    # documents that are not objects fall through to the list parse
     members = F.map_values(F.from_json(c, "map<string,variant>"))
     lists = F.transform(members, lambda v: F.try_variant_get(v, "$", "array<variant>"))
     nonempty = F.filter(lists, lambda a: F.size(a) > 0)
-    chosen = F.coalesce(top, F.get(nonempty, 0))
+    top = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    chosen = F.when(members.isNotNull(), F.get(nonempty, 0)).otherwise(top)
     return F.transform(chosen, lambda v: F.to_json(v))
 
 
