@@ -55,9 +55,11 @@ def parallelism(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local runs, tests) is a private
-    directory created and registered, so later ``checkpoint()`` calls and
-    scratch writes agree on one location.
+    Only when the session names none and runs in local mode (local runs,
+    tests) is a private directory created and registered, so later
+    ``checkpoint()`` calls and scratch writes agree on one location.  On a
+    cluster an unset folder is an error: a machine-local one would not be
+    visible to other executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -66,6 +68,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no context in a remote session
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                "(e.g. on the cluster's shared file system) before running tradelake jobs")
         root = tempfile.mkdtemp(prefix="tradelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:
