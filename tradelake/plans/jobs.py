@@ -20,3 +20,96 @@ def run_word_count(spark: SparkSession, input_path: str, output_path: str) -> No
 def run_trip_distance(spark: SparkSession, input_path: str, output_path: str) -> None:
     """Add ``distance`` (miles, 2 decimals) to a trips dataset."""
     sink_parquet_overwrite(add_trip_distance(scan_parquet(spark, input_path)), output_path)
+
+
+# --------------------------------------------------------------------------
+# Jobs over landed response documents (one per original job).  Documents
+# are files whose names carry the request keys; the patterns below are the
+# defaults and can be changed per call.
+# --------------------------------------------------------------------------
+
+WORLD_SHARE_FILES = r"world_share_([A-Z])_([A-Z])\.json$"          # typeCode, freqCode
+NOTES_FILES = r"notes_([A-Z])_([A-Z])_([A-Z]+)\.json$"              # typeCode, freqCode, clCode
+
+
+def run_world_share(spark: SparkSession, landed_path: str, output_path: str,
+                    file_pattern: str = WORLD_SHARE_FILES, on_empty: str = "write") -> str:
+    """World share documents -> typed table -> Parquet.  An empty answer
+    writes an empty dataset (the original behaviour); pass ``on_empty``
+    to change that."""
+    from tradelake.operators.flow import write_with_empty_policy
+    from tradelake.plans.responses import world_share_table
+    from tradelake.sources.readers import scan_landed_json
+    raw = scan_landed_json(spark, landed_path, key_pattern=file_pattern,
+                           key_names=["typeCode", "freqCode"], recursive=True,
+                           file_glob="*.json")
+    return write_with_empty_policy(world_share_table(raw), output_path, on_empty)
+
+
+def run_publication_notes(spark: SparkSession, landed_path: str, output_path: str,
+                          file_pattern: str = NOTES_FILES, on_empty: str = "write") -> str:
+    """Publication-note documents -> one row per note -> Parquet."""
+    from tradelake.operators.flow import write_with_empty_policy
+    from tradelake.plans.responses import notes_table
+    from tradelake.sources.readers import scan_landed_json
+    raw = scan_landed_json(spark, landed_path, key_pattern=file_pattern,
+                           key_names=["typeCode", "freqCode", "clCode"], recursive=True,
+                           file_glob="*.json")
+    return write_with_empty_policy(notes_table(raw), output_path, on_empty)
+
+
+def run_availability(spark: SparkSession, landed_path: str, output_path: str,
+                     tariffline: bool = False, on_empty: str = "fail") -> str:
+    """Data-availability documents -> typed table with envelope members ->
+    Parquet.  No data fails by default (the original raised), so an outage
+    cannot replace a good dataset."""
+    from tradelake.operators.flow import write_with_empty_policy
+    from tradelake.plans.responses import availability_table
+    from tradelake.schemas import AVAILABILITY_SCHEMA, TARIFFLINE_AVAILABILITY_SCHEMA
+    from tradelake.sources.readers import scan_landed_json
+    raw = scan_landed_json(spark, landed_path, recursive=True, file_glob="*.json")
+    schema = TARIFFLINE_AVAILABILITY_SCHEMA if tariffline else AVAILABILITY_SCHEMA
+    return write_with_empty_policy(availability_table(raw, schema), output_path, on_empty)
+
+
+def run_reference_tables(spark: SparkSession, landed_dir: str, output_dir: str):
+    """Reference documents named ``<category>.json`` (``:`` allowed) under
+    ``landed_dir`` -> one dataset per category plus rejects; returns the
+    per-category outcome table."""
+    from tradelake.plans.reference import ingest_reference_tables
+    from tradelake.sources.readers import scan_landed_json
+    raw = scan_landed_json(spark, landed_dir, key_pattern=r"([^/]+)\.json$",
+                           key_names=["category"], recursive=True, file_glob="*.json")
+    return ingest_reference_tables(raw.drop("source_file"), output_dir)
+
+
+def run_bilateral_plan(spark: SparkSession, reference_dir: str, output_path: str,
+                       reporter_ids: list, partner_ids: list, flow_ids: list,
+                       commodity_level: int = 0, years: tuple[int, int] | None = None) -> None:
+    """Request plan from ingested reference tables (reporter, partner, flow,
+    cmd_HS) -> one Parquet file."""
+    from tradelake.plans.reference import reference_table
+    from tradelake.plans.request_plan import bilateral_plan, dimension
+    from tradelake.schemas import BILATERAL_YEARS
+    from tradelake.sinks.writers import sink_single_parquet
+    from pyspark.sql import functions as F
+    ref = lambda name: reference_table(spark, reference_dir, name)
+    plan = bilateral_plan(
+        dimension(ref("reporter"), "id", "reporter_id", "text", "reporter_name", ids=reporter_ids),
+        dimension(ref("partner"), "id", "partner_id", "text", "partner_name", ids=partner_ids),
+        dimension(ref("flow"), "id", "flow_id", "text", "flow_name", ids=flow_ids),
+        dimension(ref("cmd_HS"), "id", "cmdCode", where=F.col("aggrLevel") == commodity_level),
+        years or BILATERAL_YEARS)
+    sink_single_parquet(plan, output_path)
+
+
+def run_reporter_year_plan(spark: SparkSession, reference_dir: str, output_path: str,
+                           years: tuple[int, int] | None = None) -> None:
+    """Every reporter x year (1962-2024 by default) -> one Parquet file."""
+    from tradelake.plans.reference import reference_table
+    from tradelake.plans.request_plan import dimension, reporter_year_plan
+    from tradelake.schemas import REPORTER_YEARS
+    from tradelake.sinks.writers import sink_single_parquet
+    reporters = dimension(reference_table(spark, reference_dir, "reporter"), "id",
+                          "reporter_id", "text", "reporter_name")
+    sink_single_parquet(reporter_year_plan(reporters, years or REPORTER_YEARS), output_path)
