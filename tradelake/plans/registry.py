@@ -269,15 +269,22 @@ def q_sanitize_columns_punct(spark, sf):
     return sanitize_columns_punct(dotted)
 
 
-def _request_plan(spark, sf) -> DataFrame:
+def _request_plan(spark, sf, key_type: str | None = None) -> DataFrame:
     """Every nation as reporter and partner, every region as a flow, and the
     commodities of one aggregation level (``p_size = 1``, read from the whole
-    part table) for 2010-2023."""
+    part table) for 2010-2023.  ``key_type="string"`` types the ids as
+    request parameters once per dimension row instead of once per plan row."""
     nation, region, part = (_t(spark, sf, n) for n in ("nation", "region", "part"))
-    reporters = dimension(nation, "n_nationkey", "reporter_id", "n_name", "reporter_name")
-    partners = dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name")
-    flows = dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name")
-    commodities = dimension(part, "p_partkey", "cmdCode", where=F.col("p_size") == 1)
+
+    def typed(df, col):
+        return df.withColumn(col, F.col(col).cast(key_type)) if key_type else df
+    reporters = typed(dimension(nation, "n_nationkey", "reporter_id", "n_name",
+                                "reporter_name"), "reporter_id")
+    partners = typed(dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name"),
+                     "partner_id")
+    flows = typed(dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name"), "flow_id")
+    commodities = typed(dimension(part, "p_partkey", "cmdCode", where=F.col("p_size") == 1),
+                        "cmdCode")
     return bilateral_plan(reporters, partners, flows, commodities)
 
 
@@ -292,7 +299,8 @@ def _preview_plan(spark, sf) -> DataFrame:
 
 
 def q_project_request_params(spark, sf):
-    return project_request_params(_request_plan(spark, sf))
+    # request parameters are strings: type the plan's ids as strings up front
+    return project_request_params(_request_plan(spark, sf, key_type="string"))
 
 
 def _orders_without(orders: DataFrame, child_keys: DataFrame) -> DataFrame:
