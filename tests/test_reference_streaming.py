@@ -36,9 +36,10 @@ def test_reference_tables_flow(spark, tmp_path):
 
 
 def _doc(period, reporters):
+    # pretty-printed, as landed by the original fetchers: must be read whole
     return json.dumps({"elapsedTime": "1s", "count": len(reporters), "error": None,
                        "data": [{"period": period, "year": period, "reporterCode": r,
-                                 "worldShare": 0.1} for r in reporters]})
+                                 "worldShare": 0.1} for r in reporters]}, indent=4)
 
 
 def test_streaming_ingest_is_incremental(spark, tmp_path):

@@ -112,3 +112,30 @@ def test_extract_fetches_each_request_once(spark, tmp_path):
     rejected = extract_details(spark, avail, fetch, str(tmp_path / "out"))
     assert rejected.count() == 1 and rejected.count() == 1
     assert len(os.listdir(calls)) == 6
+
+
+def test_landed_json_lines_mode(spark, tmp_path):
+    d = tmp_path / "reporter_4_period_2020"
+    d.mkdir()
+    (d / "part.json").write_text('{"count":1,"data":[{"a":1}]}\n{"count":2,"data":[{"a":2},{"a":3}]}\n')
+    whole = scan_landed_json(spark, str(tmp_path), recursive=True, file_glob="*.json")
+    lines = scan_landed_json(spark, str(tmp_path), recursive=True, file_glob="*.json",
+                             per_line=True, key_pattern=r"reporter_(\d+)_period_(\d+)/",
+                             key_names=["reporterCode", "period"], key_types=["int", "int"])
+    assert whole.count() == 1
+    got = sorted((r.reporterCode, r.period, json.loads(r.json_data)["count"])
+                 for r in lines.collect())
+    assert got == [(4, 2020, 1), (4, 2020, 2)]
+
+
+def test_landed_pretty_documents_read_whole_recursively(spark, tmp_path):
+    d = tmp_path / "landing" / "reporter_8_period_2021"
+    d.mkdir(parents=True)
+    doc = {"count": 2, "data": [{"a": "é"}, {"a": "ü"}]}
+    (d / "reporter_8_period_2021.json").write_text(json.dumps(doc, indent=4), encoding="utf-8")
+    raw = scan_landed_json(spark, str(tmp_path / "landing"), recursive=True, file_glob="*.json",
+                           key_pattern=r"reporter_(\d+)_period_(\d+)\.json$",
+                           key_names=["reporterCode", "period"], key_types=["int", "int"])
+    rows = raw.collect()
+    assert len(rows) == 1 and (rows[0].reporterCode, rows[0].period) == (8, 2021)
+    assert json.loads(rows[0].json_data) == doc

@@ -85,25 +85,30 @@ def rows_inferred_schema(spark: SparkSession, source: DataFrame | str,
 def scan_landed_json(spark: SparkSession, path: str, key_pattern: str | None = None,
                      key_names: Sequence[str] = (), key_types: Sequence[str] = (),
                      json_col: str = "json_data", file_glob: str | None = None,
-                     recursive: bool = False) -> DataFrame:
+                     recursive: bool = False, per_line: bool = False) -> DataFrame:
     """Landed response documents, one document per file.
 
-    Each file is one row (``wholetext``), so parse/explode parallelism is
-    the number of documents.  ``path`` is a file, glob or directory;
+    Each file is one row (read whole, UTF-8), so parse/explode parallelism is
+    the number of documents; ``per_line=True`` reads files that hold one
+    compact JSON document per line (JSON lines) instead, and splits large
+    files.  ``path`` is a file, glob or directory;
     ``recursive`` walks a directory tree and ``file_glob`` (e.g.
     ``"*.json"``) filters file names.  Request keys are recovered from the
     file path with ``key_pattern`` (one capture group per name), e.g.
     ``r"reporter_(\\d+)_period_(\\d+)\\.json$"``; a path that does not
     match gives null keys.
     """
-    reader = spark.read.option("wholetext", True)
+    # Whole files come from the binaryFile source: the text source's
+    # ``wholetext`` is not honoured together with ``recursiveFileLookup``
+    # (a pretty-printed document would be split into lines).
+    reader = spark.read.format("text" if per_line else "binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    raw = reader.text(path)
-    df = raw.select(F.col("_metadata.file_path").alias("source_file"),
-                    F.col("value").alias(json_col))
+    raw = reader.load(path)
+    text = F.col("value") if per_line else F.decode("content", "UTF-8")
+    df = raw.select(F.col("_metadata.file_path").alias("source_file"), text.alias(json_col))
     if key_pattern:
         types = list(key_types) or ["string"] * len(key_names)
         df = df.select(*[F.nullif(F.regexp_extract("source_file", key_pattern, i + 1), F.lit(""))

@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradelake.session import checkpoint_root
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def read_landed_stream(spark: SparkSession, landing_dir: str, file_glob: str = "*.json",
                        key_pattern: str | None = None, key_names: Sequence[str] = (),
@@ -25,15 +27,17 @@ def read_landed_stream(spark: SparkSession, landing_dir: str, file_glob: str = "
                        max_files_per_trigger: int | None = None,
                        recursive: bool = False) -> DataFrame:
     """Streaming twin of ``scan_landed_json``: one row per new file."""
-    reader = (spark.readStream.format("text").option("wholetext", True)
+    # whole files via binaryFile (fixed schema): the text source's wholetext
+    # is not honoured together with recursiveFileLookup
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", file_glob))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(landing_dir)
-    df = raw.select(F.col("_metadata.file_path").alias("source_file"),
-                    F.col("value").alias(json_col))
+    df = raw.select(F.col("path").alias("source_file"),
+                    F.decode("content", "UTF-8").alias(json_col))
     if key_pattern:
         types = list(key_types) or ["string"] * len(key_names)
         df = df.select(*[F.nullif(F.regexp_extract("source_file", key_pattern, i + 1), F.lit(""))
