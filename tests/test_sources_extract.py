@@ -139,3 +139,17 @@ def test_landed_pretty_documents_read_whole_recursively(spark, tmp_path):
     rows = raw.collect()
     assert len(rows) == 1 and (rows[0].reporterCode, rows[0].period) == (8, 2021)
     assert json.loads(rows[0].json_data) == doc
+
+
+def test_landed_keys_from_names_with_special_characters(spark, tmp_path):
+    d = tmp_path / "landing" / "cat one"
+    d.mkdir(parents=True)
+    (d / "reporter a+b é_period_7.json").write_text('{"count":1}\n')
+    pattern = r"/([^/]+)/reporter (.+)_period_(\d+)\.json$"
+    for per_line in (False, True):
+        raw = scan_landed_json(spark, str(tmp_path / "landing"), recursive=True,
+                               file_glob="*.json", per_line=per_line, key_pattern=pattern,
+                               key_names=["category", "reporter", "period"],
+                               key_types=["string", "string", "int"])
+        r = raw.collect()[0]
+        assert (r.category, r.reporter, r.period) == ("cat one", "a+b é", 7), per_line

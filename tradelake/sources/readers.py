@@ -107,8 +107,13 @@ def scan_landed_json(spark: SparkSession, path: str, key_pattern: str | None = N
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     raw = reader.load(path)
-    text = F.col("value") if per_line else F.decode("content", "UTF-8")
-    df = raw.select(F.col("_metadata.file_path").alias("source_file"), text.alias(json_col))
+    if per_line:
+        # the metadata path is URI-encoded; a literal "+" must survive decoding
+        source = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        text = F.col("value")
+    else:
+        source, text = F.col("path"), F.decode("content", "UTF-8")
+    df = raw.select(source.alias("source_file"), text.alias(json_col))
     if key_pattern:
         types = list(key_types) or ["string"] * len(key_names)
         df = df.select(*[F.nullif(F.regexp_extract("source_file", key_pattern, i + 1), F.lit(""))
