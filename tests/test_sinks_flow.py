@@ -116,3 +116,15 @@ def test_enrich_sees_native_values(spark):
     got = sorted((json.loads(r.json_data)["type"], r.k) for r in seen.collect() if r.k)
     assert got == [("int", 156), ("int", 842)]
     assert seen.schema["k"].dataType.simpleString() == "int"
+
+
+def test_per_key_documents_stay_one_per_line(spark, tmp_path):
+    doc = json.dumps({"count": 1, "data": [{"text": "two\nlines"}]}, indent=4)
+    df = spark.createDataFrame([(4, 2020, doc), (4, 2020, '{"count":0}')],
+                               "reporterCode int, period int, json_data string")
+    out = str(tmp_path / "docs")
+    sink_json_per_key(df, out, ["reporterCode", "period"], document_col="json_data")
+    back = spark.read.json(out)
+    assert sorted(r["count"] for r in back.collect()) == [0, 1]
+    texts = [r.data[0].text for r in back.filter("count = 1").collect()]
+    assert texts == ["two\nlines"]

@@ -55,7 +55,11 @@ def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str],
     if document_col is None:
         clustered.write.mode("overwrite").partitionBy(*keys).json(path)
         return
-    (clustered.select(*keys, F.col(document_col).alias("value"))
+    # one document per line: raw line breaks in valid JSON can only be
+    # whitespace between tokens (inside strings they are escaped), so
+    # turning them into spaces keeps every document exactly
+    one_line = F.translate(F.col(document_col), "\r\n", "  ")
+    (clustered.select(*keys, one_line.alias("value"))
         .write.mode("overwrite").partitionBy(*keys).text(path))
 
 
