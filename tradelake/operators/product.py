@@ -48,11 +48,12 @@ def _dimension_array(small: DataFrame, max_rows: int):
     return small.agg(guarded.alias(_DIM)).scalar()
 
 
-def capped_counts(dfs: list[DataFrame], cap: int) -> list[int]:
-    """Row counts of several small inputs in one job, each counted no
-    further than ``cap`` (enough to decide "at most cap rows?")."""
-    parts = [df.limit(cap).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
+def dimension_counts(dfs: list[DataFrame]) -> list[int]:
+    """Exact row counts of several inputs in one job.  Counts are partial
+    per task and merged from one number per task - never a ``limit``,
+    whose global step would gather rows from every partition in one task."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+             for i, df in enumerate(dfs)]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
@@ -67,20 +68,22 @@ def attach_dimension(big: DataFrame, small: DataFrame,
     """Every row of ``big`` combined with every row of ``small``.
 
     Output columns: ``big.columns + small.columns`` (names must not clash).
-    ``small_rows`` may pass a known count (or an upper bound, or a count
-    capped at ``max_rows + 1``) to skip the size check job.
+    ``small_rows`` may pass a known count (or an upper bound) to skip the
+    size check job.
     """
     clash = set(big.columns) & set(small.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    # the path decision needs only "at most max_rows?": count no further
-    n = small.limit(max_rows + 1).count() if small_rows is None else small_rows
+    # a distributed count (partial per task), not a limit: a global limit
+    # would gather rows from every partition into one task
+    n = small.count() if small_rows is None else small_rows
     if n <= max_rows:
         return (big.select("*", F.explode(_dimension_array(small, max_rows)).alias(_DIM))
                 .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
     # over the bound: size the chunks from an exact count (a passed
-    # ``small_rows`` may be a capped count)
-    return _block_product(big, small, small.count(), max_rows, salts)
+    # ``small_rows`` may be an upper bound)
+    return _block_product(big, small, small.count() if small_rows is not None else n,
+                          max_rows, salts)
 
 
 def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tradelake.operators.filters import spread
 from tradelake.operators.product import (DEFAULT_MAX_DIMENSION_ROWS, attach_dimension,
-                                         capped_counts, with_sequence)
+                                         dimension_counts, with_sequence)
 from tradelake.schemas import BILATERAL_YEARS, REPORTER_YEARS
 
 
@@ -75,8 +75,7 @@ def bilateral_plan(reporters: DataFrame, partners: DataFrame, flows: DataFrame,
     flows = flows.select("flow_id", "flow_name")
     # one job sizes all three dimensions; the combination count is then
     # bounded by their product and needs no job of its own
-    cap = max_dimension_rows + 1
-    n_rep, n_par, n_flow = capped_counts([reporters, partners, flows], cap)
+    n_rep, n_par, n_flow = dimension_counts([reporters, partners, flows])
     pairs = attach_dimension(reporters, partners, max_dimension_rows, small_rows=n_par)
     pairs = pairs.filter(F.col("reporter_id") != F.col("partner_id"))
     combos = attach_dimension(pairs, flows, max_dimension_rows, small_rows=n_flow)
