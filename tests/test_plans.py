@@ -122,3 +122,11 @@ def test_bilateral_plan_over_bound_paths_match(spark):
     big = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022))
     got, want = sorted(map(tuple, small.collect())), sorted(map(tuple, big.collect()))
     assert got == want and len(got) == (4 * 5 - 4) * 2 * 2 * 2
+
+
+def test_dimension_counts_one_job_exact(spark):
+    from tradelake.operators.product import dimension_counts
+    a = spark.range(0, 1000, numPartitions=7)
+    b = spark.range(0, 0)
+    c = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    assert dimension_counts([a, b, c]) == [1000, 0, 3]
