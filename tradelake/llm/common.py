@@ -44,6 +44,16 @@ def blocks(batch: pa.RecordBatch, columns: list[str], limit: int = BLOCK_BYTES
         start = end
 
 
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts (no nulls) one after the other, and their offsets."""
+    buffers, n = texts.buffers(), len(texts)
+    offsets = np.frombuffer(buffers[1], np.int32, n + 1, texts.offset * 4).astype(np.int64)
+    size = int(offsets[-1] - offsets[0])
+    data = (np.frombuffer(buffers[2], np.uint8, size, int(offsets[0])) if size
+            else np.zeros(0, np.uint8))
+    return data, offsets - offsets[0]
+
+
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of every text (null: none).
 

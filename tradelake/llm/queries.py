@@ -4,9 +4,10 @@ operator to its whole table and derives the digest columns from its output."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.llm import language_id, quality_rules, toxicity
 from tradelake.llm.common import read_table
 from tradelake.llm.decontaminate import contamination
 from tradelake.llm.near_dedup import near_duplicates
@@ -19,6 +20,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def _fold(modulus: int) -> Column:
+    """crc32 of the id as text, modulo: the folds of the labelled tables."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    texts, labels = language_id.sample(docs.filter(_fold(4) != 2), "text", "lang",
+                                       F.xxhash64("doc_id"))
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(texts, labels))
+    return found.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(read_table(spark, sf_dir, "documents"), window=13)
     return kept.select("doc_id", "n_words", "n_removed",
@@ -41,7 +56,24 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "contaminated")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(_fold(5) != 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(_fold(4) != 2)
+    scored = quality_rules.score(docs, quality_rules.fit(docs, labels))
+    return scored.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op3_substring_dedup, op7_token_store, op8_decontamination)}
+    op1_minhash_near_dedup, op2_language_id, op3_substring_dedup, op7_token_store,
+    op8_decontamination, op9_toxicity, op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
