@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import language_id, quality_rules, toxicity
+from tradelake.llm import (chat_format, language_id, piece_codec, quality_rules, topk_search,
+                           toxicity)
 from tradelake.llm.common import read_table
 from tradelake.llm.decontaminate import contamination
 from tradelake.llm.near_dedup import near_duplicates
@@ -40,6 +41,32 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = chat_format.conversations_as_rows(read_table(spark, sf_dir, "conversations"))
+    formatted = chat_format.format_preferences(chat_format.swapped_replies(talks))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["first"], s["last"])), ",")
+
+    return formatted.select(
+        "conv_id", "rejected_from", F.col("n_prompt").cast("bigint").alias("n_prompt"), "prompt",
+        "chosen", "rejected", listed("chosen_spans").alias("chosen_spans"),
+        listed("rejected_spans").alias("rejected_spans"))
+
+
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = piece_codec.decode(piece_codec.encode(docs, model), model)
+    return both.select("doc_id", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     write_store(read_table(spark, sf_dir, "documents"), path,
@@ -73,7 +100,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_language_id, op3_substring_dedup, op7_token_store,
-    op8_decontamination, op9_toxicity, op10_quality_rules)}
+    op1_minhash_near_dedup, op2_language_id, op3_substring_dedup, op4_preference_pairs,
+    op5_piece_codec, op6_topk_search, op7_token_store, op8_decontamination, op9_toxicity,
+    op10_quality_rules)}
 
 ORACLES: dict[str, str] = {}
