@@ -4,25 +4,31 @@
    signature of ``coordinates`` values.  Texts with the same shingle set form
    a class, represented by its smallest id, so exact copies cost one row.
 2. Each class is posted under its (coordinate, value) pairs.  Pairs with one
-   document are dropped.  Two signatures that agree in at least ``matches``
-   coordinates agree in one of each other's ``coordinates - matches + 1``
-   rarest pairs (prefix), so only that prefix is posted, and a class with
-   fewer than ``matches`` shared pairs is out at once.
+   document are dropped, and a class with fewer than ``matches`` shared pairs
+   is out at once.  A short signature does this for all classes; those left
+   are posted anew under a long one, whose higher match threshold tells near
+   copies from texts that share a passage.  Two signatures that agree in at
+   least ``matches`` coordinates agree in one of each other's
+   ``coordinates - matches + 1`` rarest pairs (prefix), so only that prefix
+   is merged.
 3. Collisions of candidates are counted over all their shared pairs; those
    with ``matches`` or more are confirmed on the full shingle sets.  Lists
-   are merged with skips: members meet the first and last document of a list
-   first, linked ones are contracted into components, and a list whose
-   members are all in one component is skipped.  What is left are pairs of
-   different components within a list, and these are all compared.  So a
-   group of n near copies costs about n comparisons, not n squared, while no
-   link between two components is lost.
-
-With the defaults (32 coordinates, 10 matches) a pair of similarity 0.8
-escapes the collision count with a probability of about 1e-9.
+   are merged with skips: members meet the most typical and the first
+   document of a list first, linked ones are contracted into components, and
+   a list whose members are all in one component is skipped.
+4. Members of the other lists are compared across components, found by the
+   rarest shingles of their full sets: two sets of the wanted similarity
+   share one early enough in each other's order for the overlap they need.
+   So a group of n near copies costs about n comparisons, not n squared,
+   while no link between two components is lost.
+
+With the defaults (10 matches of 32, then 94 of 160) a pair of similarity 0.8
+escapes the collision counts with a probability of about 1e-8.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,8 +41,9 @@ from pyspark.sql import functions as F
 from tradelake.llm.common import (blocks, hash_strings, mix, split_words, window_hashes,
                                   written)
 
-COORDINATES = 32
-MATCHES = 10
+#: (coordinates, matches) of the short and of the long signature.
+SHORT = (32, 10)
+LONG = (160, 94)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +114,56 @@ def _jaccard(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _across(texts: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may have the similarity.
+
+    Sets of n and m shingles need ``percent / (100 + percent) * (n + m)`` in
+    common.  With shingles in one order, rarest first, the first common one
+    has so many from there on in both sets.  Components of one size are
+    compared before their members are.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, ["text"]):
+                flat, ends = shingle_sets(part.column("text"), width)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.ListArray.from_arrays(
+                        pa.array(ends.astype(np.int32)), pa.array(flat.view(np.int64)))],
+                    names=["rep", "shingles"])
+
+    own = written(texts.join(open_.select(F.col("rep").alias("id")).hint("merge"), "id",
+                             "left_semi").mapInArrow(sets, "rep bigint, shingles array<bigint>"),
+                  "near-sets")
+    every = own.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = written(every.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1"),
+                     "near-common")
+    ordered = (every.join(common.hint("merge"), "s").groupBy("rep", "n")
+               .agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("list")))
+    # left: shingles of the set from this one on; those of one set only come first
+    early = (ordered.select("rep", "n", F.size("list").alias("k"),
+                            F.posexplode("list.s").alias("at", "s"))
+             .select("rep", "n", "s", (F.col("k") - F.col("at")).alias("left"))
+             .filter(F.col("left") * 100 >= F.col("n") * percent)
+             .join(open_.hint("merge"), "rep")
+             .withColumn("band", F.floor(F.log("n") / math.log(100 / percent))))
+    early = written(early, "near-early")
+    first = written(early.groupBy("s", "band", "c", "n").agg(F.max("left").alias("left")),
+                    "near-first")
+    a = first.select("s", "band", *(F.col(x).alias(f"{x}1") for x in ("c", "n", "left")))
+    b = first.select("s", *(F.col(x).alias(f"{x}2") for x in ("c", "n", "left")), F.explode(
+        F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    fits = (f"least(left1, left2) * {100 + percent} >= (n1 + n2) * {percent} and "
+            f"least(n1, n2) * 100 >= greatest(n1, n2) * {percent}")
+    meet = a.join(b.hint("merge"), ["s", "band"]).filter(f"c1 < c2 and {fits}").select(
+        "s", "c1", "n1", "c2", "n2")
+    x = early.select("s", *(F.col(v).alias(f"{v}1") for v in ("rep", "c", "n", "left")))
+    y = early.select("s", *(F.col(v).alias(f"{v}2") for v in ("rep", "c", "n", "left")))
+    return (meet.join(x.hint("merge"), ["s", "c1", "n1"]).join(y.hint("merge"), ["s", "c2", "n2"])
+            .filter(fits).select(F.least("rep1", "rep2").alias("a"),
+                                 F.greatest("rep1", "rep2").alias("b")).distinct())
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` (a, b)
     reaches, by alternating large-star and small-star contraction.  Every
@@ -141,8 +198,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 5, percent: int = 80, coordinates: int = COORDINATES,
-                    matches: int = MATCHES) -> DataFrame:
+                    shingle: int = 5, percent: int = 80, short: tuple[int, int] = SHORT,
+                    long: tuple[int, int] = LONG) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (smallest
     id that its links reach, itself included) and ``kept`` (it is that id).
 
@@ -154,39 +211,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, ["text"]):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), *_sketch(part.column("text"), shingle, coordinates)],
-                    names=["id", "n_shingles", "key", "signature"])
-
-    rows = written(keyed.mapInArrow(
-        sketch, "id bigint, n_shingles bigint, key binary, signature array<bigint>"),
-        "near-rows")
+    def sketched(texts: DataFrame, coordinates: int) -> DataFrame:
+        def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in blocks(batch, ["text"]):
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id"), *_sketch(part.column("text"), shingle, coordinates)],
+                        names=["id", "n_shingles", "key", "signature"])
+
+        return texts.mapInArrow(
+            sketch, "id bigint, n_shingles bigint, key binary, signature array<bigint>")
+
+    def posted(classes: DataFrame) -> DataFrame:
+        """Postings (pair, rep, n, df) of the pairs that several classes have."""
+        every = classes.select("rep", "n", F.explode("signature").alias("pair"))
+        several = written(every.groupBy("pair").agg(F.count("*").alias("df")).filter("df > 1"),
+                          "near-shared")
+        return every.join(several.hint("merge"), "pair")
+
+    rows = written(sketched(keyed, short[0]), "near-rows")
     classes = written(rows.filter("key is not null and id is not null").groupBy("key")
-                      .agg(F.min("id").alias("rep"), F.first("signature").alias("signature")),
-                      "near-classes")
-
-    # inverted index over (coordinate, value) pairs that two classes share
-    posted = classes.select("rep", F.explode("signature").alias("pair"))
-    shared = written(posted.groupBy("pair").agg(F.count("*").alias("df")).filter("df > 1"),
-                     "near-shared")
-    lists = (posted.join(shared.hint("merge"), "pair").groupBy("rep")
-             .agg(F.array_sort(F.collect_list(F.struct("df", "pair"))).alias("pairs"))
-             .filter(F.size("pairs") >= matches)
-             .select("rep", F.col("pairs.pair").alias("pairs")))
-    members = written(lists, "near-members")
-    prefix = written(members.select("rep", F.explode(
+                      .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"),
+                           F.first("signature").alias("signature")), "near-classes")
+    likely = (posted(classes).groupBy("rep").agg(F.count("*").alias("shared"))
+              .filter(F.col("shared") >= short[1]).select(F.col("rep").alias("id")))
+    texts = written(keyed.join(likely.hint("merge"), "id", "left_semi"), "near-texts")
+
+    # inverted index over the long signatures of the classes left
+    matches = long[1]
+    indexed = written(sketched(texts, long[0]).filter("key is not null").select(
+        F.col("id").alias("rep"), F.col("n_shingles").alias("n"), "signature"), "near-indexed")
+    members = written(
+        posted(indexed).groupBy("rep", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "pair"))).alias("pairs"))
+        .filter(F.size("pairs") >= matches)
+        .select("rep", "n", F.col("pairs.pair").alias("pairs"),
+                F.aggregate("pairs.df", F.lit(0).cast("bigint"), lambda x, y: x + y)
+                .alias("typical"),
+                F.transform("pairs", lambda x: F.shiftright(x["pair"], 32).cast("int"))
+                .alias("marks")), "near-members")
+    prefix = written(members.select("rep", "typical", F.explode(
         F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1))).alias("pair")).distinct(),
         "near-prefix")
-    texts = written(keyed.join(members.select(F.col("rep").alias("id")).distinct().hint("merge"),
-                               "id", "left_semi"), "near-texts")
 
     def colliding(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) with their number of common pairs, if ``matches`` or more."""
-        a = members.select(F.col("rep").alias("a"), F.col("pairs").alias("pa"))
-        b = members.select(F.col("rep").alias("b"), F.col("pairs").alias("pb"))
+        a = members.select(F.col("rep").alias("a"), F.col("marks").alias("pa"))
+        b = members.select(F.col("rep").alias("b"), F.col("marks").alias("pb"))
         return (pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
                 .select("a", "b", F.size(F.array_intersect("pa", "pb")).alias("n"))
                 .filter(F.col("n") >= matches))
@@ -204,9 +275,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
                 .select(*pairs.columns))
 
-    # first and last document of every list; the best match of each document first
-    ends = written(prefix.groupBy("pair").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-                   .filter("low < high"), "near-ends")
+    # most typical and first document of every list; best match of each document first
+    ends = written(prefix.groupBy("pair").agg(
+        F.min("rep").alias("low"), F.max_by("rep", F.struct("typical", "rep")).alias("high"),
+        F.count("*").alias("k")).filter("k > 1"), "near-ends")
     stars = (prefix.join(ends.hint("merge"), "pair")
              .select("rep", F.explode(F.array("low", "high")).alias("end"))
              .select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b"))
@@ -218,24 +290,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges.append(written(confirmed(apart(stars, components).select("a", "b")), "near-edges"))
     components = written(connected_components(reduce(DataFrame.union, edges)), "near-components")
 
-    # lists that still hold several components: compare across components
-    placed = prefix.join(components.select(F.col("node").alias("rep"), "component").hint("merge"),
-                         "rep", "left").select("pair", "rep",
-                                               F.coalesce("component", "rep").alias("c"))
-    placed = written(placed, "near-placed")
+    # members of lists that still hold several components
+    placed = written(
+        prefix.join(components.select(F.col("node").alias("rep"), "component").hint("merge"),
+                    "rep", "left").select("pair", "rep", F.coalesce("component", "rep").alias("c")),
+        "near-placed")
     several = written(placed.groupBy("pair").agg(F.min("c").alias("x"), F.max("c").alias("y"))
                       .filter("x < y").select("pair"), "near-several")
-    open_ = written(placed.join(several.hint("merge"), "pair", "left_semi"), "near-open")
-    here = open_.select("pair", "c").distinct()
-    across = (here.select("pair", F.col("c").alias("c1"))
-              .join(here.select("pair", F.col("c").alias("c2")).hint("merge"), "pair")
-              .filter("c1 < c2"))
-    one = open_.select("pair", F.col("c").alias("c1"), F.col("rep").alias("r1"))
-    two = open_.select("pair", F.col("c").alias("c2"), F.col("rep").alias("r2"))
-    rest = (across.join(one.hint("merge"), ["pair", "c1"]).join(two.hint("merge"), ["pair", "c2"])
-            .select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
-            .join(stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti"))
-    edges.append(written(confirmed(colliding(rest)), "near-edges"))
+    open_ = written(placed.join(several.hint("merge"), "pair", "left_semi")
+                    .select("rep", "c").distinct(), "near-open")
+    rest = _across(texts, open_, shingle, percent).join(
+        stars.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    edges.append(written(confirmed(written(rest, "near-rest")), "near-edges"))
     components = connected_components(reduce(DataFrame.union, edges))
 
     ids = written(classes.select("key", "rep").join(
