@@ -27,6 +27,8 @@ SCHEMA = "file bigint, doc_id bigint, first bigint, n_tokens bigint, ids array<i
 #: Row-group bytes and rows of a page: a page is the least that a selective read takes.
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
+#: Words whose token ids a worker process keeps.
+KNOWN_WORDS = 400_000
 
 #: A space next to other white space, or at either end of a text (fixed list:
 #: Unicode white space).  Elsewhere a space always begins a new pre-token.
@@ -46,12 +48,31 @@ def load_tokenizer(spec: str):
     return loaded[spec]
 
 
+def known_words(spec: str) -> dict[str, bytes]:
+    """Token ids of words behind a space that this worker process has encoded;
+    emptied when it holds KNOWN_WORDS."""
+    known = sys.__dict__.setdefault("_tradelake_known_words", {}).setdefault(spec, {})
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    return known
+
+
+def _begins(spec: str) -> np.ndarray:
+    """Whether each token begins with a space."""
+    begins = sys.__dict__.setdefault("_tradelake_begins", {})
+    if spec not in begins:
+        tok = load_tokenizer(spec)
+        begins[spec] = np.zeros(tok.get_vocab_size(), bool)
+        begins[spec][[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
+    return begins[spec]
+
+
 def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of every text (null: none): (flat ids, offsets).
 
     A byte-level pre-tokenizer always begins a pre-token at a single space
-    inside a text.  So distinct space-separated words are encoded once per
-    block and their ids copied to where they occur; texts with other white
+    inside a text.  So distinct space-separated words are encoded once and
+    their ids copied to where they occur; texts with other white
     space beside a space are encoded as they are.
     """
     tok = load_tokenizer(spec)
@@ -70,17 +91,22 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     offsets = lists.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
 
-    # all distinct words behind a space, many to a call; a token with a space begins a word
-    begins = np.zeros(tok.get_vocab_size(), bool)
-    begins[[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
-    spaced = [" " + w for w in words]
+    # distinct words behind a space; those met in earlier blocks are known
+    known = known_words(spec)
+    spaced = [" " + w for w in words if w not in known]
     pieces = encode(["".join(spaced[i:i + 1000]) for i in range(0, len(spaced), 1000)])
-    flat = np.fromiter((i for p in pieces for i in p), np.int64)
-    starts = np.flatnonzero(begins[flat]) if len(flat) else np.zeros(0, np.int64)
-    if len(starts) != len(words):
-        each = encode(spaced)
-        flat = np.fromiter((i for p in each for i in p), np.int64)
-        starts = np.cumsum([0] + [len(p) for p in each])[:-1]
+    new = np.fromiter((i for p in pieces for i in p), np.int32)
+    # a token with a space begins a word
+    bounds = np.flatnonzero(_begins(spec)[new]) if len(new) else np.zeros(0, np.int64)
+    if len(bounds) == len(spaced):
+        data, cuts = new.tobytes(), [*(4 * bounds).tolist(), 4 * len(new)]
+        fresh = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    else:
+        fresh = [np.array(p, np.int32).tobytes() for p in encode(spaced)]
+    known.update(zip((w[1:] for w in spaced), fresh, strict=True))
+    own_ids = [known[w] for w in words]
+    flat = np.frombuffer(b"".join(own_ids), np.int32).astype(np.int64)
+    starts = np.cumsum([0, *map(len, own_ids)])[:-1] // 4
     # the first word of a text stands without a space; loose texts are one unit each
     heads = offsets[:-1]
     own = [words[c] for c in codes[heads]] if len(heads) else []
