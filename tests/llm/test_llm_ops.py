@@ -1,0 +1,308 @@
+"""Training-data operators against brute force on small fixtures, and their
+defined results on nulls, empty texts, ties, repeated rows and clashing names."""
+
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import public_tokenizers
+from tradelake.llm import (chat_format, decontaminate, language_id, near_dedup, piece_codec,
+                           quality_rules, queries, substring_dedup, token_store, topk_search,
+                           toxicity)
+
+SF = "/root/testdata/sf0.001"
+ODD = [(1, None), (2, ""), (3, " \n"), (4, "a"), (4, "a"), (None, "a b"), (5, "x " * 30000),
+       (6, "É é 日本 ok"), (7, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Edge rows, with columns that bear names the operators use."""
+    rows = [(i, t, "en", f"s{k}", k, k, 0.5) for k, (i, t) in enumerate(ODD)]
+    return spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, id int, rest int, "
+              "score double")
+
+
+def ascii_lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+
+def test_near_duplicates_match_all_pairs(docs):
+    sets, by = {}, defaultdict(list)
+    for r in docs.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(r.text))
+        s = {tuple(w[i:i + 4]) for i in range(len(w) - 3)} if len(w) > 3 else {tuple(w)} - {()}
+        sets[r.doc_id] = s
+        for x in s:
+            by[x].append(r.doc_id)
+    low = {i: i for i in sets}
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for own in by.values():
+        for a in own:
+            for b in own:
+                if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    x, y = sorted((root(a), root(b)))
+                    low[y] = x
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
+           for r in near_dedup.near_duplicates(docs, shingle=4).collect()}
+    assert got == {i: (len(s), root(i), root(i) == i) for i, s in sets.items()}
+
+
+def test_near_duplicates_edges(odd):
+    got = near_dedup.near_duplicates(odd).collect()
+    assert len(got) == len(ODD)
+    assert all(r.kept and r.component_id == r.doc_id for r in got)
+    assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (8, 8)], "a bigint, b bigint")
+    got = {r.node: r.component for r in near_dedup.connected_components(edges).collect()}
+    assert got == {4: 3, 5: 3, 9: 3, 8: 7}
+
+
+def brute_removed(rows, window):
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    first = {}
+    for i, w in words.items():
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k:k + window])
+            first[key] = min(first.get(key, i), i)
+    out = {}
+    for i, w in words.items():
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if first[tuple(w[k:k + window])] < i:
+                gone |= set(range(k, k + window))
+        out[i] = (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
+    return out
+
+
+def test_substring_dedup(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text)
+           for r in substring_dedup.remove_repeats(docs).collect()}
+    assert got == brute_removed(rows, 13)
+
+
+def test_substring_dedup_edges(spark, odd):
+    got = substring_dedup.remove_repeats(odd, window=3)
+    assert got.columns == [*odd.columns, "n_words", "n_removed", "kept_text"]
+    rows = {r.source: (r.n_words, r.n_removed, r.kept_text[:8]) for r in got.collect()}
+    assert rows["s0"] == (0, 0, "") and rows["s3"] == rows["s4"] == (1, 0, "a")
+    assert rows["s6"][:2] == (30000, 0)
+    twice = spark.createDataFrame(
+        [(1, "a b c"), (2, "x a b c y"), (2, "p q r s"), (None, "a b c q")],
+        "doc_id bigint, text string")
+    kept = {r.text: r.kept_text for r in
+            substring_dedup.remove_repeats(twice, window=3).collect()}
+    assert kept == {"a b c": "a b c", "x a b c y": "x y", "p q r s": "p q r s", "a b c q": "q"}
+    assert substring_dedup.remove_repeats(odd.limit(0)).count() == 0
+
+
+def test_packed_columns_round_trip():
+    a = np.array([5, -3, 2 ** 62, 0]), np.array([7, 7, 7, 7])
+    assert all((x == y).all() for x, y in
+               zip(a, substring_dedup.unpack(substring_dedup.pack(*a)), strict=True))
+
+
+def test_decontamination(spark, docs):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t))
+
+    wins = defaultdict(set)
+    for r in items.collect():
+        w = words(r.text)
+        for k in range(max(1, len(w) - 9) if w else 0):
+            wins[tuple(w[k:k + 10])].add(str(r.item_id))
+    expected = {}
+    for r in docs.collect():
+        w, hit, ids = words(r.text), set(), set()
+        for k in range(len(w)):
+            for n in {len(x) for x in wins}:
+                if tuple(w[k:k + n]) in wins and k + n <= len(w):
+                    ids |= wins[tuple(w[k:k + n])]
+                    hit |= set(range(k, k + n))
+        expected[r.doc_id] = (len(w), len(hit), sorted(ids))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids)
+           for r in decontaminate.contamination(docs, items).collect()}
+    assert got == expected
+
+
+def test_decontamination_edges(spark, odd):
+    items = spark.createDataFrame([(1, "A"), (1, "a"), (2, None), (3, "zz top"), (4, "ok")],
+                                  "item_id bigint, text string")
+    got = decontaminate.contamination(odd, items).collect()
+    assert len(got) == len(ODD)
+    assert sorted(r.n_hit for r in got) == [0, 0, 0, 0, 0, 1, 1, 1, 1]
+    assert decontaminate.contamination(odd.limit(0), items).count() == 0
+    assert decontaminate.contamination(odd, items.limit(0)).filter("contaminated").count() == 0
+    windows = decontaminate.item_windows(
+        spark.createDataFrame([(9, "red green blue")], "item_id bigint, text string"))
+    texts = spark.createDataFrame([(1, "blue sky and green grass red"), (2, "red green")],
+                                  "doc_id bigint, text string")
+    index = decontaminate.build_index(texts, windows.terms)
+    near = decontaminate.proximity_matches(index, windows, terms=3, span=6).collect()
+    assert len(near) == 1 and near[0].item_id == 9
+
+
+def test_token_store(spark, docs, odd, scratch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    for source in (docs, odd.filter("doc_id is not null")):
+        out = scratch("tokens")
+        token_store.write_store(source, out, path)
+        got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_store.checksums(
+            token_store.read_store(spark, out)).collect())
+        at, expected = 0, []
+        for r in sorted(source.collect(), key=lambda r: (r.doc_id, r.text or "")):
+            ids = np.array(tok.encode(r.text or "", add_special_tokens=False).ids + [2], "<u4")
+            expected.append((r.doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
+            at += len(ids)
+        assert got == expected
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in np.round(rng.normal(0, 0.3, 8), 1)]) for i in range(300)]
+    rows += [(300, None), (301, [float("nan")] * 8), (302, [None] * 8), (350, [1.0, 2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = topk_search.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5).collect()
+    data = {i: np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)
+            for i, v in rows[:300]}
+    expected = set()
+    for q in range(0, 300, 50):
+        best = sorted((-int(data[q] @ x), i) for i, x in data.items() if i != q)[:5]
+        expected |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == expected
+
+
+def test_preferences(spark):
+    turn = "array<struct<role:string,text:string>>"
+    a = [("user", "q"), ("assistant", "x")]
+    b = [("user", "q"), ("assistant", "yy"), ("user", "z")]
+    rows = [(1, a, b), (2, a, a), (3, None, a), (4, [], [])]
+    got = {r.n: r for r in chat_format.format_preferences(spark.createDataFrame(
+        rows, f"n int, chosen {turn}, rejected {turn}")).collect()}
+    r = got[1]
+    assert (r.n_prompt, r.prompt, r.chosen) == (
+        1, "<|user|>\nq<|end|>\n", "<|assistant|>\nx<|end|>\n")
+    whole = r.prompt + r.rejected
+    assert [whole[s.first:s.last] for s in r.rejected_spans] == ["yy<|end|>\n"]
+    assert got[2].chosen == got[2].rejected == "" and got[2].n_prompt == 2
+    assert got[3].prompt == "" and got[4].rejected == ""
+
+
+def test_preference_query(spark):
+    got = queries.op4_preference_pairs(spark, SF).collect()
+    assert got and all(r.chosen and r.prompt + r.chosen != "" for r in got)
+
+
+def test_pieces_are_the_best_segmentation(docs):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        raw = f.read()
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(raw)
+    proto.trainer_spec.model_type = 1            # the library's own search over the same pieces
+    lib = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    pieces = piece_codec.load_pieces(raw)
+    texts = ["", None, " ", "a  b", "  x ", "日本語 😀", "a\tb", "x" * 500]
+    texts += sorted({w for r in docs.limit(60).collect() for w in (r.text or "").split()})[:2000]
+    flat, ends = piece_codec.encode_texts(pa.array(texts, pa.string()), pieces)
+
+    def total(ids):
+        return sum(lib.get_score(int(i)) for i in ids if not lib.is_byte(int(i)))
+
+    for i, t in enumerate(texts):
+        own, theirs = flat[ends[i]:ends[i + 1]].tolist(), lib.encode(t or "")
+        assert own == theirs or total(own) == total(theirs), t
+    assert piece_codec.decode_ids(flat, ends, pieces) == [t or "" for t in texts]
+
+
+def test_language_learns_and_edges(spark, odd):
+    got = queries.op2_language_id(spark, SF).alias("g").join(
+        spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    held = got.filter("held_out")
+    assert held.filter("lang_pred = lang").count() >= 0.9 * held.count()
+    net = language_id.train(["the cat sat on the mat " * 9, "le chat est sur la table " * 9],
+                            ["en", "fr"])
+    rows = {r.source: r for r in language_id.predict(odd, net).collect()}
+    assert len(rows) == len(ODD) and rows["s0"].lang_pred == rows["s2"].lang_pred == "und"
+    assert {r.lang_pred for r in language_id.predict(odd, None).collect()} == {"und"}
+    assert language_id.predict(odd.limit(0), net).count() == 0
+
+
+def test_segments_are_maximal():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        x = rng.normal(-0.2, 1, 30).round(2)
+        found = toxicity.maximal_segments(x)
+        best = max(x[i:j].sum() for i in range(30) for j in range(i + 1, 31))
+        assert abs(max((s for *_, s in found), default=0) - max(best, 0)) < 1e-9
+        for a, b, s in found:
+            assert abs(x[a:b].sum() - s) < 1e-9
+            assert all(x[a:k].sum() > 0 for k in range(a + 1, b + 1))
+            assert all(x[k:b].sum() > 0 for k in range(a, b))
+        assert all(p[1] <= q[0] for p, q in zip(found, found[1:], strict=False))
+
+
+def test_toxicity_and_quality(spark, odd):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    for query, column, least in ((queries.op9_toxicity, "toxic", 0.9),
+                                 (queries.op10_quality_rules, "quality", 0.9)):
+        held = [r for r in query(spark, sf).collect() if r.held_out and r.doc_id in labels]
+        assert sum(r.predicted == labels[r.doc_id][column] for r in held) >= least * len(held)
+    empty = odd.limit(0)
+    none = spark.createDataFrame([(4, None, None), (None, 1, 1)],
+                                 "doc_id bigint, toxic int, quality int")
+    model = toxicity.fit(odd, none)
+    rules = quality_rules.fit(odd, none)
+    assert toxicity.score(odd, model).count() == quality_rules.score(odd, rules).count() == len(ODD)
+    assert toxicity.score(empty, model).count() == quality_rules.score(empty, rules).count() == 0
+    assert all(0 <= r.score <= 1 for r in toxicity.score(odd, model).collect())
+
+
+def test_rules_compile_to_the_same_scores(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (600, len(quality_rules.STATISTICS)))
+    y = ((x[:, 0] > 0) & (x[:, 3] < 0.5)).astype(float)
+    model = quality_rules.fit_rules(x, y)
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "stats array<double>")
+    got = np.array([r.p for r in df.select(model.column(F.col("stats")).alias("p")).collect()])
+    assert ((got > 0.5) == (y > 0.5)).mean() > 0.97
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns and after.schema == docs.schema, name
+    rows = corpus_pipeline.run(spark, SF).collect()
+    ids = {r.doc_id for r in docs.collect()}
+    assert rows and {r.doc_id for r in rows} <= ids and all(r.n_pieces for r in rows)

@@ -52,9 +52,10 @@ def byte_windows(texts: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np.
     return out.reshape(-1, window), np.repeat(np.arange(len(sizes)), counts)
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 256,
-          rate: float = 0.01, seed: int = 20) -> ByteNet | None:
-    """Fit the network by Adam on windows of the texts; None without texts."""
+def train(texts: list[str], labels: list[str], epochs: int = 4, least_steps: int = 400,
+          batch: int = 256, rate: float = 0.01, seed: int = 20) -> ByteNet | None:
+    """Fit the network by Adam on windows of the texts, in ``epochs`` rounds or
+    more until ``least_steps`` are made; None without texts."""
     languages = sorted(set(labels))
     if not languages:
         return None
@@ -70,7 +71,9 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, batch: int = 256
     params = [*net.tables, net.bias, net.weights, net.offset]
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     span, step = WINDOW - max(WIDTHS) + 1, 0
-    for _ in range(epochs):
+    rounds = max(epochs, -(-least_steps * batch // max(1, len(x))))
+    rounds = min(rounds, least_steps)
+    for _ in range(rounds):
         order = rng.permutation(len(x))
         for at in range(0, len(x), batch):
             xb, yb = x[order[at:at + batch]], y[order[at:at + batch]]

@@ -99,9 +99,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_language_id, op3_substring_dedup, op4_preference_pairs,
     op5_piece_codec, op6_topk_search, op7_token_store, op8_decontamination, op9_toxicity,
-    op10_quality_rules)}
+    op10_quality_rules, pipeline)}
 
 ORACLES: dict[str, str] = {}
