@@ -20,12 +20,27 @@ def test_parquet_overwrite_replaces(spark, tmp_path):
     assert spark.read.parquet(p).count() == 3
 
 
-def test_single_parquet_is_one_file(spark, tmp_path):
+def test_single_parquet_has_no_row_limit(spark, tmp_path):
     p = str(tmp_path / "one")
-    sink_single_parquet(spark.range(0, 1000, numPartitions=8), p)
-    assert len(glob.glob(f"{p}/part-*.parquet")) == 1
-    with pytest.raises(ValueError):
-        sink_single_parquet(spark.range(100), str(tmp_path / "two"), max_rows=10)
+    sink_single_parquet(spark.range(0, 6_000_000, numPartitions=8), p)
+    assert spark.read.parquet(p).count() == 6_000_000
+
+
+def test_rerun_keeps_keys_it_does_not_write(spark, tmp_path):
+    p, q = str(tmp_path / "k"), str(tmp_path / "f")
+    both = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    for rows in (both, both.filter("k = 1").withColumn("v", F.lit("c")), both.limit(0)):
+        sink_json_per_key(rows, p, ["k"])
+        sink_fanout_by_category(rows.withColumn("category", F.col("k").cast("string")), q)
+    assert sorted((r.k, r.v) for r in spark.read.json(p).collect()) == [(1, "c"), (2, "b")]
+    assert sorted((r.k, r.v) for r in spark.read.json(q).select("k", "v").collect()) == [
+        (1, "c"), (2, "b")]
+
+
+def test_empty_list_is_rejected(spark):
+    docs = spark.createDataFrame([("[]",), ("[1]",), ('{"a":[]}',)], "json_data string")
+    assert {r.json_data: r.ok for r in route_documents(docs).collect()} == {
+        "[]": False, "[1]": True, '{"a":[]}': False}
 
 
 def test_json_per_key_and_landed_scan(spark, tmp_path):

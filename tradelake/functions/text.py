@@ -28,7 +28,7 @@ def explode_words(df: DataFrame, text_col: str = "value", keep: tuple[str, ...]
 
 
 def word_count(df: DataFrame, text_col: str = "value", sort: bool = True) -> DataFrame:
-    """A2 (+O1): ``word string, count int`` per token, ascending by word.
+    """A2 (+O1): ``word string, count bigint`` per token, ascending by word.
 
     The aggregate is a hash aggregate with map-side partial counts, so a
     very frequent word costs one partial row per task, not one shuffle row
@@ -36,7 +36,7 @@ def word_count(df: DataFrame, text_col: str = "value", sort: bool = True) -> Dat
     """
     counts = (explode_words(df, text_col)
               .groupBy("word")
-              .agg(F.count(F.lit(1)).cast("int").alias("count")))
+              .agg(F.count(F.lit(1)).alias("count")))
     return counts.orderBy("word") if sort else counts
 
 

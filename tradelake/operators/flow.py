@@ -97,7 +97,7 @@ def route_documents(docs: DataFrame, json_col: str = "json_data") -> DataFrame:
     without stopping the others.
     """
     return (docs.withColumn("rows", first_nonempty_list(json_col))
-            .withColumn("ok", F.col("rows").isNotNull()))
+            .withColumn("ok", F.coalesce(F.size("rows") > 0, F.lit(False))))
 
 
 def category_outcomes(routed: DataFrame, category_col: str = "category") -> DataFrame:

@@ -10,6 +10,7 @@ from tradelake.operators.filters import filter_threshold
 from tradelake.operators.flow import RowFn, enrich_partitions, split_failures
 from tradelake.operators.project import sanitize_columns_space
 from tradelake.schemas import DETAIL_RECORD_CEILING
+from tradelake.session import checkpoint_root
 from tradelake.sinks.writers import sink_json_per_key, sink_parquet_overwrite
 from tradelake.sources.readers import scan_csv_strings, scan_parquet
 
@@ -45,6 +46,7 @@ def extract_details(spark: SparkSession, availability_path: str, fetch: RowFn,
     fetch: both outputs read them, and neither a second action nor a lost
     executor may call the (rate-limited) service again.
     """
+    checkpoint_root(spark)
     plan = detail_requests(spark, availability_path, ceiling)
     answers = enrich_partitions(plan, fetch, ["reporterCode", "period"],
                                 partitions=partitions,

@@ -15,6 +15,7 @@ from tradelake.functions.json import member_or_empty
 from tradelake.functions.text import replace_literal
 from tradelake.operators.flow import category_outcomes, route_documents
 from tradelake.operators.project import sanitize_columns_punct
+from tradelake.session import checkpoint_root
 
 
 def reference_index(raw: DataFrame, json_col: str = "json_data") -> DataFrame:
@@ -30,17 +31,20 @@ def ingest_reference_tables(landed: DataFrame, output_dir: str,
     """Write every category's rows as JSON text under
     ``output_dir/tables/category=<name>`` (``:`` -> ``_``) and unreadable
     documents under ``output_dir/rejected``; return per-category outcomes.
+    A category that is rejected or absent keeps its earlier table.
 
     The routed documents are checkpointed (lineage cut to the shared
     checkpoint folder) because three outputs read them.
     """
     routed = route_documents(
         landed.withColumn(category_col, replace_literal(category_col, ":", "_")), json_col)
+    checkpoint_root(landed.sparkSession)
     routed = routed.checkpoint(eager=True)
     (routed.filter("ok")
         .select(category_col, F.explode("rows").alias("value"))
         .hint("rebalance", category_col)
-        .write.mode("overwrite").partitionBy(category_col).text(f"{output_dir}/tables"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(category_col).text(f"{output_dir}/tables"))
     (routed.filter(~F.col("ok")).drop("rows", "ok")
         .write.mode("overwrite").json(f"{output_dir}/rejected"))
     return category_outcomes(routed, category_col)

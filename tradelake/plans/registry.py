@@ -59,21 +59,23 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spread(df) if name in _SPREAD_TABLES else df
 
 
+#: Keys of any size are brought into the int range of the published schemas.
+_INT = 2147483647
+
+
 # --------------------------------------------------------------------------
 # sources
 # --------------------------------------------------------------------------
 
 def q_scan_parquet(spark, sf):
     df = scan_parquet(spark, f"{sf}/lineitem*.parquet")
-    return (df.filter(F.col("l_returnflag") == "R")
-              .select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
+    return df.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
 
 
 def q_scan_parquet_sql(spark, sf):
     return scan_parquet_sql(
         spark,
-        "SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders} "
-        "WHERE o_orderpriority = '1-URGENT'",
+        "SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders}",
         orders=f"{sf}/orders.parquet")
 
 
@@ -682,10 +684,10 @@ def _world_share_raw(spark, sf):
     elements = [F.lit("X").alias("typeCode"), F.lit("Y").alias("freqCode"),
                 (F.col("y") * 100 + F.col("m")).alias("period"), F.col("y").alias("year"),
                 F.col("m").alias("month"), F.col("o_orderpriority").alias("datasetDesc"),
-                F.col("o_custkey").cast("int").alias("reporterCode"),
+                (F.col("o_custkey") % _INT).cast("int").alias("reporterCode"),
                 F.col("o_totalprice").alias("worldShare"),
                 (F.col("o_orderstatus") == "F").alias("isAvailable"),
-                F.col("o_orderkey").cast("int").alias("dataCount"),
+                (F.col("o_orderkey") % _INT).cast("int").alias("dataCount"),
                 F.col("d").alias("firstReleased")]
     return envelope_documents(o, ["typeCode", "freqCode"], page_of("o_orderkey", ORDER_PAGE),
                               elements)
@@ -709,7 +711,7 @@ def q_publication_notes_table(spark, sf):
     notes = lines.groupBy("o_orderkey", "line_page").agg(F.collect_list("note").alias("notes"))
     parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(
         "o_orderkey", "line_page", "notes",
-        F.col("o_custkey").cast("int").alias("reporterCode"),
+        (F.col("o_custkey") % _INT).cast("int").alias("reporterCode"),
         F.year("o_orderdate").alias("period"),
         F.col("o_orderstatus").alias("typeCode"),
         F.col("o_orderpriority").alias("freqCode"),
@@ -725,7 +727,7 @@ def _availability_raw(spark, sf):
     part = _t(spark, sf, "part")
     elements = [F.col("p_partkey").alias("datasetCode"), F.lit("C").alias("typeCode"),
                 F.lit("A").alias("freqCode"), (F.lit(2000) + F.col("p_size")).alias("period"),
-                F.col("p_partkey").cast("int").alias("reporterCode"),
+                (F.col("p_partkey") % _INT).cast("int").alias("reporterCode"),
                 F.col("p_brand").alias("reporterISO"), F.col("p_name").alias("reporterDesc"),
                 F.lit("HS").alias("classificationCode"),
                 (F.col("p_size") > 25).alias("isOriginalClassification"),
@@ -836,7 +838,7 @@ FROM orders GROUP BY 1, 2 HAVING count(*) <= 2
 """
 
 _WORDS_SQL = """
-SELECT word, CAST(count(*) AS INTEGER) AS count
+SELECT word, count(*) AS count
 FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z'']+')) AS word FROM documents)
 WHERE word <> ''
 GROUP BY word
@@ -857,9 +859,8 @@ FROM (SELECT l_orderkey, l_linenumber,
 
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag "
-                    "FROM lineitem WHERE l_returnflag = 'R'",
-    "scan_parquet_sql": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders "
-                        "WHERE o_orderpriority = '1-URGENT'",
+                    "FROM lineitem",
+    "scan_parquet_sql": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "scan_csv_strings": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, "
                         "CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, "
                         "o_orderpriority FROM orders",
@@ -993,7 +994,7 @@ _AVAIL_FLAGS_NULL = ", ".join(f"CAST(NULL AS BOOLEAN) AS {f}" for f in [
 
 _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(2000 + p_size AS INTEGER) AS period, "
-                 "CAST(p_partkey AS INTEGER) AS reporterCode, p_brand AS reporterISO, "
+                 "CAST(p_partkey % 2147483647 AS INTEGER) AS reporterCode, p_brand AS reporterISO, "
                  "'HS' AS classificationCode, p_size > 25 AS isOriginalClassification, "
                  f"{_AVAIL_FLAGS_NULL}, CAST(p_size * 1000 AS INTEGER) AS totalRecords, "
                  "CAST(NULL AS BIGINT) AS datasetChecksum, p_type AS firstReleased, "
@@ -1013,15 +1014,15 @@ ORACLES.update({
         "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, "
         "CAST(year(o_orderdate) AS INTEGER) AS year, "
         "CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority AS datasetDesc, "
-        "CAST(o_custkey AS INTEGER) AS reporterCode, CAST(NULL AS VARCHAR) AS reporterISO, "
+        "CAST(o_custkey % 2147483647 AS INTEGER) AS reporterCode, CAST(NULL AS VARCHAR) AS reporterISO, "
         "CAST(NULL AS VARCHAR) AS reporterDesc, o_totalprice AS worldShare, "
-        "o_orderstatus = 'F' AS isAvailable, CAST(o_orderkey AS INTEGER) AS dataCount, "
+        "o_orderstatus = 'F' AS isAvailable, CAST(o_orderkey % 2147483647 AS INTEGER) AS dataCount, "
         "strftime(o_orderdate, '%Y-%m-%d') AS firstReleased, "
         "CAST(NULL AS VARCHAR) AS lastReleased, CAST(NULL AS VARCHAR) AS created, "
         "CAST(NULL AS VARCHAR) AS updated FROM orders",
     "publication_notes_table":
         "SELECT o.o_orderstatus AS typeCode, o.o_orderpriority AS freqCode, "
-        "'HS' AS clCode, CAST(o.o_custkey AS INTEGER) AS reporterCode, "
+        "'HS' AS clCode, CAST(o.o_custkey % 2147483647 AS INTEGER) AS reporterCode, "
         "CAST(year(o.o_orderdate) AS INTEGER) AS period, o.o_orderkey AS datasetCode, "
         + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[:1]) + ", "
         "l.l_returnflag AS currency, "

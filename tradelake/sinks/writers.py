@@ -4,45 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from tradelake.functions.text import replace_literal
 
-# A single output file is written by one task; above this many rows the
-# request is refused instead of funnelling a large dataset through one task.
-DEFAULT_SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def sink_parquet_overwrite(df: DataFrame, path: str) -> None:
     """K1: replace a Parquet dataset."""
     df.write.mode("overwrite").parquet(path)
 
 
-def _single_file(df: DataFrame, max_rows: int) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (in parallel),
-    check its size, and return it as one partition.  The single writer task
-    then reads checkpoint files: a lost executor never makes it recompute
-    the upstream work."""
-    materialised = df.checkpoint(eager=True)
-    n = materialised.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for one output file (max {max_rows}); "
-                         "write a partitioned dataset instead")
-    return materialised.coalesce(1)
+def sink_single_parquet(df: DataFrame, path: str) -> None:
+    """K2: one Parquet dataset (a directory of parallel parts) for plans and
+    reference indexes of any size; read it back as one path."""
+    df.write.mode("overwrite").parquet(path)
 
 
-def sink_single_parquet(df: DataFrame, path: str,
-                        max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS) -> None:
-    """K2: one Parquet file (a directory holding one part), for bounded
-    outputs such as plans and reference indexes."""
-    _single_file(df, max_rows).write.mode("overwrite").parquet(path)
+def _replacing(df: DataFrame, *keys: str) -> DataFrameWriter:
+    """Writer that replaces only the partitions it writes."""
+    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys))
 
 
 def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str],
                       document_col: str | None = None) -> None:
     """K3: one JSON dataset per key, the key in the directory name
-    (``reporterCode=.../period=...``), replacing earlier output.
+    (``reporterCode=.../period=...``).  The keys written replace their
+    earlier output; other keys, and everything on an empty input, stay.
 
     Rows are written as JSON records, or - with ``document_col`` - that
     column is written as is, one JSON document per line (for answers that
@@ -53,24 +42,22 @@ def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str],
     """
     clustered = df.hint("rebalance", *keys)
     if document_col is None:
-        clustered.write.mode("overwrite").partitionBy(*keys).json(path)
+        _replacing(clustered, *keys).json(path)
         return
     # one document per line: raw line breaks in valid JSON can only be
     # whitespace between tokens (inside strings they are escaped), so
     # turning them into spaces keeps every document exactly
     one_line = F.translate(F.col(document_col), "\r\n", "  ")
-    (clustered.select(*keys, one_line.alias("value"))
-        .write.mode("overwrite").partitionBy(*keys).text(path))
+    _replacing(clustered.select(*keys, one_line.alias("value")), *keys).text(path)
 
 
-def sink_csv_quoted_single(df: DataFrame, path: str,
-                           max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS) -> None:
-    """K4: a single CSV file with header and every field quoted.
+def sink_csv_quoted_single(df: DataFrame, path: str) -> None:
+    """K4: one CSV dataset with header and every field quoted.
 
-    Order is preserved: the checkpoint keeps the sorted partitions in order
-    and ``coalesce(1)`` concatenates them.
+    Parts are written in parallel; a sorted input is range-partitioned, so
+    its order is that of the part names.
     """
-    (_single_file(df, max_rows).write.mode("overwrite")
+    (df.write.mode("overwrite")
         .option("header", True).option("quoteAll", True).csv(path))
 
 
@@ -79,13 +66,13 @@ def sink_fanout_by_category(df: DataFrame, path: str, category_col: str = "categ
     """K5: every category to its own dataset directory in one job.
 
     Rows are stored as JSON text, so categories with different columns can
-    share one write; ``:`` in a category becomes ``_``.
+    share one write; ``:`` in a category becomes ``_``.  Categories that are
+    not written keep their earlier output.
     """
     others = [c for c in df.columns if c != category_col]
-    (df.select(replace_literal(category_col, ":", "_").alias(category_col),
-               F.to_json(F.struct(*others)).alias("value"))
-       .hint("rebalance", category_col)
-       .write.mode("overwrite").partitionBy(category_col).text(path))
+    rows = df.select(replace_literal(category_col, ":", "_").alias(category_col),
+                     F.to_json(F.struct(*others)).alias("value"))
+    _replacing(rows.hint("rebalance", category_col), category_col).text(path)
 
 
 def read_category(spark, path: str, category: str, schema: str | None = None,
