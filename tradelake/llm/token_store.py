@@ -28,7 +28,7 @@ SCHEMA = "file bigint, doc_id bigint, first bigint, n_tokens bigint, ids array<i
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
 #: Words whose token ids a worker process keeps.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 
 #: A space next to other white space, or at either end of a text (fixed list:
 #: Unicode white space).  Elsewhere a space always begins a new pre-token.
