@@ -9,9 +9,10 @@ ids opens only their pages.
 
 from __future__ import annotations
 
+import os
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,10 @@ SCHEMA = "file bigint, doc_id bigint, first bigint, n_tokens bigint, ids array<i
 #: Row-group bytes and rows of a page: a page is the least that a selective read takes.
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
-#: Words whose token ids a worker process keeps.
-KNOWN_WORDS = 150_000
+#: Words met in more than one block whose token ids a worker process keeps.
+KNOWN_WORDS = 200_000
+#: Words that are tokenized as one string, and strings at once.
+WORDS_AT_ONCE, STRINGS_AT_ONCE = 500, 16
 
 #: A space next to other white space, or at either end of a text (fixed list:
 #: Unicode white space).  Elsewhere a space always begins a new pre-token.
@@ -38,6 +41,7 @@ _LOOSE = f"^ | $|{_SPACE} | {_SPACE}"
 
 def load_tokenizer(spec: str):
     """The tokenizer of a JSON specification, once per worker process."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"    # the tasks use all cores
     from tokenizers import Tokenizer
 
     loaded = sys.__dict__.setdefault("_tradelake_tokenizers", {})
@@ -48,13 +52,28 @@ def load_tokenizer(spec: str):
     return loaded[spec]
 
 
-def known_words(spec: str) -> dict[str, bytes]:
-    """Token ids of words behind a space that this worker process has encoded;
-    emptied when it holds KNOWN_WORDS."""
-    known = sys.__dict__.setdefault("_tradelake_known_words", {}).setdefault(spec, {})
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    return known
+class KnownWords:
+    """Token ids of words behind a space that this worker process has encoded:
+    those of the last block, and those that a later block had again."""
+
+    def __init__(self) -> None:
+        self.again: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
+
+    def ids(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of every word of a block; ``encode`` gives those of new ones."""
+        if len(self.again) > KNOWN_WORDS:
+            self.again = {}
+        again, last = self.again, self.last
+        again.update((w, last[w]) for w in words if w in last)
+        fresh = [w for w in words if w not in again]
+        self.last = last = dict(zip(fresh, encode(fresh), strict=True))
+        return [again[w] if w in again else last[w] for w in words]
+
+
+def known_words(spec: str) -> KnownWords:
+    known = sys.__dict__.setdefault("_tradelake_known_words", {})
+    return known.setdefault(spec, KnownWords())
 
 
 def _begins(spec: str) -> np.ndarray:
@@ -91,20 +110,25 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     offsets = lists.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
 
+    def encode_spaced(new: list[str]) -> list[bytes]:
+        """Ids of words behind a space, many to a string: a token with a space
+        begins a word."""
+        out, begins = [], _begins(spec)
+        for at in range(0, len(new), WORDS_AT_ONCE * STRINGS_AT_ONCE):
+            part = new[at:at + WORDS_AT_ONCE * STRINGS_AT_ONCE]
+            joined = ["".join([f" {w}" for w in part[i:i + WORDS_AT_ONCE]])
+                      for i in range(0, len(part), WORDS_AT_ONCE)]
+            ids = np.concatenate([np.array(p, np.int32) for p in encode(joined)])
+            bounds = np.flatnonzero(begins[ids])
+            if len(bounds) == len(part):
+                data, cuts = ids.tobytes(), [*(4 * bounds).tolist(), 4 * len(ids)]
+                out += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            else:
+                out += [np.array(p, np.int32).tobytes() for p in encode([f" {w}" for w in part])]
+        return out
+
     # distinct words behind a space; those met in earlier blocks are known
-    known = known_words(spec)
-    spaced = [" " + w for w in words if w not in known]
-    pieces = encode(["".join(spaced[i:i + 1000]) for i in range(0, len(spaced), 1000)])
-    new = np.fromiter((i for p in pieces for i in p), np.int32)
-    # a token with a space begins a word
-    bounds = np.flatnonzero(_begins(spec)[new]) if len(new) else np.zeros(0, np.int64)
-    if len(bounds) == len(spaced):
-        data, cuts = new.tobytes(), [*(4 * bounds).tolist(), 4 * len(new)]
-        fresh = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    else:
-        fresh = [np.array(p, np.int32).tobytes() for p in encode(spaced)]
-    known.update(zip((w[1:] for w in spaced), fresh, strict=True))
-    own_ids = [known[w] for w in words]
+    own_ids = known_words(spec).ids(words, encode_spaced)
     flat = np.frombuffer(b"".join(own_ids), np.int32).astype(np.int64)
     starts = np.cumsum([0, *map(len, own_ids)])[:-1] // 4
     # the first word of a text stands without a space; loose texts are one unit each
