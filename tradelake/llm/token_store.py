@@ -64,11 +64,21 @@ class KnownWords:
         """Ids of every word of a block; ``encode`` gives those of new ones."""
         if len(self.again) > KNOWN_WORDS:
             self.again = {}
-        again, last = self.again, self.last
-        again.update((w, last[w]) for w in words if w in last)
-        fresh = [w for w in words if w not in again]
-        self.last = last = dict(zip(fresh, encode(fresh), strict=True))
-        return [again[w] if w in again else last[w] for w in words]
+        found = list(map(self.again.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh = []
+        for i in missing:
+            word = words[i]
+            ids = self.last.get(word)
+            if ids is None:
+                fresh.append(i)
+            else:
+                self.again[word] = found[i] = ids
+        new = [words[i] for i in fresh]
+        self.last = dict(zip(new, encode(new), strict=True))
+        for i, ids in zip(fresh, self.last.values(), strict=True):
+            found[i] = ids
+        return found
 
 
 def known_words(spec: str) -> KnownWords:
@@ -106,7 +116,7 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     lists = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     offsets = lists.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
 
@@ -129,14 +139,14 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
 
     # distinct words behind a space; those met in earlier blocks are known
     own_ids = known_words(spec).ids(words, encode_spaced)
-    flat = np.frombuffer(b"".join(own_ids), np.int32).astype(np.int64)
+    flat = np.frombuffer(b"".join(own_ids), np.int32)
     starts = np.cumsum([0, *map(len, own_ids)])[:-1] // 4
     # the first word of a text stands without a space; loose texts are one unit each
     heads = offsets[:-1]
     own = [words[c] for c in codes[heads]] if len(heads) else []
     alone = encode(own + texts.filter(pa.array(loose)).to_pylist())
     starts = np.concatenate([starts, len(flat) + np.cumsum([0] + [len(p) for p in alone])])
-    flat = np.concatenate([flat, np.fromiter((i for p in alone for i in p), np.int64)])
+    flat = np.concatenate([flat, np.fromiter((i for p in alone for i in p), np.int32)])
     lens = np.diff(starts)
     starts = starts[:-1]
     codes[heads] = len(words) + np.arange(len(heads))
@@ -152,7 +162,7 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     size = lens[order]
     ends = np.concatenate([[0], np.cumsum(size)])
     take = np.repeat(starts[order] - ends[:-1], size) + np.arange(ends[-1])
-    return flat[take].astype(np.int32), ends[unit_ends]
+    return flat[take], ends[unit_ends]
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
