@@ -27,9 +27,29 @@ def test_plan_fetch_extract_skips_empty_answers(spark):
             return "[]"
         return [{"typeCode": "C", "refYear": row["year"], "tradeValue": 12.5, "partnerISO": None},
                 {"typeCode": "C", "refYear": row["year"]}]
-    rows = plan_fetch_extract(plan, fetch, ["typeCode", "refYear", "tradeValue", "partnerISO"],
-                              partitions=2).collect()
+    out, rejected = plan_fetch_extract(
+        plan, fetch, ["typeCode", "refYear", "tradeValue", "partnerISO"], partitions=2)
+    rows = out.collect()
+    assert rejected.count() == 0
     got = sorted(((r.flow_id, r.typeCode, r.refYear, r.tradeValue, r.partnerISO) for r in rows),
                  key=repr)
     assert got == sorted([("M", '"C"', "2011", "12.5", "null"), ("M", '"C"', "2011", None, None)],
                          key=repr)
+
+
+def test_one_call_per_request_and_every_request_accounted_for(spark, tmp_path):
+    plan = spark.range(10).selectExpr("id AS reporter_id", "id AS partner_id", "'X' AS flow_id",
+                                      "'01' AS cmdCode", "2010 AS year")
+    calls = str(tmp_path / "calls")
+
+    def fetch(row):
+        with open(calls, "a") as f:
+            f.write(f"{row['reporter_id']}\n")
+        if row["reporter_id"] % 5 == 0:
+            raise TimeoutError("slow")
+        return [{"typeCode": "C"}]
+    rows, rejected = plan_fetch_extract(plan, fetch, ["typeCode"], partitions=2)
+    got = [r.reporter_id for r in rows.collect()] + [r.reporter_id for r in rejected.collect()]
+    assert sorted(got) == list(range(10))
+    with open(calls) as f:
+        assert sorted(map(int, f)) == list(range(10))

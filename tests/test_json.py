@@ -88,6 +88,17 @@ def test_unnest_extract_json_text_semantics(spark):
     assert sorted(tuple(r) for r in rows) == [(1, '"x"', "1", "null"), (1, '"y"', "2.5", None)]
 
 
+def test_unnest_extract_keeps_number_text(spark):
+    df = spark.createDataFrame(
+        [('[{"a":23.0,"b":"1.50"},{"a":1.50,"b":[1.0]},{"a":-7},{"a":true},{"a":null},{}]',),
+         ('[5,{"a":2}]',)], "j string")
+    rows = unnest_extract_json_text(df, "j", ["a", "b"]).collect()
+    assert [tuple(r) for r in rows][:6] == [
+        ("23.0", '"1.50"'), ("1.5", "[1]"), ("-7", None), ("true", None), ("null", None),
+        (None, None)]
+    assert sorted((r.a for r in rows[6:]), key=str) == ["2", None]
+
+
 def test_first_nonempty_list(spark):
     docs = spark.createDataFrame([
         (1, '[{"id":1},{"id":2}]'),

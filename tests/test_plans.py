@@ -24,26 +24,17 @@ def test_year_span_from_data(spark):
     assert [r.year for r in year_span(df, "d").collect()] == [1998, 1999, 2000, 2001]
 
 
-def test_attach_dimension_generator_path_has_no_join(spark):
-    big = spark.range(50).withColumnRenamed("id", "b")
-    small = spark.createDataFrame([(i, f"n{i}") for i in range(7)], "s int, name string")
-    out = attach_dimension(big, small, max_rows=100)
-    assert out.count() == 350
-    plan = _plan_text(out)
-    assert "Join" not in plan and "CartesianProduct" not in plan
-    assert "Generate" in plan
-
-
-def test_attach_dimension_block_fallback_equals_product(spark):
+def test_attach_dimension_equals_product(spark):
     big = spark.range(30).withColumnRenamed("id", "b")
     small = spark.createDataFrame([(i, f"n{i}") for i in range(45)] + [(1, "n1")],
                                   "s int, name string")
-    out = attach_dimension(big, small, max_rows=10, salts=4)
+    out = attach_dimension(big, small, side=4)
     got = sorted(tuple(r) for r in out.collect())
     want = sorted((b, s, n) for b in range(30) for s, n in [(i, f"n{i}") for i in range(45)]
                   + [(1, "n1")])
     assert got == want
-    assert "CartesianProduct" not in _plan_text(out)
+    plan = _plan_text(out)
+    assert "CartesianProduct" not in plan and "Broadcast" not in plan
 
 
 def test_attach_dimension_rejects_clashing_names(spark):
@@ -91,42 +82,51 @@ def test_distinct_pairs(spark):
         (1, "a"), (2, "b")]
 
 
-def test_block_product_with_hot_duplicates_and_nulls(spark):
+def test_product_with_hot_duplicates_and_nulls(spark):
     big = spark.createDataFrame([(i % 3,) for i in range(12)], "b int")     # repeated rows
     dim = [(7, "hot")] * 40 + [(i, f"n{i}") for i in range(25)] + [(None, None)] * 3
     small = spark.createDataFrame(dim, "s int, name string")
-    out = attach_dimension(big, small, max_rows=8, salts=3)
+    out = attach_dimension(big, small, side=3)
     got = sorted(out.collect(), key=repr)
     want = sorted(((i % 3, s, n) for i in range(12) for s, n in dim), key=repr)
     assert [tuple(r) for r in got] == [tuple(w) for w in want]
 
 
-def test_block_product_default_salts(spark):
+def test_product_default_grid_and_empty_sides(spark):
     big = spark.range(20).withColumnRenamed("id", "b")
     small = spark.range(100).withColumnRenamed("id", "s")
-    out = attach_dimension(big, small, max_rows=15)
+    out = attach_dimension(big, small)
     assert out.count() == 2000
     assert out.distinct().count() == 2000
-
-
-def test_bilateral_plan_over_bound_paths_match(spark):
-    reporters = spark.createDataFrame([(i, f"r{i}") for i in range(4)],
+    assert attach_dimension(big.limit(0), small).count() == 0
+    assert attach_dimension(big, small.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("commodities", [2, 300])
+def test_large_plan_is_parallel_and_broadcasts_nothing(spark, commodities):
+    reporters = spark.range(60).selectExpr("id AS reporter_id", "'r' AS reporter_name")
+    partners = spark.range(60).selectExpr("id AS partner_id", "'p' AS partner_name")
+    flows = spark.range(4).selectExpr("id AS flow_id", "'f' AS flow_name")
+    cmds = spark.range(0, commodities, numPartitions=1).selectExpr("id AS cmdCode")
+    plan = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2021))
+    sizes = [r["count"] for r in plan.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 60 * 59 * 4 * commodities
+    text = _plan_text(plan)
+    assert "Broadcast" not in text and "CartesianProduct" not in text
+    if commodities > 100:
+        assert len(sizes) >= spark.sparkContext.defaultParallelism
+        assert max(sizes) < sum(sizes) / 4
+
+
+def test_bilateral_plan_rows(spark):
+    reporters = spark.createDataFrame([(i, f"r{i}") for i in range(4)] + [(None, "x")],
                                       "reporter_id int, reporter_name string")
     partners = spark.createDataFrame([(i, f"p{i}") for i in range(5)],
                                      "partner_id int, partner_name string")
     flows = spark.createDataFrame([("X", "Export"), ("M", "Import")],
                                   "flow_id string, flow_name string")
     cmds = spark.createDataFrame([("01",), ("02",)], "cmdCode string")
-    small = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022),
-                           max_dimension_rows=3)       # partners and combos over the bound
-    big = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022))
-    got, want = sorted(map(tuple, small.collect())), sorted(map(tuple, big.collect()))
-    assert got == want and len(got) == (4 * 5 - 4) * 2 * 2 * 2
-
-
-def test_dimension_counts_one_job_exact(spark):
-    from tradelake.operators.product import dimension_counts
-    a = spark.range(0, 1000, numPartitions=7)
-    b = spark.range(0, 0)
-    c = spark.createDataFrame([(1,), (1,), (2,)], "x int")
-    assert dimension_counts([a, b, c]) == [1000, 0, 3]
+    plan = bilateral_plan(reporters, partners, flows, cmds, years=(2020, 2022))
+    want = [(r, f"r{r}", p, f"p{p}", *f, c, y) for r in range(4) for p in range(5) if r != p
+            for f in (("X", "Export"), ("M", "Import")) for c in ("01", "02") for y in (2020, 2021)]
+    assert sorted(map(tuple, plan.collect())) == sorted(want)

@@ -62,13 +62,3 @@ def test_hot_order_nested_documents_are_paged(spark, tmp_path):
         "(acc, p) -> acc + size(p.notes))").alias("n")).collect()
     assert max(r.n for r in per_doc) <= 1000 and len(per_doc) >= 3
     assert R.q_explode_nested(spark, sf).count() == 2501
-
-
-def test_dimension_guard_fails_loudly(spark):
-    import pytest
-    from tradelake.operators.product import attach_dimension
-    big = spark.range(3).withColumnRenamed("id", "b")
-    small = spark.range(5).withColumnRenamed("id", "s")
-    out = attach_dimension(big, small, max_rows=3, small_rows=1)   # stale size claim
-    with pytest.raises(Exception, match="dimension exceeds 3 rows"):
-        out.collect()

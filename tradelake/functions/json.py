@@ -14,6 +14,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.schemas import struct_ddl
 
@@ -59,16 +60,23 @@ def unnest_extract_json_text(df: DataFrame, json_col: ColumnLike, fields: Sequen
 
     Output is JSON text per field: strings keep their quotes, a JSON null is
     the text ``null`` and a missing member is SQL NULL.  Unreadable documents
-    and non-arrays yield zero rows.  Numbers are re-serialised from their
-    parsed value (``23.0`` prints ``23``, ``1e3`` prints ``1000.0``), so
-    compare numbers as values, not as text.
+    and non-arrays yield zero rows.  A fractional number prints as a double
+    (``23.0`` stays ``23.0``, ``1.50`` is ``1.5``); inside nested members
+    ``23.0`` prints ``23``.
     """
     arr = F.try_variant_get(F.try_parse_json(_col(json_col)), "$", "array<variant>")
-    exploded = df.select(*keep, F.explode(arr).alias("_elem"))
-    return exploded.select(
-        *keep,
-        *[F.to_json(F.variant_get(F.col("_elem"), f"$.{_quote_path(f)}", "variant")).alias(f)
-          for f in fields])
+    # a string field of a parsed struct holds a number's own text
+    texts = F.from_json(_col(json_col), T.ArrayType(T.StructType(
+        [T.StructField(name, T.StringType()) for name in fields])))
+    exploded = df.select(*keep, F.posexplode(arr).alias("_at", "_elem"), texts.alias("_texts"))
+
+    def member(name: str) -> Column:
+        value = F.variant_get(F.col("_elem"), f"$.{_quote_path(name)}", "variant")
+        number = F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        own = F.get(F.col("_texts"), F.col("_at"))[name]
+        return F.coalesce(F.when(number, own), F.to_json(value)).alias(name)
+
+    return exploded.select(*keep, *[member(f) for f in fields])
 
 
 def _quote_path(field: str) -> str:

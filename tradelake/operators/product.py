@@ -1,22 +1,13 @@
-"""Products with bounded dimensions (the core of N1 / N2 request plans).
+"""Products of dimensions of any size (the core of N1 / N2 request plans).
 
 A request plan is by definition the product of request dimensions.  It is
-never planned as a join: the small, size-checked dimension is gathered once
-by an uncorrelated scalar subquery (computed one time, shipped to every task
-like a broadcast) and each row of the large side is expanded by a
-``Generate`` (``explode``).  The large side is streamed: no shuffle, no
-nested-loop join, work equal to the output size.
-
-When a dimension is larger than the bound, ``attach_dimension`` falls back
-to a block product: the dimension is cut by a content hash into chunks of
-about ``max_rows / 2`` distinct rows (each chunk one array), every
-large-side row is fanned out to all chunk ids with a salt, and the two meet
-in an equi-join on ``(chunk, salt)`` so a task holds one chunk plus a slice
-of the large side.  Salts are sized so that chunks x salts is about the
-cluster's task slots: the dimension is replicated ``salts`` times, i.e. about
-``slots * max_rows / 2`` rows in total whatever its size.  Chunks are content
-hashes of de-duplicated rows, so the product is the same whichever tasks are
-recomputed after a lost executor.
+planned as an equi-join on a grid of (row, column) cells: every row of one
+side goes to all columns of its own row, every row of the other side to all
+rows of its own column, so each pair of rows meets in one cell.  The grid has
+a few cells per task slot, whatever the data hold: no side is counted,
+gathered in one task or broadcast, a cell streams through a sort-merge join
+that spills, and both sides are replicated ``sqrt(cells)`` times.  Rows and
+columns are content hashes, so a recomputed task finds the same cells.
 """
 
 from __future__ import annotations
@@ -28,86 +19,35 @@ from pyspark.sql import functions as F
 
 from tradelake.session import parallelism
 
-DEFAULT_MAX_DIMENSION_ROWS = 100_000
-_DIM = "_tl_dim"
-_CHUNK = "_tl_chunk"
-_SALT = "_tl_salt"
-_MULT = "_tl_mult"
-
-
-def _dimension_array(small: DataFrame, max_rows: int):
-    """Bounded ``array<struct>`` of every row of ``small`` as a scalar value.
-
-    The bound is enforced inside the subquery as well, so a dimension that
-    grew after the planning-time count fails loudly instead of building an
-    unbounded array in one task.
-    """
-    packed = F.collect_list(F.struct(*[F.col(c) for c in small.columns]))
-    guarded = F.when(F.count(F.lit(1)) <= F.lit(max_rows), packed).otherwise(
-        F.raise_error(F.lit(f"dimension exceeds {max_rows} rows")))
-    return small.agg(guarded.alias(_DIM)).scalar()
-
-
-def dimension_counts(dfs: list[DataFrame]) -> list[int]:
-    """Exact row counts of several inputs in one job.  Counts are partial
-    per task and merged from one number per task - never a ``limit``,
-    whose global step would gather rows from every partition in one task."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-             for i, df in enumerate(dfs)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    got = {r["i"]: r["n"] for r in union.collect()}
-    return [got[i] for i in range(len(dfs))]
+#: Grid cells for each task slot.
+CELLS_PER_SLOT = 4
+_ROW = "_tl_row"
+_COLUMN = "_tl_column"
 
 
-def attach_dimension(big: DataFrame, small: DataFrame,
-                     max_rows: int = DEFAULT_MAX_DIMENSION_ROWS,
-                     salts: int | None = None,
-                     small_rows: int | None = None) -> DataFrame:
+def attach_dimension(big: DataFrame, small: DataFrame, side: int | None = None) -> DataFrame:
     """Every row of ``big`` combined with every row of ``small``.
 
     Output columns: ``big.columns + small.columns`` (names must not clash).
-    ``small_rows`` may pass a known count (or an upper bound) to skip the
-    size check job.
+    ``side`` is the number of grid rows and of grid columns.  The cells are
+    dealt by an explicit ``repartition``, which AQE does not coalesce: the
+    expansion runs in as many tasks as there are cells, however few bytes
+    the dimensions hold.
     """
     clash = set(big.columns) & set(small.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    # a distributed count (partial per task), not a limit: a global limit
-    # would gather rows from every partition into one task
-    n = small.count() if small_rows is None else small_rows
-    if n <= max_rows:
-        return (big.select("*", F.explode(_dimension_array(small, max_rows)).alias(_DIM))
-                .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
-    # over the bound: size the chunks from an exact count (a passed
-    # ``small_rows`` may be an upper bound)
-    return _block_product(big, small, small.count() if small_rows is not None else n,
-                          max_rows, salts)
+    side = side or math.ceil(math.sqrt(CELLS_PER_SLOT * parallelism(big.sparkSession)))
 
+    def cells(df: DataFrame, own: str, other: str) -> DataFrame:
+        return (df.withColumn(own, F.pmod(F.xxhash64(*df.columns), F.lit(side)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      F.lit(side - 1).cast("bigint"))))
+                .repartition(side * side, _ROW, _COLUMN))
 
-def _block_product(big: DataFrame, small: DataFrame, n: int, max_rows: int,
-                   salts: int | None) -> DataFrame:
-    spark = big.sparkSession
-    chunks = max(1, math.ceil(2 * n / max_rows))        # hash chunks, ~max_rows/2 each
-    salts = salts or max(1, math.ceil(parallelism(spark) / chunks))
-    # Identical dimension rows collapse to one row with a multiplicity, so
-    # chunk ids can be a pure content hash: stable under recomputation and
-    # balanced even when one row value repeats a great many times.
-    counted = small.groupBy(*small.columns).agg(F.count(F.lit(1)).alias(_MULT))
-    blocks = (counted.withColumn(_CHUNK, F.pmod(F.xxhash64(*small.columns), F.lit(chunks)))
-              .groupBy(_CHUNK)
-              .agg(F.collect_list(F.struct(*small.columns, _MULT)).alias(_DIM))
-              .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    # Every salt holds every chunk, so the salt only spreads the large side;
-    # repeated large-side rows that share a salt are split by AQE skew join.
-    fanned = (big.withColumn(_SALT, F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-              .withColumn(_CHUNK, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
-    joined = fanned.join(blocks, [_CHUNK, _SALT], "inner")
-    rows = joined.select(*big.columns, F.explode(_DIM).alias(_DIM))
-    return (rows.select("*", F.explode(F.sequence(F.lit(1), F.col(f"{_DIM}.{_MULT}")))
-                        .alias("_tl_copy"))
-            .select(*big.columns, *[F.col(f"{_DIM}.{c}").alias(c) for c in small.columns]))
+    joined = cells(big, _ROW, _COLUMN).join(cells(small, _COLUMN, _ROW).hint("merge"),
+                                            [_ROW, _COLUMN])
+    return joined.select(*big.columns, *small.columns)
 
 
 def with_sequence(df: DataFrame, name: str, start: int, end_exclusive: int) -> DataFrame:

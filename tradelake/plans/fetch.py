@@ -3,6 +3,8 @@
 A plan DataFrame drives an injected per-request function on executors; the
 answers stay JSON text next to the request keys, ready for a sink or for
 extraction.  Answers are kept whole; failed requests are returned apart.
+Answers are checkpointed right after the fetch, so reading both outputs, or a
+lost executor later on, does not call the service again.
 """
 
 from __future__ import annotations
@@ -10,14 +12,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tradelake.operators.filters import filter_nonempty_json
 from tradelake.operators.flow import RowFn, enrich_partitions, split_failures
 from tradelake.plans.request_plan import distinct_pairs
 from tradelake.plans.responses import preview_extract
 from tradelake.schemas import PREVIEW_FIELDS
-from tradelake.session import parallelism
+from tradelake.session import checkpoint_root, parallelism
+
+
+def _fetched(plan: DataFrame, fetch: RowFn, keys: list[str], partitions: int | None,
+             min_interval_s: float) -> tuple[DataFrame, DataFrame]:
+    spark = plan.sparkSession
+    checkpoint_root(spark)
+    return split_failures(enrich_partitions(
+        plan, fetch, keys, partitions=partitions or parallelism(spark),
+        min_interval_s=min_interval_s).checkpoint(eager=True))
+
 
 PREVIEW_KEYS = ("reporter_id", "partner_id", "flow_id", "cmdCode", "year")
 
@@ -28,10 +39,8 @@ def fetch_per_reporter(plan: DataFrame, fetch: RowFn, partitions: int | None = N
     each -> ``reporter_id, reporter_name, json_data`` (raw answer text).
     Returns (answers, rejected)."""
     reporters = distinct_pairs(plan, ["reporter_id", "reporter_name"])
-    answers = enrich_partitions(reporters, fetch, ["reporter_id", "reporter_name"],
-                                partitions=partitions or parallelism(plan.sparkSession),
-                                min_interval_s=min_interval_s)
-    return split_failures(answers)
+    return _fetched(reporters, fetch, ["reporter_id", "reporter_name"], partitions,
+                    min_interval_s)
 
 
 def fetch_preview(plan: DataFrame, fetch: RowFn, keys: Sequence[str] = PREVIEW_KEYS,
@@ -39,22 +48,14 @@ def fetch_preview(plan: DataFrame, fetch: RowFn, keys: Sequence[str] = PREVIEW_K
                   ) -> tuple[DataFrame, DataFrame]:
     """X6 first half: one preview request per plan row (keys + JSON array
     answer).  Returns (answers, rejected)."""
-    answers = enrich_partitions(plan, fetch, list(keys),
-                                partitions=partitions or parallelism(plan.sparkSession),
-                                min_interval_s=min_interval_s)
-    return split_failures(answers)
+    return _fetched(plan, fetch, list(keys), partitions, min_interval_s)
 
 
 def plan_fetch_extract(plan: DataFrame, fetch: RowFn, fields: Sequence[str] = PREVIEW_FIELDS,
                        keys: Sequence[str] = PREVIEW_KEYS,
                        partitions: int | None = None,
-                       min_interval_s: float = 0.0) -> DataFrame:
+                       min_interval_s: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Plan -> fetch -> drop empty answers -> one row per returned
-    record with each field as JSON text."""
-    answers, _ = fetch_preview(plan, fetch, keys, partitions, min_interval_s)
-    return preview_extract(filter_nonempty_json(answers), keys, fields)
-
-
-def answered(answers: DataFrame, json_col: str = "json_data") -> DataFrame:
-    """Answers that carry at least one record."""
-    return filter_nonempty_json(answers.filter(F.col(json_col).isNotNull()), json_col)
+    record with each field as JSON text.  Returns (rows, rejected requests)."""
+    answers, rejected = fetch_preview(plan, fetch, keys, partitions, min_interval_s)
+    return preview_extract(filter_nonempty_json(answers), keys, fields), rejected

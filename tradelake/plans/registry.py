@@ -173,8 +173,7 @@ def q_year_dimension(spark, sf):
 
 
 def q_staged_tables(spark, sf):
-    commodities = dimension(_t(spark, sf, "part"), "p_partkey", "commodity_id",
-                            where=F.col("p_size") == 1)
+    commodities = dimension(_t(spark, sf, "part"), "p_partkey", "commodity_id")
     stage_tables(spark, {"tl_commodities": commodities})
     return spark.sql(
         "SELECT c.commodity_id AS cmdCode, CAST(y.year AS INT) AS year "
@@ -273,8 +272,7 @@ def q_sanitize_columns_punct(spark, sf):
 
 def _request_plan(spark, sf, key_type: str | None = None) -> DataFrame:
     """Every nation as reporter and partner, every region as a flow, and the
-    commodities of one aggregation level (``p_size = 1``, read from the whole
-    part table) for 2010-2023.  ``key_type="string"`` types the ids as
+    brands of the whole part table as commodities, for 2010-2023.  ``key_type="string"`` types the ids as
     request parameters once per dimension row instead of once per plan row."""
     nation, region, part = (_t(spark, sf, n) for n in ("nation", "region", "part"))
 
@@ -285,8 +283,7 @@ def _request_plan(spark, sf, key_type: str | None = None) -> DataFrame:
     partners = typed(dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name"),
                      "partner_id")
     flows = typed(dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name"), "flow_id")
-    commodities = typed(dimension(part, "p_partkey", "cmdCode", where=F.col("p_size") == 1),
-                        "cmdCode")
+    commodities = part.select(F.col("p_brand").alias("cmdCode")).distinct()
     return bilateral_plan(reporters, partners, flows, commodities)
 
 
@@ -391,26 +388,24 @@ def q_filter_column_neq(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def _line_array_docs(spark, sf):
-    """Per (order, line page): JSON array of its lines with quantity > 25;
-    orders without such lines answer ``[]``.  Non-empty answers need no
-    join (the order key is on the line); empty ones come from an anti join
-    against the distinct keys."""
-    orders = _t(spark, sf, "orders").select("o_orderkey")
-    lines = _t(spark, sf, "lineitem").filter(F.col("l_quantity") > 25).select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag",
+def _line_array_docs(spark, sf, only=None):
+    """Per (order, line page): JSON array of its lines, of those that ``only``
+    accepts where it is given; a page without one answers ``[]``."""
+    lines = _t(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag", "l_quantity",
         F.when(F.col("l_quantity") > 40, F.lit("big")).alias("l_note"))
+    items = F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_quantity", "l_note"))
     grouped = lines.groupBy("o_orderkey", page_of("l_linenumber", LINE_PAGE).alias("page")).agg(
-        F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_note")).alias("items"))
-    answered = grouped.select("o_orderkey", "page", F.to_json(
-        "items", {"ignoreNullFields": "false"}).alias("json_data"))
-    empty = _orders_without(orders, lines.select("o_orderkey")).select(
-        "o_orderkey", F.lit(0).cast("bigint").alias("page"), F.lit("[]").alias("json_data"))
-    return answered.unionByName(empty)
+        items.alias("items"))
+    items = F.filter("items", only) if only else F.col("items")
+    return grouped.select("o_orderkey", "page", F.to_json(
+        items, {"ignoreNullFields": "false"}).alias("json_data"))
 
 
 def q_filter_nonempty_json(spark, sf):
-    return filter_nonempty_json(_line_array_docs(spark, sf)).select("o_orderkey", "page")
+    return filter_nonempty_json(
+        _line_array_docs(spark, sf, lambda line: line["l_quantity"] > 25)).select(
+        "o_orderkey", "page")
 
 
 def _customer_enrich(spark, sf, fail_negative: bool):
@@ -541,7 +536,8 @@ def q_explode_nested(spark, sf):
 def q_json_array_unnest_extract(spark, sf):
     docs = filter_nonempty_json(_line_array_docs(spark, sf))
     return unnest_extract_json_text(docs, "json_data",
-                                    ["l_linenumber", "l_returnflag", "l_note", "l_comment"],
+                                    ["l_linenumber", "l_returnflag", "l_quantity", "l_note",
+                                     "l_comment"],
                                     keep=["o_orderkey"])
 
 
@@ -618,7 +614,7 @@ def q_isolate_table_failures(spark, sf):
 def q_empty_input_policy(spark, sf):
     path = scratch_path(spark, "empty-policy")
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    write_with_empty_policy(orders.filter(F.col("o_orderstatus") == "F"), path, "fail")
+    write_with_empty_policy(orders, path, "fail")
     # an empty answer must not wipe the dataset
     write_with_empty_policy(orders.filter(F.col("o_orderstatus") == "none"), path, "skip")
     return spark.read.parquet(path).select("o_orderkey", "o_custkey")
@@ -651,9 +647,10 @@ def _preview_answer(row) -> str:
 
 def q_plan_fetch_extract(spark, sf):
     from tradelake.plans.fetch import plan_fetch_extract
-    return plan_fetch_extract(_preview_plan(spark, sf), _preview_answer,
-                              ["typeCode", "refYear", "reporterCode", "partnerCode",
-                               "flowCode", "tradeValue", "qtyUnitCode"])
+    rows, _ = plan_fetch_extract(_preview_plan(spark, sf), _preview_answer,
+                                 ["typeCode", "refYear", "reporterCode", "partnerCode",
+                                  "flowCode", "tradeValue", "qtyUnitCode"])
+    return rows
 
 
 def _reporter_share_answer(row) -> dict:
@@ -822,13 +819,13 @@ _PLAN_SQL = """
 SELECT r.n_nationkey AS reporter_id, r.n_name AS reporter_name,
        p.n_nationkey AS partner_id, p.n_name AS partner_name,
        f.r_regionkey AS flow_id, f.r_name AS flow_name,
-       c.p_partkey AS cmdCode, CAST(y.range AS INTEGER) AS year
+       c.p_brand AS cmdCode, CAST(y.range AS INTEGER) AS year
 FROM nation r
 CROSS JOIN nation p
 CROSS JOIN region f
-CROSS JOIN part c
+CROSS JOIN (SELECT DISTINCT p_brand FROM part) c
 CROSS JOIN range(2010, 2024) y
-WHERE c.p_size = 1 AND r.n_nationkey != p.n_nationkey
+WHERE r.n_nationkey != p.n_nationkey
 """
 
 _AVAIL_SQL = """
@@ -877,7 +874,7 @@ ORACLES: dict[str, str] = {
     "year_dimension": "SELECT CAST(unnest(range(min(year(o_orderdate)), "
                       "max(year(o_orderdate)) + 1)) AS INTEGER) AS year FROM orders",
     "staged_tables": "SELECT p_partkey AS cmdCode, CAST(y.range AS INTEGER) AS year "
-                     "FROM part CROSS JOIN range(2010, 2024) y WHERE p_size = 1",
+                     "FROM part CROSS JOIN range(2010, 2024) y",
     "sink_parquet_overwrite": "SELECT * FROM orders",
     "sink_single_parquet": "SELECT DISTINCT s_nationkey FROM supplier",
     "sink_json_per_key": "SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderstatus, "
@@ -937,10 +934,11 @@ ORACLES: dict[str, str] = {
     "explode_nested": "SELECT l_orderkey AS o_orderkey, l_linenumber, l_quantity FROM lineitem",
     "json_array_unnest_extract": "SELECT l_orderkey AS o_orderkey, "
                                  "CAST(l_linenumber AS VARCHAR) AS l_linenumber, "
+                                 "CAST(l_quantity AS VARCHAR) AS l_quantity, "
                                  "'\"' || l_returnflag || '\"' AS l_returnflag, "
                                  "CASE WHEN l_quantity > 40 THEN '\"big\"' ELSE 'null' END "
                                  "AS l_note, CAST(NULL AS VARCHAR) AS l_comment "
-                                 "FROM lineitem WHERE l_quantity > 25",
+                                 "FROM lineitem",
     "json_serialize": "SELECT o_orderkey, '{\"o_orderkey\":' || o_orderkey || "
                       "',\"o_orderstatus\":\"' || o_orderstatus || "
                       "'\",\"o_orderpriority\":\"' || o_orderpriority || '\"}' AS json_text "
@@ -968,7 +966,7 @@ ORACLES: dict[str, str] = {
                               "AS rejected_docs, "
                               "count(*) FILTER (WHERE o_orderpriority <> '1-URGENT') AS ok_rows "
                               "FROM orders GROUP BY o_orderstatus",
-    "empty_input_policy": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'",
+    "empty_input_policy": "SELECT o_orderkey, o_custkey FROM orders",
     "ingest_csv_to_parquet": "SELECT CAST(c_custkey AS VARCHAR) AS _c_custkey_, "
                              "c_name AS c_name, c_mktsegment FROM customer",
     "plan_fetch_extract": "SELECT s_suppkey AS reporter_id, s_nationkey AS partner_id, "

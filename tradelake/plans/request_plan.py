@@ -1,8 +1,8 @@
 """Request plans (S9, S10, N1, N2, P1-style renames, F2/F3/F4 predicates).
 
 A plan is the list of requests a fetch job will issue: every combination of
-request dimensions.  Plans are built as generators over bounded dimensions
-(see ``tradelake.operators.product``), never as joins.
+request dimensions.  Products of dimensions meet on a grid of cells (see
+``tradelake.operators.product``); year ranges are generators.
 """
 
 from __future__ import annotations
@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.operators.filters import spread
-from tradelake.operators.product import (DEFAULT_MAX_DIMENSION_ROWS, attach_dimension,
-                                         dimension_counts, with_sequence)
+from tradelake.operators.product import attach_dimension, with_sequence
 from tradelake.schemas import BILATERAL_YEARS, REPORTER_YEARS
 
 
@@ -61,8 +60,7 @@ def reporter_year_plan(reporters: DataFrame, years: tuple[int, int] = REPORTER_Y
 
 
 def bilateral_plan(reporters: DataFrame, partners: DataFrame, flows: DataFrame,
-                   commodities: DataFrame, years: tuple[int, int] = BILATERAL_YEARS,
-                   max_dimension_rows: int = DEFAULT_MAX_DIMENSION_ROWS) -> DataFrame:
+                   commodities: DataFrame, years: tuple[int, int] = BILATERAL_YEARS) -> DataFrame:
     """Reporters x partners x flows x commodities x years, reporter != partner.
 
     The inequality is applied to the reporter-partner pairs first (the
@@ -70,25 +68,14 @@ def bilateral_plan(reporters: DataFrame, partners: DataFrame, flows: DataFrame,
     surviving combinations.  Rows with a null reporter or partner id drop
     out, as in SQL.
     """
-    reporters = reporters.select("reporter_id", "reporter_name")
-    partners = partners.select("partner_id", "partner_name")
-    flows = flows.select("flow_id", "flow_name")
-    # one job sizes all three dimensions; the combination count is then
-    # bounded by their product and needs no job of its own
-    n_rep, n_par, n_flow = dimension_counts([reporters, partners, flows])
-    pairs = attach_dimension(reporters, partners, max_dimension_rows, small_rows=n_par)
+    pairs = attach_dimension(reporters.select("reporter_id", "reporter_name"),
+                             partners.select("partner_id", "partner_name"))
     pairs = pairs.filter(F.col("reporter_id") != F.col("partner_id"))
-    combos = attach_dimension(pairs, flows, max_dimension_rows, small_rows=n_flow)
-    bound = n_rep * n_par * n_flow
-    # the output is |commodities| x |combos| x years: spread the (possibly
-    # tiny) commodity input over the task slots before it is expanded, so
-    # the expansion is parallel however few files the input came from
-    plan = attach_dimension(spread(commodities.select("cmdCode")), combos,
-                            max_dimension_rows,
-                            small_rows=bound if bound <= max_dimension_rows else None)
-    plan = with_sequence(plan, "year", *years)
-    return plan.select("reporter_id", "reporter_name", "partner_id", "partner_name",
-                       "flow_id", "flow_name", "cmdCode", "year")
+    combos = attach_dimension(pairs, flows.select("flow_id", "flow_name"))
+    plan = attach_dimension(combos, commodities.select("cmdCode"))
+    return with_sequence(plan, "year", *years).select(
+        "reporter_id", "reporter_name", "partner_id", "partner_name", "flow_id", "flow_name",
+        "cmdCode", "year")
 
 
 def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,7 +84,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/tradelake-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def table_path(sf_dir: str, table: str) -> str:
-    return os.path.join(sf_dir, f"{table}.parquet")
