@@ -110,4 +110,104 @@ QUERIES = {f.__name__: f for f in (
     op5_piece_codec, op6_topk_search, op7_token_store, op8_decontamination, op9_toxicity,
     op10_quality_rules, pipeline)}
 
-ORACLES: dict[str, str] = {}
+
+def _run(width: int) -> str:
+    """SQL for the words from a row of ``p`` on, joined by spaces; null where
+    the document has fewer than ``width`` left."""
+    words = ", ".join(["word", *(f"lead(word, {i}) OVER w" for i in range(1, width))])
+    last = "word" if width == 1 else f"lead(word, {width - 1}) OVER w"
+    return f"CASE WHEN {last} IS NOT NULL THEN concat_ws(' ', {words}) END"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(table: str, id_col: str, text: str, pattern: str) -> str:
+    return (f"SELECT {id_col}, unnest(l) AS word, generate_subscripts(l, 1) AS pos, len(l) AS n "
+            f"FROM (SELECT {id_col}, regexp_extract_all({text}, '{pattern}') AS l FROM {table})")
+
+
+_NEAR_SQL = f"""
+WITH RECURSIVE p AS ({_words("documents", "doc_id", _LOWER.format("text"), _SPACED)}),
+runs AS (SELECT doc_id, n, pos, {_run(4)} AS s FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+short AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS s FROM p WHERE n < 4 GROUP BY doc_id),
+sets AS (SELECT DISTINCT doc_id, s FROM runs WHERE s IS NOT NULL UNION SELECT doc_id, s FROM short),
+keyed AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k
+          FROM sets GROUP BY doc_id),
+classes AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n FROM keyed GROUP BY k),
+own AS (SELECT rep, n, s FROM classes JOIN sets ON doc_id = rep),
+links AS (SELECT a.rep AS x, b.rep AS y FROM own a JOIN own b ON a.s = b.s AND a.rep < b.rep
+          GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT rep AS node, rep AS other FROM classes
+            UNION SELECT node, y FROM reached JOIN both_ways ON other = x),
+lowest AS (SELECT node, min(other) AS c FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(keyed.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+       coalesce(c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN keyed ON keyed.doc_id = d.doc_id
+LEFT JOIN classes ON classes.k = keyed.k LEFT JOIN lowest ON node = rep
+"""
+
+_REPEATS_SQL = f"""
+WITH p AS ({_words("documents", "doc_id", "text", _SPACED)}),
+runs AS (SELECT doc_id, pos, word, {_run(13)} AS run
+         FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+firsts AS (SELECT run, min(doc_id) AS first FROM runs WHERE run IS NOT NULL GROUP BY run),
+judged AS (SELECT doc_id, pos, word, coalesce(doc_id > first, false) AS again
+           FROM runs LEFT JOIN firsts USING (run)),
+marked AS (SELECT doc_id, pos, word, max(CASE WHEN again THEN 1 ELSE 0 END) OVER (
+             PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+           FROM judged),
+kept AS (SELECT doc_id, count(*) AS n_words, CAST(sum(gone) AS BIGINT) AS n_removed,
+                string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS text
+         FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+_TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding,
+                    lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+                    embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS query_id, b.vec_id,
+                  CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored) WHERE rank <= 5
+"""
+
+_LEAKS_SQL = f"""
+WITH p AS ({_words("documents", "doc_id", _LOWER.format("text"), _PLAIN)}),
+b AS ({_words("benchmark", "item_id", _LOWER.format("text"), _PLAIN)}),
+long AS (SELECT item_id, {_run(10)} AS run FROM b WHERE n >= 10
+         WINDOW w AS (PARTITION BY item_id ORDER BY pos)),
+wanted AS (SELECT DISTINCT item_id, 10 AS width, run FROM long WHERE run IS NOT NULL
+           UNION ALL SELECT item_id, count(*), string_agg(word, ' ' ORDER BY pos)
+                     FROM b WHERE n < 10 GROUP BY item_id),
+runs AS ({" UNION ALL ".join(
+    f"SELECT doc_id, pos, {k} AS width, {_run(k)} AS run FROM p "
+    "WINDOW w AS (PARTITION BY doc_id ORDER BY pos)" for k in range(1, 11))}),
+found AS (SELECT doc_id, pos, width, item_id FROM runs JOIN wanted USING (width, run)),
+ends AS (SELECT doc_id, pos, max(pos + width) AS stop FROM found GROUP BY doc_id, pos),
+covered AS (SELECT p.doc_id, p.pos, max(stop) OVER (PARTITION BY p.doc_id ORDER BY p.pos
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop
+            FROM p LEFT JOIN ends ON ends.doc_id = p.doc_id AND ends.pos = p.pos),
+hits AS (SELECT doc_id, count(*) AS n_words, count(CASE WHEN stop > pos THEN 1 END) AS n_hit
+         FROM covered GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+#: The other operators and the pipeline are beyond SQL; see tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": _NEAR_SQL, "op3_substring_dedup": _REPEATS_SQL,
+    "op6_topk_search": _TOP_SQL, "op8_decontamination": _LEAKS_SQL}
