@@ -32,6 +32,8 @@ PENALTY = 10.0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of the words that are searched at once.
 AT_ONCE = 1 << 18
+#: Pieces that are decoded at once (one text at least).
+PIECES_AT_ONCE = 1 << 18
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -78,6 +80,7 @@ class Pieces:
     lowest: float
     byte_ids: np.ndarray       # id of every byte piece (-1: none)
     prefix: bool
+    spelled: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
 
 def _hash_codes(codes: np.ndarray) -> np.ndarray:
@@ -255,15 +258,22 @@ def encode_texts(texts: pa.Array, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return flat[take].astype(np.int32), stops[np.concatenate([[0], np.cumsum(per_text)])]
 
 
-def decode_ids(flat: np.ndarray, ends: np.ndarray, p: Pieces) -> list[str]:
-    """Texts of id lists: pieces joined, byte pieces as UTF-8, spaces restored
-    and the added first one taken off; control pieces give nothing."""
+def _spelling(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all pieces one after the other, their starts and lengths."""
     parts = [b"" if k == CONTROL else bytes([int(n[1:-1], 16)]) if k == BYTE
              else b" \xe2\x81\x87 " if k == UNKNOWN else n.replace(SPACE, " ").encode()
              for n, k in zip(p.names, p.kinds.tolist(), strict=True)]
-    pool = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(x) for x in parts])
-    begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    return (np.frombuffer(b"".join(parts), np.uint8),
+            np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes)
+
+
+def decode_ids(flat: np.ndarray, ends: np.ndarray, p: Pieces) -> list[str]:
+    """Texts of id lists: pieces joined, byte pieces as UTF-8, spaces restored
+    and the added first one taken off; control pieces give nothing."""
+    if p.spelled is None:
+        p.spelled = _spelling(p)
+    pool, begin, sizes = p.spelled
     own = sizes[flat] if len(flat) else np.zeros(0, np.int64)
     stops = np.concatenate([[0], np.cumsum(own)])
     data = pool[np.repeat(begin[flat] - stops[:-1], own) + np.arange(stops[-1])].tobytes() \
@@ -304,11 +314,17 @@ def decode(encoded: DataFrame, model_path: str, pieces_col: str = "pieces") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _pieces(model)
         for batch in batches:
-            lists = batch.column(pieces_col)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            texts = decode_ids(flat, np.concatenate([[0], np.cumsum(sizes)]), p)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(pieces_col)), 0)
+            ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])
+            start = 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(
+                    ends, ends[start] + PIECES_AT_ONCE, side="right")) - 1)
+                part = batch.slice(start, stop - start)
+                flat = part.column(pieces_col).flatten().to_numpy(zero_copy_only=False)
+                texts = decode_ids(flat, ends[start:stop + 1] - ends[start], p)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
+                                                 names=[*part.schema.names, "decoded"])
+                start = stop
 
     return kept.mapInArrow(run, schema)
