@@ -62,3 +62,19 @@ def test_hot_order_nested_documents_are_paged(spark, tmp_path):
         "(acc, p) -> acc + size(p.notes))").alias("n")).collect()
     assert max(r.n for r in per_doc) <= 1000 and len(per_doc) >= 3
     assert R.q_explode_nested(spark, sf).count() == 2501
+
+
+def test_hot_order_is_one_row_of_its_line_count(spark, tmp_path):
+    from tradelake.plans import registry as R
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, 10, "F"), (2, 11, "O"), (3, 12, "O")],
+                          "o_orderkey bigint, o_custkey bigint, o_orderstatus string") \
+        .write.parquet(f"{sf}/orders.parquet")
+    lines = spark.range(1, 2501).select(F.lit(1).cast("bigint").alias("l_orderkey"),
+                                        F.col("id").cast("int").alias("l_linenumber"))
+    lines = lines.unionByName(spark.createDataFrame([(2, 1)], "l_orderkey bigint, l_linenumber int"))
+    (lines.withColumn("l_quantity", F.lit(1.0)).withColumn("l_returnflag", F.lit("N"))
+          .write.parquet(f"{sf}/lineitem.parquet"))
+    got = R.q_json_parse_nested(spark, sf)
+    assert got.schema["n_lines"].dataType.simpleString() == "int"
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2500), (2, 1), (3, 0)]

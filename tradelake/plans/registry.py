@@ -520,8 +520,9 @@ def q_json_parse_nested(spark, sf):
     docs = _nested_order_docs(spark, sf, keep_empty=True)
     parsed = docs.select(parse_json_struct("json_data", _NESTED_DDL).alias("e"))
     parents = explode_array(parsed, "e.data", "p")
-    return parents.select(F.col("p.o_orderkey").alias("o_orderkey"),
-                          F.size("p.notes").alias("n_lines"))
+    # an order of several line pages is in as many documents
+    return parents.groupBy(F.col("p.o_orderkey").alias("o_orderkey")).agg(
+        F.sum(F.size("p.notes")).cast("int").alias("n_lines"))
 
 
 def q_explode_nested(spark, sf):
