@@ -218,6 +218,72 @@ def test_preference_query(spark):
     assert got and all(r.chosen and r.prompt + r.chosen != "" for r in got)
 
 
+def brute_preferences(rows):
+    """op4 in plain Python from (conv_id, turn, role, text) rows."""
+    talks = defaultdict(list)
+    for i, turn, role, text in rows:
+        talks[i].append((turn, role, text))
+    talks = {i: [t[1:] for t in sorted(own)] for i, own in talks.items()}
+    at = {i: [k for k, t in enumerate(own) if t[0] == "assistant"] for i, own in talks.items()}
+    ring = sorted(i for i in talks if at[i])
+    out = {}
+    for i, own in talks.items():
+        other, rejected, reason = None, [], None
+        if not at[i]:
+            reason = "no assistant turn"
+        elif len(ring) == 1:
+            reason = "no other conversation"
+        else:
+            other = ring[(ring.index(i) + 1) % len(ring)]
+            k = zlib.crc32(str(i).encode()) % len(at[i])
+            rejected = own[:at[i][k]] + talks[other][at[other][min(k, len(at[other]) - 1)]:]
+            reason = "equal" if rejected == own else None
+        n = 0
+        while n < min(len(own), len(rejected)) and own[n] == rejected[n]:
+            n += 1
+
+        def said(turns):
+            return "".join(f"<|{r}|>\n{t}<|end|>\n" for r, t in turns)
+
+        def spans(turns):
+            marks, end = [], len(said(own[:n]))
+            for r, t in turns:
+                start, end = end + len(f"<|{r}|>\n"), end + len(said([(r, t)]))
+                marks += [f"{start}-{end}"] * (r == "assistant")
+            return ",".join(marks)
+
+        out[i] = (other, reason, n, said(own[:n]), said(own[n:]), said(rejected[n:]),
+                  spans(own[n:]), spans(rejected[n:]))
+    return out
+
+
+def preference_rows(spark, sf):
+    got = queries.op4_preference_pairs(spark, sf).collect()
+    found = {r.conv_id: (r.rejected_from, r.reason, r.n_prompt, r.prompt, r.chosen, r.rejected,
+                         r.chosen_spans, r.rejected_spans) for r in got}
+    assert len(found) == len(got)
+    return found
+
+
+def test_preference_query_has_every_conversation(spark, tmp_path):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    got = preference_rows(spark, SF)
+    assert got == brute_preferences(rows)
+    assert any("," in r[6] or "," in r[7] for r in got.values())     # several replies after the prompt
+    # sparse ids, turns after the last reply, equal replies, no reply
+    talks = {2: "uauau", 8: "uaua", 40: "su", 100: "uaua", 102: "sua", 1 << 40: "uaua"}
+    roles = {"u": "user", "a": "assistant", "s": "system"}
+    sparse = [(i, k, roles[c], f"{c}{k}" if i in (8, 100) else f"{i} {c}{k}")
+              for i, own in talks.items() for k, c in enumerate(own)]
+    for name, part in (("sparse", sparse), ("lone", [r for r in sparse if r[0] in (2, 40)])):
+        spark.createDataFrame(part, "conv_id bigint, turn bigint, role string, text string") \
+            .write.parquet(f"{tmp_path}/{name}/conversations.parquet")
+        assert preference_rows(spark, f"{tmp_path}/{name}") == brute_preferences(part)
+    reasons = [r[1] for _, r in sorted(brute_preferences(sparse).items())]
+    assert reasons == [None, "equal", "no assistant turn", None, None, None]
+
+
 def test_pieces_are_the_best_segmentation(docs):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradelake.llm.common import written
+
 #: Template of a turn.
 OPEN, BODY, CLOSE = "<|", "|>\n", "<|end|>\n"
 
@@ -26,30 +31,80 @@ def conversations_as_rows(turns: DataFrame, id_col: str = "conv_id", turn_col: s
                     .alias("turns")))
 
 
-def last_reply(turns: Column) -> Column:
-    """1-based place of the last assistant turn (null: none)."""
-    return F.array_max(F.filter(F.sequence(F.lit(1), F.size(turns)),
-                                lambda i: F.element_at(turns, i)["role"] == "assistant"))
+def replies(turns: Column) -> Column:
+    """1-based places of the assistant turns."""
+    return F.filter(F.sequence(F.lit(1), F.size(turns)),
+                    lambda i: F.element_at(turns, i)["role"] == "assistant")
 
 
-def swapped_replies(conversations: DataFrame) -> DataFrame:
-    """Preference pairs (conv_id, rejected_from, chosen, rejected).
+def following(ids: DataFrame) -> DataFrame:
+    """(conv_id, rejected_from): every id of ``ids`` (distinct, one bigint column
+    ``conv_id``) with the next larger one, the largest with the smallest; a
+    lone id has no row.
 
-    A conversation up to its last assistant turn is chosen; the rejected one
-    ends instead in the last assistant turn of its neighbour, the conversation
-    whose id differs in the last bit.  Conversations without such a turn or
-    neighbour give no pair.
+    Ranges of ids are read in order, each by its own task.  What follows the
+    last id of a range is found from the ends of all ranges: two rows each.
+    """
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = pa.array([None], pa.int64())               # (null, first id of the range)
+        for batch in batches:
+            if batch.num_rows:
+                own = batch.column("conv_id")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([last, own.slice(0, len(own) - 1)]), own],
+                    names=["conv_id", "rejected_from"])
+                last = own.slice(len(own) - 1)
+        if last.null_count == 0:                          # (last id of the range, null)
+            yield pa.RecordBatch.from_arrays([last, pa.array([None], pa.int64())],
+                                             names=["conv_id", "rejected_from"])
+
+    steps = written(ids.repartitionByRange(n, "conv_id").sortWithinPartitions("conv_id")
+                    .mapInArrow(run, "conv_id bigint, rejected_from bigint"), "chat-next")
+    inside = F.col("conv_id").isNotNull() & F.col("rejected_from").isNotNull()
+    ends = steps.filter(~inside).select(F.coalesce("conv_id", "rejected_from").alias("end"),
+                                        F.col("conv_id").isNotNull().alias("is_last"))
+    ordered = Window.orderBy("end", "is_last")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wrapped = (ends.select("end", "is_last", F.coalesce(
+        F.lead("end").over(ordered), F.min("end").over(whole)).alias("rejected_from"))
+        .filter("is_last").select(F.col("end").alias("conv_id"), "rejected_from"))
+    return steps.filter(inside).unionByName(wrapped).filter("conv_id <> rejected_from")
+
+
+def swapped_replies(conversations: DataFrame, links: DataFrame) -> DataFrame:
+    """One row (conv_id, rejected_from, reason, chosen, rejected) a conversation.
+
+    ``links`` (conv_id, rejected_from) name the conversation that gives the
+    rejected side.  The whole conversation is chosen.  The rejected one parts
+    from it at one of its replies, number ``crc32(id as text) mod replies``
+    from 0: there the other conversation goes on from its reply of that number
+    (its last, if it has fewer) to its end.
+
+    ``reason`` is null for a pair.  Otherwise it is "no assistant turn" or "no
+    other conversation", and rejected is null, or "equal" if both sides are.
     """
-    own = (conversations.filter(F.size("turns") > 0)
-           .withColumn("at", last_reply(F.col("turns"))).filter("at is not null")
-           .select("conv_id", F.slice("turns", F.lit(1), F.col("at")).alias("chosen")))
-    other = own.select(F.col("conv_id").alias("rejected_from"),
-                       F.element_at("chosen", -1).alias("reply"))
-    pairs = own.withColumn("rejected_from", F.col("conv_id").bitwiseXOR(F.lit(1).cast("bigint")))
-    return pairs.join(other.hint("merge"), "rejected_from").select(
-        "conv_id", "rejected_from", "chosen",
-        F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array("reply"))
-        .alias("rejected"))
+    other = (conversations.join(
+        links.select(F.col("conv_id").alias("_to"), F.col("rejected_from").alias("conv_id"))
+        .hint("merge"), "conv_id")
+        .select(F.col("_to").alias("conv_id"), F.col("conv_id").alias("rejected_from"),
+                F.col("turns").alias("others")))
+    both = conversations.join(other.hint("merge"), "conv_id", "left").withColumn(
+        "own_at", replies(F.col("turns"))).withColumn("other_at", replies(F.col("others")))
+    part = F.when(F.size("own_at") > 0, F.pmod(
+        F.crc32(F.col("conv_id").cast("string").cast("binary")),
+        F.size("own_at").cast("bigint")).cast("int"))
+    start = F.get("other_at", F.least(F.col("part"), F.size("other_at") - 1))
+    rejected = F.when(F.col("rejected_from").isNotNull(), F.concat(
+        F.slice("turns", F.lit(1), F.get("own_at", F.col("part")) - 1),
+        F.slice("others", start, F.size("others"))))
+    return (both.withColumn("part", part).withColumn("rejected", rejected).select(
+        "conv_id", "rejected_from",
+        F.when(F.size("own_at") == 0, "no assistant turn")
+        .when(F.col("rejected_from").isNull(), "no other conversation")
+        .when(F.col("rejected") == F.col("turns"), "equal").alias("reason"),
+        F.col("turns").alias("chosen"), "rejected"))
 
 
 def _rendered(turns: Column) -> Column:

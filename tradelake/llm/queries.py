@@ -42,14 +42,18 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talks = chat_format.conversations_as_rows(read_table(spark, sf_dir, "conversations"))
-    formatted = chat_format.format_preferences(chat_format.swapped_replies(talks))
+    turns = read_table(spark, sf_dir, "conversations")
+    talks = chat_format.conversations_as_rows(turns)
+    links = chat_format.following(
+        turns.filter("role = 'assistant' and conv_id is not null")
+        .select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct())
+    formatted = chat_format.format_preferences(chat_format.swapped_replies(talks, links))
 
     def listed(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["first"], s["last"])), ",")
 
     return formatted.select(
-        "conv_id", "rejected_from", F.col("n_prompt").cast("bigint").alias("n_prompt"), "prompt",
+        "conv_id", "rejected_from", "reason", F.col("n_prompt").cast("bigint").alias("n_prompt"), "prompt",
         "chosen", "rejected", listed("chosen_spans").alias("chosen_spans"),
         listed("rejected_spans").alias("rejected_spans"))
 
