@@ -19,6 +19,14 @@ from tradelake.llm.common import read_table, written
 MIN_QUALITY = 0.7
 
 
+def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written, with a number for every row, and that column's name."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-docs"), row
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the rule ensemble, fitted on all ``labels``, scores at
     MIN_QUALITY or more.  It learns from the texts of ``documents``."""
@@ -29,12 +37,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each group: five-word shingles, similarity 0.8 or more; the
-    smallest doc_id stays.  Rows that repeat a kept doc_id stay once each;
-    rows with a null doc_id stay."""
-    found = near_dedup.near_duplicates(docs, shingle=5, percent=80)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: five-word shingles, similarity 0.8 or
+    more.  Rows are compared one by one, also those that repeat a doc_id or
+    have none; the smallest doc_id stays, a null one only if all are null."""
+    keyed, row = row_keyed(docs)
+    found = near_dedup.near_duplicates(keyed, id_col=row, shingle=5, percent=80)
+    first = (found.join(keyed.select(row, "doc_id").hint("merge"), row).groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id",
+                                 F.col(row).alias("row"))).alias("first"))
+             .select(F.col("first.row").alias(row)))
+    return keyed.join(first.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

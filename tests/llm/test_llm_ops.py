@@ -71,6 +71,26 @@ def test_near_duplicates_edges(odd):
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(5, a), (3, a), (5, b), (7, b + " more"), (8, c), (8, c), (9, d), (None, d), (None, d),
+            (None, f"{a} {c}"), (11, ""), (11, None), (5, " ")]
+    docs = spark.createDataFrame([(i, t, "en", k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id bigint, text string, lang string, _row int")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(
+        docs).collect()), key=str)
+    assert got == sorted([(5, 3, False)] * 3 + [(3, 3, True), (7, 3, False)] + [(8, 8, True)] * 2
+                         + [(9, 9, True)] + [(None, None, True)] * 3 + [(11, 11, True)] * 2, key=str)
+    left = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert left.columns == docs.columns
+    left = sorted(((r.doc_id, r.text, r._row) for r in left.collect()), key=lambda r: r[2])
+    assert left.pop(2)[:2] == (8, c)                                # either of two equal rows
+    assert left == [(3, a, 1), (5, b, 2), (9, d, 6), (None, f"{a} {c}", 9), (11, "", 10),
+                    (11, None, 11), (5, " ", 12)]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (8, 8)], "a bigint, b bigint")
     got = {r.node: r.component for r in near_dedup.connected_components(edges).collect()}

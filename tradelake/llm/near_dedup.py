@@ -197,19 +197,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 5, percent: int = 80, short: tuple[int, int] = SHORT,
-                    long: tuple[int, int] = LONG) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (smallest
-    id that its links reach, itself included) and ``kept`` (it is that id).
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  Null and blank
-    texts have no shingles and are linked with nothing.  Rows that repeat an
-    id are one document and all carry its component; a row with a null id is
-    linked with nothing and kept, with a null component.  Other columns are
-    ignored, whatever their names.
-    """
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+def _linked(keyed: DataFrame, shingle: int, percent: int, short: tuple[int, int],
+            long: tuple[int, int]) -> DataFrame:
+    """(id, n_shingles, component) of every row of ``keyed`` (id, text), whose ids
+    don't repeat.  Null ids are linked with nothing and have a null component."""
 
     def sketched(texts: DataFrame, coordinates: int) -> DataFrame:
         def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,6 +299,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         components.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left")
         .select("key", F.coalesce("component", "rep").alias("component")), "near-ids")
     return (rows.drop("signature").join(ids.hint("merge"), "key", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.coalesce("component", "id").alias("component_id"))
+            .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce(
+                "component", "id")).alias("component")))
+
+
+def _linked_rows(keyed: DataFrame, *how) -> DataFrame:
+    """``_linked`` where ids repeat: rows are linked under numbers of their own,
+    then the components that hold rows of one id are joined."""
+    numbered = written(keyed.withColumn("row", F.monotonically_increasing_id()), "near-numbered")
+    found = written(_linked(numbered.select(
+        F.when(F.col("id").isNotNull(), F.col("row")).alias("id"), "text"), *how), "near-found")
+    placed = written(
+        found.filter("id is not null").select(F.col("id").alias("row"), "n_shingles", "component")
+        .join(numbered.select("row", "id").hint("merge"), "row"), "near-rows-placed")
+    pairs = written(placed.select("id", "component").distinct(), "near-id-components")
+    low = (pairs.groupBy("id").agg(F.min("component").alias("a"), F.count("*").alias("n"))
+           .filter("n > 1").select("id", "a"))
+    joined = connected_components(written(
+        pairs.join(low.hint("merge"), "id").select("a", F.col("component").alias("b")),
+        "near-id-edges"))
+    groups = written(
+        placed.join(joined.select(F.col("node").alias("component"), F.col("component").alias("g"))
+                    .hint("merge"), "component", "left")
+        .select("id", "n_shingles", F.coalesce("g", "component").alias("g")), "near-groups")
+    least = groups.groupBy("g").agg(F.min("id").alias("component"))
+    return (groups.join(least.hint("merge"), "g").select("id", "n_shingles", "component")
+            .unionByName(found.filter("id is null")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 5, percent: int = 80, short: tuple[int, int] = SHORT,
+                    long: tuple[int, int] = LONG) -> DataFrame:
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (smallest
+    id that its links reach, itself included) and ``kept`` (it is that id).
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  Null and blank
+    texts have no shingles and are linked with nothing.  Rows that repeat an
+    id are one document: its links are those of all its texts, and all its
+    rows carry its component.  A row with a null id is linked with nothing and
+    kept, with a null component.  Other columns are ignored, whatever their
+    names.
+    """
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    ids_repeat = not (keyed.filter("id is not null").groupBy("id").agg(F.count("*").alias("n"))
+                      .filter("n > 1").limit(1).isEmpty())
+    found = (_linked_rows if ids_repeat else _linked)(keyed, shingle, percent, short, long)
+    return (found.select(F.col("id").alias(id_col), "n_shingles",
+                         F.col("component").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
