@@ -136,6 +136,56 @@ def test_substring_dedup_edges(spark, odd):
     assert substring_dedup.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_substring_dedup_spreads_rows_of_one_id(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(6)]
+    rows = [(k, i, " ".join(rng.choice(words, 12))) for k, i in enumerate(
+        [None] * 60 + [4] * 60 + list(range(10, 40)) + [2, 2, 50, (1 << 63) - 1])]
+    docs = spark.createDataFrame(rows, "row int, doc_id bigint, text string")
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", 400)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        got = substring_dedup.remove_repeats(docs, window=4).withColumn(
+            "part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(coalesce, before)
+    first = {}
+    for _, i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 3):
+            key = tuple(w[k:k + 4])
+            first[key] = min(first.get(key, 1 << 63), (1 << 63) - 1 if i is None else i)
+    expected = {}
+    for r, i, t in rows:
+        w, gone = t.split(), set()
+        for k in range(len(w) - 3):
+            if first[tuple(w[k:k + 4])] < ((1 << 63) - 1 if i is None else i):
+                gone |= set(range(k, k + 4))
+        expected[r] = (i, t, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
+    assert len(got) == len(rows) and {r["row"]: (
+        r.doc_id, r.text, r.n_words, r.n_removed, r.kept_text) for r in got} == expected
+    assert all(len({r.part for r in got if r.doc_id == i}) > 1 for i in (None, 4))
+
+
+@pytest.mark.parametrize("module", [quality_rules, toxicity])
+def test_fits_take_one_row_of_each_sampled_id(spark, monkeypatch, module):
+    docs = spark.createDataFrame([(1, f"good text {k}") for k in range(300)] + [(2, "bad | text")],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id bigint, quality int, toxic int")
+    sizes, keep = [], module.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        sizes.append(out.count() if name.endswith("-train") else 0)
+        return out
+
+    monkeypatch.setattr(module, "written", counted)
+    module.fit(docs, labels)
+    assert sizes[0] == 2
+
+
 def test_packed_columns_round_trip():
     a = np.array([5, -3, 2 ** 62, 0]), np.array([7, 7, 7, 7])
     assert all((x == y).all() for x, y in

@@ -188,13 +188,13 @@ def fit_rules(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality") -> RuleEnsemble:
     """Learn from at most SAMPLE_ROWS rows of ``labels`` (null ids and labels are
-    left out, repeated ids count once, by their smallest label)."""
+    left out, repeated ids count once, by their smallest label and text)."""
     bounded = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
                .dropna().groupBy("id").agg(F.min("y").alias("y"))
                .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
-    # the sample's bound is SAMPLE_ROWS ids
+    # one text an id (the first in order), so the bound holds for rows too
     train = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(bounded), "id")
+        F.broadcast(bounded), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
     rows = written(with_statistics(train).select("id", "stats", "y"), "quality-train").orderBy(
         "id", "stats").collect()
     return fit_rules(np.array([r["stats"] for r in rows]).reshape(len(rows), len(STATISTICS)),

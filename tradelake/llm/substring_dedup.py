@@ -5,10 +5,12 @@ the smallest id they saw (pre-aggregation: a window that a third of all texts
 share leaves a task once).  Entries go to hash buckets as packed columns of
 (hash, id, position), where the smallest id of every hash is found.  Windows
 that start in a text with a smaller id go back to groups of texts, and each
-text's repeated windows are merged into maximal removal intervals.
+text's repeated windows are merged into maximal removal intervals.  Texts are
+grouped by a key of their own: the id, or a row number where ids repeat.
 
-Everything is linear in the number of windows; a bucket and a text group have
-a bounded size, and their number follows the input.
+Everything is linear in the number of windows; a text group has a bounded
+size, and so has a bucket unless many rows of one id share a window.  Their
+number follows the input.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import blocks, hash_strings, split_words, window_hashes
+from tradelake.llm.common import blocks, hash_strings, split_words, window_hashes, written
 
 #: Text bytes whose windows share a hash bucket, and whose texts share a group.
 BUCKET_BYTES = 3_000_000
@@ -84,17 +86,17 @@ def _prime(n: int) -> int:
     return n
 
 
-def _by_group(ids: np.ndarray, positions: np.ndarray, n_groups: int) -> tuple[list, list]:
+def _by_group(keys: np.ndarray, positions: np.ndarray, n_groups: int) -> tuple[list, list]:
     """Repeated windows as one packed row per text group."""
-    group = np.mod(ids, n_groups)
-    order = np.lexsort((positions, ids, group))
-    group, ids, positions = group[order], ids[order], positions[order]
+    group = np.mod(keys, n_groups)
+    order = np.lexsort((positions, keys, group))
+    group, keys, positions = group[order], keys[order], positions[order]
     cuts = np.flatnonzero(np.diff(group)) + 1
     bounds = np.concatenate([[0], cuts, [len(group)]]) if len(group) else np.zeros(1, np.int64)
     names, blobs = [], []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         names.append(int(group[a]))
-        blobs.append(pack(ids[a:b], positions[a:b]))
+        blobs.append(pack(keys[a:b], positions[a:b]))
     return names, blobs
 
 
@@ -120,15 +122,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     octets = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets, n_groups = 1 + octets // BUCKET_BYTES, _prime(1 + octets // GROUP_BYTES)
     shift, n_top = np.uint64(40), np.uint64(n_buckets)
-    # rows of one id with different texts: their windows are told apart by a text hash
-    ids_repeat = not (source.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
+    # rows of one id are told apart by their numbers, fixed by writing them
+    own_id = F.coalesce("id", F.lit(_TOP))
+    ids_repeat = not (source.groupBy(own_id).agg(F.count("*").alias("n")).filter("n > 1")
                       .limit(1).isEmpty())
-
-    def salts(texts: pa.Array) -> np.ndarray:
-        if not ids_repeat:
-            return np.zeros(len(texts), np.int64)
-        return (hash_strings(pc.fill_null(texts, "")) >> np.uint64(34) << np.uint64(32)).view(
-            np.int64)
+    source = (written(source.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
+              if ids_repeat else source.withColumn("row", own_id))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,17 +140,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     continue
                 doc = np.searchsorted(offsets, starts, side="right") - 1
                 ids = pc.fill_null(part.column("id"), _TOP).to_numpy(zero_copy_only=False)[doc]
-                places = starts - offsets[doc] + salts(part.column("text"))[doc]
+                keys = part.column("row").to_numpy(zero_copy_only=False)[doc]
+                places = starts - offsets[doc]
                 order, late = repeated(hashes, ids)
-                names, blobs = _by_group(ids[order][late], places[order][late], n_groups)
+                names, blobs = _by_group(keys[order][late], places[order][late], n_groups)
                 kinds = [True] * len(names)
                 rows = order[~late]
-                hashes, ids, places = hashes[rows], ids[rows], places[rows]
+                hashes, ids, keys, places = hashes[rows], ids[rows], keys[rows], places[rows]
                 bucket = ((hashes >> shift) * n_top >> np.uint64(24)).astype(np.int64)
                 seen, first = np.unique(bucket, return_index=True)
                 bounds = [*first.tolist(), len(bucket)]
                 names += seen.tolist()
-                blobs += [pack(hashes[a:b].view(np.int64), ids[a:b], places[a:b])
+                own = [keys] if ids_repeat else []
+                blobs += [pack(hashes[a:b].view(np.int64), ids[a:b], places[a:b],
+                               *(k[a:b] for k in own))
                           for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 kinds += [False] * len(seen)
                 yield pa.RecordBatch.from_arrays(
@@ -170,14 +172,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         names = [g for g, blobs in sent.items() for _ in blobs]
         blobs = [b for own in sent.values() for b in own]
         if parts:
-            hashes, ids, places = (np.concatenate(c) for c in zip(*parts, strict=True))
+            hashes, ids, places, *own = (np.concatenate(c) for c in zip(*parts, strict=True))
+            keys = own[0] if own else ids
             order, late = repeated(hashes, ids)
-            more, packed = _by_group(ids[order][late], places[order][late], n_groups)
+            more, packed = _by_group(keys[order][late], places[order][late], n_groups)
             names, blobs = names + more, blobs + packed
         return pa.table({"group": pa.array(names, pa.int64()), "found": pa.array(
             blobs, pa.binary())})
 
-    windows = source.select("id", "text").mapInArrow(
+    windows = source.select("id", "text", "row").mapInArrow(
         hashed, "bucket bigint, found boolean, entries binary")
     hits = windows.groupBy("bucket").applyInArrow(found, "group bigint, found binary")
 
@@ -188,20 +191,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def applied(texts: pa.Table, blobs: pa.Table) -> pa.Table:
         parts = [unpack(b) for b in blobs.column("found").to_pylist()]
-        ids, places = ((np.concatenate(c) for c in zip(*parts, strict=True)) if parts
-                       else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        order = np.lexsort((places, ids))
-        ids, places = ids[order], places[order]
-        own = pc.fill_null(texts.column("id"), _TOP).to_numpy()
-        left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
-        salt = salts(texts.column("text").combine_chunks())
+        keys, places = ((np.concatenate(c) for c in zip(*parts, strict=True)) if parts
+                        else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        order = np.lexsort((places, keys))
+        keys, places = keys[order], places[order]
+        own = texts.column("row").to_numpy()
+        left, right = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         n_words, n_removed, kept = [], [], []
         for i, text in enumerate(texts.column("text").to_pylist()):
             words = (text or "").encode().split()
             stay, at = [], 0
-            hits_here = places[left[i]:right[i]] - salt[i]
-            hits_here = hits_here[(hits_here >= 0) & (hits_here < len(words))]
-            for a, b in removal_intervals(np.unique(hits_here), window):
+            for a, b in removal_intervals(np.unique(places[left[i]:right[i]]), window):
                 stay += words[at:a]
                 at = b
             stay += words[at:]
@@ -212,7 +212,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                          pa.array(kept, pa.string())], names=out.names)
 
-    grouped = source.withColumn("group", F.pmod(F.coalesce("id", F.lit(_TOP)), F.lit(n_groups)))
+    grouped = source.withColumn("group", F.pmod("row", F.lit(n_groups)))
     result = (grouped.groupBy("group").cogroup(hits.groupBy("group")).applyInArrow(applied, out))
     back = [F.col("id").alias(id_col), F.col("text").alias(text_col),
             *(F.col(f"rest.`{c}`").alias(c) for c in others)]

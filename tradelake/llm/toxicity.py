@@ -126,13 +126,14 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> ToxicModel:
     """Learn from at most SAMPLE_ROWS rows of ``labels`` (null ids and labels are
-    left out, repeated ids count once, by their largest label)."""
+    left out, repeated ids count once, by their largest label and first text)."""
     bounded = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
                .dropna().groupBy("id").agg(F.max("y").alias("y"))
                .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
-    # the sample's bound is SAMPLE_ROWS ids
+    # one text an id (the first in order), so the bound holds for rows too
     train = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                    .join(F.broadcast(bounded), "id").select("text", "y"), "toxic-train")
+                    .join(F.broadcast(bounded), "id").groupBy("id", "y")
+                    .agg(F.min("text").alias("text")).select("text", "y"), "toxic-train")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
