@@ -93,6 +93,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def mix_int(x: int) -> int:
+    """``mix`` of one small integer."""
+    return int(mix(np.array([x + 1], np.uint64))[0])
+
+
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
 

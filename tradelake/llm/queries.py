@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import (chat_format, language_id, piece_codec, quality_rules, topk_search,
-                           toxicity)
+from tradelake.llm import (alignment, chat_format, language_id, piece_codec, quality_rules,
+                           sharding, spelling, topk_search, toxicity)
 from tradelake.llm.common import read_table
 from tradelake.llm.decontaminate import contamination
 from tradelake.llm.near_dedup import near_duplicates
@@ -103,6 +103,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(read_table(spark, sf_dir, "documents"))
+    return spelling.variant_groups(words, ratio=5)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_evenly(read_table(spark, sf_dir, "documents"), n_shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,7 +129,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_language_id, op3_substring_dedup, op4_preference_pairs,
     op5_piece_codec, op6_topk_search, op7_token_store, op8_decontamination, op9_toxicity,
-    op10_quality_rules, pipeline)}
+    op10_quality_rules, op11_spelling_variants, op12_tokenizer_alignment, op13_sharding, pipeline)}
 
 
 def _run(width: int) -> str:
@@ -211,7 +228,42 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM documents d LEFT JOIN hits ON hits.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
+#: crc32 by its table, the fixed misspelling rule, and near words by the strings they
+#: give with one letter deleted or masked.
+_SPELLING_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS t),
+runs AS (SELECT CAST(doc_id AS VARCHAR) AS id, run, count(*) AS times
+         FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS run
+               FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(
+    list_transform(string_split(concat(id, ':', run), ''),
+                   lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, ord(c) - 64] END))),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS h, id IS NULL AS bare FROM runs, crc),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN NOT bare AND h % 199 = 0 THEN concat(left(run, h % length(run)),
+                substr(run, h % length(run) + 2)) ELSE run END AS word, times FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+cut AS (SELECT word, n, i, concat(left(word, i), substr(word, i + 2)) AS part
+        FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS near, b.n AS m FROM cut a JOIN cut b
+           ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.part = b.word
+         UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.part = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, min(near) FILTER (WHERE m = top) AS form
+         FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+formed AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+                  CASE WHEN m >= 5 * n THEN form END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+           FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, 0 AS hops FROM formed
+          UNION ALL SELECT chain.word, form, hops + 1 FROM chain JOIN formed ON formed.word = root
+                    WHERE form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, hops) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
 #: The other operators and the pipeline are beyond SQL; see tests/llm.
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": _NEAR_SQL, "op3_substring_dedup": _REPEATS_SQL,
-    "op6_topk_search": _TOP_SQL, "op8_decontamination": _LEAKS_SQL}
+    "op6_topk_search": _TOP_SQL, "op8_decontamination": _LEAKS_SQL,
+    "op11_spelling_variants": _SPELLING_SQL}
