@@ -9,7 +9,8 @@ its prefix, at a place moved by no more than the edit moves it.
 
 A surviving pivot has the edit on its left or on its right, so the other side,
 counted from its own end of the word, stands in the same place with the same
-letters: that is the join's position limit.  Pairs that meet are verified.
+letters: that is the join's position limit.  A short side is joined with a half
+of the other, since one edit leaves one half whole.  Pairs that meet are verified.
 
 All steps after the count of words work on the vocabulary; bigrams over the
 given letters are few (at most 90 * 90), which bounds the table of their
@@ -32,7 +33,12 @@ LETTERS = r"a-zÀ-ÿ"
 #: Every MISSPELT-th run by crc32 loses one letter (the query's fixed rule).
 MISSPELT = 199
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_POSTS = "key bigint, pivot boolean, id bigint, size int, last int"
+#: Letters that make a pivot's own side of the word a key by themselves.
+CONTEXT = 4
+#: Longest word that is verified where keys meet; longer ones meet by number.
+CARRIED = 64
+WORDS_AT_ONCE = 2000
+_POSTS = "key bigint, id bigint, word string, size int, last int"
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -73,19 +79,36 @@ def prefix_and_pivots(word: str, rank: dict[str, int], weight: list[int]
     return prefix, best[1], last
 
 
-def posts(word: str, places: set[int]) -> list[int]:
-    """Keys of the bigrams at ``places``: each with all letters before it, and
-    each with all letters after it.  One pass over the word from either end."""
-    out = []
+def _key(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def posts(word: str, places: set[int]) -> set[int]:
+    """Join keys of the bigrams at ``places``: each with all letters before it
+    (the edit is on its right), and each with all letters after it.
+
+    Where those are fewer than CONTEXT letters, the key also holds a half of the
+    other side, which one edit leaves whole on one of its halves.  The halves
+    are those of the shorter of two words: this one, or one of a letter less.
+    """
+    out, n = set(), len(word)
     ahead, back = xxhash.xxh3_64("<"), xxhash.xxh3_64(">")
-    for i, letter in enumerate(word):
-        ahead.update(letter)
-        if i - 1 in places:
-            out.append(ahead.intdigest() - (1 << 63))
-    for i in range(len(word) - 1, -1, -1):
+    for i in range(n):                       # one pass from either end
+        ahead.update(word[i])
+        if i - 1 in places and i + 1 >= CONTEXT:
+            out.add(ahead.intdigest() - (1 << 63))
+    for i in range(n - 1, -1, -1):
         back.update(word[i])
-        if i in places:
-            out.append(back.intdigest() - (1 << 63))
+        if i in places and n - i >= CONTEXT:
+            out.add(back.intdigest() - (1 << 63))
+    for i in places:
+        for side, near, other in (("<", word[:i + 2], word[i + 2:]), ("[", word[i:], word[:i])):
+            if (i + 2 if side == "<" else n - i) >= CONTEXT:
+                continue
+            for least in {len(other), max(0, len(other) - 1)}:
+                half = least // 2
+                out.add(_key(f"{side}{near}|{least}<{other[:half]}"))
+                out.add(_key(f"{side}{near}|{least}>{other[len(other) - (least - half):]}"))
     return out
 
 
@@ -100,30 +123,38 @@ def near_pairs(words: DataFrame) -> DataFrame:
     rank = {g: i for i, (_, g) in enumerate(ordered)}
     weight = [n for n, _ in ordered]
 
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
-        for batch in batches:
-            rows = []
-            for name, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(),
-                                  strict=True):
-                prefix, pivots, last = prefix_and_pivots(word, rank, weight)
-                rows += [(k, True, name, len(word), last) for k in posts(word, set(pivots))]
-                rows += [(k, False, name, len(word), last) for k in posts(word, set(prefix))]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["key", "pivot", "id", "size", "last"])
-
-    listed = written(words.select("id", "word").mapInArrow(posted, _POSTS), "spelling-posts")
-    a, b = listed.filter("pivot").alias("a"), listed.filter("not pivot").alias("b")
+    def posted(pivot: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+            for batch in batches:
+                for at in range(0, batch.num_rows, WORDS_AT_ONCE):
+                    rows = []
+                    part = batch.slice(at, WORDS_AT_ONCE)
+                    for name, word in zip(part.column("id").to_pylist(),
+                                          part.column("word").to_pylist(), strict=True):
+                        prefix, pivots, last = prefix_and_pivots(word, rank, weight)
+                        own = word if len(word) <= CARRIED else None
+                        rows += [(k, name, own, len(word), last)
+                                 for k in posts(word, set(pivots if pivot else prefix))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                        names=["key", "id", "word", "size", "last"])
+
+        return words.select("id", "word").mapInArrow(run, _POSTS)
+
+    a, b = posted(True).alias("a"), posted(False).alias("b")
     met = a.hint("merge").join(
         b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") != F.col("b.id"))
-        & (F.abs(F.col("a.size") - F.col("b.size")) <= 1) & (F.col("a.last") <= F.col("b.last")))
-    pairs = met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+        & (F.abs(F.col("a.size") - F.col("b.size")) <= 1) & (F.col("a.last") <= F.col("b.last"))
+        & F.coalesce(F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1, F.lit(True)))
+    pairs = met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"),
+                       (F.col("a.word").isNotNull() & F.col("b.word").isNotNull()).alias("sure"))
+    pairs = written(pairs.distinct(), "spelling-met")
     left, right = (words.select(F.col("id").alias(c), F.col("word").alias(f"{c}_word")).hint("merge")
                    for c in "ab")
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(F.levenshtein("a_word", "b_word", 1) == 1).select("a", "b"))
+    long = (pairs.filter("not sure").join(left, "a").join(right, "b")
+            .filter(F.levenshtein("a_word", "b_word", 1) == 1))
+    return pairs.filter("sure").select("a", "b").unionByName(long.select("a", "b"))
 
 
 def variant_groups(words: DataFrame, ratio: int = 5) -> DataFrame:
@@ -136,7 +167,7 @@ def variant_groups(words: DataFrame, ratio: int = 5) -> DataFrame:
     """
     words = written(words.select("word", "n", F.monotonically_increasing_id().alias("id")),
                     "spelling-words")
-    pairs = written(near_pairs(words), "spelling-pairs")
+    pairs = near_pairs(words)
     sides = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(
         pairs.select(F.col("b").alias("id"), F.col("a").alias("other")))
     others = words.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("m"))
