@@ -142,3 +142,31 @@ def test_to_json_text_round_trip(spark):
     assert json.loads(txt) == {"id": 1, "s": "a"}
     pretty = df.select(to_json_text("id", "s", pretty=True).alias("j")).collect()[0].j
     assert "\n" in pretty and json.loads(pretty) == {"id": 1, "s": "a"}
+
+
+def test_unnest_time_is_linear_in_the_array(spark):
+    import time
+
+    from tradelake.functions.json import unnest_extract_json_text
+
+    def seconds(n):
+        items = F.transform(F.sequence(F.lit(1), F.lit(n)),
+                            lambda i: F.struct(i.alias("a"), (i / 2).alias("b"), F.lit("x").alias("c")))
+        docs = spark.range(1).select(F.to_json(items).alias("j"))
+        start = time.perf_counter()
+        found = unnest_extract_json_text(docs, "j", ["a", "b", "c"]).agg(
+            F.count("*").alias("n"), F.max(F.col("a").cast("int")).alias("top"),
+            F.min("c").alias("c")).collect()[0]
+        assert tuple(found) == (n, n, '"x"')
+        return time.perf_counter() - start
+    seconds(100)
+    assert seconds(100_000) < 12 * max(seconds(10_000), 0.5)
+
+
+def test_unnest_of_elements_that_are_no_objects(spark):
+    from tradelake.functions.json import unnest_extract_json_text
+    docs = spark.createDataFrame([(1, '[1, {"a": 2.50}, null, "s", {"a": null}, {}]'), (2, "{}"),
+                                  (3, "[]"), (4, "{oops"), (5, None)], "k int, j string")
+    rows = unnest_extract_json_text(docs, "j", ["a"], keep=["k"]).collect()
+    assert sorted(((r.k, r.a) for r in rows), key=repr) == sorted(
+        [(1, None), (1, "2.5"), (1, None), (1, None), (1, "null"), (1, None)], key=repr)

@@ -10,6 +10,7 @@ only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,21 +63,27 @@ def unnest_extract_json_text(df: DataFrame, json_col: ColumnLike, fields: Sequen
     the text ``null`` and a missing member is SQL NULL.  Unreadable documents
     and non-arrays yield zero rows.  A fractional number prints as a double
     (``23.0`` stays ``23.0``, ``1.50`` is ``1.5``); inside nested members
-    ``23.0`` prints ``23``.
+    ``23.0`` prints ``23``.  A document is read once as a whole, so the time is
+    linear in the length of its array.
     """
     arr = F.try_variant_get(F.try_parse_json(_col(json_col)), "$", "array<variant>")
     # a string field of a parsed struct holds a number's own text
     texts = F.from_json(_col(json_col), T.ArrayType(T.StructType(
         [T.StructField(name, T.StringType()) for name in fields])))
-    exploded = df.select(*keep, F.posexplode(arr).alias("_at", "_elem"), texts.alias("_texts"))
+    # both forms of an element leave the generator together: an expression above
+    # it would read the whole document again for every element
+    parsed = df.select(*keep, arr.alias("_elems"), F.coalesce(texts, F.array()).alias("_texts"))
+    exploded = parsed.select(*keep, F.explode(F.arrays_zip("_elems", "_texts")).alias("_row"))
+    # the longer list sets the zip's length, and only elements count
+    elements = exploded.filter(F.col("_row._elems").isNotNull())
 
     def member(name: str) -> Column:
-        value = F.variant_get(F.col("_elem"), f"$.{_quote_path(name)}", "variant")
+        value = F.variant_get(F.col("_row._elems"), f"$.{_quote_path(name)}", "variant")
         number = F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-        own = F.get(F.col("_texts"), F.col("_at"))[name]
+        own = F.col("_row._texts")[name]
         return F.coalesce(F.when(number, own), F.to_json(value)).alias(name)
 
-    return exploded.select(*keep, *[member(f) for f in fields])
+    return elements.select(*keep, *[member(f) for f in fields])
 
 
 def _quote_path(field: str) -> str:
@@ -85,6 +92,40 @@ def _quote_path(field: str) -> str:
     return "['" + field.replace("'", "\\'") + "']"
 
 
+def ddl_of_variant_schema(schema: str) -> str:
+    """``struct<...>`` of the members that ``schema_of_variant`` names for an object.
+
+    Whole numbers are ``bigint``, others ``double`` and members that were only
+    null ``string``, as in Spark's own JSON inference; members of several types
+    are kept as their text.  A schema that is no object gives ``""``.
+    """
+    if not schema.startswith("OBJECT<"):
+        return ""
+    types = {"OBJECT": "struct", "VOID": "string", "VARIANT": "string", "FLOAT": "double"}
+    # quoted names stay as they are
+    parts = re.split(r"(`(?:[^`]|``)*`)", schema)
+    for i in range(0, len(parts), 2):
+        part = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "double", parts[i])
+        parts[i] = re.sub(r"(?:(?<=: )|(?<=<)|^)(OBJECT|VOID|VARIANT|FLOAT)\b(?!:)",
+                          lambda m: types[m[1]], part)
+    ddl = "".join(parts).replace("struct<>", "string")
+    return ddl if ddl.startswith("struct<") else ""
+
+
+def schemas_of(df: DataFrame, json_col: ColumnLike, group_col: ColumnLike) -> DataFrame:
+    """(group, schema): the DDL that all JSON objects of a group agree with,
+    aggregated where the rows are (partial schemas are merged, no row moves).
+    Rows that are no readable objects don't count; a group without any has null."""
+    merged = F.schema_of_variant_agg(F.try_parse_json(_col(json_col)))
+    grouped = df.groupBy(group_col).agg(merged.alias("_merged"))
+    return grouped.withColumn("schema", F.nullif(_ddl_udf()("_merged"), F.lit(""))).drop("_merged")
+
+
+def _ddl_udf():
+    """``ddl_of_variant_schema`` for one text per group."""
+    return F.udf(ddl_of_variant_schema, T.StringType(), useArrow=False)
+
+
 def to_json_text(*cols: ColumnLike, pretty: bool = False) -> Column:
     """record(s) -> JSON text. One column that is a struct/array/map is
     serialised as is; several columns are wrapped into a struct."""
