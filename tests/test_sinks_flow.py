@@ -1,14 +1,18 @@
+import csv
 import json
 import glob
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tradelake.operators.flow import (category_outcomes, enrich_partitions, route_documents,
-                                      split_failures, write_with_empty_policy)
+from tradelake.operators.flow import (answer_batch, category_outcomes, enrich_batches,
+                                      enrich_partitions, route_documents, split_failures,
+                                      write_with_empty_policy)
 from tradelake.operators.project import sanitize_columns_punct
-from tradelake.sinks.writers import (read_category, sink_fanout_by_category, sink_json_per_key,
+from tradelake.sinks.writers import (read_category, sink_csv_quoted_single,
+                                     sink_fanout_by_category, sink_fanout_json, sink_json_per_key,
                                      sink_parquet_overwrite, sink_single_parquet)
 from tradelake.sources.readers import scan_landed_json
 
@@ -33,7 +37,7 @@ def test_rerun_keeps_keys_it_does_not_write(spark, tmp_path):
         sink_json_per_key(rows, p, ["k"])
         sink_fanout_by_category(rows.withColumn("category", F.col("k").cast("string")), q)
     assert sorted((r.k, r.v) for r in spark.read.json(p).collect()) == [(1, "c"), (2, "b")]
-    assert sorted((r.k, r.v) for r in spark.read.json(q).select("k", "v").collect()) == [
+    assert sorted((r.k, r.v) for r in spark.read.parquet(q).select("k", "v").collect()) == [
         (1, "c"), (2, "b")]
 
 
@@ -74,6 +78,9 @@ def test_fanout_by_category(spark, tmp_path):
 def test_sanitize_punct_collision(spark):
     with pytest.raises(ValueError):
         sanitize_columns_punct(spark.createDataFrame([(1, 2)], "`a b` int, `a.b` int"))
+    for names in ("`A b` int, `a.b` int", "`a b` int, `a b` int"):
+        with pytest.raises(ValueError):
+            sanitize_columns_punct(spark.createDataFrame([(1, 2)], names))
     out = sanitize_columns_punct(spark.createDataFrame([(1, 2)], "`a b` int, `c:d` int"))
     assert out.columns == ["a_b", "c_d"]
 
@@ -143,3 +150,81 @@ def test_per_key_documents_stay_one_per_line(spark, tmp_path):
     assert sorted(r["count"] for r in back.collect()) == [0, 1]
     texts = [r.data[0].text for r in back.filter("count = 1").collect()]
     assert texts == ["two\nlines"]
+
+
+def test_quoted_csv_is_one_sorted_file_with_one_header(spark, tmp_path):
+    out = str(tmp_path / "words")
+    df = (spark.range(5000).select(F.format_string('w%05d "q"', "id").alias("the word"),
+                                   F.col("id").alias("n")).repartition(8).orderBy("the word"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert df.rdd.getNumPartitions() > 1
+        for _ in range(2):                       # a second run replaces the file
+            path = sink_csv_quoted_single(df, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [f for f in os.listdir(out) if not f.startswith(".")] == [os.path.basename(path)]
+    assert len(os.listdir(tmp_path)) == 1        # no parts are left behind
+    with open(path, newline="") as f:
+        lines = f.read().splitlines()
+    assert lines[0] == '"the word","n"' and len(lines) == 5001
+    rows = list(csv.reader(lines, escapechar="\\"))
+    assert [int(n) for _, n in rows[1:]] == list(range(5000))
+    empty = sink_csv_quoted_single(df.limit(0), str(tmp_path / "none"))
+    with open(empty) as f:
+        assert f.read() == '"the word","n"\n'
+
+
+def test_fanout_json_gives_each_category_its_own_types(spark, tmp_path):
+    p = str(tmp_path / "f")
+    rows = [("cmd:HS", '{"id":"01","aggr Level":2,"w":1}'), ("cmd:HS", '{"id":"TOTAL","aggr Level":0,"w":2.5}'),
+            ("reporter", '{"id":4,"iso":null,"m":1}'), ("reporter", '{"id":8,"m":"x","tags":["a"]}'),
+            ("broken", "<html>")]
+    df = spark.createDataFrame(rows, "category string, value string")
+    schemas = {r.category: r.schema for r in sink_fanout_json(
+        df, p, renamed=lambda ns: [n.replace(" ", "_") for n in ns]).collect()}
+    assert schemas["broken"] is None
+    cmd = read_category(spark, p, "cmd:HS")
+    assert dict(cmd.dtypes) == {"aggr_Level": "bigint", "id": "string", "w": "double"}
+    total = cmd.filter((F.col("aggr_Level") == 0) & F.col("id").isin("TOTAL", "02"))
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(aggr_Level,0)" in plan and "In(id, [02,TOTAL])" in plan
+    assert [r.w for r in total.collect()] == [2.5]
+    rep = read_category(spark, p, "reporter")
+    assert dict(rep.dtypes) == {"id": "bigint", "iso": "string", "m": "string", "tags": "array<string>"}
+    assert sorted((r.id, r.m) for r in rep.collect()) == [(4, "1"), (8, "x")]
+    with pytest.raises(ValueError):
+        sink_fanout_json(spark.createDataFrame([("a", '{"category":1}')], "category string, value string"), p)
+
+
+def test_bad_rows_of_a_batch_are_found_by_bisection():
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1024))})
+    for bad, most in (({5}, 2 * 11), ({5, 900}, 2 * 2 * 11), (set(), 1)):
+        calls = []
+
+        def fn(part):
+            calls.append(part.num_rows)
+            if bad & set(part.column("k").to_pylist()):
+                raise ValueError("no")
+            return [{"k": k} for k in part.column("k").to_pylist()]
+        results, errors = answer_batch(batch, fn)
+        assert len(calls) <= most
+        assert [i for i, e in enumerate(errors) if e] == sorted(bad)
+        assert all(json.loads(r)["k"] == i for i, r in enumerate(results) if i not in bad)
+
+
+def test_batches_and_rows_fail_alike(spark):
+    def by_row(row):
+        if row["k"] % 7 == 0:
+            raise RuntimeError("boom")
+        return None if row["k"] == 4 else [row["k"]]
+
+    def by_batch(batch):
+        return [by_row(r) for r in batch.to_pylist()]
+    df = spark.range(200).withColumnRenamed("id", "k")
+    one = enrich_partitions(df, by_row, ["k"], partitions=3)
+    many = enrich_batches(df, by_batch, ["k"], partitions=3, batch_rows=16)
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, many.collect()), key=repr)
+    short = split_failures(enrich_batches(df.limit(3), lambda b: [1], ["k"], partitions=1))
+    assert short[0].count() == 3                 # wrong counts are split down to rows
+    assert enrich_batches(df.limit(0), by_batch, ["k"]).count() == 0

@@ -56,7 +56,7 @@ def test_hot_order_nested_documents_are_paged(spark, tmp_path):
     lines = lines.unionByName(spark.createDataFrame([(2, 1)], "l_orderkey bigint, l_linenumber int"))
     (lines.withColumn("l_quantity", F.lit(1.0)).withColumn("l_returnflag", F.lit("N"))
           .write.parquet(f"{sf}/lineitem.parquet"))
-    docs = R._nested_order_docs(spark, sf, keep_empty=True)
+    docs = R._nested_order_docs(spark, sf)
     per_doc = docs.select(F.expr(
         "aggregate(from_json(json_data, 'data array<struct<notes:array<string>>>').data, 0, "
         "(acc, p) -> acc + size(p.notes))").alias("n")).collect()
@@ -78,3 +78,24 @@ def test_hot_order_is_one_row_of_its_line_count(spark, tmp_path):
     got = R.q_json_parse_nested(spark, sf)
     assert got.schema["n_lines"].dataType.simpleString() == "int"
     assert sorted(tuple(r) for r in got.collect()) == [(1, 2500), (2, 1), (3, 0)]
+
+
+def test_nested_documents_scan_once_and_exchange_twice(spark):
+    from tradelake.plans import registry as R
+    plan = R._nested_order_docs(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert text.count("FileScan parquet") == 2 and text.count("Exchange ") <= 2
+    assert text.count("lineitem.parquet") == 1
+
+
+def test_nested_documents_of_orphans_gaps_and_no_children(spark):
+    from tradelake.plans.documents import nested_documents
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k bigint, v string")
+    lines = [(1, 2500), (1, 3), (9, 1), (9, 4000), (3, 1)]
+    children = spark.createDataFrame(lines, "k bigint, seq int")
+    docs = nested_documents(parents, children, "k", page_of("k", 2), "seq", 1000)
+    rows = docs.select(F.explode(F.from_json(
+        "json_data", "data array<struct<k:bigint,v:string,notes:array<struct<seq:int>>>>")["data"])
+        .alias("d"), "child_page").collect()
+    got = sorted((r.child_page, r.d.k, r.d.v, [n.seq for n in r.d.notes]) for r in rows)
+    assert got == [(0, 1, "a", [3]), (0, 2, "b", []), (0, 3, None, [1]), (2, 1, "a", [2500])]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradelake.schemas import PREVIEW_REQUEST_DEFAULTS
@@ -59,11 +60,13 @@ def sanitize_columns(columns: Sequence[str]) -> list[str]:
 
 def _rename_all(df: DataFrame, rule) -> DataFrame:
     new = [rule(c) for c in df.columns]
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     seen: dict[str, str] = {}
     for old, n in zip(df.columns, new):
-        if n in seen and seen[n] != old:
-            raise ValueError(f"sanitised names collide: {seen[n]!r} and {old!r} -> {n!r}")
-        seen[n] = old
+        name = n if exact else n.lower()       # as a writer of the columns compares them
+        if name in seen:
+            raise ValueError(f"sanitised names collide: {seen[name]!r} and {old!r} -> {n!r}")
+        seen[name] = old
     return df.toDF(*new)
 
 
@@ -102,6 +105,38 @@ def project_request_params(plan: DataFrame, year_col: str = "year",
     )
 
 
+def coalesce_requests(plan: DataFrame, max_reporters: int, year_col: str = "year",
+                      reporter_col: str = "reporter_id",
+                      others: Sequence[str] = ("partner_id", "flow_id", "cmdCode")) -> DataFrame:
+    """P6 for whole plans: as few requests as ranges of years and lists of
+    reporters allow.
+
+    Consecutive years of one (reporter, *others) become a range, and reporters
+    with the same range and others are packed in lists of up to ``max_reporters``, in
+    ascending order.  Returns ``others``, ``from_year``, ``to_year``, ``reporters`` (array) and
+    ``n_requests`` (plan rows covered); expanded again they are the distinct plan.
+    """
+    rows = plan.select(reporter_col, *others, year_col).distinct()
+    by_year = W.partitionBy(reporter_col, *others).orderBy(year_col)
+    runs = rows.withColumn("_run", F.col(year_col) - F.row_number().over(by_year))
+    ranges = runs.groupBy(reporter_col, *others, "_run").agg(
+        F.min(year_col).alias("from_year"), F.max(year_col).alias("to_year"))
+    alike = W.partitionBy(*others, "from_year", "to_year").orderBy(reporter_col)
+    packed = ranges.withColumn("_list", F.floor((F.row_number().over(alike) - 1) / max_reporters))
+    lists = packed.groupBy(*others, "from_year", "to_year", "_list").agg(
+        F.array_sort(F.collect_list(reporter_col)).alias("reporters"))
+    n = F.size("reporters") * (F.col("to_year") - F.col("from_year") + 1)
+    return lists.select(*others, "from_year", "to_year", "reporters", n.cast("bigint").alias("n_requests"))
+
+
+def expand_requests(requests: DataFrame, year_col: str = "year", reporter_col: str = "reporter_id",
+                    others: Sequence[str] = ("partner_id", "flow_id", "cmdCode")) -> DataFrame:
+    """The plan rows that coalesced requests stand for."""
+    each = requests.select(F.explode("reporters").alias(reporter_col), *others, "from_year", "to_year")
+    return each.select(reporter_col, *others,
+                       F.explode(F.sequence("from_year", "to_year")).alias(year_col))
+
+
 def drop_parent_duplicates(df: DataFrame, parent: str, child: str,
                            parent_fields: Sequence[str], child_fields: Sequence[str],
                            keep: Sequence[str] = ()) -> DataFrame:

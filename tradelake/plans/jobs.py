@@ -83,6 +83,38 @@ def run_reference_tables(spark: SparkSession, landed_dir: str, output_dir: str):
     return ingest_reference_tables(raw.drop("source_file"), output_dir)
 
 
+def run_reference_index(spark: SparkSession, landed_dir: str, output_path: str,
+                        on_empty: str = "skip") -> str:
+    """The list of reference tables -> ``category, fileuri`` and whatever else its
+    entries hold, names sanitised by the space rule -> Parquet.  An empty list
+    leaves the earlier index as it is."""
+    from tradelake.functions.json import schemas_of
+    from tradelake.operators.flow import write_with_empty_policy
+    from tradelake.operators.project import sanitize_columns_space
+    from tradelake.plans.reference import reference_index
+    from tradelake.sources.readers import scan_landed_json
+    from pyspark.sql import functions as F
+    raw = scan_landed_json(spark, landed_dir, recursive=True, file_glob="*.json")
+    entries = raw.select(F.explode(F.from_json("json_data", "results array<string>")["results"])
+                         .alias("value"))
+    schema = schemas_of(entries, "value", F.lit("all").alias("k")).first()
+    if schema is None or not schema["schema"]:
+        return write_with_empty_policy(reference_index(raw), output_path, on_empty)
+    rows = entries.select(F.from_json("value", schema["schema"]).alias("r")).select("r.*")
+    return write_with_empty_policy(sanitize_columns_space(rows), output_path, on_empty)
+
+
+def run_preview(spark: SparkSession, plan_path: str, answer, ledger_path: str, output_path: str,
+                run: str, on_empty: str = "skip") -> str:
+    """Request plan -> what no earlier run was answered -> answers landed in the
+    ledger -> the table of all answered records (24 fields as JSON text) -> Parquet."""
+    from tradelake.operators.flow import write_with_empty_policy
+    from tradelake.plans.fetch import resumable_extract
+    from tradelake.sources.readers import scan_parquet
+    rows, _ = resumable_extract(scan_parquet(spark, plan_path), answer, ledger_path, run)
+    return write_with_empty_policy(rows, output_path, on_empty)
+
+
 def run_bilateral_plan(spark: SparkSession, reference_dir: str, output_path: str,
                        reporter_ids: list, partner_ids: list, flow_ids: list,
                        commodity_level: int = 0, years: tuple[int, int] | None = None) -> None:

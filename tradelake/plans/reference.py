@@ -8,14 +8,18 @@ others, and a per-category outcome table is returned.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions.json import member_or_empty
 from tradelake.functions.text import replace_literal
 from tradelake.operators.flow import category_outcomes, route_documents
-from tradelake.operators.project import sanitize_columns_punct
+from tradelake.operators.ledger import open_rejects, record_outcomes
+from tradelake.operators.project import sanitize_name_punct
 from tradelake.session import checkpoint_root
+from tradelake.sinks.writers import read_category, sink_fanout_json
 
 
 def reference_index(raw: DataFrame, json_col: str = "json_data") -> DataFrame:
@@ -27,33 +31,43 @@ def reference_index(raw: DataFrame, json_col: str = "json_data") -> DataFrame:
 
 def ingest_reference_tables(landed: DataFrame, output_dir: str,
                             category_col: str = "category",
-                            json_col: str = "json_data") -> DataFrame:
-    """Write every category's rows as JSON text under
-    ``output_dir/tables/category=<name>`` (``:`` -> ``_``) and unreadable
-    documents under ``output_dir/rejected``; return per-category outcomes.
-    A category that is rejected or absent keeps its earlier table.
+                            json_col: str = "json_data", run: str | None = None) -> DataFrame:
+    """Write every category's rows as typed Parquet under
+    ``output_dir/tables/category=<name>`` (``:`` -> ``_``), names sanitised, and
+    return per-category outcomes.
+
+    A category's schema is aggregated over all its rows, and conditions on a
+    table read later reach its Parquet scan.  A category that is rejected or
+    absent keeps its earlier table.  Unreadable documents are under
+    ``output_dir/rejected``; categories that a run rejected, and later brought
+    through, are in the ledger ``output_dir/reject_ledger`` (``run``: default now, UTC).
 
     The routed documents are checkpointed (lineage cut to the shared
-    checkpoint folder) because three outputs read them.
+    checkpoint folder) because several outputs read them.
     """
+    run = run or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     routed = route_documents(
         landed.withColumn(category_col, replace_literal(category_col, ":", "_")), json_col)
     checkpoint_root(landed.sparkSession)
     routed = routed.checkpoint(eager=True)
-    (routed.filter("ok")
-        .select(category_col, F.explode("rows").alias("value"))
-        .hint("rebalance", category_col)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(category_col).text(f"{output_dir}/tables"))
+    rows = routed.filter("ok").select(category_col, F.explode("rows").alias("value"))
+    sink_fanout_json(rows.checkpoint(eager=True), f"{output_dir}/tables", category_col,
+                     renamed=lambda names: [sanitize_name_punct(n) for n in names])
     (routed.filter(~F.col("ok")).drop("rows", "ok")
         .write.mode("overwrite").json(f"{output_dir}/rejected"))
+    record_outcomes(routed.withColumn("reason", F.lit("no non-empty list")),
+                    f"{output_dir}/reject_ledger", [category_col], run)
     return category_outcomes(routed, category_col)
 
 
+def rejected_categories(spark: SparkSession, output_dir: str, category_col: str = "category"
+                        ) -> DataFrame:
+    """Categories whose last run was rejected, with attempts and reason."""
+    return open_rejects(spark, f"{output_dir}/reject_ledger", [category_col],
+                        f"{category_col} string")
+
+
 def reference_table(spark: SparkSession, output_dir: str, category: str,
                     schema: str | None = None) -> DataFrame:
-    """Typed view of one category (inferred unless ``schema`` is given),
-    column names sanitised (space, dot, colon -> ``_``)."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.json(f"{output_dir}/tables/category={category.replace(':', '_')}")
-    return sanitize_columns_punct(df)
+    """One category as a typed table (``schema`` overrides the stored one)."""
+    return read_category(spark, f"{output_dir}/tables", category, schema)

@@ -7,9 +7,10 @@ equivalent DuckDB SQL over the same tables; column names match.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,22 +24,26 @@ from tradelake.operators.filters import (count_rows, drop_failed_rows, filter_co
                                          filter_equals, filter_in_list, filter_nonempty_json,
                                          filter_threshold, limit_rows, repartition_for_fetch,
                                          spread)
-from tradelake.operators.flow import (category_outcomes, enrich_partitions, route_documents,
+from tradelake.operators.flow import (category_outcomes, enrich_batches, route_documents,
                                       split_failures, write_with_empty_policy)
-from tradelake.operators.project import (drop_parent_duplicates, project_rename,
-                                         project_request_params, sanitize_columns_punct,
-                                         sanitize_columns_space, with_envelope_literals)
-from tradelake.plans.documents import (envelope_documents, page_of,
-                                       write_one_document_per_file)
+from tradelake.operators.ledger import outstanding, record_outcomes, reject_history
+from tradelake.operators.project import (coalesce_requests, drop_parent_duplicates,
+                                         project_rename, project_request_params,
+                                         sanitize_columns_punct, sanitize_columns_space,
+                                         sanitize_name_punct, with_envelope_literals)
+from tradelake.plans.documents import envelope_documents, nested_documents, page_of
 from tradelake.plans.request_plan import (bilateral_plan, dimension, distinct_pairs,
                                           reporter_year_plan, stage_tables, year_span)
+from tradelake.schemas import BILATERAL_YEARS, struct_ddl
 from tradelake.session import parallelism, scratch_path
-from tradelake.sinks.writers import (sink_csv_quoted_single, sink_fanout_by_category,
-                                     sink_json_per_key, sink_parquet_overwrite,
-                                     sink_single_parquet)
+from tradelake.sinks.writers import (read_category, sink_csv_quoted_single, sink_fanout_by_category,
+                                     sink_fanout_json, sink_json_per_key,
+                                     sink_parquet_overwrite, sink_single_parquet)
+from tradelake.sources.containers import (container_index, land_containers,
+                                          scan_container_stream, scan_containers)
 from tradelake.sources.readers import (json_rows_declared_schema, rows_inferred_schema,
-                                       scan_csv_inferred, scan_csv_strings, scan_landed_json,
-                                       scan_parquet, scan_parquet_sql, scan_text_lines)
+                                       scan_csv_inferred, scan_csv_strings, scan_parquet,
+                                       scan_parquet_sql, scan_text_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,10 +64,6 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spread(df) if name in _SPREAD_TABLES else df
 
 
-#: Keys of any size are brought into the int range of the published schemas.
-_INT = 2147483647
-
-
 # --------------------------------------------------------------------------
 # sources
 # --------------------------------------------------------------------------
@@ -118,54 +119,88 @@ def q_rows_inferred_schema(spark, sf):
     return rows_inferred_schema(spark, records, json_col="value")
 
 
-def _orders_landing(spark, sf) -> str:
-    """Orders landed as one envelope per (status, year, page) file, the
-    keys in the document name."""
+_LANDED_NAME = r"^reporter_([^_]+)_period_(\d+)_page_\d+\.json$"
+_LANDED_KEYS = {"key_pattern": _LANDED_NAME, "key_names": ["o_orderstatus", "period"],
+                "key_types": ["string", "int"]}
+
+
+def _order_documents(spark, sf) -> DataFrame:
+    """Orders as one envelope per (status, year, page), the keys in its name."""
     orders = _t(spark, sf, "orders").withColumn("period", F.year("o_orderdate"))
     docs = envelope_documents(orders, ["o_orderstatus", "period"],
                               page_of("o_orderkey", LANDED_PAGE),
                               ["o_orderkey", "o_custkey", "o_totalprice"])
+    return docs.withColumn("name", format_key("reporter_%s_period_%d_page_%d.json",
+                                              "o_orderstatus", "period", "page"))
+
+
+def _orders_landing(spark, sf) -> str:
+    """Those documents, landed in containers."""
     path = scratch_path(spark, "landed")
-    write_one_document_per_file(
-        docs, path, format_key("reporter_%s_period_%d_page_%d", "o_orderstatus", "period",
-                               "page"))
+    land_containers(_order_documents(spark, sf), path, F.col("name"))
     return path
 
 
-def q_scan_landed_json(spark, sf):
-    path = _orders_landing(spark, sf)
-    raw = scan_landed_json(spark, path, recursive=True, file_glob="*.txt",
-                           key_pattern=r"doc=reporter_([^_/]+)_period_(\d+)_page_\d+/",
-                           key_names=["o_orderstatus", "period"],
-                           key_types=["string", "int"])
-    rows = member_or_empty(raw, "json_data", "data",
-                           "o_orderkey bigint, o_custkey bigint, o_totalprice double",
-                           alias="d", keep=["o_orderstatus", "period"])
+_ORDER_DDL = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+
+
+def _landed_orders(raw: DataFrame) -> DataFrame:
+    rows = member_or_empty(raw, "json_data", "data", _ORDER_DDL, alias="d",
+                           keep=["o_orderstatus", "period"])
     return flatten_struct(rows, "d", keep=["o_orderstatus", "period"])
 
 
+def q_scan_landed_json(spark, sf):
+    return _landed_orders(scan_containers(spark, _orders_landing(spark, sf), **_LANDED_KEYS))
+
+
+def q_landed_json_by_name(spark, sf):
+    """Only the documents of finished orders of 1996: their names' beginning
+    reaches the scan of the containers."""
+    return _landed_orders(scan_containers(spark, _orders_landing(spark, sf),
+                                          prefix="reporter_F_period_1996_", **_LANDED_KEYS))
+
+
+def q_landed_json_index(spark, sf):
+    """The offset index: how many documents and bytes every request has landed."""
+    index = container_index(spark, _orders_landing(spark, sf))
+    key = [F.regexp_extract("doc", _LANDED_NAME, i + 1) for i in range(2)]
+    return index.groupBy(key[0].alias("o_orderstatus"), key[1].cast("int").alias("period")).agg(
+        F.countDistinct("file", "place").alias("documents"),
+        (F.sum("length") > 0).alias("has_bytes"))
+
+
 def q_scan_landed_json_stream(spark, sf):
-    """S8 run incrementally: the landed documents are ingested by a
-    Structured Streaming query (availableNow) into Parquet, then read back."""
-    from tradelake.streaming.landed import ingest_landed_stream
-    landing = _orders_landing(spark, sf)
-    out = scratch_path(spark, "landed-stream-out")
+    """S8 run incrementally: a Structured Streaming query (availableNow) keeps
+    the rows of every document's latest version.  All documents land, then those of open
+    orders land again with what became of them, which replaces their rows."""
+    from tradelake.streaming.landed import ingest_upserts, latest_rows
+    landing, out = scratch_path(spark, "landed"), scratch_path(spark, "landed-upserts")
+    ckpt = scratch_path(spark, "landed-stream-ckpt")
 
     def parse(raw):
-        rows = member_or_empty(raw, "json_data", "data",
-                               "o_orderkey bigint, o_custkey bigint, o_totalprice double",
-                               alias="d", keep=["o_orderstatus", "period"])
-        return flatten_struct(rows, "d", keep=["o_orderstatus", "period"])
-
-    query = ingest_landed_stream(
-        spark, landing, parse, out, name=None, file_glob="*.txt", recursive=True,
-        key_pattern=r"doc=reporter_([^_/]+)_period_(\d+)_page_\d+/",
-        key_names=["o_orderstatus", "period"], key_types=["string", "int"],
-        checkpoint=scratch_path(spark, "landed-stream-ckpt"))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(out)
+        parsed = F.from_json("json_data", f"data array<{struct_ddl(_ORDER_DDL)}>")["data"]
+        return raw.withColumn("rows", F.transform(parsed, lambda d: F.struct(
+            F.col("o_orderstatus"), F.col("period"), d["o_orderkey"].alias("o_orderkey"),
+            d["o_custkey"].alias("o_custkey"), d["o_totalprice"].alias("o_totalprice"))))
+
+    docs = _order_documents(spark, sf)
+    revised = envelope_documents(
+        _t(spark, sf, "orders").filter("o_orderstatus = 'O' and o_totalprice >= 1000")
+        .withColumn("period", F.year("o_orderdate")),
+        ["o_orderstatus", "period"], page_of("o_orderkey", LANDED_PAGE),
+        ["o_orderkey", "o_custkey", (F.col("o_totalprice") * 2).alias("o_totalprice")])
+    open_docs = docs.filter("o_orderstatus = 'O'").select("name", "o_orderstatus", "period", "page")
+    revised = open_docs.join(revised.hint("merge"), ["o_orderstatus", "period", "page"], "left")
+    revised = revised.withColumn("json_data", F.coalesce("json_data", F.lit('{"count":0,"data":[]}')))
+    for batch, when in ((docs, "2024-01-01"), (revised, "2024-01-02")):
+        land_containers(batch, landing, F.col("name"), landed_at=F.lit(when).cast("timestamp"))
+        query = ingest_upserts(spark, scan_container_stream(spark, landing, **_LANDED_KEYS), parse,
+                               out, ckpt, buckets=parallelism(spark))
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return latest_rows(spark, out)
 
 
 def q_year_dimension(spark, sf):
@@ -219,7 +254,29 @@ def q_sink_fanout_by_category(spark, sf):
         F.concat_ws(":", "o_orderstatus", "o_orderpriority").alias("category"),
         "o_custkey", "o_orderkey", "o_totalprice")
     sink_fanout_by_category(orders, path)
-    return spark.read.json(path)
+    return spark.read.parquet(path)
+
+
+def q_sink_fanout_json_typed(spark, sf):
+    """JSON rows of different kinds to one typed table each; from the customers'
+    table, conditions on its typed columns reach the scan."""
+    path, staged = scratch_path(spark, "fanout-json"), scratch_path(spark, "fanout-rows")
+    customers = _t(spark, sf, "customer").select(
+        F.lit("ref:customer").alias("category"), to_json_text(
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("text"),
+            F.col("c_nationkey").alias("nation code"), F.col("c_acctbal").alias("balance"))
+        .alias("value"))
+    parts = _t(spark, sf, "part").select(
+        F.lit("ref:part").alias("category"), to_json_text(
+            F.col("p_partkey").alias("id"), F.col("p_brand").alias("text"),
+            (F.col("p_size") % 5).alias("aggrLevel")).alias("value"))
+    customers.unionByName(parts).write.parquet(staged)
+    sink_fanout_json(spark.read.parquet(staged), path,
+                     renamed=lambda names: [sanitize_name_punct(n) for n in names])
+    table = read_category(spark, path, "ref:part")
+    levels = filter_equals(table, "aggrLevel", 0).select("id", "text")
+    people = read_category(spark, path, "ref:customer")
+    return levels.join(people.select("id", "nation_code", "balance").hint("merge"), "id")
 
 
 # --------------------------------------------------------------------------
@@ -270,31 +327,59 @@ def q_sanitize_columns_punct(spark, sf):
     return sanitize_columns_punct(dotted)
 
 
-def _request_plan(spark, sf, key_type: str | None = None) -> DataFrame:
-    """Every nation as reporter and partner, every region as a flow, and the
-    brands of the whole part table as commodities, for 2010-2023.  ``key_type="string"`` types the ids as
+def _request_plan(spark, sf, key_type: str | None = None, years=BILATERAL_YEARS) -> DataFrame:
+    """Every region as reporter and partner, every order status as a flow and
+    every part as a commodity, for 2010-2023: the plan grows with the part table.
+    ``key_type="string"`` types the ids as
     request parameters once per dimension row instead of once per plan row."""
-    nation, region, part = (_t(spark, sf, n) for n in ("nation", "region", "part"))
+    region, part, orders = (_t(spark, sf, n) for n in ("region", "part", "orders"))
 
     def typed(df, col):
         return df.withColumn(col, F.col(col).cast(key_type)) if key_type else df
-    reporters = typed(dimension(nation, "n_nationkey", "reporter_id", "n_name",
+    reporters = typed(dimension(region, "r_regionkey", "reporter_id", "r_name",
                                 "reporter_name"), "reporter_id")
-    partners = typed(dimension(nation, "n_nationkey", "partner_id", "n_name", "partner_name"),
+    partners = typed(dimension(region, "r_regionkey", "partner_id", "r_name", "partner_name"),
                      "partner_id")
-    flows = typed(dimension(region, "r_regionkey", "flow_id", "r_name", "flow_name"), "flow_id")
-    commodities = part.select(F.col("p_brand").alias("cmdCode")).distinct()
-    return bilateral_plan(reporters, partners, flows, commodities)
-
-
-def _preview_plan(spark, sf) -> DataFrame:
-    """Preview requests of every supplier with its own nation as partner,
-    total trade (``cmdCode = 'TOTAL'``, flow ``M``) for 2010-2023."""
-    from tradelake.operators.product import with_sequence
-    suppliers = _t(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("reporter_id"), F.col("s_nationkey").alias("partner_id"),
-        F.lit("M").alias("flow_id"), F.lit("TOTAL").alias("cmdCode"))
-    return with_sequence(suppliers, "year", 2010, 2024)
+    flows = dimension(orders.select("o_orderstatus").distinct(), "o_orderstatus", "flow_id",
+                      "o_orderstatus", "flow_name")
+    commodities = typed(dimension(part, "p_partkey", "cmdCode"), "cmdCode")
+    return bilateral_plan(reporters, partners, flows, commodities, years)
+
+
+#: Years of the orders, which trade answers cover.
+ORDER_YEARS = (1995, 2002)
+
+
+def _trade_answers(spark, sf) -> DataFrame:
+    """Preview answers as they land: for every (supplier's region, customer's
+    region, order status, part, year) with trade, a JSON array of one record per return flag."""
+    t = {n: _t(spark, sf, n) for n in ("lineitem", "orders", "customer", "supplier", "nation")}
+    regions = t["nation"].select("n_nationkey", "n_regionkey")
+    partner = t["customer"].join(regions, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("n_regionkey").alias("partner_id"))
+    reporter = t["supplier"].join(regions, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("reporter_id"))
+    orders = t["orders"].join(partner.hint("merge"), "o_custkey").select(
+        F.col("o_orderkey").alias("l_orderkey"), "partner_id",
+        F.col("o_orderstatus").alias("flow_id"), F.year("o_orderdate").alias("year"))
+    lines = (t["lineitem"].join(orders.hint("merge"), "l_orderkey")
+             .join(reporter.hint("merge"), "l_suppkey"))
+    keys = ["reporter_id", "partner_id", "flow_id", F.col("l_partkey").alias("cmdCode"), "year"]
+    traded = lines.groupBy(*keys, "l_returnflag").agg(
+        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("qty"))
+    record = F.struct(F.lit("C").alias("typeCode"), F.col("year").alias("refYear"),
+                      F.col("l_returnflag").alias("flowCode"), F.col("n").alias("tradeValue"),
+                      F.col("qty").alias("altQty"), F.lit(None).cast("string").alias("qtyUnitCode"))
+    return traded.groupBy("reporter_id", "partner_id", "flow_id", "cmdCode", "year").agg(
+        F.to_json(F.array_sort(F.collect_list(record)), {"ignoreNullFields": "false"})
+        .alias("json_data"))
+
+
+def _asked(landed: DataFrame):
+    """A service that answers a request if its document has landed."""
+    from tradelake.plans.fetch import PREVIEW_KEYS
+    keys = list(PREVIEW_KEYS)
+    return lambda requests: requests.join(landed.hint("merge"), keys).select(*keys, "json_data")
 
 
 def q_project_request_params(spark, sf):
@@ -302,42 +387,14 @@ def q_project_request_params(spark, sf):
     return project_request_params(_request_plan(spark, sf, key_type="string"))
 
 
-def _orders_without(orders: DataFrame, child_keys: DataFrame) -> DataFrame:
-    """Orders with no child row.  The child keys are de-duplicated first
-    (map-side partial distinct), so a hot key is one row per task before
-    the anti join and never a hot partition."""
-    return orders.join(child_keys.distinct().hint("merge"), "o_orderkey", "left_anti")
-
-
-def _nested_order_docs(spark, sf, keep_empty: bool):
+def _nested_order_docs(spark, sf):
     """Envelopes of orders, each carrying its lines as ``notes``; lines
-    repeat the parent key (dropped again by P7).
-
-    Lines are pre-aggregated per (order, line page), joined to their order
-    by an inner join (AQE may split a skewed partition on either side), and
-    orders without lines come from an anti join against the distinct line
-    keys, so no outer join ever pins a hot key to one task.
-    """
-    orders = _t(spark, sf, "orders")
+    repeat the parent key (dropped again by P7)."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     lines = _t(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity",
-        "l_returnflag", page_of("l_linenumber", LINE_PAGE).alias("line_page"))
-    notes = (lines.groupBy("o_orderkey", "line_page")
-             .agg(F.collect_list(F.struct("o_orderkey", "l_linenumber", "l_quantity",
-                                          "l_returnflag")).alias("notes")))
-    # the note side grows with the data and has no proven size bound:
-    # never broadcast it on an estimate
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "line_page", "notes"]
-    parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(*cols)
-    if keep_empty:
-        empty = _orders_without(orders, lines.select("o_orderkey")).select(
-            "o_orderkey", "o_custkey", "o_orderstatus",
-            F.lit(0).cast("bigint").alias("line_page"),
-            F.array().cast(notes.schema["notes"].dataType).alias("notes"))
-        parents = parents.unionByName(empty)
-    # a hot order's line pages land in different documents (parent repeated)
-    return envelope_documents(parents, ["line_page"], page_of("o_orderkey", ORDER_PAGE),
-                              ["o_orderkey", "o_custkey", "o_orderstatus", "notes"])
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_returnflag")
+    return nested_documents(orders, lines, "o_orderkey", page_of("o_orderkey", ORDER_PAGE),
+                            "l_linenumber", LINE_PAGE)
 
 
 _NESTED_DDL = ("data array<struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,"
@@ -346,7 +403,7 @@ _NESTED_DDL = ("data array<struct<o_orderkey:bigint,o_custkey:bigint,o_orderstat
 
 
 def q_drop_parent_duplicates(spark, sf):
-    docs = _nested_order_docs(spark, sf, keep_empty=True)
+    docs = _nested_order_docs(spark, sf)
     parsed = docs.select(parse_json_struct("json_data", _NESTED_DDL).alias("e"))
     rows = explode_nested(parsed, "e.data", "notes", "p", "n")
     return drop_parent_duplicates(rows, "p", "n",
@@ -408,18 +465,26 @@ def q_filter_nonempty_json(spark, sf):
         "o_orderkey", "page")
 
 
-def _customer_enrich(spark, sf, fail_negative: bool):
-    def answer(row):
-        if fail_negative and row["c_acctbal"] < 0:
-            raise ValueError("service refused the request")
-        return {"id": int(row["c_custkey"]), "name": row["c_name"]}
+def _customer_profiles(batch: pa.RecordBatch) -> pa.Array:
+    """JSON profiles of a batch of customers; refuses a batch with a debtor in it."""
+    if pc.any(pc.less(batch.column("c_acctbal"), 0.0)).as_py():
+        raise ValueError("account overdrawn")
+    band = pc.cast(pc.floor(pc.divide(batch.column("c_acctbal"), 1000.0)), pa.int64())
+    return pc.binary_join_element_wise(
+        '{"id": ', pc.cast(batch.column("c_custkey"), pa.string()), ', "name": "',
+        batch.column("c_name"), '", "band": ', pc.cast(band, pa.string()), "}", "")
+
+
+def _customer_enrich(spark, sf, whole: bool = True):
     customers = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return enrich_partitions(customers, answer, ["c_custkey", "c_name", "c_acctbal"],
-                             partitions=parallelism(spark))
+    if not whole:
+        customers = customers.withColumn("c_acctbal", F.abs("c_acctbal"))
+    return enrich_batches(customers, _customer_profiles, ["c_custkey", "c_name", "c_acctbal"],
+                          partitions=parallelism(spark))
 
 
 def q_drop_failed_rows(spark, sf):
-    enriched = _customer_enrich(spark, sf, fail_negative=True)
+    enriched = _customer_enrich(spark, sf)
     return drop_failed_rows(enriched).select("c_custkey", "json_data")
 
 
@@ -517,7 +582,7 @@ def q_explode_array(spark, sf):
 
 
 def q_json_parse_nested(spark, sf):
-    docs = _nested_order_docs(spark, sf, keep_empty=True)
+    docs = _nested_order_docs(spark, sf)
     parsed = docs.select(parse_json_struct("json_data", _NESTED_DDL).alias("e"))
     parents = explode_array(parsed, "e.data", "p")
     # an order of several line pages is in as many documents
@@ -526,7 +591,7 @@ def q_json_parse_nested(spark, sf):
 
 
 def q_explode_nested(spark, sf):
-    docs = _nested_order_docs(spark, sf, keep_empty=True)
+    docs = _nested_order_docs(spark, sf)
     parsed = docs.select(parse_json_struct("json_data", _NESTED_DDL).alias("e"))
     rows = explode_nested(parsed, "e.data", "notes", "p", "n")
     return rows.select(F.col("p.o_orderkey").alias("o_orderkey"),
@@ -588,12 +653,12 @@ def q_json_member_or_empty(spark, sf):
 # --------------------------------------------------------------------------
 
 def q_partition_enrich(spark, sf):
-    ok, _ = split_failures(_customer_enrich(spark, sf, fail_negative=False))
+    ok, _ = split_failures(_customer_enrich(spark, sf, whole=False))
     return ok.select("c_custkey", "c_name", "json_data")
 
 
 def q_isolate_row_failures(spark, sf):
-    ok, _ = split_failures(_customer_enrich(spark, sf, fail_negative=True))
+    ok, _ = split_failures(_customer_enrich(spark, sf))
     return ok.select("c_custkey", "c_name", "json_data")
 
 
@@ -635,35 +700,63 @@ def q_ingest_csv_to_parquet(spark, sf):
     return spark.read.parquet(dst)
 
 
-def _preview_answer(row) -> str:
-    """Deterministic stand-in for the preview service: one record per
-    request, none before 2012."""
-    if row["year"] < 2012:
-        return "[]"
-    return json.dumps([{"typeCode": "C", "freqCode": "A", "refYear": int(row["year"]),
-                        "reporterCode": int(row["reporter_id"]),
-                        "partnerCode": int(row["partner_id"]),
-                        "flowCode": str(row["flow_id"]), "tradeValue": None}])
+def _resumed(spark, sf) -> tuple[DataFrame, DataFrame]:
+    from tradelake.plans.fetch import resumable_extract
+    plan = _request_plan(spark, sf, years=ORDER_YEARS)
+    return resumable_extract(plan, _asked(_trade_answers(spark, sf)),
+                             scratch_path(spark, "requests"), "run-1",
+                             ["typeCode", "refYear", "flowCode", "tradeValue", "altQty",
+                              "qtyUnitCode", "partnerISO"])
 
 
 def q_plan_fetch_extract(spark, sf):
-    from tradelake.plans.fetch import plan_fetch_extract
-    rows, _ = plan_fetch_extract(_preview_plan(spark, sf), _preview_answer,
-                                 ["typeCode", "refYear", "reporterCode", "partnerCode",
-                                  "flowCode", "tradeValue", "qtyUnitCode"])
-    return rows
+    """The bilateral plan asked through a request ledger: rows of all answers."""
+    return _resumed(spark, sf)[0]
 
 
-def _reporter_share_answer(row) -> dict:
-    """Deterministic stand-in for the per-reporter world-share service."""
-    return {"reporter": int(row["reporter_id"]), "name": row["reporter_name"]}
+def q_plan_fetch_missing(spark, sf):
+    """The same flow's requests that are still without an answer."""
+    return _resumed(spark, sf)[1]
+
+
+def q_coalesced_requests(spark, sf):
+    """What the plan still misses, as few requests: ranges of years, lists of
+    up to three reporters."""
+    from tradelake.plans.fetch import PREVIEW_KEYS
+    plan = _request_plan(spark, sf, years=ORDER_YEARS).select(*PREVIEW_KEYS)
+    missing = outstanding(plan, _trade_answers(spark, sf), PREVIEW_KEYS)
+    lists = coalesce_requests(missing, 3)
+    return lists.withColumn("reporters", F.concat_ws(",", F.transform(
+        "reporters", lambda r: r.cast("string"))))
+
+
+def q_reject_ledger(spark, sf):
+    """Three runs over the customers' accounts: run k takes the customers whose
+    id leaves k or less modulo 3, the second run with the lines of credit
+    that clear debts up to 500, the third with those up to 900."""
+    path = scratch_path(spark, "reject-ledger")
+    customers = _t(spark, sf, "customer")
+    for run, credit in enumerate((0, 500, 900)):
+        seen = customers.filter(F.col("c_custkey") % 3 <= run)
+        balance = F.col("c_acctbal") + credit
+        record_outcomes(seen.select("c_custkey", (balance >= 0).alias("ok"),
+                                    F.when(balance < 0, F.lit("overdrawn")).alias("reason")),
+                        path, ["c_custkey"], f"run-{run}")
+    return reject_history(spark, path, ["c_custkey"], "c_custkey bigint")
+
+
+def _reporter_share(batch: pa.RecordBatch) -> pa.Array:
+    """JSON answers to a batch of reporters: their id and name."""
+    return pc.binary_join_element_wise(
+        '{"reporter": ', pc.cast(batch.column("reporter_id"), pa.string()), ', "name": "',
+        batch.column("reporter_name"), '"}', "")
 
 
 def q_world_share_by_reporter(spark, sf):
     from tradelake.plans.fetch import fetch_per_reporter
     reporters = dimension(_t(spark, sf, "customer"), "c_custkey", "reporter_id",
                           "c_name", "reporter_name")
-    answers, _ = fetch_per_reporter(reporter_year_plan(reporters), _reporter_share_answer)
+    answers, _ = fetch_per_reporter(reporter_year_plan(reporters), batch_fetch=_reporter_share)
     return answers
 
 
@@ -678,14 +771,15 @@ def _world_share_raw(spark, sf):
         F.col("o_orderpriority").alias("freqCode"),
         "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderstatus",
         F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
+        F.dayofyear("o_orderdate").alias("day"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
     elements = [F.lit("X").alias("typeCode"), F.lit("Y").alias("freqCode"),
                 (F.col("y") * 100 + F.col("m")).alias("period"), F.col("y").alias("year"),
                 F.col("m").alias("month"), F.col("o_orderpriority").alias("datasetDesc"),
-                (F.col("o_custkey") % _INT).cast("int").alias("reporterCode"),
+                F.col("day").alias("reporterCode"),
                 F.col("o_totalprice").alias("worldShare"),
                 (F.col("o_orderstatus") == "F").alias("isAvailable"),
-                (F.col("o_orderkey") % _INT).cast("int").alias("dataCount"),
+                F.col("y").alias("dataCount"),
                 F.col("d").alias("firstReleased")]
     return envelope_documents(o, ["typeCode", "freqCode"], page_of("o_orderkey", ORDER_PAGE),
                               elements)
@@ -709,7 +803,7 @@ def q_publication_notes_table(spark, sf):
     notes = lines.groupBy("o_orderkey", "line_page").agg(F.collect_list("note").alias("notes"))
     parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(
         "o_orderkey", "line_page", "notes",
-        (F.col("o_custkey") % _INT).cast("int").alias("reporterCode"),
+        F.dayofyear("o_orderdate").alias("reporterCode"),
         F.year("o_orderdate").alias("period"),
         F.col("o_orderstatus").alias("typeCode"),
         F.col("o_orderpriority").alias("freqCode"),
@@ -725,7 +819,7 @@ def _availability_raw(spark, sf):
     part = _t(spark, sf, "part")
     elements = [F.col("p_partkey").alias("datasetCode"), F.lit("C").alias("typeCode"),
                 F.lit("A").alias("freqCode"), (F.lit(2000) + F.col("p_size")).alias("period"),
-                (F.col("p_partkey") % _INT).cast("int").alias("reporterCode"),
+                F.col("p_size").alias("reporterCode"),
                 F.col("p_brand").alias("reporterISO"), F.col("p_name").alias("reporterDesc"),
                 F.lit("HS").alias("classificationCode"),
                 (F.col("p_size") > 25).alias("isOriginalClassification"),
@@ -758,6 +852,8 @@ QUERIES: dict[str, Query] = {
     "rows_inferred_schema": q_rows_inferred_schema,
     "scan_landed_json": q_scan_landed_json,
     "scan_landed_json_stream": q_scan_landed_json_stream,
+    "landed_json_by_name": q_landed_json_by_name,
+    "landed_json_index": q_landed_json_index,
     "year_dimension": q_year_dimension,
     "staged_tables": q_staged_tables,
     "sink_parquet_overwrite": q_sink_parquet_overwrite,
@@ -765,6 +861,7 @@ QUERIES: dict[str, Query] = {
     "sink_json_per_key": q_sink_json_per_key,
     "sink_csv_quoted_single": q_sink_csv_quoted_single,
     "sink_fanout_by_category": q_sink_fanout_by_category,
+    "sink_fanout_json_typed": q_sink_fanout_json_typed,
     "project_rename": q_project_rename,
     "project_nested": q_project_nested,
     "with_envelope_literals": q_with_envelope_literals,
@@ -804,6 +901,9 @@ QUERIES: dict[str, Query] = {
     "empty_input_policy": q_empty_input_policy,
     "ingest_csv_to_parquet": q_ingest_csv_to_parquet,
     "plan_fetch_extract": q_plan_fetch_extract,
+    "plan_fetch_missing": q_plan_fetch_missing,
+    "coalesced_requests": q_coalesced_requests,
+    "reject_ledger": q_reject_ledger,
     "world_share_table": q_world_share_table,
     "world_share_by_reporter": q_world_share_by_reporter,
     "publication_notes_table": q_publication_notes_table,
@@ -816,17 +916,38 @@ QUERIES: dict[str, Query] = {
 # DuckDB oracles
 # --------------------------------------------------------------------------
 
-_PLAN_SQL = """
-SELECT r.n_nationkey AS reporter_id, r.n_name AS reporter_name,
-       p.n_nationkey AS partner_id, p.n_name AS partner_name,
-       f.r_regionkey AS flow_id, f.r_name AS flow_name,
-       c.p_brand AS cmdCode, CAST(y.range AS INTEGER) AS year
-FROM nation r
-CROSS JOIN nation p
-CROSS JOIN region f
-CROSS JOIN (SELECT DISTINCT p_brand FROM part) c
-CROSS JOIN range(2010, 2024) y
-WHERE r.n_nationkey != p.n_nationkey
+def _plan_sql(years) -> str:
+    return f"""
+SELECT r.r_regionkey AS reporter_id, r.r_name AS reporter_name,
+       p.r_regionkey AS partner_id, p.r_name AS partner_name,
+       f.o_orderstatus AS flow_id, f.o_orderstatus AS flow_name,
+       c.p_partkey AS cmdCode, CAST(y.range AS INTEGER) AS year
+FROM region r
+CROSS JOIN region p
+CROSS JOIN (SELECT DISTINCT o_orderstatus FROM orders) f
+CROSS JOIN part c
+CROSS JOIN range({years[0]}, {years[1]}) y
+WHERE r.r_regionkey != p.r_regionkey
+"""
+
+
+_PLAN_SQL = _plan_sql(BILATERAL_YEARS)
+
+_TRADE_SQL = f"""
+plan AS ({_plan_sql(ORDER_YEARS)}),
+trade AS (SELECT s.n_regionkey AS reporter_id, c.n_regionkey AS partner_id,
+                 o_orderstatus AS flow_id, l_partkey AS cmdCode, year(o_orderdate) AS year,
+                 l_returnflag AS flag, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS qty
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+          JOIN customer ON c_custkey = o_custkey JOIN nation c ON c.n_nationkey = c_nationkey
+          JOIN supplier ON s_suppkey = l_suppkey JOIN nation s ON s.n_nationkey = s_nationkey
+          GROUP BY ALL)
+"""
+
+_MISSING_SQL = f"""
+WITH {_TRADE_SQL}
+SELECT reporter_id, partner_id, flow_id, cmdCode, year FROM plan
+ANTI JOIN trade USING (reporter_id, partner_id, flow_id, cmdCode, year)
 """
 
 _AVAIL_SQL = """
@@ -855,6 +976,9 @@ FROM (SELECT l_orderkey, l_linenumber,
       FROM lineitem)
 """
 
+_PROFILE_SQL = ("'{{\"id\": ' || c_custkey || ', \"name\": \"' || c_name || '\", \"band\": ' || "
+                "CAST(floor({} / 1000) AS BIGINT) || '}}'")
+
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag "
                     "FROM lineitem",
@@ -914,8 +1038,8 @@ ORACLES: dict[str, str] = {
     "filter_nonempty_json": "SELECT DISTINCT l_orderkey AS o_orderkey, "
                             "CAST(l_linenumber // 1000 AS BIGINT) AS page "
                             "FROM lineitem WHERE l_quantity > 25",
-    "drop_failed_rows": "SELECT c_custkey, '{\"id\": ' || c_custkey || ', \"name\": \"' || "
-                        "c_name || '\"}' AS json_data FROM customer WHERE c_acctbal >= 0",
+    "drop_failed_rows": f"SELECT c_custkey, {_PROFILE_SQL.format('c_acctbal')} AS json_data "
+                        "FROM customer WHERE c_acctbal >= 0",
     "limit_rows": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 200",
     "repartition_for_fetch": "SELECT c_custkey, c_name FROM customer",
     "cross_join_reporter_year": "SELECT c_custkey AS reporter_id, c_name AS reporter_name, "
@@ -954,10 +1078,10 @@ ORACLES: dict[str, str] = {
     "format_key_string": "SELECT o_orderkey, 'reporter_' || o_custkey || '_period_' || "
                          "year(o_orderdate) || '.json' AS file_name FROM orders",
     "haversine_distance": _HAVERSINE_SQL,
-    "partition_enrich": "SELECT c_custkey, c_name, '{\"id\": ' || c_custkey || "
-                        "', \"name\": \"' || c_name || '\"}' AS json_data FROM customer",
-    "isolate_row_failures": "SELECT c_custkey, c_name, '{\"id\": ' || c_custkey || "
-                            "', \"name\": \"' || c_name || '\"}' AS json_data FROM customer "
+    "partition_enrich": "SELECT c_custkey, c_name, "
+                        f"{_PROFILE_SQL.format('abs(c_acctbal)')} AS json_data FROM customer",
+    "isolate_row_failures": "SELECT c_custkey, c_name, "
+                            f"{_PROFILE_SQL.format('c_acctbal')} AS json_data FROM customer "
                             "WHERE c_acctbal >= 0",
     "isolate_table_failures": "SELECT o_orderstatus AS category, "
                               "count(DISTINCT CASE WHEN o_orderpriority <> '1-URGENT' THEN "
@@ -970,15 +1094,50 @@ ORACLES: dict[str, str] = {
     "empty_input_policy": "SELECT o_orderkey, o_custkey FROM orders",
     "ingest_csv_to_parquet": "SELECT CAST(c_custkey AS VARCHAR) AS _c_custkey_, "
                              "c_name AS c_name, c_mktsegment FROM customer",
-    "plan_fetch_extract": "SELECT s_suppkey AS reporter_id, s_nationkey AS partner_id, "
-                          "'M' AS flow_id, 'TOTAL' AS cmdCode, "
-                          "CAST(y.range AS INTEGER) AS year, "
-                          "'\"C\"' AS typeCode, CAST(y.range AS VARCHAR) AS refYear, "
-                          "CAST(s_suppkey AS VARCHAR) AS reporterCode, "
-                          "CAST(s_nationkey AS VARCHAR) AS partnerCode, "
-                          "'\"M\"' AS flowCode, "
-                          "'null' AS tradeValue, CAST(NULL AS VARCHAR) AS qtyUnitCode "
-                          "FROM supplier CROSS JOIN range(2012, 2024) y",
+    "plan_fetch_extract": f"WITH {_TRADE_SQL} SELECT reporter_id, partner_id, flow_id, cmdCode, "
+                          "year, '\"C\"' AS typeCode, CAST(year AS VARCHAR) AS refYear, "
+                          "'\"' || flag || '\"' AS flowCode, CAST(n AS VARCHAR) AS tradeValue, "
+                          "CAST(qty AS VARCHAR) AS altQty, 'null' AS qtyUnitCode, "
+                          "CAST(NULL AS VARCHAR) AS partnerISO FROM plan "
+                          "JOIN trade USING (reporter_id, partner_id, flow_id, cmdCode, year)",
+    "plan_fetch_missing": _MISSING_SQL,
+    "coalesced_requests": f"""
+WITH missing AS ({_MISSING_SQL}),
+runs AS (SELECT *, year - row_number() OVER (
+             PARTITION BY reporter_id, partner_id, flow_id, cmdCode ORDER BY year) AS run
+         FROM missing),
+ranges AS (SELECT reporter_id, partner_id, flow_id, cmdCode, min(year) AS from_year,
+                  max(year) AS to_year
+           FROM runs GROUP BY reporter_id, partner_id, flow_id, cmdCode, run),
+packed AS (SELECT *, (row_number() OVER (PARTITION BY partner_id, flow_id, cmdCode, from_year,
+                                         to_year ORDER BY reporter_id) - 1) // 3 AS list
+           FROM ranges)
+SELECT partner_id, flow_id, cmdCode, from_year, to_year,
+       string_agg(CAST(reporter_id AS VARCHAR), ',' ORDER BY reporter_id) AS reporters,
+       CAST(count(*) * (to_year - from_year + 1) AS BIGINT) AS n_requests
+FROM packed GROUP BY partner_id, flow_id, cmdCode, from_year, to_year, list
+""",
+    "reject_ledger": """
+WITH runs AS (SELECT c_custkey, 'run-' || run AS run, c_acctbal + credit >= 0 AS ok
+              FROM customer JOIN (VALUES (0, 0), (1, 500), (2, 900)) r(run, credit)
+                ON c_custkey % 3 <= run),
+failed AS (SELECT c_custkey, count(*) AS attempts, min(run) AS first_run, max(run) AS last_run
+           FROM runs WHERE NOT ok GROUP BY c_custkey)
+SELECT failed.*, 'overdrawn' AS reason,
+       (SELECT CASE WHEN arg_max(ok, run) THEN max(run) END FROM runs
+        WHERE runs.c_custkey = failed.c_custkey) AS resolved_in
+FROM failed
+""",
+    "sink_fanout_json_typed": "SELECT p_partkey AS id, p_brand AS text, "
+                              "CAST(c_nationkey AS BIGINT) AS nation_code, c_acctbal AS balance "
+                              "FROM part JOIN customer ON c_custkey = p_partkey "
+                              "WHERE p_size % 5 = 0",
+    "landed_json_by_name": "SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS period, "
+                           "o_orderkey, o_custkey, o_totalprice FROM orders "
+                           "WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1996",
+    "landed_json_index": "SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS period, "
+                         "count(DISTINCT o_orderkey // 10000) AS documents, true AS has_bytes "
+                         "FROM orders GROUP BY ALL",
 }
 
 _NULL_TEXT_NOTE_FIELDS = ["reporterDescription", "importConvFactor", "exportConvFactor",
@@ -993,7 +1152,7 @@ _AVAIL_FLAGS_NULL = ", ".join(f"CAST(NULL AS BOOLEAN) AS {f}" for f in [
 
 _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(2000 + p_size AS INTEGER) AS period, "
-                 "CAST(p_partkey % 2147483647 AS INTEGER) AS reporterCode, p_brand AS reporterISO, "
+                 "p_size AS reporterCode, p_brand AS reporterISO, "
                  "'HS' AS classificationCode, p_size > 25 AS isOriginalClassification, "
                  f"{_AVAIL_FLAGS_NULL}, CAST(p_size * 1000 AS INTEGER) AS totalRecords, "
                  "CAST(NULL AS BIGINT) AS datasetChecksum, p_type AS firstReleased, "
@@ -1001,7 +1160,10 @@ _AVAIL_COMMON = ("p_partkey AS datasetCode, 'C' AS typeCode, 'A' AS freqCode, "
                  "CAST(count(*) OVER (PARTITION BY p_partkey // 500) AS INTEGER) AS count, "
                  "CAST(NULL AS VARCHAR) AS error")
 
-ORACLES["scan_landed_json_stream"] = ORACLES["scan_landed_json"]
+ORACLES["scan_landed_json_stream"] = (
+    "SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS period, o_orderkey, o_custkey, "
+    "CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice "
+    "FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice >= 1000")
 
 ORACLES.update({
     "world_share_by_reporter":
@@ -1013,15 +1175,15 @@ ORACLES.update({
         "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS period, "
         "CAST(year(o_orderdate) AS INTEGER) AS year, "
         "CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority AS datasetDesc, "
-        "CAST(o_custkey % 2147483647 AS INTEGER) AS reporterCode, CAST(NULL AS VARCHAR) AS reporterISO, "
+        "CAST(dayofyear(o_orderdate) AS INTEGER) AS reporterCode, CAST(NULL AS VARCHAR) AS reporterISO, "
         "CAST(NULL AS VARCHAR) AS reporterDesc, o_totalprice AS worldShare, "
-        "o_orderstatus = 'F' AS isAvailable, CAST(o_orderkey % 2147483647 AS INTEGER) AS dataCount, "
+        "o_orderstatus = 'F' AS isAvailable, CAST(year(o_orderdate) AS INTEGER) AS dataCount, "
         "strftime(o_orderdate, '%Y-%m-%d') AS firstReleased, "
         "CAST(NULL AS VARCHAR) AS lastReleased, CAST(NULL AS VARCHAR) AS created, "
         "CAST(NULL AS VARCHAR) AS updated FROM orders",
     "publication_notes_table":
         "SELECT o.o_orderstatus AS typeCode, o.o_orderpriority AS freqCode, "
-        "'HS' AS clCode, CAST(o.o_custkey % 2147483647 AS INTEGER) AS reporterCode, "
+        "'HS' AS clCode, CAST(dayofyear(o.o_orderdate) AS INTEGER) AS reporterCode, "
         "CAST(year(o.o_orderdate) AS INTEGER) AS period, o.o_orderkey AS datasetCode, "
         + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in _NULL_TEXT_NOTE_FIELDS[:1]) + ", "
         "l.l_returnflag AS currency, "

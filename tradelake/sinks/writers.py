@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from tradelake.functions.json import schemas_of
 from tradelake.functions.text import replace_literal
 
+#: Buffer of a copied stream.
+COPY_BYTES = 4 << 20
+
 
 def sink_parquet_overwrite(df: DataFrame, path: str) -> None:
     """K1: replace a Parquet dataset."""
@@ -51,32 +57,101 @@ def sink_json_per_key(df: DataFrame, path: str, keys: Sequence[str],
     _replacing(clustered.select(*keys, one_line.alias("value")), *keys).text(path)
 
 
-def sink_csv_quoted_single(df: DataFrame, path: str) -> None:
-    """K4: one CSV dataset with header and every field quoted.
+def sink_csv_quoted_single(df: DataFrame, path: str) -> str:
+    """K4: one CSV file with one header and every field quoted; returns it.
 
-    Parts are written in parallel; a sorted input is range-partitioned, so
-    its order is that of the part names.
+    Parts are written in parallel (a sorted input is range-partitioned, so its
+    order is that of the part names) behind a first part that holds the header,
+    and the parts are joined in that order under ``path``: by the file system's
+    own ``concat`` where it has one, which moves no data, or else by copying
+    streams in fixed buffers.  An earlier file is replaced once the new one is whole.
     """
-    (df.write.mode("overwrite")
-        .option("header", True).option("quoteAll", True).csv(path))
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex[:12]}"
+    df.write.option("quoteAll", True).csv(staged)
+    columns = ",".join('"' + c.replace("\\", "\\\\").replace('"', '\\"') + '"' for c in df.columns)
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    folder = hadoop.fs.Path(staged)
+    fs = folder.getFileSystem(conf)
+    parts = sorted(str(f.getPath().getName()) for f in fs.listStatus(folder)
+                   if f.getPath().getName().startswith("part-"))
+    whole = hadoop.fs.Path(folder, "whole.csv")
+    out = fs.create(whole, True)
+    out.write(bytearray(f"{columns}\n".encode()))
+    try:
+        out.close()
+        array = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(parts))
+        for i, name in enumerate(parts):
+            array[i] = hadoop.fs.Path(folder, name)
+        fs.concat(whole, array)
+    except UnsupportedOperationException:
+        out = fs.create(whole, True)
+        try:
+            out.write(bytearray(f"{columns}\n".encode()))
+            for name in parts:
+                part = fs.open(hadoop.fs.Path(folder, name))
+                try:
+                    hadoop.io.IOUtils.copyBytes(part, out, COPY_BYTES, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+    target = hadoop.fs.Path(path)
+    fs.mkdirs(target)
+    name = hadoop.fs.Path(target, "part-00000.csv")
+    for old in fs.listStatus(target):
+        fs.delete(old.getPath(), True)
+    if not fs.rename(whole, name):
+        raise OSError(f"could not move {whole} to {name}")
+    fs.delete(folder, True)
+    return str(name)
 
 
 def sink_fanout_by_category(df: DataFrame, path: str, category_col: str = "category"
                             ) -> None:
-    """K5: every category to its own dataset directory in one job.
+    """K5: every category to its own typed Parquet dataset in one job.
 
-    Rows are stored as JSON text, so categories with different columns can
-    share one write; ``:`` in a category becomes ``_``.  Categories that are
-    not written keep their earlier output.
+    Rows keep their columns' types; ``:`` in a category becomes ``_``.
+    Categories that are not written keep their earlier output.
     """
     others = [c for c in df.columns if c != category_col]
-    rows = df.select(replace_literal(category_col, ":", "_").alias(category_col),
-                     F.to_json(F.struct(*others)).alias("value"))
-    _replacing(rows.hint("rebalance", category_col), category_col).text(path)
+    rows = df.select(replace_literal(category_col, ":", "_").alias(category_col), *others)
+    _replacing(rows.hint("rebalance", category_col), category_col).parquet(path)
+
+
+def sink_fanout_json(df: DataFrame, path: str, category_col: str = "category",
+                     json_col: str = "value", renamed=None) -> DataFrame:
+    """K5 for rows that are JSON objects: typed Parquet, each category by a
+    schema of its own; returns (category, schema).
+
+    The schema of a category is aggregated over all of its rows (see
+    ``functions.json.schemas_of``), and categories of one schema are written
+    together, so there are as many jobs as different schemas.  ``renamed`` maps
+    column names to those written.  Categories that are not written keep their
+    earlier output.  ``df`` is read twice and more: pass a written table.
+    """
+    rows = df.select(replace_literal(category_col, ":", "_").alias(category_col), json_col)
+    schemas = schemas_of(rows, json_col, category_col)
+    # one row per category
+    found = sorted((r[category_col], r["schema"]) for r in schemas.collect() if r["schema"])
+    for schema in sorted({s for _, s in found}):
+        own = [c for c, s in found if s == schema]
+        typed = rows.filter(F.col(category_col).isin(own)).select(
+            category_col, F.from_json(json_col, schema).alias("_r")).select(
+            F.col(category_col).alias("_category"), "_r.*")
+        names = [c for c in typed.columns if c != "_category"]
+        new = renamed(names) if renamed else names
+        typed = typed.toDF("_category", *new).hint("rebalance", "_category")
+        clash = [n for n in new if n.lower() == category_col.lower()]
+        if clash:
+            raise ValueError(f"rows of {own} have a member {clash[0]!r}, the partition's name")
+        _replacing(typed.withColumnRenamed("_category", category_col), category_col).parquet(path)
+    return schemas
 
 
 def read_category(spark, path: str, category: str, schema: str | None = None,
                   category_col: str = "category") -> DataFrame:
-    """Typed view of one fan-out category."""
+    """One fan-out category; conditions on its columns reach the Parquet scan."""
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.json(f"{path}/{category_col}={category.replace(':', '_')}")
+    return reader.parquet(f"{path}/{category_col}={category.replace(':', '_')}")

@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradelake.session import checkpoint_root
+from tradelake.session import checkpoint_root, scratch_path
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -69,3 +70,59 @@ def ingest_landed_stream(spark: SparkSession, landing_dir: str,
         writer = writer.queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def upsert_documents(batch: DataFrame, output_path: str, name_col: str, time_col: str,
+                     rows_col: str, buckets: int) -> None:
+    """Merge documents (name, time, array of parsed rows) into a dataset that
+    holds each name's latest version once.
+
+    The dataset is partitioned by a hash of the name; only the buckets that the
+    batch touches are read, merged and replaced.  Of two versions the later time
+    wins, and of equal times the batch's, so a batch that is merged again leaves
+    the same rows.  The merge is written to the shared scratch folder before it
+    replaces anything.
+    """
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64(name_col), F.lit(buckets)).cast("int")
+    new = batch.select(name_col, time_col, rows_col, bucket.alias("bucket"), F.lit(1).alias("_new"))
+    touched = [r.bucket for r in new.select("bucket").distinct().collect()]   # ``buckets`` at most
+    if not touched:
+        return
+    try:
+        old = spark.read.schema(new.drop("_new").schema).parquet(output_path)
+        new = new.unionByName(old.filter(F.col("bucket").isin(touched))
+                              .withColumn("_new", F.lit(0)))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    latest = new.groupBy("bucket", name_col).agg(
+        F.max_by(F.struct(time_col, rows_col), F.struct(time_col, "_new")).alias("_v"))
+    merged = latest.select(name_col, f"_v.{time_col}", f"_v.{rows_col}", "bucket")
+    staged = scratch_path(spark, "upsert")
+    merged.write.parquet(staged)
+    (spark.read.schema(merged.schema).parquet(staged).repartition("bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(output_path))
+
+
+def ingest_upserts(spark: SparkSession, stream: DataFrame, parse: Callable[[DataFrame], DataFrame],
+                   output_path: str, checkpoint: str, name_col: str = "source_file",
+                   time_col: str = "landed_at", buckets: int = 64, available_now: bool = True
+                   ) -> StreamingQuery:
+    """Keep the rows of every document's latest version: a document that lands
+    again under its name replaces its rows, also by none.
+
+    ``parse`` gives a batch of documents a column ``rows``: the array of its parsed
+    rows (null or empty: none).  Read the result with ``latest_rows``.
+    """
+    def merge(batch: DataFrame, _: int) -> None:
+        upsert_documents(parse(batch), output_path, name_col, time_col, "rows", buckets)
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def latest_rows(spark: SparkSession, output_path: str) -> DataFrame:
+    """One row per parsed row of the current documents, flattened."""
+    return spark.read.parquet(output_path).select(F.explode("rows").alias("r")).select("r.*")
