@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' tokens over the bytes of every text.
 
-Texts are shuffled whole and each distinct one is tokenised and aligned once;
-its link counts weigh as many times as the text occurs.  Tasks align blocks of
+Texts are shuffled whole and each distinct one is tokenised and aligned once,
+and within a block each distinct word; link counts weigh as many times as the text occurs.  Tasks align blocks of
 texts: a block holds its distinct id pairs with their weighted counts, and per
 text which of those pairs it has and how often.  Pairs of blocks are summed
 over the corpus, the sums go back to the blocks (one row per block and pair),
@@ -16,19 +16,23 @@ import hashlib
 import os
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import blocks, written
 from tradelake.llm.substring_dedup import pack, unpack
+from tradelake.llm.token_store import _LOOSE, _SPACE
 
 #: Text bytes of a block, and of what is tokenised at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 PART_BYTES = 1 << 20
+STRINGS_AT_ONCE = 2000
 _SHIFT = 32
 _ALIGNED = ("block bigint, texts array<struct<digest: binary, n_a: bigint, n_b: bigint, "
             "n_groups: bigint, n_links: bigint, sha: string>>, weights array<bigint>, "
@@ -59,30 +63,69 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         alphabet = byte_alphabet()
         vocab = self.a.get_vocab()
-        self.a_bytes = [b""] * (1 + max(vocab.values()))
+        a_bytes = [b""] * (1 + max(vocab.values()))
         for token, i in vocab.items():
-            self.a_bytes[i] = bytes(alphabet[c] for c in token)
-        self.b_bytes = [
+            a_bytes[i] = bytes(alphabet[c] for c in token)
+        b_bytes = [
             bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
             else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())]
-        self.a_sizes = np.array([len(t) for t in self.a_bytes])
-        self.b_sizes = np.array([len(t) for t in self.b_bytes])
-        n = max(len(self.a_bytes), len(self.b_bytes))
+        self.a_bytes, self.b_bytes = TokenBytes(a_bytes), TokenBytes(b_bytes)
         #: decimal id and what follows it, at 3 * id + kind
-        self.words = [f"{i}{end}" for i in range(n) for end in ",|;"]
+        self.words = [f"{i}{end}" for i in range(max(len(a_bytes), len(b_bytes))) for end in ",|;"]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Flat ids and text offsets of A and of B, each text behind a space; no
+        ids for texts whose tokens' bytes differ from that, or that are empty."""
+        lists = []
+        for i in range(0, len(texts), STRINGS_AT_ONCE):     # the library's results are large
+            lists += [e.ids for e in self.a.encode_batch_fast(
+                [f" {t}" for t in texts[i:i + STRINGS_AT_ONCE]], add_special_tokens=False)]
+        a, a_at = _flat(lists)
+        b, b_at = _flat(self.b.encode(texts, num_threads=1))
+        raw = [f" {t}".encode() for t in texts]
+        size = np.array([len(r) for r in raw])
+        fits = size > 1
+        for tokens, ids, at in ((self.a_bytes, a, a_at), (self.b_bytes, b, b_at)):
+            ends = np.concatenate([[0], np.cumsum(tokens.sizes[ids])])
+            fits &= np.diff(ends[at]) == size
+        while True:                    # texts of fitting lengths stand at the same bytes
+            if not fits.all():
+                (a, a_at), (b, b_at) = _without(a, a_at, fits), _without(b, b_at, fits)
+            data = np.frombuffer(b"".join(r for r, f in zip(raw, fits, strict=True) if f), np.uint8)
+            wrong = (self.a_bytes.joined(a) != data) | (self.b_bytes.joined(b) != data)
+            if not wrong.any():
+                return a, a_at, b, b_at
+            kept = np.flatnonzero(fits)
+            fits = fits.copy()
+            fits[kept[np.searchsorted(np.cumsum(size[kept]), np.flatnonzero(wrong), "right")]] = False
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of every text behind a space; none where the tokens' bytes differ from it."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts],
-                                                     add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            raw = f" {text}".encode()
-            if (not text or b"".join(map(self.a_bytes.__getitem__, a[i])) != raw
-                    or b"".join(map(self.b_bytes.__getitem__, b[i])) != raw):
-                a[i], b[i] = [], []
-        return a, b
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    at = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(at[-1])), at
+
+
+class TokenBytes:
+    """Bytes of every token, one after the other."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        size = self.sizes[ids]
+        ends = np.cumsum(size)
+        shift = np.repeat(self.starts[ids] - (ends - size), size)
+        return self.data[shift + np.arange(len(shift))]
+
+
+def _without(ids: np.ndarray, at: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets with those of the texts that are not ``kept`` left out."""
+    size = np.diff(at)
+    return (ids[np.repeat(kept, size)],
+            np.concatenate([[0], np.cumsum(np.where(kept, size, 0))]))
 
 
 def tokenizers(spec: str, model: bytes) -> Tokenizers:
@@ -95,63 +138,122 @@ def tokenizers(spec: str, model: bytes) -> Tokenizers:
     return loaded[key]
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(x) for x in lists], np.int64)
-    return (np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum())),
-            np.concatenate([[0], np.cumsum(sizes)]))
-
+def align(tok: Tokenizers, texts: list[str]) -> tuple[np.ndarray, list[str], tuple]:
+    """Counts (n_a, n_b, n_groups, n_links) and written groups of every text, and
+    its links as (text number, pair, times) with pairs ``a << 32 | b``.
 
-def align(tok: Tokenizers, texts: list[str]) -> tuple[dict[str, np.ndarray], list[str], tuple]:
-    """Counts and group digests of every text, and its links as (text number,
-    pair, times) with pairs ``a << 32 | b``.
-
-    The texts stand one after the other.  Two tokens overlap in exactly one
-    stretch between neighbouring ends of either kind, so links are those
-    stretches; stretches that end where both end close a group.
+    The texts stand one after the other, and token ends are marked on their
+    bytes.  Two tokens overlap in exactly one stretch between neighbouring ends
+    of either kind, so links are those stretches; ends of both kinds close groups.
     """
-    lists_a, lists_b = tok.encode(texts)
-    a, a_at = _flat(lists_a)
-    b, b_at = _flat(lists_b)
-    end_a, end_b = np.cumsum(tok.a_sizes[a]), np.cumsum(tok.b_sizes[b])
-    common = np.intersect1d(end_a, end_b, assume_unique=False)
-    ends = np.union1d(end_a, end_b)
-    text_ends = np.concatenate([[0], end_a])[a_at]          # byte ends of the texts
-    counts = {"n_a": np.diff(a_at), "n_b": np.diff(b_at),
-              "n_groups": np.diff(np.searchsorted(common, text_ends, "right")),
-              "n_links": np.diff(np.searchsorted(ends, text_ends, "right"))}
+    a, a_at, b, b_at = tok.encode(texts)
+    end_a, end_b = np.cumsum(tok.a_bytes.sizes[a]), np.cumsum(tok.b_bytes.sizes[b])
+    marks = np.zeros((2, 1 + (int(end_a[-1]) if len(a) else 0)), bool)
+    marks[0, end_a] = marks[1, end_b] = True
+    upto_a, upto_b = np.cumsum(marks[0]), np.cumsum(marks[1])   # tokens that end by a byte
+    both, either = marks[0] & marks[1], marks[0] | marks[1]
+    upto_both = np.cumsum(both)
+    common, ends = np.flatnonzero(both), np.flatnonzero(either)
+    text_ends = np.concatenate([[0], end_a])[a_at]
+    counts = np.stack([np.diff(a_at), np.diff(b_at), np.diff(upto_both[text_ends]),
+                       np.diff(np.cumsum(either)[text_ends])])
 
     # all ids in the order they are written: a group's A tokens, then its B tokens
-    group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-    before_b = np.searchsorted(group_b, np.arange(len(common)))
-    before_a = np.searchsorted(group_a, np.arange(len(common)), "right")
+    group_a, group_b = (upto_both[e] - both[e] for e in (end_a, end_b))
+    starts = np.concatenate([[0], common])
     codes = np.empty(len(a) + len(b), np.int64)
-    last_a, last_b = (np.concatenate([g[1:] != g[:-1], [True]]) if len(g) else np.zeros(0, bool)
-                      for g in (group_a, group_b))
-    codes[np.arange(len(a)) + before_b[group_a]] = 3 * a + last_a
-    codes[np.arange(len(b)) + before_a[group_b]] = 3 * b + 2 * last_b
+    codes[np.arange(len(a)) + upto_b[starts[group_a]]] = 3 * a + both[end_a]
+    codes[np.arange(len(b)) + upto_a[starts[group_b + 1]]] = 3 * b + 2 * both[end_b]
     words = list(map(tok.words.__getitem__, codes.tolist()))
     cuts = (a_at + b_at).tolist()
-    digests = [hashlib.sha256("".join(words[s:e])[:-1].encode()).hexdigest() if e > s else ""
-               for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    pairs = a[np.searchsorted(end_a, ends)] << _SHIFT | b[np.searchsorted(end_b, ends)]
-    known, code = np.unique(pairs, return_inverse=True)
-    text = np.repeat(np.arange(len(texts)), counts["n_links"])
-    own, times = np.unique(text * max(1, len(known)) + code, return_counts=True)
-    return counts, digests, (own // max(1, len(known)), known[own % max(1, len(known))], times)
-
-
-def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    groups = ["".join(words[s:e])[:-1] for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    pairs = a[upto_a[ends] - marks[0, ends]] << _SHIFT | b[upto_b[ends] - marks[1, ends]]
+    return counts, groups, _counted(np.repeat(np.arange(len(texts)), counts[3]), pairs)
+
+
+def _counted(text: np.ndarray, pair: np.ndarray, times: np.ndarray | None = None) -> tuple:
+    """(text, pair, times) with each text's pairs once, in order of texts."""
+    known, code = np.unique(pair, return_inverse=True)
+    n = max(1, len(known))
+    keys = text * n + code
+    if times is None:
+        keys = np.sort(keys)
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        times = np.diff(np.append(new, len(keys)))
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        times = np.add.reduceat(times[order], new) if len(new) else times
+    return keys[new] // n, known[keys[new] % n], times
+
+
+def align_by_words(tok: Tokenizers, texts: pa.Array) -> tuple[np.ndarray, list[str], tuple]:
+    """As ``align``, with the digests of the groups in place of the groups.
+
+    Both tokenizers begin a token at a single space inside a text, so there ends
+    a group.  Distinct words are aligned once; a text is the sum of its words.
+    Texts with other white space beside a space, or with U+2581, which B writes
+    for a space, are units of their own.
+    """
+    n = len(texts)
+    loose = pc.match_substring_regex(texts, f"^{_SPACE}|{_LOOSE}|▁").to_numpy(zero_copy_only=False)
+    loose = loose.astype(bool)
+    lists = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
+    coded = lists.flatten().dictionary_encode()
+    units = pa.concat_arrays([coded.dictionary, texts.filter(pa.array(loose))])
+    code = np.empty(len(coded.indices) + int(loose.sum()), np.int64)
+    size = np.ones(n, np.int64)
+    size[~loose] = pc.list_value_length(lists).to_numpy()
+    in_loose = np.repeat(loose, size)
+    code[~in_loose] = coded.indices.to_numpy()
+    code[in_loose] = len(coded.dictionary) + np.arange(int(loose.sum()))
+    at = np.concatenate([[0], np.cumsum(size)])
+
+    counts, groups, links, done = [], [], [], 0
+    batch = pa.RecordBatch.from_arrays([units], names=["unit"])
+    for part in blocks(batch, ["unit"], PART_BYTES):
+        c, g, (unit, pair, times) = align(tok, part.column(0).to_pylist())
+        counts.append(c)
+        groups += g
+        links.append((unit + done, pair, times))
+        done += part.num_rows
+    counts = np.concatenate(counts, axis=1)
+    unit, pair, times = (np.concatenate(c) for c in zip(*links, strict=True))
+
+    # a unit without tokens leaves its text without any
+    text = np.repeat(np.arange(n), size)
+    valid = np.bincount(text[counts[0][code] == 0], minlength=n) == 0
+    sums = np.stack([np.diff(np.concatenate([[0], np.cumsum(c[code])])[at]) for c in counts])
+    sums[:, ~valid] = 0
+    digests = [
+        hashlib.sha256(";".join(map(groups.__getitem__, code[s:e].tolist())).encode()).hexdigest()
+        if ok else "" for s, e, ok in zip(at[:-1].tolist(), at[1:].tolist(), valid.tolist(), strict=True)]
+
+    # each text's distinct units, and the links of each
+    keep = valid[text]
+    own, unit_of, often = _counted(text[keep], code[keep])
+    first = np.searchsorted(unit, np.arange(len(units) + 1))
+    many = np.diff(first)[unit_of]
+    ends = np.cumsum(many)
+    take = np.repeat(first[unit_of] - (ends - many), many) + np.arange(int(many.sum()))
+    return sums, digests, _counted(np.repeat(own, many), pair[take],
+                                   times[take] * np.repeat(often, many))
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to about BLOCK_BYTES."""
     held, size = [], 0
     for batch in batches:
         for part in blocks(batch, ["text"], PART_BYTES):
             held.append(part)
-            size += part.nbytes
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py()
             if size >= BLOCK_BYTES:
-                yield held
+                yield pa.concat_batches(held)
                 held, size = [], 0
     if held:
-        yield held
+        yield pa.concat_batches(held)
 
 
 def aligned_blocks(texts: DataFrame, spec: str, model: bytes) -> DataFrame:
@@ -161,29 +263,20 @@ def aligned_blocks(texts: DataFrame, spec: str, model: bytes) -> DataFrame:
         tok = tokenizers(spec, model)
         block = TaskContext.get().partitionId() << 33
         for held in _blocks_of(batches):
-            rows, weights, uses, n = [], [], [], 0
-            for part in held:
-                strings = part.column("text").to_pylist()
-                counts, digests, (text, pair, times) = align(tok, strings)
-                columns = [counts[c].tolist() for c in ("n_a", "n_b", "n_groups", "n_links")]
-                names = [hashlib.sha256(t.encode()).digest() for t in strings]
-                rows += [dict(zip(("digest", "n_a", "n_b", "n_groups", "n_links", "sha"), r,
-                                  strict=True)) for r in zip(names, *columns, digests, strict=True)]
-                weights.append(part.column("weight").to_numpy())
-                uses.append((text + n, pair, times))
-                n += len(strings)
-            weights = np.concatenate(weights)
-            text, pair, times = (np.concatenate(c) for c in zip(*uses, strict=True))
+            counts, digests, (text, pair, times) = align_by_words(tok, held.column("text"))
+            rows = [dict(zip(("digest", "n_a", "n_b", "n_groups", "n_links", "sha"), r, strict=True))
+                    for r in zip((hashlib.sha256(t.encode()).digest()
+                                  for t in held.column("text").to_pylist()),
+                                 *counts.tolist(), digests, strict=True)]
+            weights = held.column("weight").to_numpy()
             pairs, code = np.unique(pair, return_inverse=True)
             totals = np.zeros(len(pairs), np.int64)
             np.add.at(totals, code, times * weights[text])
-            order = np.lexsort((code, text))
-            code = code[order]
             steps = np.diff(code, prepend=0)                # small within a text
             yield pa.RecordBatch.from_pylist([{
                 "block": block, "texts": rows, "weights": weights.tolist(),
                 "pairs": pairs.tolist(), "totals": totals.tolist(),
-                "uses": pack(text[order], steps, times[order])}], schema=_arrow_schema())
+                "uses": pack(text, steps, times)}], schema=_arrow_schema())
             block += 1
 
     return written(texts.mapInArrow(aligned, _ALIGNED), "aligned-texts")
