@@ -80,3 +80,24 @@ def test_documents_that_land_again_replace_their_rows(spark, tmp_path):
     land("2024-01-02", {"b": [5]})               # older than the version without rows
     assert run() == [("a", 7), ("c", 4), ("d", 8)]
     assert run() == [("a", 7), ("c", 4), ("d", 8)]
+
+
+def test_preview_by_query_string(spark, tmp_path):
+    from tradelake.plans.jobs import run_preview_query
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def doc(*records):
+        return json.dumps({"count": len(records), "data": list(records)})
+    rows = [("preview_M_A_HS_TOTAL_156_842_2020.json", doc({"trade value": 1, "q": 2.5})),
+            ("preview_M_A_HS_TOTAL_156_842_2021.json", doc({"trade value": 2}, {"trade value": 3})),
+            ("preview_M_A_HS_TOTAL_15_842_2021.json", doc({"trade value": 9})),
+            ("preview_M_A_HS_TOTAL_156_842_2023.json", doc({"trade value": 9})),
+            ("preview_M_A_HS_TOTAL_156_0_2021.json", '{"error": "none"}'),
+            ("preview_X_A_HS_TOTAL_156_842_2021.json", doc({"trade value": 9}))]
+    land_containers(spark.createDataFrame(rows, "name string, json_data string"), landing, F.col("name"))
+    assert run_preview_query(spark, landing, out, "156, 4", "842,0", 2020, 2022) == "written"
+    got = spark.read.parquet(out)
+    assert dict(got.dtypes) == {"q": "double", "trade_value": "bigint"}
+    assert sorted((r.trade_value, r.q) for r in got.collect()) == [(1, 2.5), (2, None), (3, None)]
+    assert run_preview_query(spark, landing, out, "156", "0", 2020, 2022) == "skipped"
+    assert spark.read.parquet(out).count() == 3

@@ -115,6 +115,55 @@ def run_preview(spark: SparkSession, plan_path: str, answer, ledger_path: str, o
     return write_with_empty_policy(rows, output_path, on_empty)
 
 
+#: typeCode, freqCode, clCode, cmdCode, then reporter, partner and period of a document.
+PREVIEW_FILES = r"^preview_[^_]+_[^_]+_[^_]+_[^_]+_([^_]+)_([^_]+)_(\d+)(?:_.*)?\.json$"
+
+
+def preview_records(spark: SparkSession, landed_path: str, reporters: str, partners: str,
+                    start_year: int, end_year: int, commodity_code: str = "TOTAL",
+                    trade_flow: str = "M", classification: str = "HS"):
+    """Records of the landed preview answers that a query string asks for.
+
+    ``reporters`` and ``partners`` are comma-separated codes, the years are
+    inclusive.  Documents are in containers under names such as
+    ``preview_M_A_HS_TOTAL_156_842_2020.json``; the fixed part of the name reaches the scan.
+    Records are typed by the schema that all of them agree with, columns are
+    sanitised by the space rule; None if there are no records.
+    """
+    from pyspark.sql import functions as F
+    from tradelake.functions.json import schemas_of
+    from tradelake.operators.project import sanitize_columns_space
+    from tradelake.sources.containers import scan_containers
+    docs = scan_containers(spark, landed_path, key_pattern=PREVIEW_FILES,
+                           key_names=["reporter", "partner", "period"],
+                           key_types=["string", "string", "int"],
+                           prefix=f"preview_{trade_flow}_A_{classification}_{commodity_code}_")
+    asked = docs.filter(F.col("reporter").isin([c.strip() for c in reporters.split(",")])
+                        & F.col("partner").isin([c.strip() for c in partners.split(",")])
+                        & F.col("period").between(start_year, end_year))
+    records = asked.select(F.explode(F.from_json("json_data", "data array<string>")["data"])
+                           .alias("value"))
+    schema = schemas_of(records, "value", F.lit("all").alias("k")).first()
+    if schema is None or not schema["schema"]:
+        return None
+    return sanitize_columns_space(
+        records.select(F.from_json("value", schema["schema"]).alias("r")).select("r.*"))
+
+
+def run_preview_query(spark: SparkSession, landed_path: str, output_path: str, reporters: str,
+                      partners: str, start_year: int, end_year: int,
+                      commodity_code: str = "TOTAL", trade_flow: str = "M",
+                      classification: str = "HS") -> str:
+    """``preview_records`` -> Parquet; without records the output stays as it is."""
+    from tradelake.sinks.writers import sink_parquet_overwrite
+    records = preview_records(spark, landed_path, reporters, partners, start_year, end_year,
+                              commodity_code, trade_flow, classification)
+    if records is None:
+        return "skipped"
+    sink_parquet_overwrite(records, output_path)
+    return "written"
+
+
 def run_bilateral_plan(spark: SparkSession, reference_dir: str, output_path: str,
                        reporter_ids: list, partner_ids: list, flow_ids: list,
                        commodity_level: int = 0, years: tuple[int, int] | None = None) -> None:

@@ -375,6 +375,31 @@ def _trade_answers(spark, sf) -> DataFrame:
         .alias("json_data"))
 
 
+def q_preview_by_query(spark, sf):
+    """Lines between regions, landed as preview answers per (supplier's region,
+    customer's region, year, page of orders), asked by a query string."""
+    from tradelake.plans.jobs import run_preview_query
+    t = {n: _t(spark, sf, n) for n in ("lineitem", "orders", "customer", "supplier", "nation")}
+    regions = t["nation"].select("n_nationkey", "n_regionkey")
+    partner = t["customer"].join(regions, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("n_regionkey").alias("partner"))
+    reporter = t["supplier"].join(regions, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("reporter"))
+    lines = (t["lineitem"].join(t["orders"].select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.year("o_orderdate").alias("period"))
+        .hint("merge"), "l_orderkey").join(partner.hint("merge"), "o_custkey")
+        .join(reporter.hint("merge"), "l_suppkey"))
+    docs = envelope_documents(
+        lines, ["reporter", "partner", "period"], page_of("l_orderkey", LANDED_PAGE),
+        [F.col("l_partkey").alias("cmd code"), F.col("l_quantity").alias("qty"),
+         F.col("l_returnflag").alias("flag"), F.col("l_orderkey").alias("order")])
+    landing, out = scratch_path(spark, "previews"), scratch_path(spark, "preview-table")
+    land_containers(docs, landing, format_key(
+        "preview_M_A_HS_TOTAL_%d_%d_%d_%d.json", "reporter", "partner", "period", "page"))
+    run_preview_query(spark, landing, out, "0,1", "2, 3,4", 1996, 1998)
+    return spark.read.parquet(out)
+
+
 def _asked(landed: DataFrame):
     """A service that answers a request if its document has landed."""
     from tradelake.plans.fetch import PREVIEW_KEYS
@@ -904,6 +929,7 @@ QUERIES: dict[str, Query] = {
     "plan_fetch_missing": q_plan_fetch_missing,
     "coalesced_requests": q_coalesced_requests,
     "reject_ledger": q_reject_ledger,
+    "preview_by_query": q_preview_by_query,
     "world_share_table": q_world_share_table,
     "world_share_by_reporter": q_world_share_by_reporter,
     "publication_notes_table": q_publication_notes_table,
@@ -1132,6 +1158,14 @@ FROM failed
                               "CAST(c_nationkey AS BIGINT) AS nation_code, c_acctbal AS balance "
                               "FROM part JOIN customer ON c_custkey = p_partkey "
                               "WHERE p_size % 5 = 0",
+    "preview_by_query": """
+SELECT l_partkey AS cmd_code, l_quantity AS qty, l_returnflag AS flag, l_orderkey AS "order"
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON c_custkey = o_custkey JOIN nation c ON c.n_nationkey = c_nationkey
+JOIN supplier ON s_suppkey = l_suppkey JOIN nation s ON s.n_nationkey = s_nationkey
+WHERE s.n_regionkey IN (0, 1) AND c.n_regionkey IN (2, 3, 4)
+  AND year(o_orderdate) BETWEEN 1996 AND 1998
+""",
     "landed_json_by_name": "SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS period, "
                            "o_orderkey, o_custkey, o_totalprice FROM orders "
                            "WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1996",
