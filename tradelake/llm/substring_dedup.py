@@ -1,22 +1,21 @@
 """Exact substring dedup: Rabin-Karp hashes of every word window, counted in Spark.
 
-Tasks hash all windows of their texts and keep, for each hash, the entries of
-the smallest id they saw (pre-aggregation: a window that a third of all texts
-share leaves a task once).  Entries go to hash buckets as packed columns of
-(hash, id, position), where the smallest id of every hash is found.  Windows
-that start in a text with a smaller id go back to groups of texts, and each
-text's repeated windows are merged into maximal removal intervals.  Texts are
-grouped by a key of their own: the id, or a row number where ids repeat.
-
-Everything is linear in the number of windows; a text group has a bounded
-size, and so has a bucket unless many rows of one id share a window.  Their
-number follows the input.
+Texts are shuffled once, to groups of a bounded size.  Every group sends the
+leading bits of its windows' hashes, sorted and as differences, to hash
+buckets, which tell each group what other groups have too.  Only of those
+windows a group sends whole hashes, each with its smallest id, and learns which
+of them start under a smaller id elsewhere.  With the smallest ids of its own it
+then marks all repeated windows, and each text's are merged into maximal
+removal intervals.
+
+A window that a third of all texts share leaves a group once, whatever ids
+they have.  Everything is linear in the number of windows, and groups and
+buckets grow in number with the input.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import blocks, hash_strings, split_words, window_hashes, written
+from tradelake.llm.common import hash_strings, split_words, window_hashes
 
 #: Text bytes whose windows share a hash bucket, and whose texts share a group.
 BUCKET_BYTES = 3_000_000
 GROUP_BYTES = 8_000_000
+#: Bits of a hash beyond those that number all windows.
+SPARE_BITS = 10
 _TOP = np.iinfo(np.int64).max
 
 
@@ -60,15 +61,6 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def repeated(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by hash, and in that order whether a smaller id has the same hash."""
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    least = np.minimum.reduceat(ids[order], new)
-    return order, ids[order] > np.repeat(least, np.diff(np.append(new, len(order))))
-
-
 def removal_intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     """Maximal intervals [from, to) covered by windows at the sorted ``starts``."""
     if not len(starts):
@@ -79,25 +71,37 @@ def removal_intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(firsts.tolist(), (lasts + window).tolist(), strict=True))
 
 
-def _prime(n: int) -> int:
-    """Smallest prime from ``n`` on, so that regular ids spread over all groups."""
-    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
-        n += 1
-    return n
+def _packed_buckets(values: np.ndarray, top: np.ndarray, n_buckets: int, *columns: np.ndarray
+                    ) -> tuple[list[int], list[bytes]]:
+    """Sorted ``values`` and their ``columns`` as one packed row per bucket; ``top`` are the
+    leading 32 bits, which the buckets divide evenly."""
+    bucket = (top * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    seen, first = np.unique(bucket, return_index=True)
+    bounds = [*first.tolist(), len(bucket)]
+    return seen.tolist(), [
+        pack(_steps(values[a:b]), *(c[a:b] for c in columns))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Sorted 64-bit values as their differences, which pack into fewer bytes."""
+    return np.diff(values, prepend=np.uint64(0)).view(np.int64)
+
+
+def _summed(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps.view(np.uint64), dtype=np.uint64)
+
+
+def _holds(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which ``values`` are among ``sorted_values``."""
+    if not len(sorted_values):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+    return sorted_values[at] == values
 
 
-def _by_group(keys: np.ndarray, positions: np.ndarray, n_groups: int) -> tuple[list, list]:
-    """Repeated windows as one packed row per text group."""
-    group = np.mod(keys, n_groups)
-    order = np.lexsort((positions, keys, group))
-    group, keys, positions = group[order], keys[order], positions[order]
-    cuts = np.flatnonzero(np.diff(group)) + 1
-    bounds = np.concatenate([[0], cuts, [len(group)]]) if len(group) else np.zeros(1, np.int64)
-    names, blobs = [], []
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        names.append(int(group[a]))
-        blobs.append(pack(keys[a:b], positions[a:b]))
-    return names, blobs
+def _lists(group: list[int], blobs: list[bytes]) -> pa.Table:
+    return pa.table({"group": pa.array(group, pa.int64()), "entries": pa.array(blobs, pa.binary())})
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -112,7 +116,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     than any other.  Input columns that bear a result's name are replaced.
 
     Hashes have 64 bits: two different windows among n are taken for one
-    with a probability of about n^2 / 2^65.
+    with a probability of about n^2 / 2^65.  ``docs`` is scanned more than once if
+    an executor is lost, and should be a stored table or give its rows in one order.
     """
     results = ("n_words", "n_removed", "kept_text")
     others = [c for c in docs.columns if c not in (id_col, text_col, *results)]
@@ -120,91 +125,103 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest") if others
                          else F.lit(0).alias("rest"))
     octets = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets, n_groups = 1 + octets // BUCKET_BYTES, _prime(1 + octets // GROUP_BYTES)
-    shift, n_top = np.uint64(40), np.uint64(n_buckets)
-    # rows of one id are told apart by their numbers, fixed by writing them
-    own_id = F.coalesce("id", F.lit(_TOP))
-    ids_repeat = not (source.groupBy(own_id).agg(F.count("*").alias("n")).filter("n > 1")
-                      .limit(1).isEmpty())
-    source = (written(source.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
-              if ids_repeat else source.withColumn("row", own_id))
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, ["text"]):
-                codes, offsets, words = split_words(part.column("text"))
-                if not len(codes):
-                    continue
-                hashes, starts = window_hashes(hash_strings(words)[codes], offsets, window)
-                if not len(hashes):
-                    continue
-                doc = np.searchsorted(offsets, starts, side="right") - 1
-                ids = pc.fill_null(part.column("id"), _TOP).to_numpy(zero_copy_only=False)[doc]
-                keys = part.column("row").to_numpy(zero_copy_only=False)[doc]
-                places = starts - offsets[doc]
-                order, late = repeated(hashes, ids)
-                names, blobs = _by_group(keys[order][late], places[order][late], n_groups)
-                kinds = [True] * len(names)
-                rows = order[~late]
-                hashes, ids, keys, places = hashes[rows], ids[rows], keys[rows], places[rows]
-                bucket = ((hashes >> shift) * n_top >> np.uint64(24)).astype(np.int64)
-                seen, first = np.unique(bucket, return_index=True)
-                bounds = [*first.tolist(), len(bucket)]
-                names += seen.tolist()
-                own = [keys] if ids_repeat else []
-                blobs += [pack(hashes[a:b].view(np.int64), ids[a:b], places[a:b],
-                               *(k[a:b] for k in own))
-                          for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                kinds += [False] * len(seen)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array(kinds, pa.bool_()),
-                     pa.array(blobs, pa.binary())], names=["bucket", "found", "entries"])
-
-    def found(table: pa.Table) -> pa.Table:
-        """One bucket: repeated windows of its hashes, by text group."""
-        sent, parts = {}, []
-        for bucket, done, blob in zip(*(table.column(i).to_pylist() for i in range(3)),
-                                      strict=True):
-            if done:
-                sent.setdefault(bucket, []).append(blob)
-            else:
-                parts.append(unpack(blob))
-        names = [g for g, blobs in sent.items() for _ in blobs]
-        blobs = [b for own in sent.values() for b in own]
-        if parts:
-            hashes, ids, places, *own = (np.concatenate(c) for c in zip(*parts, strict=True))
-            keys = own[0] if own else ids
-            order, late = repeated(hashes, ids)
-            more, packed = _by_group(keys[order][late], places[order][late], n_groups)
-            names, blobs = names + more, blobs + packed
-        return pa.table({"group": pa.array(names, pa.int64()), "found": pa.array(
-            blobs, pa.binary())})
-
-    windows = source.select("id", "text", "row").mapInArrow(
-        hashed, "bucket bigint, found boolean, entries binary")
-    hits = windows.groupBy("bucket").applyInArrow(found, "group bigint, found binary")
+    n_buckets, n_groups = 1 + octets // BUCKET_BYTES, 1 + octets // GROUP_BYTES
+    # leading bits that make two different windows of the corpus rarely alike
+    bits = min(64, max(32, (octets // 4 + 1).bit_length() + SPARE_BITS))
+    shift, to_top = np.uint64(64 - bits), np.uint64(bits - 32)
+    # rows go to groups by their number, whatever their ids and texts
+    grouped = source.withColumn("group", F.pmod(
+        F.xxhash64(F.monotonically_increasing_id()), F.lit(n_groups)))
+
+    def hashed(texts: pa.Table) -> tuple[np.ndarray, ...]:
+        """Hash, row, word place and id of every window of a group."""
+        codes, offsets, words = split_words(texts.column("text").combine_chunks())
+        hashes, starts = window_hashes(hash_strings(words)[codes], offsets, window)
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        ids = pc.fill_null(texts.column("id").combine_chunks(), _TOP).to_numpy()
+        return hashes, doc, starts - offsets[doc], ids[doc]
+
+    def counted(key: tuple, texts: pa.Table) -> pa.Table:
+        """Leading bits of a group's hashes, each once, by bucket."""
+        short = np.unique(hashed(texts)[0] >> shift)
+        names, blobs = _packed_buckets(short, short >> to_top, n_buckets)
+        return pa.table({"bucket": pa.array(names, pa.int64()),
+                         "group": pa.array([key[0].as_py()] * len(names), pa.int64()),
+                         "entries": pa.array(blobs, pa.binary())})
+
+    def shared(bucket: pa.Table) -> pa.Table:
+        """Those that several groups have, to each of them."""
+        own = [_summed(unpack(b)[0]) for b in bucket.column("entries").to_pylist()]
+        ordered = np.sort(np.concatenate(own))
+        several = ordered[1:][ordered[1:] == ordered[:-1]]
+        sent = [(g, s) for g, v in zip(bucket.column("group").to_pylist(), own, strict=True)
+                if len(s := v[_holds(several, v)])]
+        return _lists([g for g, _ in sent], [pack(_steps(s)) for _, s in sent])
+
+    def listed(lists: pa.Table) -> np.ndarray:
+        parts = [_summed(unpack(b)[0]) for b in lists.column("entries").to_pylist()]
+        return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+    def asked(key: tuple, texts: pa.Table, lists: pa.Table) -> pa.Table:
+        """Whole hashes of such windows and the smallest id each has in a group."""
+        names, blobs = [], []
+        if lists.num_rows:
+            hashes, _, _, ids = hashed(texts)
+            found = _holds(listed(lists), hashes >> shift)
+            order = np.argsort(hashes[found], kind="stable")
+            hashes, ids = hashes[found][order], ids[found][order]
+            new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            hashes, least = hashes[new], np.minimum.reduceat(ids, new)
+            names, blobs = _packed_buckets(hashes, hashes >> np.uint64(32), n_buckets, least)
+        return pa.table({"bucket": pa.array(names, pa.int64()),
+                         "group": pa.array([key[0].as_py()] * len(names), pa.int64()),
+                         "entries": pa.array(blobs, pa.binary())})
+
+    def later(bucket: pa.Table) -> pa.Table:
+        """Hashes that start under a smaller id elsewhere, to each group that has them."""
+        parts = [unpack(b) for b in bucket.column("entries").to_pylist()]
+        own = [_summed(steps) for steps, _ in parts]
+        hashes, ids = np.concatenate(own), np.concatenate([p[1] for p in parts])
+        order = np.argsort(hashes, kind="stable")
+        hashes, ids = hashes[order], ids[order]
+        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        least, known = np.minimum.reduceat(ids, new), hashes[new]
+        sent = [(g, s) for g, v, (_, i) in zip(
+            bucket.column("group").to_pylist(), own, parts, strict=True)
+            if len(s := v[i > least[np.searchsorted(known, v)]])]
+        return _lists([g for g, _ in sent], [pack(_steps(s)) for _, s in sent])
+
+    to_buckets, to_groups = "bucket bigint, group bigint, entries binary", "group bigint, entries binary"
+    repeats = (grouped.groupBy("group").applyInArrow(counted, to_buckets)
+               .groupBy("bucket").applyInArrow(shared, to_groups))
+    hits = (grouped.groupBy("group").cogroup(repeats.groupBy("group")).applyInArrow(asked, to_buckets)
+            .groupBy("bucket").applyInArrow(later, to_groups))
 
     out = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
                         source.schema["rest"], T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()),
                         T.StructField("kept_text", T.StringType())])
 
-    def applied(texts: pa.Table, blobs: pa.Table) -> pa.Table:
-        parts = [unpack(b) for b in blobs.column("found").to_pylist()]
-        keys, places = ((np.concatenate(c) for c in zip(*parts, strict=True)) if parts
-                        else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        order = np.lexsort((places, keys))
-        keys, places = keys[order], places[order]
-        own = texts.column("row").to_numpy()
-        left, right = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+    def applied(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        hashes, doc, places, ids = hashed(texts)
+        order = np.argsort(hashes, kind="stable")
+        ordered = hashes[order]
+        late = _holds(listed(lists), hashes)
+        if len(order):
+            new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            least = np.repeat(np.minimum.reduceat(ids[order], new),
+                              np.diff(np.append(new, len(order))))
+            late[order] |= ids[order] > least
+        doc, places = doc[late], places[late]               # in order of rows and places
+        at = np.searchsorted(doc, np.arange(texts.num_rows + 1))
         n_words, n_removed, kept = [], [], []
         for i, text in enumerate(texts.column("text").to_pylist()):
             words = (text or "").encode().split()
-            stay, at = [], 0
-            for a, b in removal_intervals(np.unique(places[left[i]:right[i]]), window):
-                stay += words[at:a]
-                at = b
-            stay += words[at:]
+            stay, done = [], 0
+            for a, b in removal_intervals(places[at[i]:at[i + 1]], window):
+                stay += words[done:a]
+                done = b
+            stay += words[done:]
             n_words.append(len(words))
             n_removed.append(len(words) - len(stay))
             kept.append(b" ".join(stay).decode())
@@ -212,7 +229,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                          pa.array(kept, pa.string())], names=out.names)
 
-    grouped = source.withColumn("group", F.pmod("row", F.lit(n_groups)))
     result = (grouped.groupBy("group").cogroup(hits.groupBy("group")).applyInArrow(applied, out))
     back = [F.col("id").alias(id_col), F.col("text").alias(text_col),
             *(F.col(f"rest.`{c}`").alias(c) for c in others)]
