@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,42 @@ def written(df: DataFrame, name: str) -> DataFrame:
     lineage ends there, so a lost executor costs no more than its own tasks."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    if scopes := getattr(_SCOPES, "open", None):
+        scopes[-1].append((back, path))
+    return back
+
+
+_SCOPES = threading.local()
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[Callable]:
+    """Tables that ``written`` makes inside are deleted at the end, but for those
+    handed to the function it yields (which returns them); those pass to the scope
+    around it.  Nothing that is used later may read a deleted table."""
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    made: list[tuple[DataFrame, str]] = []
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    scopes.append(made)
+    try:
+        yield keep
+    finally:
+        scopes.pop()
+        for df, path in made:
+            if any(df is k for k in kept):
+                if scopes:
+                    scopes[-1].append((df, path))
+            else:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        made.clear()
+        spark._jvm.System.gc()         # lets Spark drop shuffle files of plans that are gone
 
 
 def blocks(batch: pa.RecordBatch, columns: list[str], limit: int = BLOCK_BYTES

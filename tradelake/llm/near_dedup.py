@@ -38,8 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import (blocks, hash_strings, mix, split_words, window_hashes,
-                                  written)
+from tradelake.llm.common import (blocks, hash_strings, mix, released, split_words,
+                                  window_hashes, written)
 
 #: (coordinates, matches) of the short and of the long signature.
 SHORT = (32, 10)
@@ -197,10 +197,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
 
 
-def _linked(keyed: DataFrame, shingle: int, percent: int, short: tuple[int, int],
-            long: tuple[int, int]) -> DataFrame:
+def _linked(keyed: DataFrame, *how) -> DataFrame:
     """(id, n_shingles, component) of every row of ``keyed`` (id, text), whose ids
-    don't repeat.  Null ids are linked with nothing and have a null component."""
+    don't repeat.  Null ids are linked with nothing and have a null component.
+    Tables that the result does not read are deleted."""
+    with released(keyed.sparkSession) as keep:
+        rows, ids = map(keep, _linked_classes(keyed, *how))
+    return (rows.drop("signature").join(ids.hint("merge"), "key", "left")
+            .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce(
+                "component", "id")).alias("component")))
+
+
+def _linked_classes(keyed: DataFrame, shingle: int, percent: int, short: tuple[int, int],
+                    long: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Written tables of the rows (id, n_shingles, key) and of the component of
+    every key that has one."""
 
     def sketched(texts: DataFrame, coordinates: int) -> DataFrame:
         def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,14 +309,20 @@ def _linked(keyed: DataFrame, shingle: int, percent: int, short: tuple[int, int]
     ids = written(classes.select("key", "rep").join(
         components.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left")
         .select("key", F.coalesce("component", "rep").alias("component")), "near-ids")
-    return (rows.drop("signature").join(ids.hint("merge"), "key", "left")
-            .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce(
-                "component", "id")).alias("component")))
+    return rows, ids
 
 
 def _linked_rows(keyed: DataFrame, *how) -> DataFrame:
     """``_linked`` where ids repeat: rows are linked under numbers of their own,
     then the components that hold rows of one id are joined."""
+    with released(keyed.sparkSession) as keep:
+        groups, found = map(keep, _grouped_rows(keyed, *how))
+    least = groups.groupBy("g").agg(F.min("id").alias("component"))
+    return (groups.join(least.hint("merge"), "g").select("id", "n_shingles", "component")
+            .unionByName(found.filter("id is null")))
+
+
+def _grouped_rows(keyed: DataFrame, *how) -> tuple[DataFrame, DataFrame]:
     numbered = written(keyed.withColumn("row", F.monotonically_increasing_id()), "near-numbered")
     found = written(_linked(numbered.select(
         F.when(F.col("id").isNotNull(), F.col("row")).alias("id"), "text"), *how), "near-found")
@@ -322,9 +339,7 @@ def _linked_rows(keyed: DataFrame, *how) -> DataFrame:
         placed.join(joined.select(F.col("node").alias("component"), F.col("component").alias("g"))
                     .hint("merge"), "component", "left")
         .select("id", "n_shingles", F.coalesce("g", "component").alias("g")), "near-groups")
-    least = groups.groupBy("g").agg(F.min("id").alias("component"))
-    return (groups.join(least.hint("merge"), "g").select("id", "n_shingles", "component")
-            .unionByName(found.filter("id is null")))
+    return groups, found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
