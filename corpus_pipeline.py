@@ -8,32 +8,61 @@ the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import (decontaminate, near_dedup, piece_codec, quality_rules,
                            substring_dedup)
-from tradelake.llm.common import read_table, written
+from tradelake.llm.common import read_table, released, written
 
 #: A text whose quality score is below this is rejected.
 MIN_QUALITY = 0.7
+#: Bits of a row's number within its file.
+ROW_BITS = 40
+#: Words of a benchmark passage that a text must not have in a row.
+LEAK_WORDS = 10
 
 
 def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs``, written, with a number for every row, and that column's name."""
+    """``docs`` with a number for every row, the same whenever it is read, and
+    that column's name.
+
+    Rows of stored files are numbered by file and place in it; the table of files
+    has a row per input file.  Other rows are written first.
+    """
     row = "_row"
     while row in docs.columns:
         row += "_"
-    return written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-docs"), row
+    try:
+        meta = docs.metadataColumn("_metadata")
+        placed = docs.withColumns({f"{row}_file": meta["file_path"], f"{row}_at": meta["row_index"]})
+    except AnalysisException:
+        return written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-docs"), row
+    files = sorted(r[0] for r in placed.select(f"{row}_file").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(
+        list(enumerate(files)), f"{row}_n bigint, {row}_file string")
+    number = (F.shiftleft(F.col(f"{row}_n"), ROW_BITS) + F.col(f"{row}_at")).alias(row)
+    return (placed.join(F.broadcast(numbers), f"{row}_file")
+            .select(*(F.col(f"`{c}`") for c in docs.columns), number)), row
+
+
+def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and all of a row in ``_whole``, so that an operator's results
+    meet no column of the same name."""
+    return docs.select(*(F.col(f"`{c}`") for c in columns),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the rule ensemble, fitted on all ``labels``, scores at
-    MIN_QUALITY or more.  It learns from the texts of ``documents``."""
-    model = quality_rules.fit(read_table(spark, sf_dir, "documents"),
-                              read_table(spark, sf_dir, "labels"))
-    scored = quality_rules.score(docs.withColumnRenamed("stats", "stats_"), model)
-    return scored.filter(F.col("score") >= MIN_QUALITY).select(*docs.columns)
+    MIN_QUALITY or more.  It learns from the texts of ``documents``.  Null and
+    empty texts are scored by their statistics, which are zeros."""
+    with released(spark):
+        model = quality_rules.fit(read_table(spark, sf_dir, "documents"),
+                                  read_table(spark, sf_dir, "labels"))
+    scored = quality_rules.score(whole_rows(docs, "text"), model)
+    return scored.filter(F.col("score") >= MIN_QUALITY).select("_whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,40 +70,50 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     more.  Rows are compared one by one, also those that repeat a doc_id or
     have none; the smallest doc_id stays, a null one only if all are null."""
     keyed, row = row_keyed(docs)
-    found = near_dedup.near_duplicates(keyed, id_col=row, shingle=5, percent=80)
-    first = (found.join(keyed.select(row, "doc_id").hint("merge"), row).groupBy("component_id")
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id",
-                                 F.col(row).alias("row"))).alias("first"))
-             .select(F.col("first.row").alias(row)))
-    return keyed.join(first.hint("merge"), row, "left_semi").select(*docs.columns)
+    with released(spark) as keep:
+        found = near_dedup.near_duplicates(keyed, id_col=row, shingle=5, percent=80)
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id",
+                               F.col(row).alias("row")))
+        first = keep(written(
+            found.join(keyed.select(row, "doc_id").hint("merge"), row).groupBy("component_id")
+            .agg(least.alias("first")).select(F.col("first.row").alias(row)), "pipeline-first"))
+    return keyed.join(first.hint("merge"), row, "left_semi").select(
+        *(F.col(f"`{c}`") for c in docs.columns))
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier text has are cut out; a text
     with a cut has its other words joined by one space, others stay as they
     are.  Texts of which nothing is left go.  ``n_chars`` follows the text."""
-    kept = substring_dedup.remove_repeats(docs, window=50)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(
-        docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return (kept.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-            .withColumn("n_chars", n_chars).withColumn("text", text).select(*docs.columns))
+    kept = substring_dedup.remove_repeats(whole_rows(docs, "doc_id", "text"), window=50)
+    cut = F.col("n_removed") > 0
+    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(
+        docs.schema["n_chars"].dataType)}
+    whole = [(F.when(cut, changed[c]).otherwise(F.col(f"_whole.`{c}`")) if c in changed
+              else F.col(f"_whole.`{c}`")).alias(c) for c in docs.columns]
+    return kept.filter(~cut | (F.col("n_removed") < F.col("n_words"))).select(*whole)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a word inside an occurrence of a window of ten benchmark
-    words.  Rows with a null doc_id are judged like others."""
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-docs")
-    judged = decontaminate.contamination(keyed, read_table(spark, sf_dir, "benchmark"),
-                                         id_col="_row", width=10)
-    gone = judged.filter("contaminated").select("_row")
-    return keyed.join(gone.hint("merge"), "_row", "left_anti").select(*docs.columns)
+    words.  Rows with a null doc_id are judged like others.  Benchmark items of
+    fewer words have no such window and remove nothing here: a text that says
+    three words of a test has not seen it."""
+    keyed, row = row_keyed(docs)
+    words = decontaminate.n_words_of(decontaminate.words_of(F.col("text")))
+    items = read_table(spark, sf_dir, "benchmark").filter(words >= LEAK_WORDS)
+    with released(spark) as keep:
+        judged = decontaminate.contamination(keyed, items, id_col=row, width=LEAK_WORDS)
+        gone = keep(written(judged.filter("contaminated").select(row), "pipeline-gone"))
+    return keyed.join(gone.hint("merge"), row, "left_anti").select(
+        *(F.col(f"`{c}`") for c in docs.columns))
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source and the SentencePiece ids of the whole text."""
+    """doc_id, lang, source and the SentencePiece ids of the whole text; null and
+    empty texts have no ids."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_codec.encode(docs, model).select(
+    return piece_codec.encode(docs.select("doc_id", "lang", "source", "text"), model).select(
         "doc_id", "lang", "source", F.size("pieces").cast("bigint").alias("n_pieces"), "pieces")
 
 
