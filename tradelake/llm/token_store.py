@@ -39,17 +39,24 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 _LOOSE = f"^ | $|{_SPACE} | {_SPACE}"
 
 
-def load_tokenizer(spec: str):
-    """The tokenizer of a JSON specification, once per worker process."""
+def load_tokenizer(spec: str, specials: bool = True):
+    """The tokenizer of a JSON specification, once per worker process.  Without
+    ``specials`` it does not look for special tokens, which is faster."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"    # the tasks use all cores
     from tokenizers import Tokenizer
 
     loaded = sys.__dict__.setdefault("_tradelake_tokenizers", {})
-    if spec not in loaded:
-        loaded.clear()
-        loaded[spec] = Tokenizer.from_str(spec)
-        loaded[spec].encode_special_tokens = True     # their strings in a text are text
-    return loaded[spec]
+    if (spec, specials) not in loaded:
+        for key in [k for k in loaded if k[0] != spec]:
+            del loaded[key]
+        loaded[spec, specials] = Tokenizer.from_str(spec)
+        loaded[spec, specials].encode_special_tokens = not specials
+    return loaded[spec, specials]
+
+
+def _added(tok) -> list[str]:
+    """Strings that a tokenizer takes out of a text before all else."""
+    return [t.content for t in tok.get_added_tokens_decoder().values()]
 
 
 class KnownWords:
@@ -90,29 +97,34 @@ def _begins(spec: str) -> np.ndarray:
     """Whether each token begins with a space."""
     begins = sys.__dict__.setdefault("_tradelake_begins", {})
     if spec not in begins:
-        tok = load_tokenizer(spec)
+        tok = load_tokenizer(spec, specials=False)
         begins[spec] = np.zeros(tok.get_vocab_size(), bool)
         begins[spec][[i for t, i in tok.get_vocab().items() if t.startswith("Ġ")]] = True
     return begins[spec]
 
 
 def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of every text (null: none): (flat ids, offsets).
+    """Token ids of every text (null: none): (flat ids, offsets), those of the
+    library's own call.
 
     A byte-level pre-tokenizer always begins a pre-token at a single space
     inside a text.  So distinct space-separated words are encoded once and
-    their ids copied to where they occur; texts with other white
-    space beside a space are encoded as they are.
+    their ids copied to where they occur; texts with other white space beside a
+    space, or with the string of an added token, are encoded as they are.
     """
-    tok = load_tokenizer(spec)
+    tok = load_tokenizer(spec, specials=False)
 
-    def encode(parts: list[str]) -> list[list[int]]:
+    def encode(parts: list[str], tok=tok) -> list[list[int]]:
         return [e.ids for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
 
     texts = pc.fill_null(texts, "")
     n = len(texts)
     loose = pc.match_substring_regex(texts, _LOOSE).to_numpy(zero_copy_only=False).astype(bool)
     loose |= pc.equal(texts, "").to_numpy(zero_copy_only=False).astype(bool)
+    special = np.zeros(n, bool)
+    for string in _added(tok):
+        special |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False).astype(bool)
+    loose |= special
     lists = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -145,6 +157,10 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     heads = offsets[:-1]
     own = [words[c] for c in codes[heads]] if len(heads) else []
     alone = encode(own + texts.filter(pa.array(loose)).to_pylist())
+    for i, place in enumerate(np.flatnonzero(special[loose]).tolist()):
+        if not i:
+            whole = encode(texts.filter(pa.array(special)).to_pylist(), load_tokenizer(spec))
+        alone[len(own) + place] = whole[i]
     starts = np.concatenate([starts, len(flat) + np.cumsum([0] + [len(p) for p in alone])])
     flat = np.concatenate([flat, np.fromiter((i for p in alone for i in p), np.int32)])
     lens = np.diff(starts)
@@ -169,8 +185,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
                 text_col: str = "text", end_id: int = 2) -> None:
     """Encode every text (null: empty), append ``end_id`` and write the store.
 
-    Rows are in ascending id order (null ids first; rows of one id by text),
-    within files and from file to file.  Other columns are not stored.
+    Rows are in ascending id order (null ids first; rows of one id by a hash of
+    their texts, which splits an id of many rows over files), within files and
+    from file to file.  Other columns are not stored.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
@@ -192,8 +209,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
                 first += int(ends[-1])
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    (source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(encoded, SCHEMA).write
+    source = source.withColumn("tie", F.xxhash64("text"))
+    (source.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+     .drop("tie").mapInArrow(encoded, SCHEMA).write
      .option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.enable.dictionary", "true")
      .option("parquet.enable.dictionary#doc_id", "false")
