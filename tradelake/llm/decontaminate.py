@@ -4,8 +4,8 @@ The index stores one posting (row, position, term) for every corpus token
 that is a benchmark term, and one header posting per text.  A benchmark
 window is looked up from its rarest term: that term's postings, shifted by
 its offset in the window, are the candidate starts; they are intersected
-with the postings of all other terms at their offsets.  DataFrame functions
-only.
+with the postings of the next rarest term, and what is left with those of all
+other terms at their offsets.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -59,10 +59,11 @@ class Windows:
 def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text",
                  width: int = 10) -> Windows:
     """Windows of ``width`` consecutive words of each item; an item of fewer
-    words, but not none, is one window.  Null texts and items give none."""
+    words, but not none, is one window.  Null texts give none; an item without an
+    id gives its windows, but no row of ``items``."""
     w = F.filter(words_of(F.col("text")), lambda x: x != "")
     split = (items.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
-             .filter("text is not null and item_id is not null")
+             .filter("text is not null")
              .select("item_id", w.alias("words")).filter(F.size("words") > 0))
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - (width - 1)))
     cut = split.select("item_id", "words", F.explode(starts).alias("at")).select(
@@ -72,7 +73,7 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
     slots = wins.select("win", F.size("words").alias("n"), F.posexplode("words").alias("off", "word"))
     terms = written(slots.select("word").distinct()
                     .withColumn("term", F.monotonically_increasing_id()), "leak-terms")
-    slots = written(slots.join(terms, "word").select("win", "off", "term", "n"), "leak-slots")
+    slots = written(slots.join(small(terms), "word").select("win", "off", "term", "n"), "leak-slots")
     return Windows(terms, slots, wins.select("win", F.explode("ids").alias("item_id")))
 
 
@@ -96,7 +97,7 @@ def exact_matches(index: DataFrame, windows: Windows) -> DataFrame:
     """Every occurrence of every window: (row, start, win, n)."""
     postings = index.filter("term >= 0").select("term", "row", "pos")
     counts = postings.groupBy("term").agg(F.count("*").alias("cf"))
-    ranked = (windows.slots.join(counts, "term", "left")
+    ranked = (windows.slots.join(counts.hint("merge"), "term", "left")
               .withColumn("cf", F.coalesce("cf", F.lit(0)))
               .withColumn("rank", F.row_number().over(W.partitionBy("win").orderBy("cf", "off"))))
     ranked = written(ranked, "leak-ranked")
@@ -107,12 +108,20 @@ def exact_matches(index: DataFrame, windows: Windows) -> DataFrame:
         postings.join(small(rarest), "term")
         .select("row", "win", "n", (F.col("pos") - F.col("off")).alias("start"))
         .filter("start >= 1"), "leak-candidates")
-    others = written(ranked.filter("rank > 1").select("win", "off", "term"), "leak-others")
-    asked = candidates.join(small(others), "win").select(
-        "row", "win", "start", "n", (F.col("start") + F.col("off")).alias("pos"), "term")
-    met = (asked.join(postings.hint("merge"), ["row", "pos", "term"])
-           .groupBy("row", "win", "start", "n").agg(F.count("*").alias("met"))
-           .filter("met = n - 1").drop("met"))
+    second, others = (
+        written(ranked.filter(r).select("win", "off", "term"), f"leak-{name}")
+        for r, name in (("rank = 2", "second"), ("rank > 2", "others")))
+    place = (F.col("start") + F.col("off")).alias("pos")
+    # first with the next rarest term; what is left, with all others
+    asked = (candidates.filter("n > 1").join(small(second), "win")
+             .select("row", "win", "start", "n", place, "term"))
+    left = (asked.join(postings.hint("merge"), ["row", "pos", "term"])
+            .select("row", "win", "start", "n"))
+    asked = (left.join(small(others), "win", "left")
+             .select("row", "win", "start", "n", place, "term"))
+    met = (asked.join(postings.withColumn("met", F.lit(1)).hint("merge"), ["row", "pos", "term"], "left")
+           .groupBy("row", "win", "start", "n").agg(F.count("met").alias("met"))
+           .filter("met = n - 2").drop("met"))
     single = candidates.filter("n = 1").select("row", "win", "start", "n")
     return met.union(single)
 
@@ -123,8 +132,8 @@ def proximity_matches(index: DataFrame, windows: Windows, terms: int = 3, span:
     ``terms`` rarest distinct terms (all, if fewer) within ``span`` words."""
     postings = index.filter("term >= 0").select("term", "row", "pos")
     counts = postings.groupBy("term").agg(F.count("*").alias("cf"))
-    of_item = (windows.slots.join(windows.items, "win").select("item_id", "term").distinct()
-               .join(counts, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    of_item = (windows.slots.join(windows.items.hint("merge"), "win").select("item_id", "term")
+               .distinct().join(counts.hint("merge"), "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
                .withColumn("rank", F.row_number().over(
                    W.partitionBy("item_id").orderBy("cf", "term"))).filter(F.col("rank") <= terms))
     of_item = written(of_item.withColumn("k", F.count("*").over(W.partitionBy("item_id"))),
@@ -156,7 +165,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased.
     Null and blank texts have none; repeated rows are judged one by one, null
-    ids too; repeated items count once; other columns are ignored.
+    ids too; repeated items count once; an item without an id hits words but is
+    in no list; other columns are ignored.
     """
     windows = item_windows(items, item_col, item_text_col, width)
     index = build_index(docs, windows.terms, id_col, text_col)
@@ -168,7 +178,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
            .select("row", F.greatest(F.lit(0), end - F.greatest(
                "start", F.coalesce("before", "start"))).cast("bigint").alias("new"))
            .groupBy("row").agg(F.sum("new").alias("n_hit")))
-    ids = (found.select("row", "win").distinct().join(windows.items, "win")
+    ids = (found.select("row", "win").distinct().join(windows.items.hint("merge"), "win")
            .groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string")))
                                .alias("item_ids")))
     head = index.filter("term = -1").select("row", F.col("doc_id").alias(id_col), "n_words")

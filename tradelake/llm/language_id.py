@@ -24,10 +24,9 @@ from tradelake.llm.common import blocks, text_bytes
 WINDOW = 96
 WIDTHS = (2, 3, 4)
 FILTERS = 8
-#: Bounds of the training sample: rows per language, languages, characters per row.
-PER_LANGUAGE = 800
-MAX_LANGUAGES = 500
-EXCERPT = 960
+#: Bound of the training sample: rows per language, on average.  Their texts are
+#: read whole, and every language has its rows.
+PER_LANGUAGE = 300
 
 
 @dataclass
@@ -61,8 +60,6 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, least_steps: int
         return None
     x, owner = byte_windows(pa.array(texts, pa.string()))
     y = np.array([languages.index(v) for v in labels])[owner]
-    full = (x != 0).sum(1) >= min(24, int((x != 0).sum(1).max()))
-    x, y = x[full], y[full]
     rng = np.random.default_rng(seed)
     total = len(WIDTHS) * FILTERS
     net = ByteNet(languages, [rng.normal(0, 0.3, (w, 256, FILTERS)) for w in WIDTHS],
@@ -138,20 +135,19 @@ class Scorer:
 
 
 def sample(docs: DataFrame, text_col: str, lang_col: str, order: Column) -> tuple[list, list]:
-    """At most PER_LANGUAGE rows (on average) of every language, chosen by the
-    hash ``order``; of each a stretch of EXCERPT characters."""
+    """PER_LANGUAGE rows (on average) of every language, all of a rarer one, chosen
+    by the hash ``order``, with their whole texts; twice as many in all at most."""
     labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                            F.pmod(order, F.lit(1_000_003)).alias("h")).filter(
         F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count")).limit(MAX_LANGUAGES)
+    counts = labelled.groupBy("lang").count()
     share = {r["lang"]: min(1.0, PER_LANGUAGE / r["count"]) for r in counts.collect()}
     if not share:
         return [], []
     part = F.create_map(*(F.lit(v) for kv in share.items() for v in kv))[F.col("lang")]
-    start = 1 + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - EXCERPT))
     rows = (labelled.filter(F.col("h") < part * 1_000_003).orderBy("h", "text")
             .limit(2 * PER_LANGUAGE * len(share))
-            .select(F.substring("text", start, F.lit(EXCERPT)).alias("text"), "lang").collect())
+            .select("text", "lang").collect())
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 

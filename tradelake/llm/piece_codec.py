@@ -34,6 +34,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 AT_ONCE = 1 << 18
 #: Pieces that are decoded at once (one text at least).
 PIECES_AT_ONCE = 1 << 18
+#: Places of a word whose pieces are looked up at once.
+SLICE = 1 << 13
+_NO_PIECE = np.iinfo(np.int32).min
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -139,22 +142,20 @@ def _pieces(model: bytes) -> Pieces:
     return loaded[model]
 
 
-def _search(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Viterbi over words of one length (rows of code points): flat piece ids
-    and their number per word.  An id of -1 - c is character c without a piece."""
+def _entries(words: np.ndarray, first: int, last: int, longest: int, p: Pieces
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Score and id of the piece of every length that starts at each place from
+    ``first`` to before ``last``, found by hash."""
     n, length = words.shape
-    longest = min(p.longest, length)
-    score = np.full((n, length + 1), -np.inf)
-    score[:, 0] = 0.0
-    back = np.zeros((n, length + 1), np.int32)            # length of the last piece
-    piece = np.zeros((n, length + 1), np.int64)
-    # best entry for every (start, piece length), found by hash
-    gain = np.full((longest + 1, n, length), -np.inf)
-    entry = np.full((longest + 1, n, length), -1)
-    rolled = np.zeros((n, length), np.uint64)
+    gain = np.full((longest + 1, n, last - first), -np.inf)
+    entry = np.full((longest + 1, n, last - first), -1)
+    rolled = np.zeros((n, last - first), np.uint64)
     for m in range(1, longest + 1):
-        span = length - m + 1
-        rolled = rolled[:, :span] * _BASE + words[:, m - 1:].astype(np.uint64) + np.uint64(1)
+        span = min(last, length - m + 1) - first
+        if span <= 0:
+            break
+        rolled = (rolled[:, :span] * _BASE + words[:, first + m - 1:first + m - 1 + span]
+                  .astype(np.uint64) + np.uint64(1))
         # the length enters as the leading coefficient
         key = rolled + np.uint64(m * pow(int(_BASE), m, 1 << 64) % (1 << 64))
         if len(p.keys):
@@ -164,24 +165,47 @@ def _search(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
             entry[m, :, :span][hit] = p.ids[at[hit]]
     none = entry[1] < 0
     gain[1][none] = p.lowest
-    entry[1][none] = -1 - words[none]
+    entry[1][none] = -1 - words[:, first:last][none]
+    return gain, entry
+
+
+def _search(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Viterbi over words of one length (rows of code points): flat piece ids
+    and their number per word.  An id of -1 - c is character c without a piece.
+
+    Long words are searched in slices: entries are held for one slice and the
+    places before it that a piece can reach back to.
+    """
+    n, length = words.shape
+    longest = min(p.longest, length)
+    score = np.full((n, length + 1), -np.inf)
+    score[:, 0] = 0.0
+    back = np.zeros((n, length + 1), np.int32)            # length of the last piece
+    piece = np.zeros((n, length + 1), np.int32)
     rows = np.arange(n)
-    for end in range(1, length + 1):
-        sizes = np.arange(1, min(longest, end) + 1)
-        total = score[:, end - sizes] + gain[sizes, :, end - sizes].T
-        best = total.argmax(1)
-        score[:, end] = total[rows, best]
-        back[:, end] = best + 1
-        piece[:, end] = entry[best + 1, rows, end - best - 1]
+    gain, entry = (np.zeros((longest + 1, n, 0), t) for t in (float, int))
+    for first in range(0, length, SLICE):
+        last, kept = min(length, first + SLICE), gain.shape[2]
+        more = _entries(words, first, last, longest, p)
+        gain, entry = (np.concatenate(x, 2) for x in zip((gain, entry), more, strict=True))
+        origin = first - kept
+        for end in range(first + 1, last + 1):
+            sizes = np.arange(1, min(longest, end) + 1)
+            total = score[:, end - sizes] + gain[sizes, :, end - sizes - origin].T
+            best = total.argmax(1)
+            score[:, end] = total[rows, best]
+            back[:, end] = best + 1
+            piece[:, end] = entry[best + 1, rows, end - best - 1 - origin]
+        gain, entry = gain[:, :, -longest:].copy(), entry[:, :, -longest:].copy()
     place = np.full(n, length)
     found = []
     while (place > 0).any():
         live = place > 0
-        found.append(np.where(live, piece[rows, place], np.iinfo(np.int64).min))
+        found.append(np.where(live, piece[rows, place], _NO_PIECE))
         place = place - np.where(live, back[rows, place], 0)
-    path = np.stack(found[::-1], 1) if found else np.zeros((n, 0), np.int64)
-    used = path != np.iinfo(np.int64).min
-    return path[used], used.sum(1)
+    path = np.stack(found[::-1], 1) if found else np.zeros((n, 0), np.int32)
+    used = path != _NO_PIECE
+    return path[used].astype(np.int64), used.sum(1)
 
 
 def encode_words(words: list[str], p: Pieces) -> tuple[np.ndarray, np.ndarray]:

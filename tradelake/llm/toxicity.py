@@ -24,9 +24,8 @@ from pyspark.sql import types as T
 
 from tradelake.llm.common import blocks, split_words, text_bytes, written
 
-#: Bounds of the fit: labelled rows, and tokens of the lexicon.
+#: Bound of the fit: labelled rows.
 SAMPLE_ROWS = 20_000
-LEXICON = 20_000
 #: Dirichlet prior of a form: a flat part and a part in proportion to its joint
 #: count; standard errors above 0 that the log-odds of a toxic form need.
 FLAT, PRIOR = 0.5, 200.0
@@ -73,23 +72,27 @@ class ToxicModel:
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (from, to, score) of a sequence, left to
-    right, in linear time: candidates are kept with the running sums at both
-    ends, and a new one swallows those that it outgrows."""
-    out: list[tuple[int, int, float, float]] = []
-    total = 0.0
+    right, in linear time.
+
+    Candidates are kept with the running sums at both ends, and a new one
+    swallows those that it outgrows.  Each also knows the nearest earlier one
+    with a lower sum at its beginning, where its own search ended, so a search
+    goes from one such to the next and passes no candidate twice.
+    """
+    out: list[tuple[int, int, float, float, int]] = []
     sums = np.concatenate([[0.0], np.cumsum(scores)])
     for i in np.flatnonzero(scores > 0).tolist():
-        start, low, total = i, float(sums[i]), float(sums[i + 1])
-        while out:
-            j = len(out) - 1
+        start, low, total, j = i, float(sums[i]), float(sums[i + 1]), len(out) - 1
+        while True:
             while j >= 0 and out[j][2] >= low:
-                j -= 1
+                j = out[j][4]
             if j < 0 or out[j][3] >= total:
                 break
-            start, low = out[j][0], out[j][2]
+            start, low, lower = out[j][0], out[j][2], out[j][4]
             del out[j:]
-        out.append((start, i + 1, low, total))
-    return [(a, b, high - low) for a, b, low, high in out]
+            j = lower
+        out.append((start, i + 1, low, total, j))
+    return [(a, b, high - low) for a, b, low, high, _ in out]
 
 
 def features(texts: pa.Array, model: ToxicModel) -> tuple[np.ndarray, list[list]]:
@@ -165,9 +168,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = F.lit(FLAT) + F.lit(PRIOR) * (F.col("yes") + F.col("no")) / (n1 + n0)
     a, b = F.col("yes") + prior, F.col("no") + prior
     odds = F.log(a / (n1 + PRIOR - a)) - F.log(b / (n0 + PRIOR - b))
+    # forms of the bounded sample
     chosen = (counts.select("word", "yes", "no", odds.alias("odds"),
                             (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-              .filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(LEXICON).collect())
+              .filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").collect())
     if not chosen:
         return ToxicModel()
     q1, q0 = (sum(r[c] for r in chosen) / n for c, n in (("yes", n1), ("no", n0)))
