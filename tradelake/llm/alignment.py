@@ -30,7 +30,7 @@ from tradelake.llm.substring_dedup import pack, unpack
 from tradelake.llm.token_store import _LOOSE, _SPACE
 
 #: Text bytes of a block, and of what is tokenised at once.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 PART_BYTES = 1 << 20
 STRINGS_AT_ONCE = 2000
 _SHIFT = 32

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -65,6 +66,16 @@ def released(spark: SparkSession) -> Iterator[Callable]:
         spark._jvm.System.gc()         # lets Spark drop shuffle files of plans that are gone
 
 
+def give_back() -> None:
+    """Return freed memory of this worker process to the system: workers are
+    used again by later stages, beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):      # another C library
+        pass
+
+
 def blocks(batch: pa.RecordBatch, columns: list[str], limit: int = BLOCK_BYTES
            ) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each (one row at least)."""
@@ -79,6 +90,7 @@ def blocks(batch: pa.RecordBatch, columns: list[str], limit: int = BLOCK_BYTES
         end = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, end - start)
         start = end
+    give_back()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import hash_strings, split_words, window_hashes
+from tradelake.llm.common import give_back, hash_strings, split_words, window_hashes
 
 #: Text bytes whose windows share a hash bucket, and whose texts share a group.
 BUCKET_BYTES = 3_000_000
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 4_000_000
 #: Bits of a hash beyond those that number all windows.
 SPARE_BITS = 10
 _TOP = np.iinfo(np.int64).max
@@ -76,13 +76,18 @@ def _packed_buckets(values: np.ndarray, top: np.ndarray, n_buckets: int, *column
     """Sorted ``values`` and their ``columns`` as one packed row per bucket; ``top`` are the
     leading 32 bits, which the buckets divide evenly."""
     bucket = (top * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-    seen, first = np.unique(bucket, return_index=True)
+    first = _news(bucket)
     bounds = [*first.tolist(), len(bucket)]
-    return seen.tolist(), [
+    return bucket[first].tolist(), [
         pack(_steps(values[a:b]), *(c[a:b] for c in columns))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+def _news(ordered: np.ndarray) -> np.ndarray:
+    """Places where a new value begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
+
+
 def _steps(values: np.ndarray) -> np.ndarray:
     """Sorted 64-bit values as their differences, which pack into fewer bytes."""
     return np.diff(values, prepend=np.uint64(0)).view(np.int64)
@@ -135,6 +140,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def hashed(texts: pa.Table) -> tuple[np.ndarray, ...]:
         """Hash, row, word place and id of every window of a group."""
+        give_back()
         codes, offsets, words = split_words(texts.column("text").combine_chunks())
         hashes, starts = window_hashes(hash_strings(words)[codes], offsets, window)
         doc = np.searchsorted(offsets, starts, side="right") - 1
@@ -143,7 +149,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def counted(key: tuple, texts: pa.Table) -> pa.Table:
         """Leading bits of a group's hashes, each once, by bucket."""
-        short = np.unique(hashed(texts)[0] >> shift)
+        short = np.sort(hashed(texts)[0] >> shift)
+        short = short[_news(short)]
         names, blobs = _packed_buckets(short, short >> to_top, n_buckets)
         return pa.table({"bucket": pa.array(names, pa.int64()),
                          "group": pa.array([key[0].as_py()] * len(names), pa.int64()),
@@ -168,9 +175,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if lists.num_rows:
             hashes, _, _, ids = hashed(texts)
             found = _holds(listed(lists), hashes >> shift)
-            order = np.argsort(hashes[found], kind="stable")
+            order = np.argsort(hashes[found])
             hashes, ids = hashes[found][order], ids[found][order]
-            new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            new = _news(hashes)
             hashes, least = hashes[new], np.minimum.reduceat(ids, new)
             names, blobs = _packed_buckets(hashes, hashes >> np.uint64(32), n_buckets, least)
         return pa.table({"bucket": pa.array(names, pa.int64()),
@@ -182,9 +189,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         parts = [unpack(b) for b in bucket.column("entries").to_pylist()]
         own = [_summed(steps) for steps, _ in parts]
         hashes, ids = np.concatenate(own), np.concatenate([p[1] for p in parts])
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         hashes, ids = hashes[order], ids[order]
-        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        new = _news(hashes)
         least, known = np.minimum.reduceat(ids, new), hashes[new]
         sent = [(g, s) for g, v, (_, i) in zip(
             bucket.column("group").to_pylist(), own, parts, strict=True)
@@ -204,11 +211,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def applied(texts: pa.Table, lists: pa.Table) -> pa.Table:
         hashes, doc, places, ids = hashed(texts)
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         ordered = hashes[order]
         late = _holds(listed(lists), hashes)
         if len(order):
-            new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            new = _news(ordered)
             least = np.repeat(np.minimum.reduceat(ids[order], new),
                               np.diff(np.append(new, len(order))))
             late[order] |= ids[order] > least
