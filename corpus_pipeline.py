@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import (decontaminate, near_dedup, piece_codec, quality_rules,
@@ -47,11 +47,17 @@ def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
             .select(*(F.col(f"`{c}`") for c in docs.columns), number)), row
 
 
-def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
-    """``columns`` and all of a row in ``_whole``, so that an operator's results
-    meet no column of the same name."""
-    return docs.select(*(F.col(f"`{c}`") for c in columns),
-                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_whole"))
+def apart(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and all others in ``_rest``, so that an operator's results meet
+    no column of the same name."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in columns]
+    return docs.select(*(F.col(f"`{c}`") for c in columns), F.struct(*others).alias("_rest"))
+
+
+def together(docs: DataFrame, *columns: str, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` from a table made by ``apart``; some ``changed``."""
+    return [changed.get(c, F.col(f"`{c}`") if c in columns else F.col(f"_rest.`{c}`")).alias(c)
+            for c in docs.columns]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +67,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with released(spark):
         model = quality_rules.fit(read_table(spark, sf_dir, "documents"),
                                   read_table(spark, sf_dir, "labels"))
-    scored = quality_rules.score(whole_rows(docs, "text"), model)
-    return scored.filter(F.col("score") >= MIN_QUALITY).select("_whole.*")
+    scored = quality_rules.score(apart(docs, "text"), model)
+    return scored.filter(F.col("score") >= MIN_QUALITY).select(*together(docs, "text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,13 +91,13 @@ def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Passages of 50 words and more that an earlier text has are cut out; a text
     with a cut has its other words joined by one space, others stay as they
     are.  Texts of which nothing is left go.  ``n_chars`` follows the text."""
-    kept = substring_dedup.remove_repeats(whole_rows(docs, "doc_id", "text"), window=50)
+    kept = substring_dedup.remove_repeats(apart(docs, "doc_id", "text"), window=50)
     cut = F.col("n_removed") > 0
-    changed = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(
-        docs.schema["n_chars"].dataType)}
-    whole = [(F.when(cut, changed[c]).otherwise(F.col(f"_whole.`{c}`")) if c in changed
-              else F.col(f"_whole.`{c}`")).alias(c) for c in docs.columns]
-    return kept.filter(~cut | (F.col("n_removed") < F.col("n_words"))).select(*whole)
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    n_chars = F.when(cut, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(
+        F.col("_rest.n_chars"))
+    return kept.filter(~cut | (F.col("n_removed") < F.col("n_words"))).select(
+        *together(docs, "doc_id", "text", text=text, n_chars=n_chars))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
