@@ -35,7 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import (blocks, hash_strings, mix, released, split_words,
@@ -44,6 +44,8 @@ from tradelake.llm.common import (blocks, hash_strings, mix, released, split_wor
 #: (coordinates, matches) of the short and of the long signature.
 SHORT = (32, 10)
 LONG = (160, 94)
+#: Ratio of set sizes that fall into one class.
+BAND = 1.05
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,13 +116,20 @@ def _jaccard(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _band(size: Column) -> Column:
+    """Class of a set's size; those of one class differ by less than BAND."""
+    return F.floor(F.log(size) / math.log(BAND))
+
+
 def _across(texts: DataFrame, open_: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that may have the similarity.
 
     Sets of n and m shingles need ``percent / (100 + percent) * (n + m)`` in
     common.  With shingles in one order, rarest first, the first common one
     has so many from there on in both sets.  Components of one size are
-    compared before their members are.
+    compared before their members are, and only with sizes that the number of
+    shingles from there on allows: texts that share a template of up to some 85 %
+    of their shingles don't meet through it, however many they are.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +155,17 @@ def _across(texts: DataFrame, open_: DataFrame, width: int, percent: int) -> Dat
              .select("rep", "n", "s", (F.col("k") - F.col("at")).alias("left"))
              .filter(F.col("left") * 100 >= F.col("n") * percent)
              .join(open_.hint("merge"), "rep")
-             .withColumn("band", F.floor(F.log("n") / math.log(100 / percent))))
+             .withColumn("band", _band(F.col("n"))))
     early = written(early, "near-early")
     first = written(early.groupBy("s", "band", "c", "n").agg(F.max("left").alias("left")),
                     "near-first")
     a = first.select("s", "band", *(F.col(x).alias(f"{x}1") for x in ("c", "n", "left")))
-    b = first.select("s", *(F.col(x).alias(f"{x}2") for x in ("c", "n", "left")), F.explode(
-        F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    # sizes that a set with so many shingles from here on can be near to
+    most = F.least(F.col("n") * (100 / percent), F.col("left") * ((100 + percent) / percent) - F.col("n"))
+    low, high = _band(F.col("n") * (percent / 100) * (1 - 1e-9)), _band(most * (1 + 1e-9))
+    b = (first.withColumn("low", low).withColumn("high", high).filter("low <= high")
+         .select("s", *(F.col(x).alias(f"{x}2") for x in ("c", "n", "left")),
+                 F.explode(F.sequence("low", "high")).alias("band")))
     fits = (f"least(left1, left2) * {100 + percent} >= (n1 + n2) * {percent} and "
             f"least(n1, n2) * 100 >= greatest(n1, n2) * {percent}")
     meet = a.join(b.hint("merge"), ["s", "band"]).filter(f"c1 < c2 and {fits}").select(
