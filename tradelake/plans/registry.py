@@ -817,25 +817,18 @@ def q_world_share_table(spark, sf):
 
 def q_publication_notes_table(spark, sf):
     from tradelake.plans.responses import notes_table
-    orders = _t(spark, sf, "orders")
-    lines = _t(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"),
-        page_of("l_linenumber", LINE_PAGE).alias("line_page"),
-        F.struct(F.col("l_orderkey").alias("datasetCode"), F.lit("N").alias("typeCode"),
-                 F.lit(-1).alias("period"), F.col("l_returnflag").alias("currency"),
-                 F.col("l_linestatus").alias("tradeSystem"),
-                 F.col("l_linenumber").cast("string").alias("publicationNote")).alias("note"))
-    notes = lines.groupBy("o_orderkey", "line_page").agg(F.collect_list("note").alias("notes"))
-    parents = orders.join(notes.hint("merge"), "o_orderkey", "inner").select(
-        "o_orderkey", "line_page", "notes",
-        F.dayofyear("o_orderdate").alias("reporterCode"),
-        F.year("o_orderdate").alias("period"),
-        F.col("o_orderstatus").alias("typeCode"),
-        F.col("o_orderpriority").alias("freqCode"),
-        F.col("o_orderkey").alias("datasetCode"))
-    docs = envelope_documents(parents, ["line_page"], page_of("o_orderkey", ORDER_PAGE),
-                              ["reporterCode", "period", "typeCode", "freqCode", "datasetCode",
-                               "notes"])
+    parents = _t(spark, sf, "orders").select(
+        "o_orderkey", F.dayofyear("o_orderdate").alias("reporterCode"),
+        F.year("o_orderdate").alias("period"), F.col("o_orderstatus").alias("typeCode"),
+        F.col("o_orderpriority").alias("freqCode"), F.col("o_orderkey").alias("datasetCode"))
+    notes = _t(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber",
+        F.col("l_orderkey").alias("datasetCode"), F.lit("N").alias("typeCode"),
+        F.lit(-1).alias("period"), F.col("l_returnflag").alias("currency"),
+        F.col("l_linestatus").alias("tradeSystem"),
+        F.col("l_linenumber").cast("string").alias("publicationNote"))
+    docs = nested_documents(parents, notes, "o_orderkey", page_of("o_orderkey", ORDER_PAGE),
+                            "l_linenumber", LINE_PAGE)
     raw = docs.select(F.lit("HS").alias("clCode"), "json_data")
     return notes_table(raw)
 
