@@ -115,13 +115,18 @@ def exact_matches(index: DataFrame, windows: Windows) -> DataFrame:
     # first with the next rarest term; what is left, with all others
     asked = (candidates.filter("n > 1").join(small(second), "win")
              .select("row", "win", "start", "n", place, "term"))
-    left = (asked.join(postings.hint("merge"), ["row", "pos", "term"])
-            .select("row", "win", "start", "n"))
+
+    def looked_up(asked: DataFrame, how: str) -> DataFrame:
+        """``asked`` with the postings at its places; both calls read one shuffle of them."""
+        on = [F.col(f"a.{c}") == F.col(f"p.{c}") for c in ("row", "pos", "term")]
+        return (asked.alias("a").join(postings.alias("p").hint("merge"), on, how)
+                .select("a.row", "a.win", "a.start", "a.n", F.col("p.term").alias("found")))
+
+    left = looked_up(asked, "inner").drop("found")
     asked = (left.join(small(others), "win", "left")
              .select("row", "win", "start", "n", place, "term"))
-    met = (asked.join(postings.withColumn("met", F.lit(1)).hint("merge"), ["row", "pos", "term"], "left")
-           .groupBy("row", "win", "start", "n").agg(F.count("met").alias("met"))
-           .filter("met = n - 2").drop("met"))
+    met = (looked_up(asked, "left").groupBy("row", "win", "start", "n")
+           .agg(F.count("found").alias("met")).filter("met = n - 2").drop("met"))
     single = candidates.filter("n = 1").select("row", "win", "start", "n")
     return met.union(single)
 
