@@ -187,7 +187,8 @@ def _search(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     for first in range(0, length, SLICE):
         last, kept = min(length, first + SLICE), gain.shape[2]
         more = _entries(words, first, last, longest, p)
-        gain, entry = (np.concatenate(x, 2) for x in zip((gain, entry), more, strict=True))
+        gain, entry = more if not kept else (
+            np.concatenate(x, 2) for x in zip((gain, entry), more, strict=True))
         origin = first - kept
         for end in range(first + 1, last + 1):
             sizes = np.arange(1, min(longest, end) + 1)
@@ -196,7 +197,8 @@ def _search(words: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
             score[:, end] = total[rows, best]
             back[:, end] = best + 1
             piece[:, end] = entry[best + 1, rows, end - best - 1 - origin]
-        gain, entry = gain[:, :, -longest:].copy(), entry[:, :, -longest:].copy()
+        if last < length:
+            gain, entry = gain[:, :, -longest:].copy(), entry[:, :, -longest:].copy()
     place = np.full(n, length)
     found = []
     while (place > 0).any():
