@@ -130,3 +130,12 @@ def test_bilateral_plan_rows(spark):
     want = [(r, f"r{r}", p, f"p{p}", *f, c, y) for r in range(4) for p in range(5) if r != p
             for f in (("X", "Export"), ("M", "Import")) for c in ("01", "02") for y in (2020, 2021)]
     assert sorted(map(tuple, plan.collect())) == sorted(want)
+
+
+def test_every_grid_cell_has_a_task_of_its_own(spark):
+    big = spark.range(2000).withColumnRenamed("id", "b")
+    small = spark.range(100, 400).withColumnRenamed("id", "s")
+    out = attach_dimension(big, small, side=5)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 25 and sum(sizes) == 600_000
+    assert max(sizes) < 2 * 600_000 / 25
