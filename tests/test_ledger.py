@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tradelake.operators.ledger import (open_rejects, record_outcomes, reject_history, run_requests)
+from tradelake.operators.ledger import (open_rejects, outstanding, record_outcomes, reject_history,
+                                        run_requests)
 from tradelake.operators.project import coalesce_requests, expand_requests
 from tradelake.plans.fetch import PREVIEW_KEYS, resumable_extract
 from tradelake.plans.jobs import run_preview, run_reference_index
@@ -112,3 +113,40 @@ def test_coalesced_requests_expand_to_the_plan(spark, most):
     if most == 100:                      # ranges of three kinds of reporters, two partners
         assert len(got) == 2 * (3 + 1 + 1)
     assert coalesce_requests(plan.limit(0), most).count() == 0
+
+
+def _nested_world(spark):
+    """A plan in rows and nested, and answers; keys repeat and may be null."""
+    heads = [(r, p, f, c) for r in range(3) for p in range(2) for f in ("M", None) for c in range(5)]
+    years = [2010, 2011, 2012, 2013]
+    ddl = "reporter_id bigint, partner_id int, flow_id string, cmdCode bigint, "
+    rows = spark.createDataFrame([(*h, y) for h in heads for y in years] * 2, ddl + "year int")
+    nested = spark.createDataFrame([(*h, years) for h in heads], ddl + "year array<int>")
+    answers = [(*h, y, "[]" if y == 2011 else '[{"typeCode":"C"}]') for h in heads if h[3] < 4
+               for y in (2011, 2012, 2030, None) if (h[0] + h[3]) % 3] * 2
+    answers += [(*h, y, "[]") for h in heads if h[3] == 4 for y in years]
+    return rows, nested, spark.createDataFrame(answers, ddl + "year bigint, json_data string")
+
+
+def test_nested_requests_are_never_shuffled_one_by_one(spark, tmp_path):
+    rows, nested, landed = _nested_world(spark)
+    heads = list(PREVIEW_KEYS[:-1])
+
+    def by_row(requests):
+        return requests.join(landed.hint("merge"), list(PREVIEW_KEYS)).select(*PREVIEW_KEYS, "json_data")
+
+    def by_head(requests):
+        asked = requests.withColumnRenamed("year", "years").join(landed.hint("merge"), heads)
+        return asked.filter("array_contains(years, cast(year as int))").select(
+            *heads, F.col("year").cast("int").alias("year"), "json_data")
+    for run, only in (("r1", "cmdCode <= 1"), ("r2", "true")):
+        got, missing = run_requests(nested, lambda q, only=only: by_head(q).filter(only),
+                                    str(tmp_path / "nested"), PREVIEW_KEYS, run, nested="year")
+        want, left = run_requests(rows, lambda q, only=only: by_row(q).filter(only),
+                                  str(tmp_path / "rows"), PREVIEW_KEYS, run)
+        assert missing.columns == left.columns and missing.schema["year"].dataType.typeName() == "integer"
+        assert sorted(map(repr, missing.collect())) == sorted(map(repr, left.collect()))
+        assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("year" in line for line in exchanges)

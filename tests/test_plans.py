@@ -132,6 +132,20 @@ def test_bilateral_plan_rows(spark):
     assert sorted(map(tuple, plan.collect())) == sorted(want)
 
 
+def test_nested_plan_holds_the_distinct_keys(spark):
+    reporters = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "x")],
+                                      "reporter_id int, reporter_name string")
+    partners = reporters.toDF("partner_id", "partner_name")
+    flows = spark.createDataFrame([("X", "Export"), (None, "n")], "flow_id string, flow_name string")
+    cmds = spark.createDataFrame([("01",), ("01",), (None,)], "cmdCode string")
+    keys = ["reporter_id", "partner_id", "flow_id", "cmdCode", "year"]
+    rows = bilateral_plan(reporters, partners, flows, cmds, (2020, 2023)).select(*keys).distinct()
+    nested = bilateral_plan(reporters, partners, flows, cmds, (2020, 2023), nested=True)
+    each = nested.select(*keys[:-1], F.explode("year").alias("year"))
+    assert nested.count() == 8
+    assert sorted(map(repr, each.collect())) == sorted(map(repr, rows.collect()))
+
+
 def test_every_grid_cell_has_a_task_of_its_own(spark):
     big = spark.range(2000).withColumnRenamed("id", "b")
     small = spark.range(100, 400).withColumnRenamed("id", "s")
