@@ -150,3 +150,17 @@ def test_nested_requests_are_never_shuffled_one_by_one(spark, tmp_path):
     plan = missing._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and not any("year" in line for line in exchanges)
+
+
+def test_nested_extract_gives_the_rows_of_the_plan(spark, tmp_path):
+    rows, nested, landed = _nested_world(spark)
+    landed = landed.filter("year is not null").withColumn("year", F.col("year").cast("int"))
+
+    def by_head(requests):
+        asked = requests.withColumnRenamed("year", "years").join(landed, list(PREVIEW_KEYS[:-1]))
+        return asked.filter("array_contains(years, year)").select(*PREVIEW_KEYS, "json_data")
+    got, _ = resumable_extract(nested, by_head, str(tmp_path / "n"), "r1", ["typeCode"], nested="year")
+    want, _ = resumable_extract(rows, lambda q: q.join(landed, list(PREVIEW_KEYS)),
+                                str(tmp_path / "r"), "r1", ["typeCode"])
+    assert got.count() > 0
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
