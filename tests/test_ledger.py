@@ -164,3 +164,14 @@ def test_nested_extract_gives_the_rows_of_the_plan(spark, tmp_path):
                                 str(tmp_path / "r"), "r1", ["typeCode"])
     assert got.count() > 0
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_coalesced_nested_requests_are_those_of_the_rows(spark, most):
+    rows, nested, landed = _nested_world(spark)
+    missing = outstanding(nested, landed, PREVIEW_KEYS, nested="year")
+    by_row = outstanding(rows, landed, PREVIEW_KEYS)
+    got, want = coalesce_requests(missing, most), coalesce_requests(by_row, most)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert any(r.from_year == r.to_year == 2013 for r in got.collect())

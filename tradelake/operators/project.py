@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.schemas import PREVIEW_REQUEST_DEFAULTS
 
@@ -105,6 +106,10 @@ def project_request_params(plan: DataFrame, year_col: str = "year",
     )
 
 
+#: Reporters of a list that are read from the rows ahead; longer lists are grouped.
+MOST_AHEAD = 16
+
+
 def coalesce_requests(plan: DataFrame, max_reporters: int, year_col: str = "year",
                       reporter_col: str = "reporter_id",
                       others: Sequence[str] = ("partner_id", "flow_id", "cmdCode")) -> DataFrame:
@@ -115,20 +120,48 @@ def coalesce_requests(plan: DataFrame, max_reporters: int, year_col: str = "year
     with the same range and others are packed in lists of up to ``max_reporters``, in
     ascending order.  Returns ``others``, ``from_year``, ``to_year``, ``reporters`` (array) and
     ``n_requests`` (plan rows covered); expanded again they are the distinct plan.
+
+    ``year_col`` may be an array: the years of a row, each once, whose reporter and others do not
+    repeat.  Ranges are then found within the row.
     """
-    rows = plan.select(reporter_col, *others, year_col).distinct()
-    by_year = W.partitionBy(reporter_col, *others).orderBy(year_col)
-    runs = rows.withColumn("_run", F.col(year_col) - F.row_number().over(by_year))
-    ranges = runs.groupBy(reporter_col, *others, "_run").agg(
-        F.min(year_col).alias("from_year"), F.max(year_col).alias("to_year"))
-    alike = W.partitionBy(*others, "from_year", "to_year").orderBy(reporter_col)
-    packed = ranges.withColumn("_list", F.floor((F.row_number().over(alike) - 1) / max_reporters))
-    lists = packed.groupBy(*others, "from_year", "to_year", "_list").agg(
-        F.array_sort(F.collect_list(reporter_col)).alias("reporters"))
+    # last first: sorts that begin with the largest dimension seldom compare further
+    back = list(reversed(others))
+    if isinstance(plan.schema[year_col].dataType, T.ArrayType):
+        ranges = plan.select(reporter_col, *back, F.sort_array(year_col).alias("_years"))
+        ranges = ranges.select(reporter_col, *back, F.explode(_year_ranges("_years")).alias("_range"))
+        ranges = ranges.select(reporter_col, *back, "_range.from_year", "_range.to_year")
+    else:
+        rows = (plan.select(reporter_col, *others, year_col).repartition(*back, reporter_col)
+                .distinct())
+        by_year = W.partitionBy(*back, reporter_col).orderBy(year_col)
+        runs = rows.withColumn("_run", F.col(year_col) - F.row_number().over(by_year))
+        ranges = runs.groupBy(*back, reporter_col, "_run").agg(
+            F.min(year_col).alias("from_year"), F.max(year_col).alias("to_year"))
+    alike = W.partitionBy(*back, "from_year", "to_year").orderBy(reporter_col)
+    packed = ranges.withColumn("_at", F.row_number().over(alike) - 1)
+    if max_reporters <= MOST_AHEAD:      # the rows of a list follow each other
+        ahead = [F.lead(reporter_col, i).over(alike) for i in range(1, max_reporters)]
+        lists = packed.withColumn("reporters", F.array(reporter_col, *ahead)).filter(
+            F.col("_at") % max_reporters == 0).withColumn("reporters", F.array_compact("reporters"))
+    else:
+        packed = packed.withColumn("_list", F.floor(F.col("_at") / max_reporters))
+        lists = packed.groupBy(*back, "from_year", "to_year", "_list").agg(
+            F.array_sort(F.collect_list(reporter_col)).alias("reporters"))
     n = F.size("reporters") * (F.col("to_year") - F.col("from_year") + 1)
     return lists.select(*others, "from_year", "to_year", "reporters", n.cast("bigint").alias("n_requests"))
 
 
+def _year_ranges(years: str) -> Column:
+    """Ranges of consecutive years in a sorted array of distinct ones."""
+    all_years, n = F.col(years), F.size(years)
+    first, last = F.get(all_years, F.lit(0)), F.get(all_years, n - 1)
+    starts = F.array_except(all_years, F.transform(all_years, lambda y: y + 1))
+    ends = F.array_except(all_years, F.transform(all_years, lambda y: y - 1))
+    gaps = F.arrays_zip(starts.alias("from_year"), ends.alias("to_year"))
+    whole = F.array(F.struct(first.alias("from_year"), last.alias("to_year")))
+    return F.when(last - first == n - 1, whole).otherwise(gaps)
+
+
 def expand_requests(requests: DataFrame, year_col: str = "year", reporter_col: str = "reporter_id",
                     others: Sequence[str] = ("partner_id", "flow_id", "cmdCode")) -> DataFrame:
     """The plan rows that coalesced requests stand for."""
