@@ -3,11 +3,13 @@ ids, special tokens, pruning, linear scans, and the pipeline stage by stage."""
 
 import glob
 import re
+import sys
 import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +124,50 @@ def test_store_files_have_the_encodings_and_indexes(spark, scratch):
     assert "EqualTo(doc_id,11)" in plan and "ids:array" not in plan.split("ReadSchema")[1]
 
 
+def test_words_are_encoded_once_while_they_are_kept(monkeypatch):
+    with open(A, encoding="utf-8") as f:
+        spec = f.read()
+    load, asked = token_store.load_tokenizer, []
+
+    class Counted:
+        def __init__(self, tok):
+            self.tok = tok
+
+        def __getattr__(self, name):
+            return getattr(self.tok, name)
+
+        def encode_batch_fast(self, parts, **options):
+            asked.extend(w for p in parts for w in p.split(" ")[1:])
+            return self.tok.encode_batch_fast(parts, **options)
+
+    monkeypatch.setattr(sys, "_tradelake_known_words", {}, raising=False)
+    monkeypatch.setattr(token_store, "load_tokenizer", lambda *a, **b: Counted(load(*a, **b)))
+    for text in ("x alpha beta", "x gamma", "x alpha beta gamma"):
+        token_store.encode_texts(pa.array([text]), spec)
+    assert sorted(asked) == ["alpha", "beta", "gamma", "x"]
+
+
+@pytest.mark.parametrize("limit", [1, 3000, 8 << 20])
+def test_known_words_are_bounded_and_change_no_ids(monkeypatch, limit):
+    from tokenizers import Tokenizer
+
+    with open(A, encoding="utf-8") as f:
+        spec = f.read()
+    tok, rng = Tokenizer.from_file(A), np.random.default_rng(7)
+    monkeypatch.setattr(sys, "_tradelake_known_words", {}, raising=False)
+    monkeypatch.setattr(token_store, "KNOWN_BYTES", limit, raising=False)
+    syllables = ["the", "Ä", "ß", "'s", "1", "23", ".", ",\n", "\t", "中", "Ġ", "\x00", "<|endoftext|>"]
+    for _ in range(12):
+        texts = [" ".join("".join(rng.choice(syllables[:12 + (k == 0)], rng.integers(0, 4)))
+                          for _ in range(rng.integers(0, 9))) for k in range(30)]
+        texts += [None, "", "y" * 2000 + " " + "z" * 2000]
+        ids, ends = token_store.encode_texts(pa.array(texts), spec)
+        for i, t in enumerate(texts):
+            assert ids[ends[i]:ends[i + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids
+        known = token_store.known_words(spec)
+        assert known.words.nbytes + known.ids.nbytes <= limit
+
+
 # --- decontamination, toxicity, language, quality ------------------------------------------
 
 def test_items_without_an_id_still_hit(spark):

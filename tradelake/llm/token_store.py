@@ -28,8 +28,8 @@ SCHEMA = "file bigint, doc_id bigint, first bigint, n_tokens bigint, ids array<i
 #: Row-group bytes and rows of a page: a page is the least that a selective read takes.
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2000
-#: Words met in more than one block whose token ids a worker process keeps.
-KNOWN_WORDS = 200_000
+#: Bytes of words and their token ids that a worker process keeps.
+KNOWN_BYTES = 8 << 20
 #: Words that are tokenized as one string, and strings at once.
 WORDS_AT_ONCE, STRINGS_AT_ONCE = 500, 16
 
@@ -60,32 +60,30 @@ def _added(tok) -> list[str]:
 
 
 class KnownWords:
-    """Token ids of words behind a space that this worker process has encoded:
-    those of the last block, and those that a later block had again."""
+    """Token ids of words behind a space that this worker process has encoded,
+    as bytes beside the words.  Beyond ``KNOWN_BYTES`` those stay that the last
+    block had, if they fit."""
 
     def __init__(self) -> None:
-        self.again: dict[str, bytes] = {}
-        self.last: dict[str, bytes] = {}
-
-    def ids(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
-        """Ids of every word of a block; ``encode`` gives those of new ones."""
-        if len(self.again) > KNOWN_WORDS:
-            self.again = {}
-        found = list(map(self.again.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        fresh = []
-        for i in missing:
-            word = words[i]
-            ids = self.last.get(word)
-            if ids is None:
-                fresh.append(i)
-            else:
-                self.again[word] = found[i] = ids
-        new = [words[i] for i in fresh]
-        self.last = dict(zip(new, encode(new), strict=True))
-        for i, ids in zip(fresh, self.last.values(), strict=True):
-            found[i] = ids
-        return found
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+
+    def places(self, words: pa.Array, encode: Callable[[pa.Array], pa.Array]
+               ) -> tuple[np.ndarray, pa.Array]:
+        """Place of every distinct word of a block in a list of token ids, and
+        that list; ``encode`` gives the ids of new words."""
+        words = words.cast(pa.large_string())
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        is_new = at < 0
+        new = words.filter(pa.array(is_new))
+        at[is_new] = len(self.words) + np.arange(len(new))
+        ids = pa.concat_arrays([self.ids, encode(new)])
+        self.words, self.ids = pa.concat_arrays([self.words, new]), ids
+        if self.words.nbytes + self.ids.nbytes > KNOWN_BYTES:
+            self.words, self.ids = words, ids.take(pa.array(at))
+            if self.words.nbytes + self.ids.nbytes > KNOWN_BYTES:
+                self.__init__()
+        return at, ids
 
 
 def known_words(spec: str) -> KnownWords:
@@ -103,6 +101,13 @@ def _begins(spec: str) -> np.ndarray:
     return begins[spec]
 
 
+def _id_bytes(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Token ids as one binary value for each part; parts begin at ``starts``."""
+    offsets = 4 * np.append(starts, len(ids)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(np.int32))])
+
+
 def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of every text (null: none): (flat ids, offsets), those of the
     library's own call.
@@ -114,8 +119,12 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     """
     tok = load_tokenizer(spec, specials=False)
 
-    def encode(parts: list[str], tok=tok) -> list[list[int]]:
-        return [e.ids for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
+    def encode(parts: list[str], tok=tok) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def one_by_one(lists: list[np.ndarray]) -> pa.Array:
+        return _id_bytes(np.concatenate([np.zeros(0, np.int32), *lists]),
+                         np.cumsum([0, *map(len, lists)])[:-1])
 
     texts = pc.fill_null(texts, "")
     n = len(texts)
@@ -128,44 +137,38 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     lists = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    words = coded.dictionary
     offsets = lists.offsets.to_numpy().astype(np.int64)
     offsets -= offsets[0]
 
-    def encode_spaced(new: list[str]) -> list[bytes]:
+    def encode_spaced(new: pa.Array) -> pa.Array:
         """Ids of words behind a space, many to a string: a token with a space
         begins a word."""
-        out, begins = [], _begins(spec)
+        out, begins = [pa.array([], pa.large_binary())], _begins(spec)
         for at in range(0, len(new), WORDS_AT_ONCE * STRINGS_AT_ONCE):
-            part = new[at:at + WORDS_AT_ONCE * STRINGS_AT_ONCE]
-            joined = ["".join([f" {w}" for w in part[i:i + WORDS_AT_ONCE]])
-                      for i in range(0, len(part), WORDS_AT_ONCE)]
-            ids = np.concatenate([np.array(p, np.int32) for p in encode(joined)])
+            part = new.slice(at, WORDS_AT_ONCE * STRINGS_AT_ONCE).cast(pa.string())
+            cuts = np.append(np.arange(0, len(part), WORDS_AT_ONCE), len(part))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), part), " ")
+            ids = np.concatenate(encode([f" {j}" for j in joined.to_pylist()]))
             bounds = np.flatnonzero(begins[ids])
             if len(bounds) == len(part):
-                data, cuts = ids.tobytes(), [*(4 * bounds).tolist(), 4 * len(ids)]
-                out += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                out.append(_id_bytes(ids, bounds))
             else:
-                out += [np.array(p, np.int32).tobytes() for p in encode([f" {w}" for w in part])]
-        return out
+                out.append(one_by_one(encode([f" {w}" for w in part.to_pylist()])))
+        return pa.concat_arrays(out)
 
     # distinct words behind a space; those met in earlier blocks are known
-    own_ids = known_words(spec).ids(words, encode_spaced)
-    flat = np.frombuffer(b"".join(own_ids), np.int32)
-    starts = np.cumsum([0, *map(len, own_ids)])[:-1] // 4
+    places, ids = known_words(spec).places(words, encode_spaced)
     # the first word of a text stands without a space; loose texts are one unit each
     heads = offsets[:-1]
-    own = [words[c] for c in codes[heads]] if len(heads) else []
+    own = words.take(pa.array(codes[heads])).to_pylist()
     alone = encode(own + texts.filter(pa.array(loose)).to_pylist())
     for i, place in enumerate(np.flatnonzero(special[loose]).tolist()):
         if not i:
             whole = encode(texts.filter(pa.array(special)).to_pylist(), load_tokenizer(spec))
         alone[len(own) + place] = whole[i]
-    starts = np.concatenate([starts, len(flat) + np.cumsum([0] + [len(p) for p in alone])])
-    flat = np.concatenate([flat, np.fromiter((i for p in alone for i in p), np.int32)])
-    lens = np.diff(starts)
-    starts = starts[:-1]
-    codes[heads] = len(words) + np.arange(len(heads))
+    at = places[codes]
+    at[heads] = len(ids) + np.arange(len(heads))
 
     units = np.zeros(n, np.int64)
     units[~loose] = np.diff(offsets)
@@ -173,12 +176,12 @@ def encode_texts(texts: pa.Array, spec: str) -> tuple[np.ndarray, np.ndarray]:
     unit_ends = np.concatenate([[0], np.cumsum(units)])
     order = np.empty(unit_ends[-1], np.int64)
     is_loose = np.repeat(loose, units)
-    order[~is_loose] = codes
-    order[is_loose] = len(words) + len(heads) + np.arange(int(loose.sum()))
-    size = lens[order]
-    ends = np.concatenate([[0], np.cumsum(size)])
-    take = np.repeat(starts[order] - ends[:-1], size) + np.arange(ends[-1])
-    return flat[take], ends[unit_ends]
+    order[~is_loose] = at
+    order[is_loose] = len(ids) + len(heads) + np.arange(int(loose.sum()))
+    taken = pa.concat_arrays([ids, one_by_one(alone)]).take(pa.array(order))
+    ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) // 4
+    flat = np.frombuffer(taken.buffers()[2], np.int32, ends[-1]) if ends[-1] else np.zeros(0, np.int32)
+    return flat, ends[unit_ends]
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
