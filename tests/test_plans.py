@@ -1,8 +1,12 @@
 import itertools
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+from tradelake.operators import product
 from tradelake.operators.product import attach_dimension, with_sequence
 from tradelake.plans.request_plan import (bilateral_plan, distinct_pairs, reporter_year_plan,
                                           year_dimension, year_span)
@@ -153,3 +157,39 @@ def test_every_grid_cell_has_a_task_of_its_own(spark):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert len(sizes) == 25 and sum(sizes) == 600_000
     assert max(sizes) < 2 * 600_000 / 25
+
+
+_SMALL_HEAP = """
+from pyspark.sql import SparkSession, functions as F
+from tradelake.operators.product import attach_dimension, with_sequence
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+big = spark.createDataFrame([(1, "r1", 2, "p2", "X", "Export")],
+                            "r int, rn string, p int, pn string, f string, fn string")
+small = spark.range(1_500_000).withColumnRenamed("id", "cmdCode")
+plan = with_sequence(attach_dimension(big, small, side=3), "year", 2010, 2024)
+plan.write.format("noop").mode("overwrite").save()
+print("written")
+"""
+
+
+def test_product_with_a_long_dimension_runs_in_a_small_heap(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "SPARK_LOCAL_DIRS": str(tmp_path),
+           "PYSPARK_SUBMIT_ARGS": "--driver-memory 512m "
+           "--driver-java-options '-XX:+UseParallelGC' pyspark-shell"}
+    run = subprocess.run([sys.executable, "-c", _SMALL_HEAP], env=env, cwd=tmp_path, text=True,
+                         capture_output=True, timeout=120)
+    assert "written" in run.stdout, run.stderr[-2000:]
+
+
+def test_product_in_blocks_has_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(product, "BLOCK_ROWS", 3)
+    big = spark.createDataFrame([(i % 5, None) for i in range(12)], "b int, x string")
+    dim = [(7, "hot")] * 40 + [(i, f"n{i}") for i in range(25)] + [(None, None)] * 4
+    small = spark.createDataFrame(dim, "s int, name string")
+    want = sorted(((i % 5, None, s, n) for i in range(12) for s, n in dim), key=repr)
+    for side in (1, 2, 5):
+        got = attach_dimension(big, small, side=side)
+        assert got.columns == ["b", "x", "s", "name"]
+        assert sorted(map(tuple, got.collect()), key=repr) == want
