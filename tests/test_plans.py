@@ -1,5 +1,6 @@
 import itertools
 import os
+import re
 import subprocess
 import sys
 
@@ -193,3 +194,14 @@ def test_product_in_blocks_has_every_pair_once(spark, monkeypatch):
         got = attach_dimension(big, small, side=side)
         assert got.columns == ["b", "x", "s", "name"]
         assert sorted(map(tuple, got.collect()), key=repr) == want
+
+
+def test_bilateral_plan_meets_every_dimension_in_blocks(spark):
+    dims = [spark.createDataFrame([(i, "n") for i in range(3)], f"{k}_id int, {k}_name string")
+            for k in ("reporter", "partner", "flow")]
+    plan = bilateral_plan(*dims, spark.range(50).withColumnRenamed("id", "cmdCode"))
+    assert plan.count() == 3 * 2 * 3 * 50 * 14
+    text = _plan_text(plan)
+    products = re.findall(r"SortMergeJoin \[_tl_cell#\w+, _tl_block#\w+\]", text)
+    assert len(set(products)) == 3
+    assert not re.search(r"hashpartitioning\(_tl_(cell|block)", text)
